@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.series import last_n
@@ -37,17 +37,10 @@ def profile(df: DataFrame, key: str = "symbol", ts: str = "ts") -> DataFrame:
     )
 
 
-def volatility_of(ret: str, volume_change: str, over=None):
-    """Root of the summed squares of both population deviations."""
-    a, b = F.stddev_pop(ret), F.stddev_pop(volume_change)
-    if over is not None:
-        a, b = a.over(over), b.over(over)
-    return F.sqrt(a * a + b * b)
-
-
 def segment_volatility(df: DataFrame, keys: Sequence[str] = ("symbol", "seg"), ret: str = "close_change", volume_change: str = "volume_change") -> DataFrame:
-    """Volatility per segment."""
-    return df.groupBy(*keys).agg(volatility_of(ret, volume_change).alias("volatility"), F.count(F.lit(1)).alias("n_rows"))
+    """Volatility per segment: root of the summed squares of both population deviations."""
+    a, b = F.stddev_pop(ret), F.stddev_pop(volume_change)
+    return df.groupBy(*keys).agg(F.sqrt(a * a + b * b).alias("volatility"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def scale_between(c, lo, hi):
@@ -60,9 +53,3 @@ def minmax(df: DataFrame, col: str, keys: Sequence[str] = ("symbol",), out: str
     bounds = df.groupBy(*keys).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
     scaled = scale_between(F.col(col), F.col("_lo"), F.col("_hi"))
     return df.join(bounds, list(keys)).withColumn(out, scaled).drop("_lo", "_hi")
-
-
-def minmax_in_group(df: DataFrame, col: str, keys: Sequence[str], out: str = "scaled") -> DataFrame:
-    """The same for groups of bounded size, by a window that reuses the partitioning by `keys`."""
-    group = Window.partitionBy(*keys)
-    return df.withColumn(out, scale_between(F.col(col), F.min(col).over(group), F.max(col).over(group)))

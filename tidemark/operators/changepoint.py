@@ -127,28 +127,28 @@ def shortest_series(n_bkps: int = 5, jump: int = 5, min_size: int = 2) -> int:
     return max(n_bkps * jump, n_bkps * math.ceil(min_size / jump) * jump + min_size)
 
 
-def _per_series(fn, returns: str, features: Sequence[Column]) -> Column:
-    """Applies fn(matrix of points) to every row; `features` are array columns of equal length."""
-
-    def apply(*cols: pd.Series) -> pd.Series:
-        return pd.Series([fn(np.column_stack(arrays).astype(float)) for arrays in zip(*cols)], dtype=object)
-
-    one = F.pandas_udf(_two(apply) if len(features) == 2 else _one(apply), returns)
-    return one(*features)
+def segment_table(x: np.ndarray, n_bkps: int = 5, jump: int = 5, min_size: int = 2) -> list[dict] | None:
+    """Start, end and volatility of every segment."""
+    ends = segment_ends(x, n_bkps, jump, min_size)
+    if ends is None:
+        return None
+    return [
+        {"start_i": s, "end_i": e, "volatility": float(np.sqrt((x[s:e].std(axis=0) ** 2).sum()))}
+        for s, e in zip([0, *ends], ends)
+    ]
 
 
-def _two(apply):
-    def call(a: pd.Series, b: pd.Series) -> pd.Series:
-        return apply(a, b)
+SEGMENTS = "ARRAY<STRUCT<start_i: INT, end_i: INT, volatility: DOUBLE>>"
 
-    return call
 
+def _per_series(fn, returns: str, features: Sequence[str]) -> Column:
+    """Applies fn(matrix of points) to every row; `features` are fields of its `points`."""
 
-def _one(apply):
-    def call(a: pd.Series) -> pd.Series:
-        return apply(a)
+    def apply(points: pd.Series) -> pd.Series:
+        return pd.Series([fn(np.array([list(p) for p in arrays], dtype=float).T) for arrays in points], dtype=object)
 
-    return call
+    wanted = F.array(*[F.col("points")[f].cast("array<double>") for f in features])
+    return F.pandas_udf(apply, returns)(wanted)
 
 
 def collect_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -160,8 +160,7 @@ def collect_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], col
 def pair_medians(df: DataFrame, keys: Sequence[str], order: Sequence[str], features: Sequence[str]) -> DataFrame:
     """Median pairwise squared distance per group, the scale of the kernel."""
     series = collect_series(df, keys, order, features)
-    median = _per_series(pair_median, "double", [F.col("points")[f] for f in features])
-    return series.select(*keys, median.alias("pair_median"))
+    return series.select(*keys, _per_series(pair_median, "double", features).alias("pair_median"))
 
 
 def change_points(
@@ -173,21 +172,14 @@ def change_points(
     jump: int = 5,
     min_size: int = 2,
 ) -> DataFrame:
-    """One row per group: its points in order and the `ends` of its segments.
+    """One row per group: its points in order and its segments (start, end, volatility).
 
     Groups with too few points for the splits give no row.
     """
 
-    def ends(x):
-        return segment_ends(x, n_bkps, jump, min_size)
+    def segments(x):
+        return segment_table(x, n_bkps, jump, min_size)
 
     series = collect_series(df, keys, order, features)
     long_enough = series.where(F.size("points") >= shortest_series(n_bkps, jump, min_size))
-    return long_enough.withColumn("ends", _per_series(ends, "array<int>", [F.col("points")[f] for f in features]))
-
-
-def segment_rows(cuts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Back to one row per point, with its position and the number of its segment."""
-    rows = cuts.select(*keys, "ends", F.posexplode("points").alias("pos", "_p"))
-    seg = F.size(F.filter("ends", lambda e: e <= F.col("pos")))
-    return rows.select(*keys, F.col("pos").cast("bigint").alias("pos"), seg.alias("seg"), "_p.*")
+    return long_enough.withColumn("segments", _per_series(segments, SEGMENTS, features))

@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import parse_sentiment
 from tidemark.operators.cleaning import map_roles
 from tidemark.operators.filters import present_content
 from tidemark.operators.series import last_n
@@ -22,6 +21,9 @@ SYSTEM_PROMPT = (
 ARTICLE_INTRO = "News article:\n\n"
 ARTICLE_REQUEST = "\n\nReturn the analysis of this article as JSON."
 
+# Fixed value: the error of a response that is no JSON.
+INVALID_JSON = "Invalid JSON from GPT"
+
 # What a fine-tuning message may hold, and the names of the error counters.
 MESSAGE_KEYS = ("role", "content", "name", "function_call", "weight")
 MESSAGE_ROLES = ("system", "user", "assistant", "function")
@@ -107,7 +109,7 @@ def parse_analysis(df: DataFrame, response: str = "response") -> DataFrame:
         .withColumns(
             {
                 **fields,
-                "error": F.when(F.col("_bad"), F.lit("Invalid JSON from GPT")),
+                "error": F.when(F.col("_bad"), F.lit(INVALID_JSON)),
                 "raw_response": F.when(F.col("_bad"), F.col(response)),
             }
         )
@@ -135,11 +137,6 @@ def check_analysis(df: DataFrame, content: str = "content", most: int = 5) -> Da
     )
 
 
-def report_entry(df: DataFrame) -> DataFrame:
-    """Parsed responses with a numeric score, as news loads use them."""
-    return df.withColumn("score", parse_sentiment("sentiment"))
-
-
 # --- chat history ----------------------------------------------------------------------
 
 

@@ -30,29 +30,27 @@ def anti_existing(new: DataFrame, old: DataFrame, keys: Sequence[str], order: Se
     return dedup_keep_first(new.join(old.select(*keys), list(keys), "left_anti"), keys, order)
 
 
+def with_contents(articles: DataFrame, contents: DataFrame, key: str = "id") -> DataFrame:
+    """Articles with their text, empty where there is none."""
+    return articles.join(contents.select(key, "content"), key, "left").withColumn("content", F.coalesce("content", F.lit("")))
+
+
+def with_reports(articles: DataFrame, reports: DataFrame, key: str = "id") -> DataFrame:
+    """Articles with their report's fields; `has_report` tells a missing report from a score of 0."""
+    report = reports.select(
+        key,
+        "sentiment",
+        "positiveKeywords",
+        "negativeKeywords",
+        F.col("pubDate").alias("report_date"),
+        F.lit(True).alias("has_report"),
+    )
+    return articles.join(report, key, "left").withColumn("has_report", F.coalesce("has_report", F.lit(False)))
+
+
 def assemble_news(articles: DataFrame, contents: DataFrame, reports: DataFrame, key: str = "id") -> DataFrame:
     """Articles with their text and report; what is missing gets its default."""
-    return (
-        articles.join(contents.select(key, "content"), key, "left")
-        .join(
-            reports.select(
-                key,
-                "sentiment",
-                "positiveKeywords",
-                "negativeKeywords",
-                F.col("pubDate").alias("report_date"),
-                F.lit(True).alias("has_report"),
-            ),
-            key,
-            "left",
-        )
-        .withColumns(
-            {
-                "content": F.coalesce("content", F.lit("")),
-                "has_report": F.coalesce("has_report", F.lit(False)),
-            }
-        )
-    )
+    return with_reports(with_contents(articles, contents, key), reports, key)
 
 
 def align(df: DataFrame, symbols: Sequence[str], key: str = "symbol", ts: str = "ts", value: str = "close") -> DataFrame:

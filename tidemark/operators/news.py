@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import join_keywords, news_key, parse_sentiment, sentiment_date
-from tidemark.operators.joins import anti_existing, assemble_news
+from tidemark.operators.joins import anti_existing, with_contents, with_reports
 from tidemark.operators.series import ROWS_PER_TASK, assign_ids, with_position
 
 
@@ -17,17 +17,14 @@ def article_positions(df: DataFrame, company: str = "company", pub_date: str = "
     return with_position(df, [company], pub_date, [pub_date, *tie], "position", max_rows)
 
 
-def news_rows(articles: DataFrame, contents: DataFrame, reports: DataFrame) -> DataFrame:
-    """Articles with text, score, keywords and the key they are stored under."""
-    rows = assemble_news(articles, contents, reports)
+def news_rows(rows: DataFrame) -> DataFrame:
+    """Assembled articles with score, keywords and dates as the tables hold them."""
     return rows.withColumns(
         {
-            "news_api": news_key("originallink", "link"),
-            "title": F.coalesce("title", F.lit("")),
-            "score": parse_sentiment("sentiment"),
-            "positive": join_keywords("positiveKeywords"),
-            "negative": join_keywords("negativeKeywords"),
-            "sentiment_date": sentiment_date("report_date", "pub_date"),
+            "sentiment": F.bround(parse_sentiment("sentiment"), 4),
+            "positive_keywords": join_keywords("positiveKeywords"),
+            "negative_keywords": join_keywords("negativeKeywords"),
+            "pub_date": sentiment_date("report_date", "pub_date"),
         }
     )
 
@@ -45,29 +42,27 @@ def load_news(
 
     An article is added once, under its first company; with `link_all` every company that
     has it is linked. All three tables share one id, which depends on the article's key
-    only. Articles without a date are rejected, since the tables need one.
+    only, so the tables can be written one after the other without being kept in memory.
+    Each table joins only what it needs, and only for new articles. Articles without a
+    date are rejected, since the tables need one.
     """
-    rows = news_rows(articles, contents, reports)
-    rejected = rows.where(F.col("pub_date").isNull())
-    fresh = anti_existing(rows.where(F.col("pub_date").isNotNull()), existing, ["news_api"], order)
+    keyed = articles.withColumns(
+        {"news_api": news_key("originallink", "link"), "title": F.coalesce("title", F.lit(""))}
+    )
+    fresh = anti_existing(keyed.where(F.col("pub_date").isNotNull()), existing, ["news_api"], order)
     last_id = existing.agg(F.coalesce(F.max("news_id"), F.lit(0)).alias("last_id")).scalar()
     numbered = assign_ids(fresh, ["news_api"], last_id, "news_id")
     linked = numbered.select("news_id", F.col("company").alias("company_code"))
     if link_all:
-        every = rows.select("news_api", F.col("company").alias("company_code")).distinct()
+        every = keyed.select("news_api", F.col("company").alias("company_code")).distinct()
         linked = numbered.select("news_id", "news_api").join(every, "news_api").drop("news_api")
     return {
-        "news_main": numbered.select(
+        "news_main": with_contents(numbered, contents).select(
             "news_id", "title", "content", "pub_date", F.lit(source).alias("source"), "news_api"
         ),
         "news_company": linked.where(F.coalesce(F.col("company_code") != "", F.lit(False))),
-        "news_sentiment": numbered.select(
-            "news_id",
-            F.bround("score", 4).alias("sentiment"),
-            F.col("positive").alias("positive_keywords"),
-            F.col("negative").alias("negative_keywords"),
-            F.col("sentiment_date").alias("pub_date"),
-            "has_report",
+        "news_sentiment": news_rows(with_reports(numbered, reports)).select(
+            "news_id", "sentiment", "positive_keywords", "negative_keywords", "pub_date", "has_report"
         ),
-        "rejected": rejected,
+        "rejected": keyed.where(F.col("pub_date").isNull()),
     }

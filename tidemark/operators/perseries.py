@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.filters import last_n_days
 from tidemark.operators.series import with_chunk
+from tidemark.session import shuffle_tasks
 
 
 def apply_per_series(
@@ -44,7 +45,7 @@ def apply_per_series(
             result[name] = value
         return result[[*by, *names, "error"]]
 
-    return chunked.groupBy(*by).applyInPandas(run, out)
+    return chunked.repartition(shuffle_tasks(df.sparkSession), *by).groupBy(*by).applyInPandas(run, out)
 
 
 def load_series(df: DataFrame, n_days: int | None, as_of: str, ts: str = "ts") -> DataFrame:

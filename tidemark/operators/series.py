@@ -128,15 +128,6 @@ def block_rows(alpha: float) -> int:
     return max(1, math.ceil(10 * math.log(10) / -math.log1p(-alpha)))
 
 
-def _smooth_inside_blocks(df, keys, pos, col, alpha):
-    size = block_rows(alpha)
-    keep = F.lit(1.0 - alpha)
-    df = df.withColumns({"_block": F.floor(F.col(pos) / size).cast("bigint"), "_r": F.col(pos) % size})
-    weighted = F.when(F.col(pos) == 0, F.col(col)).otherwise(F.col(col) * alpha) * F.pow(keep, -F.col("_r"))
-    inside = Window.partitionBy(*keys, "_block").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("_local", F.pow(keep, F.col("_r")) * F.sum(weighted).over(inside))
-
-
 def ema(df: DataFrame, col: str, alpha: float = 0.3, keys: Sequence[str] = ("symbol",), pos: str = "pos", out: str = "ema") -> DataFrame:
     """Exponential smoothing along `pos` (0-based, without gaps) of series of any length.
 
@@ -144,13 +135,17 @@ def ema(df: DataFrame, col: str, alpha: float = 0.3, keys: Sequence[str] = ("sym
     """
     if alpha >= 1:
         return df.withColumn(out, F.col(col))
-    size, keep = block_rows(alpha), 1.0 - alpha
-    rows = _smooth_inside_blocks(df, keys, pos, col, alpha)
+    size, keep = block_rows(alpha), F.lit(1.0 - alpha)
+    placed = df.withColumns({"_block": F.floor(F.col(pos) / size).cast("bigint"), "_r": F.col(pos) % size})
+    value = F.when(F.col(pos) == 0, F.col(col)).otherwise(F.col(col) * alpha)
+    inside = Window.partitionBy(*keys, "_block").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    running = F.sum(value * F.pow(keep, -F.col("_r"))).over(inside)
+    rows = placed.withColumn("_local", F.pow(keep, F.col("_r")) * running)
     sent = F.array(
         *[
             F.struct(
                 (F.col("_block") + k + 1).alias("block"),
-                (F.col("_local") * keep ** (size * k)).alias("value"),
+                (F.col("_local") * (1.0 - alpha) ** (size * k)).alias("value"),
             )
             for k in range(CARRIED_BLOCKS)
         ]
@@ -161,7 +156,7 @@ def ema(df: DataFrame, col: str, alpha: float = 0.3, keys: Sequence[str] = ("sym
         .groupBy(*keys, F.col("_s.block").alias("_block"))
         .agg(F.sum("_s.value").alias("_carry"))
     )
-    smoothed = F.col("_local") + F.pow(F.lit(keep), F.col("_r") + 1) * F.coalesce("_carry", F.lit(0.0))
+    smoothed = F.col("_local") + F.pow(keep, F.col("_r") + 1) * F.coalesce("_carry", F.lit(0.0))
     return (
         rows.join(carry, [*keys, "_block"], "left")
         .withColumn(out, smoothed)
@@ -169,19 +164,23 @@ def ema(df: DataFrame, col: str, alpha: float = 0.3, keys: Sequence[str] = ("sym
     )
 
 
-def ema_in_group(df: DataFrame, col: str, alpha: float = 0.3, keys: Sequence[str] = ("symbol", "chunk"), pos: str = "pos", out: str = "ema") -> DataFrame:
-    """The same smoothing for groups of bounded size, by windows that reuse the partitioning by `keys`."""
-    if alpha >= 1:
-        return df.withColumn(out, F.col(col))
-    size, keep = block_rows(alpha), 1.0 - alpha
-    rows = _smooth_inside_blocks(df, keys, pos, col, alpha)
-    block_end = F.when(F.col("_r") == size - 1, F.col("_local"))
-    carry = F.lit(0.0)
-    for k in range(1, CARRIED_BLOCKS + 1):
-        earlier = Window.partitionBy(*keys).orderBy("_block").rangeBetween(-k, -k)
-        carry = carry + F.coalesce(F.max(block_end).over(earlier), F.lit(0.0)) * keep ** (size * (k - 1))
-    smoothed = F.col("_local") + F.pow(F.lit(keep), F.col("_r") + 1) * carry
-    return rows.withColumn(out, smoothed).drop("_block", "_r", "_local")
+def ema_levels(segments: Column, alpha: float = 0.3) -> Column:
+    """Smoothing of a series that is constant on segments, in closed form.
+
+    `segments` is an array of (start_i, end_i, level). Adds `before`, the smoothed value at the
+    end of the segment before; k rows into a segment the smoothed value is
+    level + (before - level) (1 - alpha)^(k + 1).
+    """
+    step = "STRUCT<start_i: INT, end_i: INT, level: DOUBLE, before: DOUBLE>"
+    empty = F.struct(F.array().cast(f"ARRAY<{step}>").alias("done"), F.lit(None).cast("double").alias("last"))
+
+    def advance(acc: Column, s: Column) -> Column:
+        before = F.coalesce(acc["last"], s["level"])
+        here = F.struct(s["start_i"], s["end_i"], s["level"], before.alias("before")).cast(step)
+        last = s["level"] + (before - s["level"]) * F.pow(F.lit(1.0 - alpha), s["end_i"] - s["start_i"])
+        return F.struct(F.concat(acc["done"], F.array(here)).alias("done"), last.alias("last"))
+
+    return F.aggregate(segments, empty, advance, lambda acc: acc["done"])
 
 
 # --- fill ------------------------------------------------------------------------------

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import drop_nan, round_score
-from tidemark.operators.aggregates import latest, minmax_in_group, volatility_of
-from tidemark.operators.changepoint import change_points, segment_rows, shortest_series
-from tidemark.operators.series import ROWS_PER_TASK, change_of, ema_in_group, with_chunk
+from tidemark.operators.aggregates import latest, scale_between
+from tidemark.operators.changepoint import change_points, shortest_series
+from tidemark.operators.series import ROWS_PER_TASK, change_of, ema_levels, with_chunk
+from tidemark.session import shuffle_tasks
 
 CHUNK_ROWS = 10_000
 
@@ -29,13 +30,14 @@ def chunk_changes(
     """
     known = prices.withColumns({"close": drop_nan("close"), "volume": drop_nan("volume")}).dropna(subset=["close", "volume"])
     chunked = with_chunk(known.select(*keys, ts, *tie, "close", "volume"), keys, ts, [ts, *tie], chunk_rows, max_rows)
-    previous = Window.partitionBy(*keys, "chunk").orderBy(ts, *tie)
+    by = [*keys, "chunk"]
+    previous = Window.partitionBy(*by).orderBy(ts, *tie)
     return (
-        chunked.withColumn("_prev", F.lag(F.struct("close", "volume")).over(previous))
+        chunked.repartition(shuffle_tasks(prices.sparkSession), *by)
+        .withColumn("_prev", F.lag(F.struct("close", "volume")).over(previous))
         .where(F.col("_prev").isNotNull())
         .select(
-            *keys,
-            "chunk",
+            *by,
             ts,
             *tie,
             change_of("close", F.col("_prev.close")).alias("close_change"),
@@ -44,11 +46,10 @@ def chunk_changes(
     )
 
 
-def segmented_changes(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, chunk_rows: int = CHUNK_ROWS, max_rows: int = ROWS_PER_TASK) -> DataFrame:
-    """Changes with their position in the chunk and the number of their segment."""
-    by = [*keys, "chunk"]
+def segments(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, chunk_rows: int = CHUNK_ROWS, max_rows: int = ROWS_PER_TASK) -> DataFrame:
+    """One row per chunk with its changes in order and its segments."""
     changes = chunk_changes(prices, keys, ts, tie, chunk_rows, max_rows)
-    return segment_rows(change_points(changes, by, [ts, *tie], n_bkps=n_bkps), by)
+    return change_points(changes, [*keys, "chunk"], [ts, *tie], n_bkps=n_bkps)
 
 
 def risk_scores(
@@ -65,15 +66,25 @@ def risk_scores(
 
     A series is scored in the chunks its files have (`chunk_rows` rows each), which bounds
     the work of a task for a series of any length. Rows are shuffled once to number them
-    and once by (series, chunk); all later steps reuse that partitioning. Chunks too short
-    for the splits give no rows (see unscored_chunks).
+    and once by (series, chunk). Volatility is constant on a segment, so scaling and
+    smoothing work on a handful of segments per chunk and the rows are unfolded last.
+    Chunks too short for the splits give no rows (see unscored_chunks).
     """
     by = [*keys, "chunk"]
-    rows = segmented_changes(prices, keys, ts, tie, n_bkps, chunk_rows, max_rows)
-    raw = rows.withColumn("raw", volatility_of("close_change", "volume_change", Window.partitionBy(*by, "seg")))
-    smooth = ema_in_group(minmax_in_group(raw, "raw", by, "scaled"), "scaled", alpha, by, "pos", "smooth")
-    clipped = F.when(F.col("smooth") < 1e-5, F.lit(0.0)).otherwise(F.col("smooth"))
-    return smooth.select(*by, ts, *tie, "seg", (clipped * 100.0).alias("risk_value"))
+    cuts = segments(prices, keys, ts, tie, n_bkps, chunk_rows, max_rows)
+    volatility = F.col("segments")["volatility"]
+    lo, hi = F.array_min(volatility), F.array_max(volatility)
+    levels = F.transform(
+        "segments",
+        lambda s: F.struct(s["start_i"].alias("start_i"), s["end_i"].alias("end_i"), scale_between(s["volatility"], lo, hi).alias("level")),
+    )
+    per_segment = cuts.select(*by, "points", F.posexplode(ema_levels(levels, alpha)).alias("seg", "_s"))
+    inside = F.slice("points", F.col("_s.start_i") + 1, F.col("_s.end_i") - F.col("_s.start_i"))
+    rows = per_segment.select(*by, "seg", "_s", F.posexplode(inside).alias("_k", "_p"))
+    level, before = F.col("_s.level"), F.col("_s.before")
+    smooth = level + (before - level) * F.pow(F.lit(1.0 - alpha), F.col("_k") + 1)
+    clipped = F.when(smooth < 1e-5, F.lit(0.0)).otherwise(smooth)
+    return rows.select(*by, *[F.col(f"_p.{c}").alias(c) for c in (ts, *tie)], "seg", (clipped * 100.0).alias("risk_value"))
 
 
 def unscored_chunks(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, chunk_rows: int = CHUNK_ROWS, max_rows: int = ROWS_PER_TASK) -> DataFrame:

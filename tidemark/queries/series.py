@@ -224,9 +224,8 @@ _SEGMENTS = segmentation_sql()
     f"WITH {_SEGMENTS} SELECT symbol, CAST(0 AS BIGINT) AS chunk, CAST(seg AS INTEGER) AS seg, CAST(end_i AS INTEGER) AS end_i FROM segments",
 )
 def _(spark, sf):
-    changes = risk.chunk_changes(v.prices(spark, sf), tie=["event_id"])
-    cuts = changepoint.change_points(changes, order=["ts", "event_id"])
-    return cuts.select("symbol", "chunk", F.posexplode("ends").alias("seg", "end_i"))
+    cuts = risk.segments(v.prices(spark, sf), tie=["event_id"])
+    return cuts.select("symbol", "chunk", F.posexplode(F.col("segments")["end_i"]).alias("seg", "end_i"))
 
 
 _RISK = f"""{_SEGMENTS},

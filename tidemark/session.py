@@ -36,3 +36,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="tidemark-")
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+def shuffle_tasks(spark: SparkSession) -> int:
+    """Tasks for a step whose cost is computing, not data size: adaptive execution must not merge them."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
