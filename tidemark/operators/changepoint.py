@@ -37,35 +37,39 @@ def _strips(n: int, step: int = 1):
 def _pair_strips(x: np.ndarray):
     """Distances of all pairs i < j, one strip of rows at a time."""
     for lo, hi in _strips(len(x)):
-        d = _distances(x, lo, hi, lo)
-        yield d[np.triu(np.ones(d.shape, dtype=bool), 1)]
+        near = _distances(x[:hi], lo, hi, lo)
+        yield near[np.triu_indices(hi - lo, 1)]
+        if hi < len(x):
+            yield _distances(x, lo, hi, hi).ravel()
 
 
 def pair_median(x: np.ndarray) -> float:
     """Median of the squared distances of all pairs.
 
-    Long series are counted digit by digit (16 bits of the number at a time), so that no
-    more than one strip of distances is held.
+    For long series the numbers are first counted by their leading 16 bits, then the next
+    16, until few enough are left to hold; no more than one strip is held before.
     """
     if len(x) < 2:
         return 0.0
     if len(x) <= DIRECT_MEDIAN_POINTS:
         return float(np.median(np.concatenate(list(_pair_strips(x)))))
     pairs = len(x) * (len(x) - 1) // 2
-    rank, found = (pairs - 1) // 2, 0
-    for shift in (48, 32, 16, 0):
+    rank, shift, found, left = (pairs - 1) // 2, 64, 0, pairs
+    while left > STRIP_VALUES and shift:
         counts = np.zeros(65536, dtype=np.int64)
         for d in _pair_strips(x):
-            bits = d.view(np.uint64)
-            if shift < 48:
-                bits = bits[(bits >> np.uint64(shift + 16)) == np.uint64(found)]
-            digit = ((bits >> np.uint64(shift)) & np.uint64(65535)).astype(np.int64)
-            counts += np.bincount(digit, minlength=65536)
+            bits = _with_prefix(d.view(np.uint64), found, shift)
+            counts += np.bincount((bits >> np.uint64(shift - 16)).astype(np.int64) & 65535, minlength=65536)
         upto = np.cumsum(counts)
         digit = int(np.searchsorted(upto, rank, side="right"))
         rank -= int(upto[digit] - counts[digit])
-        found = (found << 16) | digit
-    lower = float(np.array([found], dtype=np.uint64).view(np.float64)[0])
+        found, shift, left = (found << 16) | digit, shift - 16, int(counts[digit])
+    if not shift:
+        held = np.full(1, found, dtype=np.uint64)
+        lower = float(held.view(np.float64)[0])
+    else:
+        held = np.concatenate([_with_prefix(d.view(np.uint64), found, shift) for d in _pair_strips(x)])
+        lower = float(np.partition(held, rank)[rank : rank + 1].view(np.float64)[0])
     if pairs % 2:
         return lower
     not_above, above = 0, math.inf
@@ -77,6 +81,11 @@ def pair_median(x: np.ndarray) -> float:
     return (lower + (lower if not_above > pairs // 2 else above)) / 2
 
 
+def _with_prefix(bits: np.ndarray, found: int, shift: int) -> np.ndarray:
+    """Those numbers whose bits above `shift` equal `found`."""
+    return bits if shift == 64 else bits[(bits >> np.uint64(shift)) == np.uint64(found)]
+
+
 def block_sums(x: np.ndarray, scale: float, jump: int) -> np.ndarray:
     """Kernel matrix summed over jump x jump blocks, as a two-way running sum."""
     n = len(x)
@@ -112,10 +121,11 @@ def segment_ends(x: np.ndarray, n_bkps: int = 5, jump: int = 5, min_size: int =
         last = len(gains) - 1 - int(np.argmax(gains[::-1]))
         return float(gains[last]), int(at[last])
 
-    ends = [n]
+    ends, known = [n], {}
     for _ in range(n_bkps):
-        options = [best_split(s, e) for s, e in zip([0, *ends], ends)]
-        gain, at = max(options, key=lambda o: o[0])
+        spans = list(zip([0, *ends], ends))
+        known = {span: known.get(span) or best_split(*span) for span in spans}
+        _, at = max((known[span] for span in spans), key=lambda option: option[0])
         if at is None:
             break
         ends = sorted([*ends, at])

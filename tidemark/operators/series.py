@@ -27,10 +27,17 @@ def hour_number(ts: str) -> Column:
     return F.coalesce(days * 24 + F.hour(F.col(ts)), F.lit(2**40))
 
 
-def split_long_series(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = ROWS_PER_TASK) -> DataFrame:
-    """Adds `_part`: -1 for a series that fits one task, else the hour number of the row."""
+def split_long_series(
+    df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = ROWS_PER_TASK, source: DataFrame | None = None
+) -> DataFrame:
+    """Adds `_part`: -1 for a series that fits one task, else the hour number of the row.
+
+    Rows are counted in `source` when given: any frame with at least the rows of `df` will
+    do, so the cheapest one to read should be taken.
+    """
+    counted = df if source is None else source
     long_series = (
-        df.groupBy(*keys)
+        counted.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > max_rows)
         .select(*keys, F.lit(True).alias("_long"))
@@ -46,10 +53,11 @@ def with_position(
     order: Sequence[str] | None = None,
     name: str = "pos",
     max_rows: int = ROWS_PER_TASK,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the 0-based rank of each row in its series, by time and then the other order columns."""
     order = list(order or [ts])
-    parts = split_long_series(df, keys, ts, max_rows)
+    parts = split_long_series(df, keys, ts, max_rows, source)
     by_order = [F.col(c).asc_nulls_last() for c in order]
     rank = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*by_order)) - 1
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -239,7 +247,8 @@ def with_chunk(
     order: Sequence[str] | None = None,
     chunk_rows: int = 10_000,
     max_rows: int = ROWS_PER_TASK,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Adds `chunk`: the number of the row's file when a series is stored in files of `chunk_rows` rows."""
-    rows = with_position(df, keys, ts, order, "_pos", max_rows)
+    rows = with_position(df, keys, ts, order, "_pos", max_rows, source)
     return rows.withColumn("chunk", F.floor(F.col("_pos") / chunk_rows).cast("bigint")).drop("_pos")

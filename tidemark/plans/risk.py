@@ -29,7 +29,7 @@ def chunk_changes(
     Points without a close or volume are left out first.
     """
     known = prices.withColumns({"close": drop_nan("close"), "volume": drop_nan("volume")}).dropna(subset=["close", "volume"])
-    chunked = with_chunk(known.select(*keys, ts, *tie, "close", "volume"), keys, ts, [ts, *tie], chunk_rows, max_rows)
+    chunked = with_chunk(known.select(*keys, ts, *tie, "close", "volume"), keys, ts, [ts, *tie], chunk_rows, max_rows, prices)
     by = [*keys, "chunk"]
     previous = Window.partitionBy(*by).orderBy(ts, *tie)
     return (
@@ -90,7 +90,7 @@ def risk_scores(
 def unscored_chunks(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, chunk_rows: int = CHUNK_ROWS, max_rows: int = ROWS_PER_TASK) -> DataFrame:
     """Chunks without scores: how many points they have, how many were left out as unknown."""
     known = drop_nan("close").isNotNull() & drop_nan("volume").isNotNull()
-    positions = with_chunk(prices.where(known), keys, ts, [ts, *tie], chunk_rows, max_rows)
+    positions = with_chunk(prices.where(known), keys, ts, [ts, *tie], chunk_rows, max_rows, prices)
     short = (
         positions.groupBy(*keys, "chunk")
         .agg(F.count(F.lit(1)).alias("n_points"))
