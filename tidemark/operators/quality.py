@@ -32,8 +32,8 @@ def check_contract(df: DataFrame, table: Table) -> DataFrame:
     counted = df.agg(
         F.array(
             *[
-                F.struct(F.lit(rule).alias("rule"), F.lit(col).alias("column"), F.coalesce(n, F.lit(0)).alias("violations"))
-                for rule, col, n in ((r, c, F.max(n) if r == "missing_column" else n) for r, c, n in rules)
+                F.struct(F.lit(rule).alias("rule"), F.lit(col).alias("column"), n.alias("violations"))
+                for rule, col, n in rules
             ]
         ).alias("r")
     ).select(F.inline("r"))

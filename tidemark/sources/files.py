@@ -120,5 +120,5 @@ def read_keyed_json(spark: SparkSession, path: str, entry: str) -> DataFrame:
 
 def read_keyed_documents(spark: SparkSession, path: str, entry: str) -> DataFrame:
     """(id, entry) rows of small documents of the form {"id": {...}, ...}, one document per file."""
-    docs = spark.read.option("wholetext", True).text(path)
+    docs = spark.read.text(path, wholetext=True)
     return docs.select(F.explode(F.from_json("value", f"MAP<STRING, {entry}>")).alias("id", "entry"))
