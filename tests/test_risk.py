@@ -67,6 +67,7 @@ def test_strips_do_not_change_the_result(monkeypatch):
     whole, median = changepoint.segment_ends(x), changepoint.pair_median(x)
     monkeypatch.setattr(changepoint, "STRIP_VALUES", 900)
     monkeypatch.setattr(changepoint, "DIRECT_MEDIAN_POINTS", 10)
+    monkeypatch.setattr(changepoint, "SAMPLED_PAIRS", 30)
     assert changepoint.segment_ends(x) == whole and changepoint.pair_median(x) == median
     for n in (11, 12, 13, 40, 41):
         for y in (rng.normal(size=(n, 2)), rng.integers(0, 2, size=(n, 2)).astype(float), np.zeros((n, 2))):

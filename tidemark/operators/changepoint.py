@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 STRIP_VALUES = 4_000_000
 DIRECT_MEDIAN_POINTS = 2_000
+SAMPLED_PAIRS = 100_000
 
 
 def _distances(x: np.ndarray, lo: int, hi: int, start: int = 0) -> np.ndarray:
@@ -46,57 +47,52 @@ def _pair_strips(x: np.ndarray):
 def pair_median(x: np.ndarray) -> float:
     """Median of the squared distances of all pairs.
 
-    For long series the numbers are first counted by their leading 16 bits, then the next
-    16, until few enough are left to hold; no more than one strip is held before.
+    For long series a sample only says where to look: all distances are counted against
+    two bounds around the sample's median, and those between the bounds are held. When
+    the median is not between them, the bounds are moved apart.
     """
-    if len(x) < 2:
+    n = len(x)
+    if n < 2:
         return 0.0
-    if len(x) <= DIRECT_MEDIAN_POINTS:
+    if n <= DIRECT_MEDIAN_POINTS:
         return float(np.median(np.concatenate(list(_pair_strips(x)))))
-    pairs = len(x) * (len(x) - 1) // 2
-    rank, shift, found, left = (pairs - 1) // 2, 64, 0, pairs
-    while left > STRIP_VALUES and shift:
-        counts = np.zeros(65536, dtype=np.int64)
+    pairs = n * (n - 1) // 2
+    ranks = ((pairs - 1) // 2, pairs // 2)
+    i, j = np.random.default_rng(0).integers(0, n, (2, SAMPLED_PAIRS))
+    sample = np.sort(((x[i] - x[j]) ** 2).sum(axis=1)[i != j])
+    width = 0.01
+    while True:
+        lo, hi = (-np.inf, np.inf) if width >= 0.5 else np.quantile(sample, (0.5 - width, 0.5 + width), method="lower")
+        below = at_lo = at_hi = 0
+        between = []
         for d in _pair_strips(x):
-            bits = _with_prefix(d.view(np.uint64), found, shift)
-            counts += np.bincount((bits >> np.uint64(shift - 16)).astype(np.int64) & 65535, minlength=65536)
-        upto = np.cumsum(counts)
-        digit = int(np.searchsorted(upto, rank, side="right"))
-        rank -= int(upto[digit] - counts[digit])
-        found, shift, left = (found << 16) | digit, shift - 16, int(counts[digit])
-    if not shift:
-        held = np.full(1, found, dtype=np.uint64)
-        lower = float(held.view(np.float64)[0])
-    else:
-        held = np.concatenate([_with_prefix(d.view(np.uint64), found, shift) for d in _pair_strips(x)])
-        lower = float(np.partition(held, rank)[rank : rank + 1].view(np.float64)[0])
-    if pairs % 2:
-        return lower
-    not_above, above = 0, math.inf
-    for d in _pair_strips(x):
-        high = d[d > lower]
-        not_above += d.size - high.size
-        if high.size:
-            above = min(above, float(high.min()))
-    return (lower + (lower if not_above > pairs // 2 else above)) / 2
-
-
-def _with_prefix(bits: np.ndarray, found: int, shift: int) -> np.ndarray:
-    """Those numbers whose bits above `shift` equal `found`."""
-    return bits if shift == 64 else bits[(bits >> np.uint64(shift)) == np.uint64(found)]
+            below += int(np.count_nonzero(d < lo))
+            at_lo += int(np.count_nonzero(d == lo))
+            at_hi += int(np.count_nonzero(d == hi)) if hi > lo else 0
+            between.append(d[(d > lo) & (d < hi)])
+        held = np.sort(np.concatenate(between))
+        edges = np.cumsum([below, at_lo, held.size, at_hi])
+        if edges[0] <= ranks[0] and ranks[1] < edges[3]:
+            return float(np.mean([lo if k < edges[1] else held[k - edges[1]] if k < edges[2] else hi for k in ranks]))
+        width *= 4
 
 
 def block_sums(x: np.ndarray, scale: float, jump: int) -> np.ndarray:
-    """Kernel matrix summed over jump x jump blocks, as a two-way running sum."""
+    """Kernel matrix summed over jump x jump blocks, as a two-way running sum.
+
+    The matrix is symmetric: a strip covers the columns from its own first row on.
+    """
     n = len(x)
     gamma = 1.0 / scale if scale != 0 else 1.0
-    starts = np.arange(0, n, jump)
-    sums = np.zeros((len(starts) + 1, len(starts) + 1))
+    blocks = -(-n // jump)
+    sums = np.zeros((blocks + 1, blocks + 1))
     for lo, hi in _strips(n, jump):
-        k = np.exp(-np.clip(_distances(x, lo, hi) * gamma, 0.01, 100.0))
-        k[np.arange(hi - lo), np.arange(lo, hi)] = 1.0
-        k = np.add.reduceat(np.add.reduceat(k, starts, axis=1), np.arange(0, hi - lo, jump), axis=0)
-        sums[lo // jump + 1 : lo // jump + 1 + len(k), 1:] = k
+        k = np.exp(-np.clip(_distances(x, lo, hi, lo) * gamma, 0.01, 100.0))
+        k[np.arange(hi - lo), np.arange(hi - lo)] = 1.0
+        k = np.add.reduceat(np.add.reduceat(k, np.arange(0, n - lo, jump), axis=1), np.arange(0, hi - lo, jump), axis=0)
+        first = lo // jump + 1
+        sums[first : first + len(k), first:] = k
+        sums[first + len(k) :, first : first + len(k)] = k[:, len(k) :].T
     return sums.cumsum(axis=0).cumsum(axis=1)
 
 
@@ -155,7 +151,7 @@ def _per_series(fn, returns: str, features: Sequence[str]) -> Column:
     """Applies fn(matrix of points) to every row; `features` are fields of its `points`."""
 
     def apply(points: pd.Series) -> pd.Series:
-        return pd.Series([fn(np.array([list(p) for p in arrays], dtype=float).T) for arrays in points], dtype=object)
+        return pd.Series([fn(np.column_stack(list(arrays))) for arrays in points], dtype=object)
 
     wanted = F.array(*[F.col("points")[f].cast("array<double>") for f in features])
     return F.pandas_udf(apply, returns)(wanted)
