@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STRIP_VALUES = 4_000_000
+STRIP_VALUES = 250_000
 DIRECT_MEDIAN_POINTS = 2_000
 SAMPLED_PAIRS = 100_000
 

@@ -126,8 +126,9 @@ def relative_change(
 #
 # e0 = x0, e_t = a x_t + (1 - a) e_(t-1) is a weighted running sum. Rows are taken in
 # blocks so short that the weights stay in range: (1 - a)^block is about 1e-10. Inside a
-# block the sum is a running window; three earlier blocks carry over, the rest weigh
-# less than 1e-30 and cannot change a double.
+# block the sum is a running window. The sums of three earlier blocks carry over, and the
+# rest weigh less than 1e-30 and cannot change a double; the last block of a series is
+# the only short one and has no block to carry to.
 
 CARRIED_BLOCKS = 3
 
@@ -146,27 +147,30 @@ def ema(df: DataFrame, col: str, alpha: float = 0.3, keys: Sequence[str] = ("sym
     size, keep = block_rows(alpha), F.lit(1.0 - alpha)
     placed = df.withColumns({"_block": F.floor(F.col(pos) / size).cast("bigint"), "_r": F.col(pos) % size})
     value = F.when(F.col(pos) == 0, F.col(col)).otherwise(F.col(col) * alpha)
+    weighted = value * F.pow(keep, -F.col("_r"))
     inside = Window.partitionBy(*keys, "_block").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    running = F.sum(value * F.pow(keep, -F.col("_r"))).over(inside)
-    rows = placed.withColumn("_local", F.pow(keep, F.col("_r")) * running)
+    local = F.pow(keep, F.col("_r")) * F.sum(weighted).over(inside)
+    block_end = F.sum(weighted) * (1.0 - alpha) ** (size - 1)
     sent = F.array(
         *[
             F.struct(
                 (F.col("_block") + k + 1).alias("block"),
-                (F.col("_local") * (1.0 - alpha) ** (size * k)).alias("value"),
+                (F.col("_end") * (1.0 - alpha) ** (size * k)).alias("value"),
             )
             for k in range(CARRIED_BLOCKS)
         ]
     )
     carry = (
-        rows.where(F.col("_r") == size - 1)
+        placed.groupBy(*keys, "_block")
+        .agg(block_end.alias("_end"))
         .select(*keys, F.explode(sent).alias("_s"))
         .groupBy(*keys, F.col("_s.block").alias("_block"))
         .agg(F.sum("_s.value").alias("_carry"))
     )
     smoothed = F.col("_local") + F.pow(keep, F.col("_r") + 1) * F.coalesce("_carry", F.lit(0.0))
     return (
-        rows.join(carry, [*keys, "_block"], "left")
+        placed.withColumn("_local", local)
+        .join(carry, [*keys, "_block"], "left")
         .withColumn(out, smoothed)
         .drop("_block", "_r", "_local", "_carry")
     )
