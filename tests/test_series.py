@@ -138,6 +138,12 @@ def test_price_matrix_agrees_with_pandas(spark):
     assert out[["a", "b"]].values.tolist() == expected[["a", "b"]].values.tolist()
 
 
+def test_matrix_covers_days_and_series_without_prices(spark):
+    rows = matrix_rows(spark).union(spark.createDataFrame([("none", day(10), None, 9)], "symbol string, ts timestamp_ntz, close double, seq int"))
+    out = matrix.price_matrix(rows, ["a", "none"], order=["seq"]).orderBy("day").collect()
+    assert [r["a"] for r in out] == [2, 5, 5, 5, 5, 5, 5, 5, 5] and {r["none"] for r in out} == {None}
+
+
 def test_ffill_never_looks_ahead(spark):
     out = matrix.price_matrix(matrix_rows(spark), ["a", "b"], order=["seq"], method="ffill").orderBy("day").collect()
     assert [r["a"] for r in out] == [2, 2, 2, 2, 5, 5, 5]

@@ -34,6 +34,19 @@ def test_stream_equals_batch(spark, tmp_path):
     assert prices.stored_prices(spark, f"{home}/table").count() == 5
 
 
+def test_polling_stream(spark, tmp_path):
+    home = str(tmp_path)
+    deliver(spark, bars(spark, ("a", 1, 1.0)), home)
+    query = prices.stream_prices(spark, f"{home}/landing", f"{home}/table", bars(spark).schema, once=False, interval="1 second")
+    try:
+        query.processAllAvailable()
+        deliver(spark, bars(spark, ("a", 2, 2.0)), home)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert keys(prices.stored_prices(spark, f"{home}/table")) == [("a", 1, 1.0), ("a", 2, 2.0)]
+
+
 def test_a_batch_run_twice_is_stored_once(spark, tmp_path):
     table = str(tmp_path / "t")
     first, second = bars(spark, ("a", 1, 1.0)), bars(spark, ("a", 2, 2.0))

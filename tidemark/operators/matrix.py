@@ -14,16 +14,16 @@ from tidemark.operators.series import bfill, ffill
 
 
 def price_matrix_long(df: DataFrame, key: str = "symbol", ts: str = "ts", value: str = "close", order: Sequence[str] = (), method: str = "bfill") -> DataFrame:
-    """One row per series and calendar day.
+    """One row per series and calendar day, from the first to the last day of any row.
 
-    The first of rows with equal time counts; days without a price take the next known
-    price, the tail takes the last known one. `method="ffill"` never looks ahead. Series
-    without any price do not appear. After the daily grouping a series holds one row per
-    day, however many prices it had.
+    The first of rows with equal time counts (give `order` when times may repeat). Days
+    without a price take the next known price, the tail takes the last known one;
+    `method="ffill"` never looks ahead. A series without any price stays empty. After the
+    daily grouping a series holds one row per day, however many prices it had.
     """
     prices = dedup_keep_first(df, [key, ts], list(order)) if order else df
     daily = resample_daily(prices, key, ts, value)
-    full = calendar_grid(daily, key, "day").join(daily, [key, "day"], "left")
+    full = calendar_grid(df, key, ts).join(daily, [key, "day"], "left")
     if method == "ffill":
         return ffill(full, value, [key], "day")
     return ffill(bfill(full, value, [key], "day"), value, [key], "day")

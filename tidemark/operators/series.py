@@ -222,12 +222,12 @@ def last_n(df: DataFrame, n: int = 5, keys: Sequence[str] = ("conv_id",), order:
 def assign_ids(df: DataFrame, key_cols: Sequence[str], start: int | Column = 0, name: str = "id") -> DataFrame:
     """Dense ids start+1, start+2, ... in the order of the key's digest.
 
-    `key_cols` must be unique. The digest spreads any set of keys evenly over 4,096
+    `key_cols` must be unique. The digest spreads any set of keys evenly over 65,536
     slices; only their row counts are summed in one place. The same rows get the same
     ids however often a task is run again.
     """
     digest = F.md5(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in key_cols]))
-    rows = df.withColumn("_digest", digest).withColumn("_slice", F.conv(F.left("_digest", F.lit(3)), 16, 10).cast("int"))
+    rows = df.withColumn("_digest", digest).withColumn("_slice", F.conv(F.left("_digest", F.lit(4)), 16, 10).cast("int"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy("_slice")

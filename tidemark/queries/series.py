@@ -135,8 +135,8 @@ _BEHIND = "last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY day
 
 
 def _gaps(spark, sf):
-    daily = aggregates.resample_daily(v.prices(spark, sf))
-    return joins.calendar_grid(daily, "symbol", "day").join(daily, ["symbol", "day"], "left")
+    rows = v.prices(spark, sf)
+    return joins.calendar_grid(rows).join(aggregates.resample_daily(rows), ["symbol", "day"], "left")
 
 
 def _day_text(df):

@@ -93,6 +93,17 @@ def read_table(spark: SparkSession, path: str, where: str | None = None) -> Data
     return table.where(F.expr(where)) if where else table
 
 
+def read_table_jdbc(
+    spark: SparkSession, url: str, table: str, properties: dict, where: str | None = None, split: tuple[str, str, str, int] | None = None
+) -> DataFrame:
+    """A database table, filtered by the database; `split` = (column, lowest, highest, parts) reads in parallel."""
+    options = {}
+    if split:
+        options = dict(zip(("partitionColumn", "lowerBound", "upperBound", "numPartitions"), map(str, split)))
+    rows = spark.read.format("jdbc").options(url=url, dbtable=table, **properties, **options).load()
+    return rows.where(F.expr(where)) if where else rows
+
+
 def insert_rows(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], strict: bool = False) -> None:
     """Appends the rows whose key is not stored, as one job; `strict` refuses a batch with a stored key."""
     spark = df.sparkSession
