@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 BENCH_SF_DIR names the data (default /root/testdata/sf0.1), BENCH_CPUS the local cores,
-BENCH_RUNS the timed runs per query (the median counts, after one run to warm up).
+BENCH_RUNS the timed runs per query (the median counts, after one run of each query to warm up).
 """
 
 from __future__ import annotations
@@ -59,9 +59,10 @@ def main(names: list[str]) -> None:
         "bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
-    times = {}
     for name in names:
         seconds(spark, name, sf)
+    times = {}
+    for name in names:
         times[name] = round(statistics.median(seconds(spark, name, sf) for _ in range(runs)), 3)
     scale = re.search(r"sf([0-9.]+)", sf)
     print(

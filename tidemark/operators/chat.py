@@ -230,17 +230,20 @@ def reassemble_blocks(lines: DataFrame, file: str = "file", line_no: str = "line
     kind = F.when(F.trim(line) == "{", 1).when(F.trim(line) == "}", 2)
     marker = F.when(kind.isNotNull(), F.struct(F.col(line_no).alias("at"), kind.alias("kind")))
     rows = lines.withColumns({"_mark": marker, "_part": F.floor(F.col(line_no) / LINES_PER_PART)})
-    inside = Window.partitionBy(file, "_part").orderBy(line_no)
-    outside = Window.partitionBy(file).orderBy("_part")
     parts = rows.groupBy(file, "_part").agg(F.min("_mark").alias("_first"), F.max("_mark").alias("_last"))
+
+    def latest(col, by, order, upto):
+        """The last marker before a row in the given order (backwards: the next marker after it)."""
+        return F.last(col, ignorenulls=True).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, upto))
+
     carried = parts.select(
         file,
         "_part",
-        F.last("_last", ignorenulls=True).over(outside.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.first("_first", ignorenulls=True).over(outside.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+        latest("_last", [file], F.col("_part").asc(), -1).alias("_before"),
+        latest("_first", [file], F.col("_part").desc(), -1).alias("_after"),
     )
-    opened = F.last("_mark", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    closed = F.first("_mark", ignorenulls=True).over(inside.rowsBetween(1, Window.unboundedFollowing))
+    opened = latest("_mark", [file, "_part"], F.col(line_no).asc(), 0)
+    closed = latest("_mark", [file, "_part"], F.col(line_no).desc(), -1)
     in_block = (
         rows.withColumns({"_open": opened, "_close": closed})
         .join(carried, [file, "_part"], "left")

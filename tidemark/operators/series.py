@@ -199,9 +199,13 @@ def ema_levels(segments: Column, alpha: float = 0.3) -> Column:
 
 
 def bfill(df: DataFrame, col: str, keys: Sequence[str] = ("symbol",), order: str = "day") -> DataFrame:
-    """Next known value. For daily series: a group holds one row per calendar day."""
-    ahead = Window.partitionBy(*keys).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumn(col, F.first(col, ignorenulls=True).over(ahead))
+    """Next known value. For daily series: a group holds one row per calendar day.
+
+    The window runs backwards, because a frame that ends at the group's end is summed up
+    anew for every row.
+    """
+    from_end = Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(col, F.last(col, ignorenulls=True).over(from_end))
 
 
 def ffill(df: DataFrame, col: str, keys: Sequence[str] = ("symbol",), order: str = "day") -> DataFrame:
