@@ -33,6 +33,18 @@ def test_split_series_give_the_same_results(hot, rows, max_rows):
     assert rows(ops.with_position(hot, ["symbol"], "ts", max_rows=max_rows)) == rows(ops.with_position(hot, ["symbol"], "ts"))
 
 
+def test_undated_rows_are_spread_too(spark, rows):
+    start = datetime(2024, 1, 1)
+    data = [("a", start + timedelta(hours=i) if i < 20 else None, f"u{i}") for i in range(200)]
+    df = spark.createDataFrame(data, "symbol string, ts timestamp_ntz, link string")
+    split = ops.with_position(df, ["symbol"], "ts", ["ts", "link"], max_rows=10)
+    assert rows(split) == rows(ops.with_position(df, ["symbol"], "ts", ["ts", "link"]))
+    assert sorted(r.pos for r in split.collect()) == list(range(200))
+    assert {r.pos for r in split.where("ts IS NOT NULL").collect()} == set(range(20))
+    largest = ops.split_long_series(df, ["symbol"], "ts", ["ts", "link"], 10).groupBy("_part").count().agg({"count": "max"}).first()[0]
+    assert largest <= 5
+
+
 def test_positions_are_dense(hot):
     placed = ops.with_position(hot, ["symbol"], "ts", max_rows=10)
     for r in placed.groupBy("symbol").agg(F.collect_set("pos").alias("p"), F.count("*").alias("n")).collect():

@@ -26,8 +26,11 @@ def pair_on_key(new: DataFrame, old: DataFrame, keys: Sequence[str], suffixes: t
 
 
 def anti_existing(new: DataFrame, old: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """New rows whose key is not stored; of several new rows with one key the first counts."""
-    return dedup_keep_first(new.join(old.select(*keys), list(keys), "left_anti"), keys, order)
+    """New rows whose key is not stored; of several new rows with one key the first counts.
+
+    Copies go first, so that the join reuses the shuffle that removes them.
+    """
+    return dedup_keep_first(new, keys, order).join(old.select(*keys), list(keys), "left_anti")
 
 
 def with_contents(articles: DataFrame, contents: DataFrame, key: str = "id") -> DataFrame:

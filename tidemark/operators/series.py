@@ -21,14 +21,25 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 5_000_000
 
 
-def hour_number(ts: str) -> Column:
-    """Hours since 1970 of a time column; rows without a time come last."""
+def undated_digest(ts: str, order: Sequence[str]) -> Column:
+    """Digest of the order columns for rows without a time, which have nothing else to be spread by."""
+    return F.when(F.col(ts).isNull(), F.md5(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in order])))
+
+
+def part_number(ts: str, order: Sequence[str]) -> Column:
+    """Hours since 1970; rows without a time come last, in 4,096 parts by digest."""
     days = F.datediff(F.to_date(F.col(ts)), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return F.coalesce(days * 24 + F.hour(F.col(ts)), F.lit(2**40))
+    undated = F.conv(F.left(undated_digest(ts, order), F.lit(3)), 16, 10).cast("bigint") + F.lit(2**40)
+    return F.coalesce(days * 24 + F.hour(F.col(ts)), undated)
 
 
 def split_long_series(
-    df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = ROWS_PER_TASK, source: DataFrame | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    order: Sequence[str] | None = None,
+    max_rows: int = ROWS_PER_TASK,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Adds `_part`: -1 for a series that fits one task, else the hour number of the row.
 
@@ -42,7 +53,7 @@ def split_long_series(
         .where(F.col("_n") > max_rows)
         .select(*keys, F.lit(True).alias("_long"))
     )
-    part = F.when(F.col("_long"), hour_number(ts)).otherwise(F.lit(-1).cast("bigint"))
+    part = F.when(F.col("_long"), part_number(ts, order or [ts])).otherwise(F.lit(-1).cast("bigint"))
     return df.join(F.broadcast(long_series), list(keys), "left").withColumn("_part", part).drop("_long")
 
 
@@ -55,10 +66,13 @@ def with_position(
     max_rows: int = ROWS_PER_TASK,
     source: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds the 0-based rank of each row in its series, by time and then the other order columns."""
+    """Adds the 0-based rank of each row in its series, by time and then the other order columns.
+
+    Rows without a time come last, in the order of their digest.
+    """
     order = list(order or [ts])
-    parts = split_long_series(df, keys, ts, max_rows, source)
-    by_order = [F.col(c).asc_nulls_last() for c in order]
+    parts = split_long_series(df, keys, ts, order, max_rows, source)
+    by_order = [F.col(ts).asc_nulls_last(), undated_digest(ts, order), *[F.col(c).asc_nulls_last() for c in order if c != ts]]
     rank = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*by_order)) - 1
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -86,7 +100,7 @@ def with_previous(
 ) -> DataFrame:
     """Adds `_prev`, a struct with `cols` of the row before in the series (null on the first row)."""
     order = list(order or [ts])
-    parts = split_long_series(df, keys, ts, max_rows)
+    parts = split_long_series(df, keys, ts, order, max_rows)
     values = F.struct(*cols)
     inside = F.lag(values).over(Window.partitionBy(*keys, "_part").orderBy(*order))
     carry = (

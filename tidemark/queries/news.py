@@ -102,7 +102,8 @@ def _(spark, sf):
 
 @query(
     "w6_with_position",
-    f"""SELECT id, company, row_number() OVER (PARTITION BY company ORDER BY pub_date NULLS LAST, link, id) - 1 AS position FROM {v.ARTICLES}""",
+    f"""SELECT id, company, row_number() OVER (PARTITION BY company ORDER BY pub_date NULLS LAST,
+         CASE WHEN pub_date IS NULL THEN md5(link || chr(1) || id) END, link, id) - 1 AS position FROM {v.ARTICLES}""",
 )
 def _(spark, sf):
     rows = v.articles(spark, sf).select("id", "company", "pub_date", "link")
