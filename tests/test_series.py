@@ -22,11 +22,16 @@ def hot(spark):
 def test_long_series_is_split_and_short_ones_are_not(hot):
     parts = ops.split_long_series(hot, ["symbol"], "ts", max_rows=100)
     counts = {r["symbol"]: r["n"] for r in parts.groupBy("symbol").agg(F.countDistinct("_part").alias("n")).collect()}
-    assert counts["hot"] > 24 and all(n == 1 for s, n in counts.items() if s != "hot")
+    assert counts["hot"] > 100 and all(n == 1 for s, n in counts.items() if s != "hot")
     assert parts.count() == hot.count()
 
 
-@pytest.mark.parametrize("max_rows", [10, 100])
+def test_parts_of_a_long_series_are_small(hot):
+    parts = ops.split_long_series(hot, ["symbol"], "ts", max_rows=100).where("symbol = 'hot'")
+    assert parts.groupBy("_part").count().agg({"count": "max"}).first()[0] <= 6
+
+
+@pytest.mark.parametrize("max_rows", [10, 100, 400])
 def test_split_series_give_the_same_results(hot, rows, max_rows):
     whole = rows(ops.relative_change(hot))
     assert rows(ops.relative_change(hot, max_rows=max_rows)) == whole

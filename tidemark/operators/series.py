@@ -1,13 +1,14 @@
 """Windows over long series.
 
 A window runs each series in one task. A series with more than `max_rows` rows is
-therefore cut by the hour: the window runs inside an hour, and what one hour needs
-from another (its last row, its row count) comes from a small table with one row per
-hour. Series below the limit are not cut and need no such table. The list of long
-series has at most rows / max_rows entries, which bounds its broadcast.
-
-A series holds one row per time stamp once repeated rows are removed (see dedup), so
-the rows of an hour are bounded by the resolution of the clock.
+therefore cut into parts of equal time, about `max_rows` / 20 rows each: the window runs
+inside a part, and what one part needs from another (its last row, its row count) comes
+from a small table with one row per part. Series below the limit are not cut and need no
+such table. The list of long series has at most rows / `max_rows` entries, which bounds
+its broadcast. Parts depend only on the counts and times of the series, so a task that is
+run again cuts them the same way.
+
+A series holds one row per time stamp once repeated rows are removed (see dedup).
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 5_000_000
+PARTS_PER_TASK = 20
+FIRST_UNDATED_PART = 2**40
 
 
 def undated_digest(ts: str, order: Sequence[str]) -> Column:
@@ -26,11 +29,8 @@ def undated_digest(ts: str, order: Sequence[str]) -> Column:
     return F.when(F.col(ts).isNull(), F.md5(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in order])))
 
 
-def part_number(ts: str, order: Sequence[str]) -> Column:
-    """Hours since 1970; rows without a time come last, in 4,096 parts by digest."""
-    days = F.datediff(F.to_date(F.col(ts)), F.lit("1970-01-01").cast("date")).cast("bigint")
-    undated = F.conv(F.left(undated_digest(ts, order), F.lit(3)), 16, 10).cast("bigint") + F.lit(2**40)
-    return F.coalesce(days * 24 + F.hour(F.col(ts)), undated)
+def _micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
 def split_long_series(
@@ -41,20 +41,29 @@ def split_long_series(
     max_rows: int = ROWS_PER_TASK,
     source: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds `_part`: -1 for a series that fits one task, else the hour number of the row.
+    """Adds `_part`: -1 for a series that fits one task, else the number of the row's part.
 
-    Rows are counted in `source` when given: any frame with at least the rows of `df` will
-    do, so the cheapest one to read should be taken.
+    Rows without a time come last, in 4,096 parts by digest. Rows are counted in `source`
+    when given: any frame with at least the rows of `df` will do, so the cheapest one to
+    read should be taken.
     """
     counted = df if source is None else source
+    parts = F.ceil(F.col("_n") * PARTS_PER_TASK / max_rows)
     long_series = (
         counted.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
         .where(F.col("_n") > max_rows)
-        .select(*keys, F.lit(True).alias("_long"))
+        .select(
+            *keys,
+            F.lit(True).alias("_long"),
+            _micros("_lo").alias("_start"),
+            F.ceil((_micros("_hi") - _micros("_lo") + 1) / parts).alias("_width"),
+        )
     )
-    part = F.when(F.col("_long"), part_number(ts, order or [ts])).otherwise(F.lit(-1).cast("bigint"))
-    return df.join(F.broadcast(long_series), list(keys), "left").withColumn("_part", part).drop("_long")
+    dated = F.floor((_micros(ts) - F.col("_start")) / F.col("_width"))
+    undated = F.conv(F.left(undated_digest(ts, order or [ts]), F.lit(3)), 16, 10).cast("bigint") + FIRST_UNDATED_PART
+    part = F.when(F.col("_long"), F.coalesce(dated, undated)).otherwise(F.lit(-1)).cast("bigint")
+    return df.join(F.broadcast(long_series), list(keys), "left").withColumn("_part", part).drop("_long", "_start", "_width")
 
 
 def with_position(

@@ -40,4 +40,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_tasks(spark: SparkSession) -> int:
     """Tasks for a step whose cost is computing, not data size: adaptive execution must not merge them."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
