@@ -75,6 +75,17 @@ def test_strips_do_not_change_the_result(monkeypatch):
             assert changepoint.pair_median(y) == np.median(d)
 
 
+def test_unusable_numbers_end_the_search(monkeypatch):
+    monkeypatch.setattr(changepoint, "DIRECT_MEDIAN_POINTS", 10)
+    x = np.random.default_rng(0).normal(size=(40, 2))
+    x[3, 0] = np.nan
+    x[5, 1] = np.inf
+    with np.errstate(invalid="ignore"):
+        changepoint.pair_median(np.full((40, 2), np.nan))
+        changepoint.pair_median(x)
+        assert len(changepoint.segment_ends(x)) >= 1
+
+
 def test_too_few_points_for_five_splits():
     assert changepoint.shortest_series() == 27
     assert changepoint.segment_ends(np.zeros((26, 2))) is None

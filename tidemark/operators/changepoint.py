@@ -49,7 +49,8 @@ def pair_median(x: np.ndarray) -> float:
 
     For long series a sample only says where to look: all distances are counted against
     two bounds around the sample's median, and those between the bounds are held. When
-    the median is not between them, the bounds are moved apart.
+    the median is not between them, the bounds are moved apart. Distances that are no
+    numbers leave it unknown.
     """
     n = len(x)
     if n < 2:
@@ -60,9 +61,8 @@ def pair_median(x: np.ndarray) -> float:
     ranks = ((pairs - 1) // 2, pairs // 2)
     i, j = np.random.default_rng(0).integers(0, n, (2, SAMPLED_PAIRS))
     sample = np.sort(((x[i] - x[j]) ** 2).sum(axis=1)[i != j])
-    width = 0.01
-    while True:
-        lo, hi = (-np.inf, np.inf) if width >= 0.5 else np.quantile(sample, (0.5 - width, 0.5 + width), method="lower")
+    for width in (0.01, 0.1, 0.5):
+        lo, hi = (-np.inf, np.inf) if width == 0.5 else np.quantile(sample, (0.5 - width, 0.5 + width), method="lower")
         below = at_lo = at_hi = 0
         between = []
         for d in _pair_strips(x):
@@ -74,7 +74,7 @@ def pair_median(x: np.ndarray) -> float:
         edges = np.cumsum([below, at_lo, held.size, at_hi])
         if edges[0] <= ranks[0] and ranks[1] < edges[3]:
             return float(np.mean([lo if k < edges[1] else held[k - edges[1]] if k < edges[2] else hi for k in ranks]))
-        width *= 4
+    return math.nan
 
 
 def block_sums(x: np.ndarray, scale: float, jump: int) -> np.ndarray:

@@ -28,9 +28,11 @@ def pair_on_key(new: DataFrame, old: DataFrame, keys: Sequence[str], suffixes: t
 def anti_existing(new: DataFrame, old: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """New rows whose key is not stored; of several new rows with one key the first counts.
 
-    Copies go first, so that the join reuses the shuffle that removes them.
+    Only the stored keys that the batch has are looked up: Spark broadcasts the keys of a
+    small batch, so that a large table is scanned for them but not shuffled.
     """
-    return dedup_keep_first(new, keys, order).join(old.select(*keys), list(keys), "left_anti")
+    known = old.select(*keys).join(new.select(*keys).distinct(), list(keys), "left_semi")
+    return dedup_keep_first(new, keys, order).join(known, list(keys), "left_anti")
 
 
 def with_contents(articles: DataFrame, contents: DataFrame, key: str = "id") -> DataFrame:

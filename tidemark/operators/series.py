@@ -127,8 +127,8 @@ def with_previous(
 
 
 def change_of(col: str, prev: Column) -> Column:
-    """(x - previous) / (previous + 1e-9)."""
-    return (F.col(col) - prev) / (prev + F.lit(1e-9))
+    """(x - previous) / (previous + 1e-9); null in the one case where the divisor is 0."""
+    return F.try_divide(F.col(col) - prev, prev + F.lit(1e-9))
 
 
 def relative_change(
