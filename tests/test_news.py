@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 
 from tidemark.operators import news
+from tidemark.plans.news import analyse_articles
 
 ARTICLE = "id bigint, company string, title string, originallink string, link string, pub_date timestamp_ntz"
 
@@ -64,3 +65,30 @@ def test_positions_put_unknown_dates_last(inputs):
     assert (out[1], out[3], out[4]) == (0, 1, 2)
     split = {r.id: r.position for r in news.article_positions(articles, tie=["link", "id"], max_rows=1).collect()}
     assert split == out
+
+
+def test_from_pages_to_tables(spark, inputs):
+    articles, _, _, existing = inputs
+    pages = spark.createDataFrame(
+        [("u1", "<title>T</title><article>good news</article>"), ("u4", "<article>bad news</article>"), ("u5", "<article>odd</article>")],
+        "url string, html string",
+    )
+
+    def make():
+        def score(text):
+            if "bad" in text:
+                raise RuntimeError("no answer")
+            return "no json" if "odd" in text else '{"Sentiment": "0.9", "PositiveKeywords": ["good"]}'
+
+        return score
+
+    contents, reports, failures = analyse_articles(articles, pages, make)
+    texts = {r.id: (r.content, r.error) for r in contents.collect()}
+    assert texts[1] == texts[2] == ("good news", None) and texts[6] == ("", "page not fetched")
+    assert [(r.id, r.error) for r in failures.collect()] == [(4, "RuntimeError: no answer")]
+    found = {r.id: (r.sentiment, r.error, r.title) for r in reports.collect()}
+    assert found == {1: ("0.9", None, "t1"), 2: ("0.9", None, "t1 again"), 5: (None, "Invalid JSON from GPT", "no company")}
+    tables = news.load_news(articles, contents, reports, existing)
+    tone = {r.news_id: (r.sentiment, r.positive_keywords, r.has_report) for r in tables["news_sentiment"].collect()}
+    ids = {r.news_api: r.news_id for r in tables["news_main"].collect()}
+    assert tone[ids["u1"]] == (0.9, "good", True) and tone[ids["u5"]] == (0.0, "", True) and tone[ids["n3"]] == (0.0, "", False)

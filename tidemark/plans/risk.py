@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import drop_nan, round_score
 from tidemark.operators.aggregates import latest, scale_between
+from tidemark.operators.changes import upsert
 from tidemark.operators.changepoint import change_points, shortest_series
+from tidemark.operators.cleaning import stamp_risk
+from tidemark.operators.dedup import dedup_keep_last
 from tidemark.operators.series import ROWS_PER_TASK, change_of, ema_levels, with_chunk
 from tidemark.session import shuffle_tasks
 
@@ -110,3 +113,16 @@ def current_risk(prices: DataFrame, key: str = "symbol", ts: str = "ts", tie: Se
     scores = risk_scores(prices, [key], ts, tie, **options)
     last = latest(scores, key, ts, [ts, *tie])
     return last.select(key, ts, round_score("risk_value").alias("risk_score"))
+
+
+def risk_rows(scores: DataFrame, as_of: str, key: str = "symbol", ts: str = "ts", tie: Sequence[str] = (), market_tz: str | None = None) -> DataFrame:
+    """Scores as rows of the risk table: one per company and day, the last score of the day, rounded."""
+    stamped = stamp_risk(scores, as_of, ts, market_tz, keep=[key, ts, *tie])
+    rows = stamped.withColumn("risk_score", round_score("risk_score")).withColumnRenamed(key, "company_code")
+    last = dedup_keep_last(rows, ["company_code", "predict_date"], [ts, *tie])
+    return last.select("company_code", "model_name", "analysis_result", "test_date", "predict_date", "risk_score")
+
+
+def load_risk(target: DataFrame, scores: DataFrame, as_of: str, **options) -> DataFrame:
+    """The risk table with the scores of one run: rows of the same run date and day are updated."""
+    return upsert(target, risk_rows(scores, as_of, **options))

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import round_score
 from tidemark.operators import changes as ops
 from tidemark.operators import joins, quality
+from tidemark.plans import risk
 from tidemark.queries import views as v
 from tidemark.queries.registry import query
+from tidemark.queries.series import _RISK
 from tidemark.schemas import Field, Table
 
 # --- joins -----------------------------------------------------------------------------
@@ -170,6 +172,33 @@ def _(spark, sf):
     return ops.upsert(target, batch, order=["event_id"])
 
 
+@query(
+    "k3_load_risk",
+    f"""WITH {_RISK}, days AS (SELECT DISTINCT symbol, strftime(ts, '%Y-%m-%d') AS day FROM {v.PRICES}),
+       runs AS (SELECT symbol, day, unnest(['2024-01-30', '{v.AS_OF}']) AS test_date FROM days),
+       fresh AS (SELECT symbol, strftime(ts, '%Y-%m-%d') AS day, round_even(risk_value, 4) AS score FROM risk
+         QUALIFY row_number() OVER (PARTITION BY symbol, strftime(ts, '%Y-%m-%d') ORDER BY ts DESC, event_id DESC) = 1)
+       SELECT r.symbol AS company_code, 'Binseg' AS model_name, CASE WHEN test_date = '{v.AS_OF}' AND score IS NOT NULL THEN 'Completed'
+         ELSE 'Stale' END AS analysis_result, test_date, r.day AS predict_date,
+         CASE WHEN test_date = '{v.AS_OF}' AND score IS NOT NULL THEN score ELSE 0.0 END AS risk_score
+       FROM runs r LEFT JOIN fresh f ON r.symbol = f.symbol AND r.day = f.day""",
+)
+def _(spark, sf):
+    """Scores of one run go into a table that has stale rows of that run date and of the day before."""
+    prices = v.prices(spark, sf)
+    runs = F.explode(F.array(F.lit("2024-01-30"), F.lit(v.AS_OF)))
+    days = prices.select(F.col("symbol").alias("company_code"), F.date_format("ts", "yyyy-MM-dd").alias("predict_date")).distinct()
+    target = days.select(
+        "company_code",
+        F.lit("Binseg").alias("model_name"),
+        F.lit("Stale").alias("analysis_result"),
+        runs.alias("test_date"),
+        "predict_date",
+        F.lit(0.0).alias("risk_score"),
+    )
+    return risk.load_risk(target, risk.risk_scores(prices, tie=["event_id"]), v.AS_OF, tie=["event_id"])
+
+
 @query(
     "k4_update_where",
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_totalprice > 100000 THEN 'CLOSED' ELSE o_orderpriority END AS o_orderpriority,

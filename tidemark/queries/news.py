@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import chat, news
 from tidemark.operators.series import last_n
+from tidemark.plans.news import analyse_articles
 from tidemark.queries import views as v
 from tidemark.queries.registry import query, settle
 from tidemark.schemas import REPORT_ENTRY
@@ -175,7 +176,7 @@ def _(spark, sf):
 
 
 def length_scorer():
-    """A scorer without a model: short articles score high, an article in all capitals fails."""
+    """A scorer without a model: short articles score high, one above 5,000 characters fails."""
     wrapping = len(chat.ARTICLE_INTRO) + len(chat.ARTICLE_REQUEST)
 
     def score(text: str) -> str:
@@ -198,6 +199,24 @@ def _(spark, sf):
     return scored.select("doc_id", score.alias("score"), "error")
 
 
+@query(
+    "l2_analyse_articles",
+    f"""SELECT page_id AS id, CASE WHEN length(t) <= 5000 THEN CAST(100 / (100 + length(t)) AS FLOAT)::DOUBLE END AS score,
+       CASE WHEN length(t) > 5000 THEN 'ValueError: article too long' END AS error
+       FROM (SELECT page_id, {_TEXT} AS t FROM pages) WHERE t <> ''""",
+)
+def _(spark, sf):
+    """Every page is an article of its own: extracted, scored and parsed."""
+    rows = v.table(spark, sf, "pages").withColumn("link", F.concat_ws("#", "url", F.col("page_id").cast("string")))
+    date = F.timestamp_add("HOUR", F.col("page_id"), v.ntz("2024-01-01 00:00:00"))
+    articles = rows.select(
+        F.col("page_id").alias("id"), F.lit("").alias("title"), F.col("link").alias("originallink"), "link", date.alias("pub_date")
+    )
+    out = analyse_articles(articles, rows.select(F.col("link").alias("url"), "html"), length_scorer)
+    reports = out.reports.select("id", settle(F.col("sentiment").cast("double")).alias("score"), F.lit(None).cast("string").alias("error"))
+    return reports.unionByName(out.failures.withColumn("score", F.lit(None).cast("double")))
+
+
 def _responses(spark, sf):
     """Responses for labelled documents: those for toxic ones are cut JSON."""
     labels = v.table(spark, sf, "labels")
