@@ -98,6 +98,20 @@ def _(spark, sf):
     return universe.inherit_defaults(items, defaults, v.AS_OF)
 
 
+@query(
+    "x1_load_feeds",
+    f"""SELECT symbol, ts, price AS close, quantity AS trade_volume FROM {v.TRADES}
+       QUALIFY row_number() OVER (PARTITION BY symbol, ts
+         ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, price DESC, quantity DESC) = 1
+       UNION ALL SELECT symbol, ts - INTERVAL 9 HOUR, price, quantity FROM {v.TRADES}""",
+)
+def _(spark, sf):
+    raw = _feed(spark, sf)
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "close", "trade_volume"]
+    raws = [("us_prices", raw, {"order": order}), ("kr_prices", raw, {}), ("unknown", raw, {})]
+    return feeds.load_feeds(raws, ["symbol", "ts", "close", "trade_volume"])
+
+
 @query("s12_read_table", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000")
 def _(spark, sf):
     rows = files.read_table(spark, f"{sf}/orders.parquet", "o_orderstatus = 'F' AND o_totalprice > 100000")

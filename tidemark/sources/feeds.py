@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 from tidemark.functions import parse_news_date, parse_time, to_utc
 from tidemark.operators.cleaning import coerce_numeric, normalize_columns
 from tidemark.operators.dedup import dedup_keep_last
+from tidemark.operators.sets import union_all
 from tidemark.schemas import NEWS_PAYLOAD, PRICE_PAYLOAD
 
+log = logging.getLogger(__name__)
+
 Normaliser = Callable[..., DataFrame]
 FEEDS: dict[str, Normaliser] = {}
 
@@ -65,5 +69,18 @@ def normalize_news(df: DataFrame, keys: Sequence[str] = (), order: Sequence[str]
     return last.withColumn("pub_date", parse_news_date("pubDate")).drop("pubDate").where(F.col("pub_date").isNotNull())
 
 
+def load_feeds(raws: Sequence[tuple[str, DataFrame, dict]], columns: Sequence[str]) -> DataFrame:
+    """The normalised rows of several feeds (name, raw rows, options); unknown feeds are logged and skipped."""
+    usable = []
+    for name, raw, options in raws:
+        if name in FEEDS:
+            usable.append(normalize(name, raw, **options).select(*columns))
+        else:
+            log.error("feed %r skipped, known are %s", name, known_feeds())
+    if not usable:
+        raise ValueError("no usable feed")
+    return union_all(*usable)
+
+
 def known_feeds() -> Iterable[str]:
     return sorted(FEEDS)
