@@ -98,3 +98,14 @@ def test_articles_accumulate(spark, tmp_path):
         news.stream_articles(spark, f"{home}/landing", f"{home}/table", delivery.schema)
     assert sorted(r.seq for r in news.accumulated_articles(spark, f"{home}/table").collect()) == [2, 3, 4]
     assert sorted(r.seq for r in news.unseen_articles(spark, f"{home}/table").select(F.col("seq")).collect()) == [1, 2, 4]
+
+
+def test_often_delivered_article_is_unseen_once(spark, tmp_path):
+    home = str(tmp_path)
+    for part in range(2):
+        rows = [(part * 100 + i, "a", "hot", f"t{i}") for i in range(60)] + [(part * 100 + 90 + i, "a", f"u{i}", "t") for i in range(5)]
+        delivery = spark.createDataFrame(rows, "seq int, company string, link string, title string")
+        deliver(spark, delivery, home)
+        news.stream_articles(spark, f"{home}/landing", f"{home}/table", delivery.schema)
+    seen = [r.link for r in news.unseen_articles(spark, f"{home}/table").collect()]
+    assert sorted(seen) == ["hot", "u0", "u1", "u2", "u3", "u4"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedup import dedup_keep_last
@@ -24,14 +25,24 @@ def stream_headlines(spark: SparkSession, landing: str, table: str, schema, n: i
     return start(_append(top_headlines(pages, n, container), table), once, interval)
 
 
+def first_copies(rows: DataFrame, keys: Sequence[str], salts: int = 16) -> DataFrame:
+    """One copy of each row of a stream by key.
+
+    Copies are first removed in `salts` groups per key, so that no task receives all copies
+    of a key that is delivered very often.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    return salted.dropDuplicates([*keys, "_salt"]).dropDuplicates(list(keys)).drop("_salt")
+
+
 def stream_articles(spark: SparkSession, landing: str, table: str, schema, keys: Sequence[str] = ("company", "link"), once: bool = True, interval: str = "60 seconds", max_files: int | None = None) -> tuple[StreamingQuery, StreamingQuery]:
-    """Appends every delivered article to a log, and the first copy of each to `unseen`.
+    """Appends every delivered article to a log, and one copy of each to `unseen`.
 
     Only unseen articles go on to text extraction and scoring. Which articles were seen is
     kept in the state of the second query, so the log is not read again.
     """
     log = start(_append(read_landing(spark, landing, schema, max_files), f"{table}/log"), once, interval)
-    first = read_landing(spark, landing, schema, max_files).dropDuplicates(list(keys))
+    first = first_copies(read_landing(spark, landing, schema, max_files), keys)
     return log, start(_append(first, f"{table}/unseen"), once, interval)
 
 
