@@ -11,6 +11,9 @@ from tidemark.functions import join_keywords, news_key, parse_sentiment, sentime
 from tidemark.operators.joins import anti_existing, with_contents, with_reports
 from tidemark.operators.series import ROWS_PER_TASK, assign_ids, with_position
 
+# Fixed value: the source stored with every article of the news feed.
+NEWS_SOURCE = "Naver"
+
 
 def article_positions(df: DataFrame, company: str = "company", pub_date: str = "pub_date", tie: Sequence[str] = ("link",), max_rows: int = ROWS_PER_TASK) -> DataFrame:
     """0-based rank of each article of a company by date; articles without a date come last."""
@@ -34,7 +37,7 @@ def load_news(
     contents: DataFrame,
     reports: DataFrame,
     existing: DataFrame,
-    source: str = "Naver",
+    source: str = NEWS_SOURCE,
     order: Sequence[str] = ("company", "pub_date", "id"),
     link_all: bool = False,
 ) -> dict[str, DataFrame]:
