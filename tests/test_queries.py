@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 from oracle import compare, connect, types
+from tidemark.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
@@ -16,7 +17,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = driver.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
