@@ -1,6 +1,6 @@
 """All queries of this package, with their SQL where SQL can say it."""
 
-from tidemark.llm import topk, warc  # noqa: F401
+from tidemark.llm import chat_format, topk, warc  # noqa: F401
 from tidemark.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
