@@ -55,14 +55,16 @@ def join_by_group(rows: DataFrame, groups: DataFrame, key: str, count: str, tota
 
     Groups above 1 / HEAVY_SHARE of `total` rows, fewer than HEAVY_SHARE by that bound, are broadcast; the others meet
     their rows by shuffle, where a row of a heavy group takes part with a key of its own and finds nothing.
-    A null key meets nothing. `groups` should be stored, it is read twice.
+    A null key meets nothing. `groups` should be stored, it is read twice. Column names that begin with `_` are taken.
     """
     facts = [c for c in groups.columns if c not in (key, count)]
     heavy = F.col(count) * HEAVY_SHARE > F.lit(total)
     large = groups.where(heavy).select(F.col(key).alias("_heavy"), F.struct(*facts).alias("_large"))
     small = groups.where(~heavy).select(F.col(key).alias("_light"), F.struct(*facts).alias("_small"))
+    own = [c for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
     rows = rows.join(F.broadcast(large), F.col(key) == F.col("_heavy"), "left")
-    spread = F.concat(F.lit("~"), F.rand(7).cast("string"))
+    # The same on every run of a task, whatever the order of rows.
+    spread = F.concat_ws("~", F.lit(""), F.spark_partition_id(), F.xxhash64(*own))
     rows = rows.withColumn(
         "_key", F.when(F.col("_heavy").isNull() & F.col(key).isNotNull(), F.col(key).cast("string")).otherwise(spread)
     )
