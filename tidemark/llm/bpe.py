@@ -21,16 +21,17 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import query, segments, table
+from tidemark.llm.common import encode_by_segments, query, stretches, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Characters of text whose words are replayed together; a longer text is a stretch of its own.
-STRETCH = 24 << 20
+#: Bytes of text whose words are replayed together; a longer text is a stretch of its own. Rows sent back at once.
+STRETCH, ROWS = 12 << 20, 500
 NONE = -1
 
 
@@ -143,16 +144,40 @@ def replay(words: list[bytes], v: Vocabulary) -> list[bytes]:
     return [ids[a:b] for a, b in zip(kept[ends - sizes].tolist(), kept[ends].tolist())]
 
 
+class _Words:
+    """Ids of segments; words of earlier stretches are looked up while there is room for them."""
+
+    def __init__(self, v: Vocabulary, most: int = 1 << 18):
+        self.v, self.most, self.known = v, most, {}
+
+    def __call__(self, parts: list[str]) -> list[bytes]:
+        find, known, fresh = self.v.pattern.findall, self.known, {}
+        # A blank and ASCII letters are one word.
+        split = [[s] if s.isascii() and s[1:].isalpha() and s[0] in _WORD_START else find(s) for s in parts]
+        for words in split:
+            for w in words:
+                if w not in known:
+                    fresh[w] = b""
+        for w, ids in zip(fresh, replay([w.encode() for w in fresh], self.v)):
+            fresh[w] = ids
+        if len(known) + len(fresh) <= self.most or not known:
+            known.update(fresh)
+            get = known.__getitem__
+        else:
+            get = lambda w: fresh[w] if w in fresh else known[w]
+        out = [get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for ws in split]
+        if len(known) > self.most:
+            known.clear()
+        return out
+
+
+_WORD_START = frozenset(" abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
 def encode_texts(texts: list[str], v: Vocabulary) -> list[np.ndarray]:
-    """Token ids of every text; each distinct segment and word of the stretch is handled once."""
-    cut = [segments(t) for t in texts]
-    parts = {s: None for c in cut for s in c}
-    split = {s: v.pattern.findall(s) for s in parts}
-    words = list({w for ws in split.values() for w in ws})
-    ids = dict(zip(words, replay([w.encode() for w in words], v)))
-    for s, ws in split.items():
-        parts[s] = ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws])
-    return [np.frombuffer(b"".join([parts[s] for s in c]), dtype=np.int32) for c in cut]
+    """Token ids of every text."""
+    found = encode_by_segments(pa.array(texts, pa.string()), _Words(v))
+    return [np.asarray(x.values) for x in found]
 
 
 def encode(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -160,28 +185,14 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path:
     path, pattern = path or public_tokenizers.path(VOCABULARY), pattern or public_tokenizers.PATTERN
     rows = docs.select(id_column, F.coalesce(F.col(text), F.lit("")).alias("_text"))
 
-    def convert(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = vocabulary(path, pattern)
-        keys, texts, size = [], [], 0
-        for frame in frames:
-            for key, one in zip(frame[id_column].astype(object), frame["_text"]):
-                keys.append(None if pd.isna(key) else key)
-                texts.append(one)
-                size += len(one)
-                if size >= STRETCH:
-                    yield from flush(v, keys, texts)
-                    keys, texts, size = [], [], 0
-        if texts:
-            yield from flush(v, keys, texts)
-
-    def flush(v: Vocabulary, keys: list, texts: list[str]) -> Iterator[pd.DataFrame]:
-        found = encode_texts(texts, v)
-        for a in range(0, len(found), 1000):  # small batches on their way back
-            key = pd.Series(keys[a : a + 1000], dtype=object)
-            yield pd.DataFrame({id_column: key, "ids": found[a : a + 1000]})
-
-    kind = dict(docs.dtypes)[id_column]
-    return rows.mapInPandas(convert, f"`{id_column}` {kind}, ids array<int>")
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words(vocabulary(path, pattern))
+        for stretch in stretches(batches, "_text", STRETCH):
+            ids = encode_by_segments(stretch["_text"], words)
+            yield from pa.table({id_column: stretch[id_column], "ids": ids}).to_batches(max_chunksize=ROWS)
+
+    schema = T.StructType([docs.schema[id_column], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return rows.mapInArrow(convert, schema)
 
 
 def decode(encoded: DataFrame, id_column: str = "doc_id", path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -191,7 +202,7 @@ def decode(encoded: DataFrame, id_column: str = "doc_id", path: str | None = Non
     @F.pandas_udf(T.BinaryType())
     def bytes_of(ids: pd.Series) -> pd.Series:
         token = vocabulary(path, pattern).bytes_of
-        return ids.map(lambda x: b"".join([token[i] for i in x.tolist()]))
+        return ids.map(lambda x: b"".join(map(token.__getitem__, x.tolist())))
 
     return encoded.select(id_column, "ids", bytes_of("ids").alias("bytes"))
 

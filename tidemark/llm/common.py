@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +21,9 @@ SQL: dict[str, str] = {}
 HEAVY_SHARE = 1000
 
 #: A blank between two characters that are no white space: no pre-token reaches across its left side.
-_RARE_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_SPACES = "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")
+#: A text that can't be cut at every blank.
+_LOOSE = rf"^ | $|  | \n|\n |[{_SPACES}]"
 _TIGHT_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -82,13 +87,60 @@ def segments(text: str) -> list[str]:
     """
     if not text:
         return []
-    if "  " in text or "\n " in text or " \n" in text or any(c in text for c in _RARE_SPACES):
-        parts = _TIGHT_BLANK.split(text)
-    else:
-        parts = text.split(" ")
-        if not parts[0]:  # a text that begins with one blank
-            parts = [" " + parts[1], *parts[2:]]
-        if len(parts) > 1 and not parts[-1]:
-            parts.pop()
-            parts[-1] += " "
-    return [parts[0], *[" " + p for p in parts[1:]]]
+    first, *rest = _TIGHT_BLANK.split(text)
+    return [first, *[" " + p for p in rest]]
+
+
+def encode_by_segments(texts: pa.Array, encode: Callable[[list[str]], list[bytes]]) -> pa.ListArray:
+    """The ids of every text; `encode` gives the ids (4-byte integers) of distinct segments. `texts` hold no nulls."""
+    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    loose = pc.match_substring_regex(texts, _LOOSE).to_numpy(zero_copy_only=False)
+    kept, rest = np.flatnonzero(~loose), np.flatnonzero(loose)
+    # Most texts can be cut at every blank: all values but a text's first stand for a segment that begins with a blank.
+    parts = pc.split_pattern(texts.take(pa.array(kept)), " ")
+    cuts = np.asarray(parts.offsets).astype(np.int64)
+    coded = parts.flatten().dictionary_encode()
+    tight = coded.indices.to_numpy().astype(np.int64)
+    strings = coded.dictionary.to_pylist()
+    values = [" " + s for s in strings]
+    number: dict[str, int] = {}
+    firsts = cuts[:-1]
+    own = [number.setdefault(strings[i], len(number)) for i in tight[firsts].tolist()]
+    tight[firsts] = len(values) + np.array(own, dtype=np.int64)
+    cut = [segments(t) for t in texts.take(pa.array(rest)).to_pylist()]
+    more = np.array([number.setdefault(s, len(number)) for c in cut for s in c], dtype=np.int64) + len(values)
+    ends = cuts[-1] + np.cumsum([0, *map(len, cut)])
+    del strings, coded, parts, cut
+    found = encode([*values, *number])
+    sizes = np.array([len(f) // 4 for f in found], dtype=np.int64)
+    ids = np.frombuffer(b"".join(found), dtype=np.int32)
+    del found, values, number
+    which = np.concatenate([tight, more])
+    size = sizes[which]
+    until = np.cumsum(size)
+    begin = (np.cumsum(sizes) - sizes)[which]
+    flat = ids[np.repeat(begin - until + size, size) + np.arange(until[-1] if len(until) else 0)]
+    offsets = np.concatenate([[0], until])[np.concatenate([cuts, ends[1:]])]
+    out = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+    back = np.empty(len(texts), dtype=np.int64)
+    back[np.concatenate([kept, rest])] = np.arange(len(texts))
+    return out.take(pa.array(back)) if len(rest) else out
+
+
+def stretches(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.Table]:
+    """The batches cut and joined into tables of about `most` bytes of text; a longer text is a table of its own."""
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        start = 0
+        for i, n in enumerate(sizes.tolist()):
+            if size and size + n > most:
+                held.append(batch.slice(start, i - start))
+                yield pa.Table.from_batches(held)
+                held, size, start = [], 0, i
+            size += n
+        held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)
