@@ -1,13 +1,14 @@
-"""Merkle trees over the sections, paragraphs and phrases of documents, with DataFrame functions only.
+"""Merkle trees over the sections and paragraphs of documents, with DataFrame functions only.
 
-A section ends at an empty line, or after `section` paragraphs where the text has none; a paragraph ends at a line feed,
-a phrase after a sign that ends one and after eight words. A leaf is the digest of a phrase, a paragraph the digest of its leaves, a section that
-of its paragraphs, the root that of the sections and of the whole text's length. Equal roots mean equal texts; where roots
-differ, only branches that differ need a look.
+A paragraph ends at a line feed; a section ends at an empty line, or after `section` paragraphs where the text has none. A
+paragraph's digest is that of its text, a section's that of its paragraphs' digests, the root that of the sections and of
+the text's length. Equal roots mean equal texts; where roots differ, only branches that differ need a look. Beside the tree
+a fingerprint holds the hashes of the text's leaves (runs of a few words within a phrase), which tell how much two texts have
+in common.
 
-Defined results: a null text is empty, and an empty text is one empty phrase. Rows with equal ids are told apart by their
-text; equal rows follow each other. The document after the last is the first; a single document follows itself. A null id
-comes after all others. No rows: no results. Other columns are ignored.
+Defined results: a null text is empty and has no leaves. Rows with equal ids are told apart by their text; equal rows follow
+each other. The document after the last is the first; a single document follows itself. A null id comes after all others.
+No rows: no results. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,87 +22,70 @@ from tidemark.llm.common import query, table
 
 #: Paragraphs of a section where the text has no empty lines.
 SECTION = 8
-#: Characters of a digest in a fingerprint (48 bits); the root is whole.
-DIGEST = 12
+#: A leaf: up to eight words, of which only the last may end a phrase, and what follows it. The leaves make up the text.
+LEAF = r"(?!\z)(?:[^ \n]*+(?<![.!?;:,|。！？]) ){0,7}+[^ \n]*+(?: |\n++|\z)"
+#: Bits of a leaf's hash.
+LEAF_BITS = 48
 
-#: Behind the blank after a sign that ends a phrase, and behind a mark. Leaves keep every character.
-PHRASE_END = r"(?<=[.!?;:,|。！？] |\x01)"
-#: The first RUN words of a phrase that goes on; a mark behind them ends the leaf.
-RUN = 8
-LONG_PHRASE = r"(?<![^ ])((?:[^ ]++(?<![.!?;:,|。！？]) ){%d}[^ ]++(?<![.!?;:,|。！？])) " % (RUN - 1)
 
+def leaves(text: Column) -> Column:
+    """The hashes of a text's leaves, in order."""
+    mask = F.lit((1 << LEAF_BITS) - 1)
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(LEAF), F.lit(0))
+    return F.transform(found, lambda x: F.xxhash64(x).bitwiseAND(mask))
 
-def _digest(c: Column) -> Column:
-    return F.substring(F.sha2(c, 256), 1, DIGEST)
 
-
-def branches(text: Column, section: int = SECTION) -> Column:
-    """struct(length, sections) of a text: sections are structs (digest, paragraphs), paragraphs structs (digest, leaves)."""
-
-    def paragraph(p: Column) -> Column:
-        leaves = F.transform(F.split(F.regexp_replace(p, LONG_PHRASE, "$1 \u0001"), PHRASE_END), _digest)
-        return F.struct(_digest(F.array_join(leaves, "")).alias("digest"), leaves.alias("leaves"))
+def sections(text: Column, section: int = SECTION) -> Column:
+    """array of struct(digest, paragraphs): a section's digest and those of its paragraphs."""
 
     def branch(lines: Column) -> Column:
-        paragraphs = F.transform(lines, paragraph)
-        joined = F.array_join(F.transform(paragraphs, lambda p: p["digest"]), "")
-        return F.struct(_digest(joined).alias("digest"), paragraphs.alias("paragraphs"))
+        digests = F.transform(lines, lambda x: F.sha2(x, 256))
+        return F.struct(F.sha2(F.array_join(digests, ""), 256).alias("digest"), digests.alias("paragraphs"))
 
     text = F.coalesce(text, F.lit(""))
     by_empty_line = F.transform(F.split(text, "\n\n"), lambda s: F.split(s, "\n"))
     lines = F.split(text, "\n")
     starts = F.sequence(F.lit(0), F.floor((F.size(lines) - 1) / section).cast("int"))
     by_count = F.transform(starts, lambda i: F.slice(lines, i * section + 1, F.lit(section)))
-    sections = F.transform(F.when(F.contains(text, F.lit("\n\n")), by_empty_line).otherwise(by_count), branch)
-    return F.struct(F.char_length(text).alias("length"), sections.alias("sections"))
-
+    return F.transform(F.when(F.contains(text, F.lit("\n\n")), by_empty_line).otherwise(by_count), branch)
 
-def tree(b: Column) -> Column:
-    """struct(root, sections) from branches; the root also tells texts of different lengths apart."""
-    joined = F.array_join(F.transform(b["sections"], lambda s: s["digest"]), "")
-    root = F.sha2(F.concat_ws(":", b["length"].cast("string"), joined), 256)
-    return F.struct(root.alias("root"), b["sections"].alias("sections"))
 
+def root(branches: Column, text: Column) -> Column:
+    """The root over the sections' digests and the text's length."""
+    joined = F.array_join(F.transform(branches, lambda s: s["digest"]), "")
+    return F.sha2(F.concat_ws(":", F.char_length(F.coalesce(text, F.lit(""))).cast("string"), joined), 256)
 
-def fingerprint(t: Column) -> Column:
-    """The tree as text: root, then the leaves; `/` parts sections, `;` paragraphs, `,` leaves."""
-    one = lambda p: F.array_join(p["leaves"], ",")
-    section = lambda s: F.array_join(F.transform(s["paragraphs"], one), ";")
-    return F.concat(t["root"], F.lit(":"), F.array_join(F.transform(t["sections"], section), "/"))
 
+def fingerprint(root_: Column, leaves_: Column) -> Column:
+    """Root and leaves as text."""
+    return F.concat(root_, F.lit(":"), F.array_join(F.transform(leaves_, F.hex), ","))
 
-def leaves(print_: Column) -> Column:
-    """All leaves of a fingerprint, in order."""
-    return F.split(F.substring_index(print_, ":", -1), "[/;,]")
 
-
-def likeness(a: Column, b: Column) -> Column:
-    """Of two fingerprints: 1 for equal roots, else the share of distinct leaves that both have (Dice), below 1."""
-    x, y = F.array_distinct(leaves(a)), F.array_distinct(leaves(b))
-    shared = 2.0 * F.size(F.array_intersect(x, y)) / (F.size(x) + F.size(y))
-    equal = F.substring_index(a, ":", 1) == F.substring_index(b, ":", 1)
-    # Same leaves in another order or number: not the same text.
-    return F.when(equal, 1.0).otherwise(F.least(shared, F.lit(1.0 - 1e-9)))
+def likeness(root_a: Column, leaves_a: Column, root_b: Column, leaves_b: Column) -> Column:
+    """1 for equal roots, else the share of distinct leaves that both have (Dice), below 1."""
+    a, b = F.array_distinct(leaves_a), F.array_distinct(leaves_b)
+    shared = 2.0 * F.size(F.array_intersect(a, b)) / F.greatest(F.size(a) + F.size(b), F.lit(1))
+    # The same leaves in another order or number are not the same text.
+    return F.when(root_a == root_b, 1.0).otherwise(F.least(shared, F.lit(1.0 - 1e-9)))
 
 
 def differing(a: Column, b: Column) -> Column:
-    """Paths (section, paragraph), from 0, of paragraphs that differ between two trees; equal branches aren't entered."""
+    """Places (section, paragraph), from 0, where two texts' sections differ; equal branches aren't entered."""
 
     def paragraphs(s: Column, i: Column) -> Column:
-        n = F.greatest(F.size(s["a"]["paragraphs"]), F.size(s["b"]["paragraphs"]))
-        at = F.sequence(F.lit(0), n - 1)
-        changed = lambda j: ~F.get(s["a"]["paragraphs"], j)["digest"].eqNullSafe(F.get(s["b"]["paragraphs"], j)["digest"])
-        return F.transform(F.filter(at, changed), lambda j: F.struct(i.alias("section"), j.alias("paragraph")))
+        both = F.arrays_zip(s["a"]["paragraphs"].alias("x"), s["b"]["paragraphs"].alias("y"))
+        found = F.transform(both, lambda p, j: F.when(~p["x"].eqNullSafe(p["y"]), j))
+        return F.transform(F.filter(found, lambda j: j.isNotNull()), lambda j: F.struct(i.alias("section"), j.alias("paragraph")))
 
-    pairs = F.arrays_zip(a["sections"].alias("a"), b["sections"].alias("b"))
     none = F.array().cast("array<struct<section:int,paragraph:int>>")
     same = lambda s: s["a"]["digest"].eqNullSafe(s["b"]["digest"])
-    found = F.transform(pairs, lambda s, i: F.when(same(s), none).otherwise(paragraphs(s, i)))
-    return F.when(a["root"] == b["root"], none).otherwise(F.flatten(found))
+    pairs = F.arrays_zip(a.alias("a"), b.alias("b"))
+    return F.flatten(F.transform(pairs, lambda s, i: F.when(same(s), none).otherwise(F.coalesce(paragraphs(s, i), none))))
 
 
 def with_next(docs: DataFrame, rows_per_stretch: int = 50, most: int = 8192) -> DataFrame:
     """doc_id, text and next_text: the text of the document with the next smaller id; after the last comes the first.
+    Also root and leaves of both, which are hashed once.
 
     Ids are cut into stretches of about equal numbers, at most `most`. The first document of a stretch is added to the
     stretch before it, so every neighbour is found within a stretch and texts are shuffled once. The driver sees the
@@ -113,17 +97,19 @@ def with_next(docs: DataFrame, rows_per_stretch: int = 50, most: int = 8192) ->
     found = docs.agg(F.percentile_approx("doc_id", parts, 10 * wanted)).first()[0]
     edges = sorted(set(found or []), reverse=True)
     docs = docs.withColumn("stretch", _stretch(F.col("doc_id"), edges))
-    order = [F.desc_nulls_last("doc_id"), F.sha2("text", 256)]
     tops = {r["stretch"]: r["top"] for r in docs.groupBy("stretch").agg(F.max("doc_id").alias("top")).collect()}
     first, last = min(tops, default=0), max(tops, default=0)
     is_top = F.col("doc_id").isin([t for t in tops.values() if t is not None])
     heads = docs.where(is_top | F.col("doc_id").isNull() if None in tops.values() else is_top)
-    heads = heads.groupBy("stretch").agg(F.min(F.struct(F.sha2("text", 256), "text")).alias("h"))
+    heads = heads.groupBy("stretch").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("h"))
     moved = F.when(F.col("stretch") == first, last).otherwise(F.col("stretch") - 1)
     heads = heads.select(F.lit(None).cast("long").alias("doc_id"), F.col("h.text").alias("text"), moved.alias("stretch"))
     rows = docs.withColumn("head", F.lit(0)).unionByName(heads.withColumn("head", F.lit(1)))
-    w = Window.partitionBy("stretch").orderBy("head", *order)
-    return rows.withColumn("next_text", F.lead("text").over(w)).where("head = 0").select("doc_id", "text", "next_text")
+    text = F.col("text")
+    rows = rows.withColumns({"root": root(sections(text), text), "leaves": leaves(text), "hash": F.xxhash64(text)})
+    w = Window.partitionBy("stretch").orderBy("head", F.desc_nulls_last("doc_id"), "hash", "text")
+    rows = rows.withColumns({f"next_{c}": F.lead(c).over(w) for c in ("text", "root", "leaves")})
+    return rows.where("head = 0").drop("head", "stretch", "hash")
 
 
 def _stretch(number: Column, edges: list[int]) -> Column:
@@ -148,22 +134,19 @@ def edited(text: Column, following: Column) -> Column:
 def op6_merkle(spark: SparkSession, sf: str) -> DataFrame:
     rows = with_next(table(spark, sf, "documents"))
     rows = rows.withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    for name in ("text", "edited", "next_text"):
-        rows = rows.withColumn(f"{name}_branches", branches(F.col(name)))
-    rows = rows.select(
-        "doc_id",
-        F.char_length("text").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(tree(F.col("text_branches"))).alias("fingerprint"),
-        fingerprint(tree(F.col("edited_branches"))).alias("edited_fingerprint"),
-        fingerprint(tree(F.col("next_text_branches"))).alias("next_fingerprint"),
+    rows = rows.withColumns(
+        {
+            "edited_root": root(sections(F.col("edited")), F.col("edited")),
+            "edited_leaves": leaves(F.col("edited")),
+        }
     )
+    own, changed, following = ([F.col(f"{x}root"), F.col(f"{x}leaves")] for x in ("", "edited_", "next_"))
     return rows.select(
         "doc_id",
-        "n_chars",
-        "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint(*own).alias("fingerprint"),
+        fingerprint(*changed).alias("edited_fingerprint"),
+        likeness(*own, *changed).alias("near_edited"),
+        likeness(*own, *following).alias("near_next"),
     )
