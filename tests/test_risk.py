@@ -107,7 +107,7 @@ def test_risk_matches_the_direct_computation(spark):
     data = series("a", 60, 1) + series("b", 28, 2) + series("short", 27, 3) + series("one", 1, 4)
     random.Random(0).shuffle(data)
     df = spark.createDataFrame(data, SCHEMA)
-    out = risk.risk_scores(df)
+    out = risk.risk_scores(df, chunk_rows=None)
     for symbol, n, seed in (("a", 60, 1), ("b", 28, 2)):
         rows = sorted(series(symbol, n, seed), key=lambda r: r[1])
         mine = by_symbol(out, symbol)
@@ -116,13 +116,13 @@ def test_risk_matches_the_direct_computation(spark):
         assert max(r["seg"] for r in mine) == 5
         assert all(0 <= r["risk_value"] <= 100 for r in mine)
     assert {r["symbol"] for r in out.select("symbol").distinct().collect()} == {"a", "b"}
-    left_out = {(r["symbol"], r["n_points"]) for r in risk.unscored_chunks(df).collect()}
+    left_out = {(r["symbol"], r["n_points"]) for r in risk.unscored_chunks(df, chunk_rows=None).collect()}
     assert left_out == {("short", 27), ("one", 1)}
 
 
 def test_alpha_is_honoured(spark):
     rows = series("a", 50, 9)
-    out = by_symbol(risk.risk_scores(spark.createDataFrame(rows, SCHEMA), alpha=0.7), "a")
+    out = by_symbol(risk.risk_scores(spark.createDataFrame(rows, SCHEMA), alpha=0.7, chunk_rows=None), "a")
     assert [r["risk_value"] for r in out] == pytest.approx(list(direct_risk([r[2] for r in rows], [r[3] for r in rows], 0.7)), abs=1e-9)
 
 
@@ -145,19 +145,19 @@ def test_unknown_points_are_left_out_and_counted(spark):
     broken = [(s, t, None if i == 10 else float("nan") if i == 20 else c, v) for i, (s, t, c, v) in enumerate(data)]
     kept = [r for i, r in enumerate(data) if i not in (10, 20)]
     df = spark.createDataFrame(broken, SCHEMA)
-    out = by_symbol(risk.risk_scores(df), "a")
+    out = by_symbol(risk.risk_scores(df, chunk_rows=None), "a")
     assert [r["risk_value"] for r in out] == pytest.approx(list(direct_risk([r[2] for r in kept], [r[3] for r in kept])), abs=1e-9)
-    assert [(r["reason"], r["n_points"]) for r in risk.unscored_chunks(df).collect()] == [("no close or volume", 2)]
+    assert [(r["reason"], r["n_points"]) for r in risk.unscored_chunks(df, chunk_rows=None).collect()] == [("no close or volume", 2)]
 
 
 def test_constant_series_has_middle_risk(spark):
     rows = [("a", datetime(2024, 1, 1) + timedelta(days=i), 5.0, 10) for i in range(40)]
-    out = risk.risk_scores(spark.createDataFrame(rows, SCHEMA)).collect()
+    out = risk.risk_scores(spark.createDataFrame(rows, SCHEMA), chunk_rows=None).collect()
     assert len(out) == 39 and {r["risk_value"] for r in out} == {50.0}
 
 
 def test_current_risk_is_the_last_score(spark):
     df = spark.createDataFrame(series("a", 60, 1) + series("b", 28, 2), SCHEMA)
-    last = {r["symbol"]: r for r in risk.current_risk(df).collect()}
-    scores = by_symbol(risk.risk_scores(df), "a")
+    last = {r["symbol"]: r for r in risk.current_risk(df, chunk_rows=None).collect()}
+    scores = by_symbol(risk.risk_scores(df, chunk_rows=None), "a")
     assert last["a"]["ts"] == scores[-1]["ts"] and last["a"]["risk_score"] == pytest.approx(scores[-1]["risk_value"], abs=1e-4)

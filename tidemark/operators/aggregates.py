@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.series import last_n
+from tidemark.operators.series import ROWS_PER_TASK, join_group, last_n
 
 
 def latest(df: DataFrame, key: str = "symbol", ts: str = "ts", order: Sequence[str] | None = None) -> DataFrame:
@@ -48,8 +48,8 @@ def scale_between(c, lo, hi):
     return F.when(hi - lo < F.lit(1e-9), F.lit(0.5)).otherwise((c - lo) / (hi - lo))
 
 
-def minmax(df: DataFrame, col: str, keys: Sequence[str] = ("symbol",), out: str = "scaled") -> DataFrame:
+def minmax(df: DataFrame, col: str, keys: Sequence[str] = ("symbol",), out: str = "scaled", max_rows: int = ROWS_PER_TASK) -> DataFrame:
     """Min-max scaling per series of any length: one small aggregate joined back."""
-    bounds = df.groupBy(*keys).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
+    bounds = df.groupBy(*keys).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"), F.count(F.lit(1)).alias("_n"))
     scaled = scale_between(F.col(col), F.col("_lo"), F.col("_hi"))
-    return df.join(bounds, list(keys)).withColumn(out, scaled).drop("_lo", "_hi")
+    return join_group(df, bounds, keys, "_n", max_rows, "inner").withColumn(out, scaled).drop("_lo", "_hi", "_n")

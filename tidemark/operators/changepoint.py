@@ -49,8 +49,9 @@ def pair_median(x: np.ndarray) -> float:
 
     For long series a sample only says where to look: all distances are counted against
     two bounds around the sample's median, and those between the bounds are held. When
-    the median is not between them, the bounds are moved apart. Distances that are no
-    numbers leave it unknown.
+    the median is not between them, the bounds are moved apart, and at last to the two
+    values of the sample that have it between them. Distances that are no numbers leave it
+    unknown.
     """
     n = len(x)
     if n < 2:
@@ -61,8 +62,11 @@ def pair_median(x: np.ndarray) -> float:
     ranks = ((pairs - 1) // 2, pairs // 2)
     i, j = np.random.default_rng(0).integers(0, n, (2, SAMPLED_PAIRS))
     sample = np.sort(((x[i] - x[j]) ** 2).sum(axis=1)[i != j])
-    for width in (0.01, 0.1, 0.5):
-        lo, hi = (-np.inf, np.inf) if width == 0.5 else np.quantile(sample, (0.5 - width, 0.5 + width), method="lower")
+    if np.isnan(sample).any() or np.isnan(x).any():
+        return math.nan
+    sample = np.concatenate([[-np.inf], sample, [np.inf]])
+    for width in (0.01, 0.1, 0.0):
+        lo, hi = np.quantile(sample, (0.5 - width, 0.5 + width), method="lower") if width else _around(x, sample, ranks)
         below = at_lo = at_hi = 0
         between = []
         for d in _pair_strips(x):
@@ -77,6 +81,23 @@ def pair_median(x: np.ndarray) -> float:
     return math.nan
 
 
+def _around(x: np.ndarray, sample: np.ndarray, ranks: tuple[int, int]) -> tuple[float, float]:
+    """Neighbours in the sorted sample between which the ranks lie: by halving, a count of all distances each time."""
+
+    def last_where(most: int) -> int:
+        """The last of the sample with at most `most` distances below it."""
+        a, b = 0, len(sample)
+        while b - a > 1:
+            middle = (a + b) // 2
+            if sum(int(np.count_nonzero(d < sample[middle])) for d in _pair_strips(x)) <= most:
+                a = middle
+            else:
+                b = middle
+        return a
+
+    return float(sample[last_where(ranks[0])]), float(sample[min(last_where(ranks[1]) + 1, len(sample) - 1)])
+
+
 def block_sums(x: np.ndarray, scale: float, jump: int) -> np.ndarray:
     """Kernel matrix summed over jump x jump blocks, as a two-way running sum.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.series import ROWS_PER_TASK, join_group
+
 
 def _time(text: str):
     return F.lit(text).cast("timestamp_ntz")
@@ -45,16 +47,17 @@ def present_content(df: DataFrame, col: str = "content") -> DataFrame:
     return df.where(F.col(col).isNotNull() & (F.col(col) != ""))
 
 
-def only_newer(new: DataFrame, stored: DataFrame, key: str = "symbol", ts: str = "ts") -> DataFrame:
+def only_newer(new: DataFrame, stored: DataFrame, key: str = "symbol", ts: str = "ts", max_rows: int = ROWS_PER_TASK) -> DataFrame:
     """Rows later than the last stored row of their series; all rows of a series not stored yet."""
     last = stored.groupBy(key).agg(F.max(ts).alias("_last"))
-    return newer_than(new, last, key, ts)
+    return newer_than(new, last, key, ts, max_rows)
 
 
-def newer_than(new: DataFrame, last: DataFrame, key: str = "symbol", ts: str = "ts") -> DataFrame:
+def newer_than(new: DataFrame, last: DataFrame, key: str = "symbol", ts: str = "ts", max_rows: int = ROWS_PER_TASK) -> DataFrame:
     """The same against a table (key, `_last`) of last times."""
+    sizes = new.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).join(last, key)
     return (
-        new.join(last, key, "left")
+        join_group(new, sizes, [key], "_n", max_rows)
         .where(F.col("_last").isNull() | (F.col(ts) > F.col("_last")))
         .select(*new.columns)
     )

@@ -1,7 +1,8 @@
 """Joins between incoming and stored rows.
 
-No side is broadcast by hint: Spark broadcasts a side whose size it has measured, and
-splits skewed partitions of the others (adaptive execution).
+Spark broadcasts a side whose size it has measured, and splits skewed partitions of plain
+joins (adaptive execution). It can't split a side beside an aggregate, so rows that meet one
+row per series go through `join_group`.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import dedup_keep_first, dedup_keep_last
+from tidemark.operators.series import ROWS_PER_TASK, join_group
 
 
 def pair_on_key(new: DataFrame, old: DataFrame, keys: Sequence[str], suffixes: tuple[str, str] = ("_new", "_old")) -> DataFrame:
@@ -58,17 +60,21 @@ def assemble_news(articles: DataFrame, contents: DataFrame, reports: DataFrame,
     return with_reports(with_contents(articles, contents, key), reports, key)
 
 
-def align(df: DataFrame, symbols: Sequence[str], key: str = "symbol", ts: str = "ts", value: str = "close") -> DataFrame:
-    """One row per time that any series has, one column per series: one grouping, not k outer joins."""
-    first = F.first(value, ignorenulls=True)
-    return df.groupBy(ts).pivot(key, list(symbols)).agg(first)
+def align(df: DataFrame, symbols: Sequence[str], order: Sequence[str], key: str = "symbol", ts: str = "ts", value: str = "close") -> DataFrame:
+    """One row per time that any series has, one column per series: one grouping, not k outer joins.
+
+    Of several known values of a series at one time the first in `order` counts.
+    """
+    known = F.when(F.col(value).isNotNull(), F.struct(*order))
+    return df.withColumn("_order", known).groupBy(ts).pivot(key, list(symbols)).agg(F.min_by(value, "_order"))
 
 
-def map_names(df: DataFrame, universes: Sequence[DataFrame], key: str = "symbol", name: str = "full_name") -> DataFrame:
+def map_names(df: DataFrame, universes: Sequence[DataFrame], key: str = "symbol", name: str = "full_name", max_rows: int = ROWS_PER_TASK) -> DataFrame:
     """Adds the full name of each symbol; a later universe overrides an earlier one."""
     ranked = [u.select(key, name).withColumn("_rank", F.lit(i)) for i, u in enumerate(universes)]
     names = dedup_keep_last(reduce(DataFrame.unionByName, ranked), [key], ["_rank", name]).drop("_rank")
-    return df.join(names, key, "left")
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).join(names, key)
+    return join_group(df, sizes, [key], "_n", max_rows).drop("_n")
 
 
 def calendar_grid(df: DataFrame, key: str = "symbol", ts: str = "ts") -> DataFrame:

@@ -20,9 +20,9 @@ def apply_per_series(
     keys: Sequence[str] = ("symbol",),
     ts: str = "ts",
     order: Sequence[str] | None = None,
-    chunk_rows: int = 10_000,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
-    """Runs `fn` for every stored chunk of every series (at most `chunk_rows` rows per call).
+    """Runs `fn` once for every series, or for every chunk of `chunk_rows` rows where asked for.
 
     A call that fails gives one row with its message in `error`; a call without result gives
     no row.

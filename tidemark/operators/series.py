@@ -1,14 +1,15 @@
 """Windows over long series.
 
 A window runs each series in one task. A series with more than `max_rows` rows is
-therefore cut into parts of equal time, about `max_rows` / 20 rows each: the window runs
-inside a part, and what one part needs from another (its last row, its row count) comes
-from a small table with one row per part. Series below the limit are not cut and need no
-such table. The list of long series has at most rows / `max_rows` entries, which bounds
-its broadcast. Parts depend only on the counts and times of the series, so a task that is
-run again cuts them the same way.
-
-A series holds one row per time stamp once repeated rows are removed (see dedup).
+therefore cut at its own quantiles of time into up to `PARTS` parts with about equally
+many rows, wherever in time they lie: the window runs inside a part, and what one part
+needs from another (its last row, its row count) comes from a small table with one row
+per part. Series below the limit are not cut and need no such table. The list of long
+series has at most rows / `max_rows` entries, which bounds its broadcast. Parts follow
+from the rows alone, so a task that is run again cuts them the same way.
+
+A series holds one row per time stamp once repeated rows are removed (see dedup); rows
+of one time stay in one part.
 """
 
 from __future__ import annotations
@@ -20,10 +21,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 5_000_000
-PARTS_PER_TASK = 20
+PARTS = 256
 FIRST_UNDATED_PART = 2**40
 
 
+def join_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, max_rows: int = ROWS_PER_TASK, how: str = "left") -> DataFrame:
+    """`rows` joined with one row per group, of which `size` counts the rows; a group may hold most of them.
+
+    Spark can't split a side that meets an aggregate. Groups above `max_rows`, at most rows /
+    `max_rows` of them, are therefore broadcast, and only the others meet their rows by shuffle.
+    """
+    facts = [c for c in groups.columns if c not in keys]
+    large = F.col(size) > max_rows
+    long_groups = groups.where(large).select(*keys, F.struct(*facts).alias("_large"))
+    short_groups = groups.where(~large).select(*keys, F.lit(0).cast("bigint").alias("_spread"), F.struct(*facts).alias("_small"))
+    marked = rows.join(F.broadcast(long_groups), list(keys), "left")
+    # Rows of long groups go on under keys of their own, which find nothing.
+    spread = F.when(F.col("_large").isNotNull(), F.xxhash64(*rows.columns)).otherwise(F.lit(0))
+    joined = marked.withColumn("_spread", spread).join(short_groups, [*keys, "_spread"], "left")
+    found = F.coalesce("_large", "_small")
+    out = joined if how == "left" else joined.where(found.isNotNull())
+    return out.withColumn("_facts", found).select(*rows.columns, *[F.col(f"_facts.{c}").alias(c) for c in facts])
+
+
 def undated_digest(ts: str, order: Sequence[str]) -> Column:
     """Digest of the order columns for rows without a time, which have nothing else to be spread by."""
     return F.when(F.col(ts).isNull(), F.md5(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in order])))
@@ -48,22 +68,27 @@ def split_long_series(
     read should be taken.
     """
     counted = df if source is None else source
-    parts = F.ceil(F.col("_n") * PARTS_PER_TASK / max_rows)
-    long_series = (
-        counted.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-        .where(F.col("_n") > max_rows)
-        .select(
-            *keys,
-            F.lit(True).alias("_long"),
-            _micros("_lo").alias("_start"),
-            F.ceil((_micros("_hi") - _micros("_lo") + 1) / parts).alias("_width"),
-        )
+    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.where(F.col("_n") > max_rows).select(*keys)
+    shares = F.array(*[F.lit(i / PARTS) for i in range(1, PARTS)])
+    cuts = (
+        counted.select(*keys, _micros(ts).alias("_at"))
+        .join(F.broadcast(large), list(keys))
+        .groupBy(*keys)
+        .agg(F.coalesce(F.percentile_approx("_at", shares, 10 * PARTS), F.array().cast("array<bigint>")).alias("_cuts"))
     )
-    dated = F.floor((_micros(ts) - F.col("_start")) / F.col("_width"))
     undated = F.conv(F.left(undated_digest(ts, order or [ts]), F.lit(3)), 16, 10).cast("bigint") + FIRST_UNDATED_PART
-    part = F.when(F.col("_long"), F.coalesce(dated, undated)).otherwise(F.lit(-1)).cast("bigint")
-    return df.join(F.broadcast(long_series), list(keys), "left").withColumn("_part", part).drop("_long", "_start", "_width")
+    part = F.when(F.col(ts).isNull(), undated).otherwise(_cuts_before("_cuts", _micros(ts)))
+    part = F.when(F.col("_cuts").isNotNull(), part).otherwise(F.lit(-1)).cast("bigint")
+    return df.join(F.broadcast(cuts), list(keys), "left").withColumn("_part", part).drop("_cuts")
+
+
+def _cuts_before(cuts: str, at: Column) -> Column:
+    """How many of the sorted cuts lie before `at`: groups of 16 by their last cut, then within a group."""
+    step = math.isqrt(PARTS)
+    lasts = F.transform(F.sequence(F.lit(step), F.lit(PARTS), F.lit(step)), lambda i: F.get(F.col(cuts), i - 1))
+    whole = F.size(F.filter(lasts, lambda c: c < at)) * step
+    return whole + F.size(F.filter(F.slice(F.col(cuts), whole + 1, F.lit(step)), lambda c: c < at))
 
 
 def with_position(
@@ -149,11 +174,12 @@ def relative_change(
 #
 # e0 = x0, e_t = a x_t + (1 - a) e_(t-1) is a weighted running sum. Rows are taken in
 # blocks so short that the weights stay in range: (1 - a)^block is about 1e-10. Inside a
-# block the sum is a running window. The sums of three earlier blocks carry over, and the
-# rest weigh less than 1e-30 and cannot change a double; the last block of a series is
-# the only short one and has no block to carry to.
+# block the sum is a running window. What all earlier blocks carry into a block follows
+# from their sums by the same recurrence, over groups of GROUP blocks. A group passes its
+# end value on to the next group; two groups away it would weigh less than 1e-640, which
+# makes 0 of any double. Only the last block of a series is short, and it carries nothing.
 
-CARRIED_BLOCKS = 3
+GROUP = 64
 
 
 def block_rows(alpha: float) -> int:
@@ -174,21 +200,25 @@ def ema(df: DataFrame, col: str, alpha: float = 0.3, keys: Sequence[str] = ("sym
     inside = Window.partitionBy(*keys, "_block").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     local = F.pow(keep, F.col("_r")) * F.sum(weighted).over(inside)
     block_end = F.sum(weighted) * (1.0 - alpha) ** (size - 1)
-    sent = F.array(
-        *[
-            F.struct(
-                (F.col("_block") + k + 1).alias("block"),
-                (F.col("_end") * (1.0 - alpha) ** (size * k)).alias("value"),
-            )
-            for k in range(CARRIED_BLOCKS)
-        ]
+    ends = placed.groupBy(*keys, "_block").agg(block_end.alias("_end"))
+    # At most GROUP blocks meet in a group.
+    groups = ends.groupBy(*keys, F.floor(F.col("_block") / GROUP).alias("_group")).agg(
+        F.sort_array(F.collect_list(F.struct("_block", "_end"))).alias("_blocks")
     )
+    over_block = F.lit((1.0 - alpha) ** size)
+    at_end = F.aggregate("_blocks", F.lit(0.0), lambda e, b: e * over_block + b["_end"])
+    before = groups.select(*keys, (F.col("_group") + 1).alias("_group"), at_end.alias("_before"))
+    step = "STRUCT<done: ARRAY<STRUCT<_block: BIGINT, _carry: DOUBLE>>, last: DOUBLE>"
+    start = F.struct(F.array().alias("done"), F.coalesce("_before", F.lit(0.0)).alias("last")).cast(step)
+
+    def advance(acc: Column, b: Column) -> Column:
+        here = F.array(F.struct(b["_block"].alias("_block"), acc["last"].alias("_carry")))
+        return F.struct(F.concat(acc["done"], here).alias("done"), (acc["last"] * over_block + b["_end"]).alias("last")).cast(step)
+
     carry = (
-        placed.groupBy(*keys, "_block")
-        .agg(block_end.alias("_end"))
-        .select(*keys, F.explode(sent).alias("_s"))
-        .groupBy(*keys, F.col("_s.block").alias("_block"))
-        .agg(F.sum("_s.value").alias("_carry"))
+        groups.join(before, [*keys, "_group"], "left")
+        .select(*keys, F.explode(F.aggregate("_blocks", start, advance, lambda acc: acc["done"])).alias("_s"))
+        .select(*keys, "_s._block", "_s._carry")
     )
     smoothed = F.col("_local") + F.pow(keep, F.col("_r") + 1) * F.coalesce("_carry", F.lit(0.0))
     return (
@@ -276,10 +306,20 @@ def with_chunk(
     keys: Sequence[str] = ("symbol",),
     ts: str = "ts",
     order: Sequence[str] | None = None,
-    chunk_rows: int = 10_000,
+    chunk_rows: int | None = None,
+    least: int = 1,
     max_rows: int = ROWS_PER_TASK,
     source: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds `chunk`: the number of the row's file when a series is stored in files of `chunk_rows` rows."""
+    """Adds `chunk`: the number of the row's file when a series is stored in files of `chunk_rows` rows.
+
+    Fewer than `least` rows at the end of a series belong to the chunk before them. Without
+    `chunk_rows` a series is one chunk.
+    """
+    if chunk_rows is None:
+        return df.withColumn("chunk", F.lit(0).cast("bigint"))
     rows = with_position(df, keys, ts, order, "_pos", max_rows, source)
-    return rows.withColumn("chunk", F.floor(F.col("_pos") / chunk_rows).cast("bigint")).drop("_pos")
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    last = F.greatest(F.floor((F.col("_n") - F.lit(least)) / chunk_rows), F.lit(0))
+    chunk = F.least(F.floor(F.col("_pos") / chunk_rows), last).cast("bigint")
+    return join_group(rows, sizes, keys, "_n", max_rows).withColumn("chunk", chunk).drop("_pos", "_n")

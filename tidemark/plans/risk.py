@@ -24,15 +24,20 @@ def chunk_changes(
     keys: Sequence[str] = ("symbol",),
     ts: str = "ts",
     tie: Sequence[str] = (),
-    chunk_rows: int = CHUNK_ROWS,
+    n_bkps: int = 5,
+    *,
+    chunk_rows: int | None,
     max_rows: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Relative changes of close and volume inside every chunk; the first row of a chunk has none.
 
-    Points without a close or volume are left out first.
+    Points without a close or volume are left out first. A series is cut into chunks of
+    `chunk_rows` points (None: one chunk); what is too short at its end for `n_bkps` splits
+    belongs to the chunk before it.
     """
     known = prices.withColumns({"close": drop_nan("close"), "volume": drop_nan("volume")}).dropna(subset=["close", "volume"])
-    chunked = with_chunk(known.select(*keys, ts, *tie, "close", "volume"), keys, ts, [ts, *tie], chunk_rows, max_rows, prices)
+    least = shortest_series(n_bkps) + 1
+    chunked = with_chunk(known.select(*keys, ts, *tie, "close", "volume"), keys, ts, [ts, *tie], chunk_rows, least, max_rows, prices)
     by = [*keys, "chunk"]
     previous = Window.partitionBy(*by).orderBy(ts, *tie)
     return (
@@ -49,9 +54,9 @@ def chunk_changes(
     )
 
 
-def segments(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, chunk_rows: int = CHUNK_ROWS, max_rows: int = ROWS_PER_TASK) -> DataFrame:
+def segments(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, *, chunk_rows: int | None, max_rows: int = ROWS_PER_TASK) -> DataFrame:
     """One row per chunk with its changes in order and its segments."""
-    changes = chunk_changes(prices, keys, ts, tie, chunk_rows, max_rows)
+    changes = chunk_changes(prices, keys, ts, tie, n_bkps, chunk_rows=chunk_rows, max_rows=max_rows)
     return change_points(changes, [*keys, "chunk"], [ts, *tie], n_bkps=n_bkps)
 
 
@@ -62,19 +67,21 @@ def risk_scores(
     tie: Sequence[str] = (),
     n_bkps: int = 5,
     alpha: float = 0.3,
-    chunk_rows: int = CHUNK_ROWS,
+    *,
+    chunk_rows: int | None,
     max_rows: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Risk 0..100 per price point: (keys, chunk, ts, tie, seg, risk_value).
 
-    A series is scored in the chunks its files have (`chunk_rows` rows each), which bounds
-    the work of a task for a series of any length. Rows are shuffled once to number them
+    A series is scored in chunks of `chunk_rows` points, as many as its files have
+    (CHUNK_ROWS), or whole (None). The work grows with the square of a chunk, so a chunk
+    bounds it for a series of any length; scores depend on the choice. Rows are shuffled once to number them
     and once by (series, chunk). Volatility is constant on a segment, so scaling and
     smoothing work on a handful of segments per chunk and the rows are unfolded last.
     Chunks too short for the splits give no rows (see unscored_chunks).
     """
     by = [*keys, "chunk"]
-    cuts = segments(prices, keys, ts, tie, n_bkps, chunk_rows, max_rows)
+    cuts = segments(prices, keys, ts, tie, n_bkps, chunk_rows=chunk_rows, max_rows=max_rows)
     volatility = F.col("segments")["volatility"]
     lo, hi = F.array_min(volatility), F.array_max(volatility)
     levels = F.transform(
@@ -90,10 +97,10 @@ def risk_scores(
     return rows.select(*by, *[F.col(f"_p.{c}").alias(c) for c in (ts, *tie)], "seg", (clipped * 100.0).alias("risk_value"))
 
 
-def unscored_chunks(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, chunk_rows: int = CHUNK_ROWS, max_rows: int = ROWS_PER_TASK) -> DataFrame:
+def unscored_chunks(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, *, chunk_rows: int | None, max_rows: int = ROWS_PER_TASK) -> DataFrame:
     """Chunks without scores: how many points they have, how many were left out as unknown."""
     known = drop_nan("close").isNotNull() & drop_nan("volume").isNotNull()
-    positions = with_chunk(prices.where(known), keys, ts, [ts, *tie], chunk_rows, max_rows, prices)
+    positions = with_chunk(prices.where(known), keys, ts, [ts, *tie], chunk_rows, shortest_series(n_bkps) + 1, max_rows, prices)
     short = (
         positions.groupBy(*keys, "chunk")
         .agg(F.count(F.lit(1)).alias("n_points"))
@@ -108,9 +115,9 @@ def unscored_chunks(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: st
     return short.withColumn("reason", F.lit("too few points")).unionByName(unknown)
 
 
-def current_risk(prices: DataFrame, key: str = "symbol", ts: str = "ts", tie: Sequence[str] = (), **options) -> DataFrame:
-    """The latest rounded score of every series."""
-    scores = risk_scores(prices, [key], ts, tie, **options)
+def current_risk(prices: DataFrame, key: str = "symbol", ts: str = "ts", tie: Sequence[str] = (), *, chunk_rows: int | None, **options) -> DataFrame:
+    """The latest rounded score of every series: that of its last point."""
+    scores = risk_scores(prices, [key], ts, tie, chunk_rows=chunk_rows, **options)
     last = latest(scores, key, ts, [ts, *tie])
     return last.select(key, ts, round_score("risk_value").alias("risk_score"))
 

@@ -196,7 +196,7 @@ def _(spark, sf):
         "predict_date",
         F.lit(0.0).alias("risk_score"),
     )
-    return risk.load_risk(target, risk.risk_scores(prices, tie=["event_id"]), v.AS_OF, tie=["event_id"])
+    return risk.load_risk(target, risk.risk_scores(prices, tie=["event_id"], chunk_rows=risk.CHUNK_ROWS), v.AS_OF, tie=["event_id"])
 
 
 @query(

@@ -48,11 +48,15 @@ def _(spark, sf):
     return daily.withColumn("day", F.col("day").cast("string"))
 
 
-_CHANGES = f"""(SELECT * FROM (SELECT symbol, ts, event_id,
+def changes_sql(prices: str = v.PRICES) -> str:
+    return f"""(SELECT * FROM (SELECT symbol, ts, event_id,
     (close - lag(close) OVER w) / (lag(close) OVER w + 1e-9) AS close_change,
     (volume - lag(volume) OVER w) / (lag(volume) OVER w + 1e-9) AS volume_change,
     row_number() OVER w - 2 AS i
-  FROM {v.PRICES} WINDOW w AS (PARTITION BY symbol ORDER BY ts, event_id)) WHERE i >= 0)"""
+  FROM {prices} WINDOW w AS (PARTITION BY symbol ORDER BY ts, event_id)) WHERE i >= 0)"""
+
+
+_CHANGES = changes_sql()
 
 
 @query(
@@ -78,6 +82,16 @@ def _(spark, sf):
     return aggregates.minmax(rows, "close").drop("close")
 
 
+@query(
+    "a4_minmax_of_long_series",
+    f"""SELECT symbol, ts, event_id, CASE WHEN hi - lo < 1e-9 THEN 0.5 ELSE (close - lo) / (hi - lo) END AS scaled
+       FROM (SELECT *, min(close) OVER (PARTITION BY symbol) AS lo, max(close) OVER (PARTITION BY symbol) AS hi FROM {v.PRICES})""",
+)
+def _(spark, sf):
+    rows = v.prices(spark, sf).select("symbol", "ts", "event_id", "close")
+    return aggregates.minmax(rows, "close", max_rows=60).drop("close")
+
+
 @query(
     "a5_profile",
     f"SELECT symbol, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts FROM {v.PRICES} GROUP BY symbol",
@@ -99,7 +113,7 @@ _PAIRS = f"""(SELECT a.symbol, a.i, b.i AS j,
        FROM pairs WHERE i < j GROUP BY symbol""",
 )
 def _(spark, sf):
-    changes = risk.chunk_changes(v.prices(spark, sf), tie=["event_id"])
+    changes = risk.chunk_changes(v.prices(spark, sf), tie=["event_id"], chunk_rows=risk.CHUNK_ROWS)
     out = changepoint.pair_medians(changes, ["symbol", "chunk"], ["ts", "event_id"], ["close_change", "volume_change"])
     return out.withColumn("pair_median", settle("pair_median"))
 
@@ -113,6 +127,12 @@ def _(spark, sf):
     return changes.select("symbol", "ts", "event_id", "close_change", "volume_change")
 
 
+@query("w1_relative_change_in_parts", f"SELECT symbol, ts, event_id, close_change, volume_change FROM {_CHANGES}")
+def _(spark, sf):
+    changes = ops.relative_change(v.prices(spark, sf), order=["ts", "event_id"], max_rows=20)
+    return changes.select("symbol", "ts", "event_id", "close_change", "volume_change")
+
+
 @query(
     "w2_ema",
     f"""WITH p AS (SELECT symbol, ts, event_id, close, row_number() OVER (PARTITION BY symbol ORDER BY ts, event_id) - 1 AS pos FROM {v.PRICES})
@@ -126,6 +146,28 @@ def _(spark, sf):
     return ops.ema(placed, "close", 0.3).select("symbol", "ts", "event_id", settle("ema").alias("ema"))
 
 
+# Few long series: their first value is large, all others are 0.
+_DOMINANT = f"""(SELECT event_type || '/' || (CAST(symbol AS BIGINT) % 5) AS symbol, ts, event_id,
+  row_number() OVER (PARTITION BY event_type, CAST(symbol AS BIGINT) % 5 ORDER BY ts, event_id) - 1 AS pos FROM {v.PRICES})"""
+
+
+@query(
+    "w2_ema_long",
+    f"""WITH p AS (SELECT symbol, ts, event_id, pos, CASE WHEN pos = 0 THEN 1000000.0::DOUBLE ELSE 0.0 END AS close FROM {_DOMINANT})
+       SELECT a.symbol, a.ts, a.event_id, CAST(ln(sum(CASE WHEN b.pos = 0 THEN 1.0::DOUBLE ELSE 0.3::DOUBLE END * b.close
+         * pow(0.7::DOUBLE, a.pos - b.pos))) AS FLOAT)::DOUBLE AS log_ema
+       FROM p a JOIN p b ON a.symbol = b.symbol AND b.pos <= a.pos GROUP BY a.symbol, a.ts, a.event_id""",
+)
+def _(spark, sf):
+    """Smoothing over several blocks, whatever is left of the first value; series numbered in parts of a few rows."""
+    group = F.concat_ws("/", "event_type", (F.col("symbol").cast("bigint") % 5).cast("string"))
+    rows = v.prices(spark, sf).select(group.alias("symbol"), "ts", "event_id")
+    placed = ops.with_position(rows, ["symbol"], "ts", ["ts", "event_id"], max_rows=20)
+    placed = placed.withColumn("close", F.when(F.col("pos") == 0, 1e6).otherwise(0.0))
+    smooth = ops.ema(placed, "close", 0.3)
+    return smooth.select("symbol", "ts", "event_id", settle(F.log("ema")).alias("log_ema"))
+
+
 _DAILY = f"""daily AS (SELECT symbol, CAST(ts AS DATE) AS day, arg_max(close, ts) AS close FROM {v.PRICES} GROUP BY symbol, CAST(ts AS DATE)),
   grid AS (SELECT symbol, CAST(d AS DATE) AS day FROM (SELECT DISTINCT symbol FROM daily),
     (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS d FROM daily)),
@@ -180,10 +222,10 @@ def _(spark, sf):
 # --- change points and risk ------------------------------------------------------------
 
 
-def segmentation_sql(n_bkps: int = 5) -> str:
+def segmentation_sql(n_bkps: int = 5, prices: str = v.PRICES) -> str:
     """Greedy segmentation in SQL: one round of CTEs per change point, whole kernel matrix."""
     parts = [
-        f"changes AS {_CHANGES}",
+        f"changes AS {changes_sql(prices)}",
         f"pairs AS {_PAIRS}",
         "sizes AS (SELECT symbol, count(*) AS n FROM changes GROUP BY symbol HAVING count(*) >= 27)",
         "scale AS (SELECT symbol, CASE WHEN median(d) = 0 THEN 1.0 ELSE 1.0 / median(d) END AS g FROM pairs WHERE i < j GROUP BY symbol)",
@@ -224,11 +266,11 @@ _SEGMENTS = segmentation_sql()
     f"WITH {_SEGMENTS} SELECT symbol, CAST(0 AS BIGINT) AS chunk, CAST(seg AS INTEGER) AS seg, CAST(end_i AS INTEGER) AS end_i FROM segments",
 )
 def _(spark, sf):
-    cuts = risk.segments(v.prices(spark, sf), tie=["event_id"])
+    cuts = risk.segments(v.prices(spark, sf), tie=["event_id"], chunk_rows=risk.CHUNK_ROWS)
     return cuts.select("symbol", "chunk", F.posexplode(F.col("segments")["end_i"]).alias("seg", "end_i"))
 
 
-_RISK = f"""{_SEGMENTS},
+_RISK_STEPS = """,
   marked AS (SELECT c.*, seg FROM changes c JOIN segments g ON c.symbol = g.symbol AND c.i >= start_i AND c.i < end_i),
   raw AS (SELECT symbol, i, ts, event_id, seg,
     sqrt(pow(stddev_pop(close_change) OVER s, 2) + pow(stddev_pop(volume_change) OVER s, 2)) AS raw
@@ -239,6 +281,11 @@ _RISK = f"""{_SEGMENTS},
     sum(CASE WHEN b.i = 0 THEN 1.0::DOUBLE ELSE 0.3::DOUBLE END * b.x * pow(0.7::DOUBLE, a.i - b.i)) AS e
     FROM scaled a JOIN scaled b ON a.symbol = b.symbol AND b.i <= a.i GROUP BY a.symbol, a.ts, a.event_id, a.seg),
   risk AS (SELECT symbol, ts, event_id, seg, CASE WHEN e < 1e-5 THEN 0.0 ELSE e END * 100.0 AS risk_value FROM smooth)"""
+_RISK = _SEGMENTS + _RISK_STEPS
+# Chunks of 40 points; fewer than 28 at the end of a series belong to the chunk before them.
+_IN_CHUNKS = f"""(SELECT symbol || '#' || least((row_number() OVER w - 1) // 40, greatest((count(*) OVER (PARTITION BY symbol) - 28) // 40, 0)) AS symbol,
+  ts, event_id, close, volume FROM {v.PRICES} WINDOW w AS (PARTITION BY symbol ORDER BY ts, event_id))"""
+_CHUNKED_RISK = segmentation_sql(prices=_IN_CHUNKS) + _RISK_STEPS
 
 
 @query(
@@ -246,17 +293,28 @@ _RISK = f"""{_SEGMENTS},
     f"WITH {_RISK} SELECT symbol, ts, CAST(seg AS INTEGER) AS seg, CAST(risk_value AS FLOAT)::DOUBLE AS risk_value FROM risk",
 )
 def _(spark, sf):
-    scores = risk.risk_scores(v.prices(spark, sf), tie=["event_id"])
+    scores = risk.risk_scores(v.prices(spark, sf), tie=["event_id"], chunk_rows=risk.CHUNK_ROWS)
     return scores.select("symbol", "ts", "seg", settle("risk_value").alias("risk_value"))
 
 
+@query(
+    "w9_chunked",
+    f"""WITH {_CHUNKED_RISK} SELECT split_part(symbol, '#', 1) AS symbol, CAST(split_part(symbol, '#', 2) AS BIGINT) AS chunk, ts, event_id,
+       CAST(seg AS INTEGER) AS seg, CAST(risk_value AS FLOAT)::DOUBLE AS risk_value FROM risk""",
+)
+def _(spark, sf):
+    """Series of two and more chunks, numbered in parts of a few rows: no point but the first of a chunk is left out."""
+    scores = risk.risk_scores(v.prices(spark, sf), tie=["event_id"], chunk_rows=40, max_rows=20)
+    return scores.withColumn("risk_value", settle("risk_value"))
+
+
 @query(
     "w9_current_risk",
     f"""WITH {_RISK} SELECT symbol, ts, round_even(risk_value, 4) AS risk_score FROM risk
        QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, event_id DESC) = 1""",
 )
 def current_risk(spark, sf):
-    return risk.current_risk(v.prices(spark, sf), tie=["event_id"])
+    return risk.current_risk(v.prices(spark, sf), tie=["event_id"], chunk_rows=risk.CHUNK_ROWS)
 
 
 @query(
@@ -268,7 +326,7 @@ def current_risk(spark, sf):
 )
 def _(spark, sf):
     known = F.when(F.col("event_type").isin("view", "click"), F.col("close"))
-    return risk.unscored_chunks(v.prices(spark, sf).withColumn("close", known), tie=["event_id"])
+    return risk.unscored_chunks(v.prices(spark, sf).withColumn("close", known), tie=["event_id"], chunk_rows=risk.CHUNK_ROWS)
 
 
 # --- matrix ----------------------------------------------------------------------------
@@ -300,12 +358,12 @@ _DAILY_TRADES = f"""first_trade AS (SELECT symbol, ts, first(price ORDER BY {v._
 )
 def _(spark, sf):
     rows = v.trades(spark, sf).withColumn("close", F.col("price"))
-    return _day_text(matrix.price_matrix(rows, v.BRANDS, order=list(v.TRADE_ORDER)))
+    return _day_text(matrix.price_matrix(rows, v.brands(spark, sf), order=list(v.TRADE_ORDER)))
 
 
 @query("j4_align", f"SELECT ts, {_wide('close')} FROM {v.BARS} GROUP BY ts")
 def _(spark, sf):
-    return joins.align(v.bars(spark, sf), v.BRANDS)
+    return joins.align(v.bars(spark, sf), v.brands(spark, sf), ["open", "high", "low", "close"])
 
 
 @query("o3_top1_by_date", _LATEST)

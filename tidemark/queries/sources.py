@@ -138,7 +138,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = scratch_path(spark, "risk-files")
-    scores = risk.risk_scores(v.prices(spark, sf), tie=["event_id"])
+    scores = risk.risk_scores(v.prices(spark, sf), tie=["event_id"], chunk_rows=risk.CHUNK_ROWS)
     stamped = cleaning.stamp_risk(scores, v.AS_OF, keep=["symbol"]).withColumn("country", F.lit("USA"))
     files.write_risk(stamped, path)
     back = files.read_risk(spark, path)
@@ -171,6 +171,21 @@ def _(spark, sf):
     return perseries.apply_per_series(rows, _price_range, _RANGE)
 
 
+@query(
+    "x3_long_series",
+    f"""SELECT event_type AS symbol, CAST(0 AS BIGINT) AS chunk, min(close) AS lowest, max(close) AS highest, CAST(NULL AS VARCHAR) AS error
+       FROM {v.PRICES} GROUP BY event_type""",
+)
+def _(spark, sf):
+    """A few series that hold all rows: one call each."""
+
+    def both_ends(pdf):
+        return pd.DataFrame({"lowest": [pdf["close"].min()], "highest": [pdf["close"].max()]})
+
+    rows = v.prices(spark, sf).select(F.col("event_type").alias("symbol"), "ts", "close")
+    return perseries.apply_per_series(rows, both_ends, _RANGE)
+
+
 @query(
     "x4_load_series",
     f"""SELECT symbol, ts, close FROM {v.PRICES} WHERE ts >= TIMESTAMP '{v.AS_OF}' - INTERVAL 3 DAY AND ts <= TIMESTAMP '{v.AS_OF}'""",

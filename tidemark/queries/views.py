@@ -114,10 +114,15 @@ def stored_bars(spark: SparkSession, sf: str) -> DataFrame:
 
 STORED_BARS = f"(SELECT * FROM {BARS} WHERE ts < TIMESTAMP '{BARS_CUTOFF}')"
 
-# The 25 brands of the part table.
+# The 25 brands of the part table: SQL must name its columns.
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 
+def brands(spark: SparkSession, sf: str) -> list[str]:
+    """The symbols of the universe: every brand is a column of the matrix."""
+    return [r[0] for r in table(spark, sf, "part").select("p_brand").distinct().sort("p_brand").collect()]
+
+
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as articles of the company `source`; equal texts share a link. Documents in
     Spanish have no original link, those of the company src0 no date."""
