@@ -54,26 +54,47 @@ def _tokenizer(path: str) -> Tokenizer:
 
 
 class _Segments:
-    """Ids of segments; those of earlier stretches are looked up while there is room for them."""
+    """Ids of segments; those met before are looked up, as long as there is room for them."""
 
-    def __init__(self, path: str, most: int = 1 << 18):
+    def __init__(self, path: str, most: int = 1 << 19):
         self.t, self.most, self.known = _tokenizer(path), most, {}
+        self.line_end = self.t.encode("\n", add_special_tokens=False).ids
 
     def __call__(self, parts: list[str]) -> list[bytes]:
         known = self.known
-        fresh = list({s for s in parts if s not in known})
-        found = {}
-        for a in range(0, len(fresh), 10_000):
-            some = fresh[a : a + 10_000]
-            for s, e in zip(some, self.t.encode_batch_fast(some, add_special_tokens=False)):
-                found[s] = np.array(e.ids, dtype=np.int32).tobytes()
+        found = self._encode(list({s for s in parts if s not in known}))
         out = [known[s] if s in known else found[s] for s in parts]
-        if len(known) + len(found) > self.most:
-            known.clear()
-        if len(found) <= self.most:
-            known.update(found)
+        for s in found:
+            if len(known) >= self.most:
+                break
+            known[s] = found[s]
         return out
 
+    def _encode(self, fresh: list[str]) -> dict[str, bytes]:
+        """Words are encoded many at a time: a line end between them is a token of its own."""
+        found, words, others = {}, [], []
+        for s in fresh:
+            core = s.split()
+            word = len(core) == 1 and (s == core[0] or s == " " + core[0]) and len(self.line_end) == 1
+            (words if word else others).append(s)
+        groups = [words[a : a + 200] for a in range(0, len(words), 200)]
+        for group, e in zip(groups, self.t.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype=np.int32)
+            ends = np.append(np.flatnonzero(ids == self.line_end[0]), len(ids)).tolist()
+            content, start = ids.tobytes(), 0
+            for s, end in zip(group, ends, strict=True):
+                found[s] = content[4 * start : 4 * end]
+                start = end + 1
+        for s, e in zip(others, self.t.encode_batch_fast(others, add_special_tokens=False)):
+            found[s] = np.array(e.ids, dtype=np.int32).tobytes()
+        return found
+
+
+@lru_cache(maxsize=4)
+def _segments(path: str) -> _Segments:
+    """One for all tasks of a worker."""
+    return _Segments(path)
+
 
 def pieces_of(docs: DataFrame, capacity: int = CAPACITY, end: int = 0, vocabulary: str | None = None) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of the pieces of every document."""
@@ -82,7 +103,7 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, end: int = 0, vocabular
     schema = T.StructType([docs.schema["doc_id"], *(T.StructField(n, t) for n, t in kinds)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments, last = _Segments(path), np.array([end], dtype="<u4").tobytes()
+        segments, last = _segments(path), np.array([end], dtype="<u4").tobytes()
         for stretch in stretches(batches, "_text", STRETCH):
             found = encode_by_segments(stretch["_text"], segments)
             offsets, ids = found.offsets.to_numpy(), found.values.to_numpy().astype("<u4").tobytes()
