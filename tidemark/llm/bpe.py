@@ -31,7 +31,7 @@ from tidemark.llm.common import encode_by_segments, query, stretches, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Bytes of text whose words are replayed together; a longer text is a stretch of its own. Rows sent back at once.
-STRETCH, ROWS = 12 << 20, 500
+STRETCH, ROWS = 5 << 20, 500
 NONE = -1
 
 
@@ -39,12 +39,8 @@ class Vocabulary:
     """The ranks of a vocabulary file and the pairs that make them."""
 
     def __init__(self, path: str, pattern: str):
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
-        self.bytes_of = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
         self.base = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         pairs = {}
         for token, rank in ranks.items():
@@ -59,7 +55,7 @@ class Vocabulary:
         """The rank of each pair of tokens, NONE where they don't merge."""
         if not len(self.pairs):
             return np.full(len(left), NONE)
-        key = left << 32 | right
+        key = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         return np.where(self.pairs[at] == key, self.ranks[at], NONE)
 
@@ -69,6 +65,21 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
     return Vocabulary(path, pattern)
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
+@lru_cache(maxsize=4)
+def token_bytes(path: str) -> list[bytes]:
+    """What each id stands for."""
+    ranks = read_ranks(path)
+    out = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
 def _distinct(positions: np.ndarray) -> np.ndarray:
     positions = np.sort(positions)
     return positions[np.append(True, positions[1:] != positions[:-1])] if len(positions) else positions
@@ -78,10 +89,11 @@ def replay(words: list[bytes], v: Vocabulary) -> list[bytes]:
     """The token ids of every word, as 4-byte integers."""
     sizes = np.array([len(w) for w in words], dtype=np.int64)
     ends = np.cumsum(sizes)
-    token = v.base[np.frombuffer(b"".join(words), dtype=np.uint8)]
+    # One stretch has far fewer than 2^31 bytes of distinct words, or one text is larger than a row can be.
+    token = v.base[np.frombuffer(b"".join(words), dtype=np.uint8)].astype(np.int32)
     n = len(token)
-    after = np.arange(1, n + 1)
-    before = np.arange(-1, n - 1)
+    after = np.arange(1, n + 1, dtype=np.int32)
+    before = np.arange(-1, n - 1, dtype=np.int32)
     after[ends[sizes > 0] - 1] = NONE
     before[(ends - sizes)[sizes > 0]] = NONE
     alive = np.ones(n, bool)
@@ -147,7 +159,7 @@ def replay(words: list[bytes], v: Vocabulary) -> list[bytes]:
 class _Words:
     """Ids of segments; words of earlier stretches are looked up while there is room for them."""
 
-    def __init__(self, v: Vocabulary, most: int = 1 << 18):
+    def __init__(self, v: Vocabulary, most: int = 1 << 17):
         self.v, self.most, self.known = v, most, {}
 
     def __call__(self, parts: list[str]) -> list[bytes]:
@@ -195,13 +207,13 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path:
     return rows.mapInArrow(convert, schema)
 
 
-def decode(encoded: DataFrame, id_column: str = "doc_id", path: str | None = None, pattern: str | None = None) -> DataFrame:
+def decode(encoded: DataFrame, id_column: str = "doc_id", path: str | None = None) -> DataFrame:
     """`id_column`, ids and bytes: what the ids stand for."""
-    path, pattern = path or public_tokenizers.path(VOCABULARY), pattern or public_tokenizers.PATTERN
+    path = path or public_tokenizers.path(VOCABULARY)
 
     @F.pandas_udf(T.BinaryType())
     def bytes_of(ids: pd.Series) -> pd.Series:
-        token = vocabulary(path, pattern).bytes_of
+        token = token_bytes(path)
         return ids.map(lambda x: b"".join(map(token.__getitem__, x.tolist())))
 
     return encoded.select(id_column, "ids", bytes_of("ids").alias("bytes"))

@@ -100,15 +100,15 @@ def encode_by_segments(texts: pa.Array, encode: Callable[[list[str]], list[bytes
     parts = pc.split_pattern(texts.take(pa.array(kept)), " ")
     cuts = np.asarray(parts.offsets).astype(np.int64)
     coded = parts.flatten().dictionary_encode()
-    tight = coded.indices.to_numpy().astype(np.int64)
+    tight = coded.indices.to_numpy().copy()
     strings = coded.dictionary.to_pylist()
     values = [" " + s for s in strings]
     number: dict[str, int] = {}
     firsts = cuts[:-1]
     own = [number.setdefault(strings[i], len(number)) for i in tight[firsts].tolist()]
-    tight[firsts] = len(values) + np.array(own, dtype=np.int64)
+    tight[firsts] = len(values) + np.array(own, dtype=np.int32)
     cut = [segments(t) for t in texts.take(pa.array(rest)).to_pylist()]
-    more = np.array([number.setdefault(s, len(number)) for c in cut for s in c], dtype=np.int64) + len(values)
+    more = np.array([number.setdefault(s, len(number)) for c in cut for s in c], dtype=np.int32) + len(values)
     ends = cuts[-1] + np.cumsum([0, *map(len, cut)])
     del strings, coded, parts, cut
     found = encode([*values, *number])
@@ -118,9 +118,12 @@ def encode_by_segments(texts: pa.Array, encode: Callable[[list[str]], list[bytes
     which = np.concatenate([tight, more])
     size = sizes[which]
     until = np.cumsum(size)
-    begin = (np.cumsum(sizes) - sizes)[which]
-    flat = ids[np.repeat(begin - until + size, size) + np.arange(until[-1] if len(until) else 0)]
+    shift = (np.cumsum(sizes) - sizes)[which] - until + size
     offsets = np.concatenate([[0], until])[np.concatenate([cuts, ends[1:]])]
+    place = np.arange(until[-1] if len(until) else 0, dtype=np.int32)
+    place += np.repeat(shift.astype(np.int32), size)
+    del which, until, shift, size
+    flat = ids[place]
     out = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
     back = np.empty(len(texts), dtype=np.int64)
     back[np.concatenate([kept, rest])] = np.arange(len(texts))
