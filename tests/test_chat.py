@@ -82,7 +82,7 @@ def test_scoring_keeps_failed_articles(spark):
         return score
 
     df = spark.createDataFrame([(1, "good"), (2, "bad"), (3, ""), (4, None)], "id int, content string")
-    out = {r.id: (r.response, r.error) for r in chat.score_articles(df, make, parallel=2).collect()}
+    out = {r.id: (r.response, r.error) for r in chat.score_articles(df, make).collect()}
     assert out == {1: ("GOOD", None), 2: (None, "RuntimeError: no answer")}
 
 

@@ -31,6 +31,22 @@ def test_parts_of_a_long_series_are_small(hot):
     assert parts.groupBy("_part").count().agg({"count": "max"}).first()[0] <= 6
 
 
+def test_outliers_and_busy_days_are_cut_by_rows(spark):
+    busy = [("busy", datetime(2024, 1, 1) + timedelta(days=i), 1.0, 1) for i in range(300)]
+    busy += [("busy", datetime(2024, 3, 1, 0, 0) + timedelta(seconds=i), 1.0, 1) for i in range(1, 700)]
+    odd = [("odd", datetime(1970, 1, 1), 1.0, 1)] + [("odd", datetime(2024, 1, 1) + timedelta(minutes=i), 2.0, 1) for i in range(999)]
+    df = spark.createDataFrame(busy + odd, "symbol string, ts timestamp_ntz, close double, volume bigint")
+    parts = ops.split_long_series(df, ["symbol"], "ts", max_rows=100)
+    assert parts.groupBy("symbol", "_part").count().agg({"count": "max"}).first()[0] <= 20
+    whole = ops.with_position(df, ["symbol"], "ts").collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, ops.with_position(df, ["symbol"], "ts", max_rows=100).collect()))
+
+
+@pytest.mark.parametrize("max_rows", [10, 100, 400])
+def test_long_groups_meet_the_same_values(hot, rows, max_rows):
+    assert rows(aggregates.minmax(hot, "close", max_rows=max_rows)) == rows(aggregates.minmax(hot, "close"))
+
+
 @pytest.mark.parametrize("max_rows", [10, 100, 400])
 def test_split_series_give_the_same_results(hot, rows, max_rows):
     whole = rows(ops.relative_change(hot))

@@ -80,7 +80,40 @@ def test_news_drops_bad_dates_after_keeping_the_last_copy(spark):
     good = "Mon, 26 Sep 2016 07:50:00 +0900"
     payload = news_payload(("t1", "u1", "l", "d", good), ("t2", "u1", "l", "d", "soon"), ("t3", "u2", "l", "d", "soon"), ("t4", "u2", "l", "d", good))
     df = spark.createDataFrame([(1, payload), (2, json.dumps({"items": []}))], "seq int, payload string")
-    assert [(r.originallink, r.title) for r in feeds.normalize("news", df).collect()] == [("u2", "t4")]
+    assert [(r.originallink, r.title) for r in feeds.normalize("news", df, keys=[]).collect()] == [("u2", "t4")]
+
+
+def test_news_without_original_link_and_of_two_companies(spark):
+    good = "Mon, 26 Sep 2016 07:50:00 +0900"
+    payload = news_payload(("t1", "", "l1", "d", good), ("t2", "", "l2", "d", good), ("t3", "", "l1", "d", good))
+    df = spark.createDataFrame([("a", 1, payload), ("b", 2, payload)], "company string, seq int, payload string")
+    found = sorted((r.company, r.link, r.title) for r in feeds.normalize("news", df).collect())
+    assert found == [("a", "l1", "t3"), ("a", "l2", "t2"), ("b", "l1", "t3"), ("b", "l2", "t2")]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    for folder, text in [
+        ("a", "date,close,open,high,low,volume\n2024-01-02,10,1,2,0.5,7\n"),
+        ("b", "Date,note,open,high,low,close,volume\n2024-01-03,x,1,2,0.5,2.5,8\n"),
+        ("c", "open,high,low,close,volume\n1500,2,1,1,1\n71000,2,1,1,1\n"),
+        ("d", "date,close\n1500,1\n71000,2\n2024-01-04,3\n"),
+    ]:
+        os.makedirs(tmp_path / folder)
+        (tmp_path / folder / "x.csv").write_text(text)
+    rows = sorted((r.symbol, r.ts.day, r.open, r.close, r.volume) for r in files.read_prices(spark, str(tmp_path)).collect())
+    assert rows == [("a", 2, 1.0, 10.0, 7.0), ("b", 3, 1.0, 2.5, 8.0), ("d", 4, None, 3.0, None)]
+
+
+def test_old_days_go_with_their_folders(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("a", datetime(2024, m, d), float(m)) for m in (1, 2, 3) for d in (5, 25)], "symbol string, ts timestamp_ntz, close double")
+    files.append_prices(df, path, by=[])
+    files.drop_old_days(spark, path, 10, "2024-02-20")
+    kept = sorted((r.ts.month, r.ts.day) for r in spark.read.parquet(path).collect())
+    assert kept == [(2, 25), (3, 5), (3, 25)]
+    assert sorted(x for x in os.listdir(path) if "=" in x) == ["month=2024-02-01", "month=2024-03-01"]
+    files.drop_old_days(spark, path, 0, "2024-02-28")
+    assert sorted(x for x in os.listdir(path) if "=" in x) == ["month=2024-03-01"]
 
 
 def test_keyed_json(spark, tmp_path):

@@ -29,7 +29,7 @@ def test_stream_equals_batch(spark, tmp_path):
     expected = first.union(filters.only_newer(second, first))
     assert keys(prices.stored_prices(spark, f"{home}/table")) == keys(expected)
     assert keys(prices.late_prices(spark, f"{home}/table")) == [("a", 2, 2.5), ("b", 4, 4.0)]
-    assert ("a", 2, 2.5) in keys(prices.current_prices(spark, f"{home}/table"))
+    assert ("a", 2, 2.5) in keys(prices.current_prices(spark, f"{home}/table", order=["close"]))
     prices.stream_prices(spark, f"{home}/landing", f"{home}/table", first.schema)
     assert prices.stored_prices(spark, f"{home}/table").count() == 5
 
@@ -77,7 +77,7 @@ def test_redelivered_rows_are_stored_once(spark, tmp_path):
     for delivery in (bars(spark, ("a", 1, 1.0), ("a", 2, 2.0)), bars(spark, ("a", 2, 2.0), ("a", 3, 3.0))):
         deliver(spark, delivery, home)
         prices.stream_distinct(spark, f"{home}/landing", f"{home}/table", delivery.schema, keys=("symbol", "ts"))
-    assert keys(spark.read.parquet(f"{home}/table/rows")) == [("a", 1, 1.0), ("a", 2, 2.0), ("a", 3, 3.0)]
+    assert keys(prices.distinct_rows(spark, f"{home}/table")) == [("a", 1, 1.0), ("a", 2, 2.0), ("a", 3, 3.0)]
 
 
 def test_headlines_of_new_pages(spark, tmp_path):
@@ -109,3 +109,31 @@ def test_often_delivered_article_is_unseen_once(spark, tmp_path):
         news.stream_articles(spark, f"{home}/landing", f"{home}/table", delivery.schema)
     seen = [r.link for r in news.unseen_articles(spark, f"{home}/table").collect()]
     assert sorted(seen) == ["hot", "u0", "u1", "u2", "u3", "u4"]
+
+
+def test_first_delivery_may_come_late(spark, tmp_path):
+    home = str(tmp_path)
+    march, late = bars(spark, ("a", 31, 1.0)), bars(spark, ("a", 1, 5.0), ("a", 31, 1.0), ("b", 31, 2.0))
+    for delivery in (march, late, late):
+        deliver(spark, delivery, home)
+        prices.stream_distinct(spark, f"{home}/landing", f"{home}/table", delivery.schema, keys=("symbol", "ts"))
+    assert keys(prices.distinct_rows(spark, f"{home}/table")) == [("a", 1, 5.0), ("a", 31, 1.0), ("b", 31, 2.0)]
+
+
+def test_compaction_and_merged_times(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(prices, "MERGE", 2)
+    table = str(tmp_path / "t")
+    for b, d in enumerate((1, 2, 3, 4, 5)):
+        prices.store_batch(bars(spark, ("a", d, float(d)), *([("z", 9, 1.0)] if b == 0 else [])), b, table, "symbol", "ts")
+        if b in (2, 3):
+            prices.compact(spark, table, keep=1)
+    prices.store_batch(bars(spark, ("z", 8, 2.0), ("a", 5, 7.0)), 5, table, "symbol", "ts")
+    assert keys(prices.stored_prices(spark, table)) == [("a", d, float(d)) for d in (1, 2, 3, 4, 5)] + [("z", 9, 1.0)]
+    assert keys(prices.late_prices(spark, table)) == [("a", 5, 7.0), ("z", 8, 2.0)]
+
+
+def test_two_late_copies_in_one_batch(spark, tmp_path):
+    table = str(tmp_path / "t")
+    prices.store_batch(bars(spark, ("a", 1, 1.0)), 0, table, "symbol", "ts")
+    prices.store_batch(bars(spark, ("a", 1, 3.0), ("a", 1, 2.0)), 1, table, "symbol", "ts")
+    assert keys(prices.current_prices(spark, table, order=["close"])) == [("a", 1, 3.0)]

@@ -21,9 +21,10 @@ def parse_time(c: ColumnOrName) -> Column:
     """Text to UTC wall time; text that is no time becomes null.
 
     Text with an offset is moved to UTC, text without one is taken as UTC
-    (the session runs in UTC).
+    (the session runs in UTC). A number is no time: four digits and a month are needed.
     """
-    return F.try_to_timestamp(_col(c)).cast("timestamp_ntz")
+    dated = F.when(_col(c).cast("string").rlike(r"^\s*\d{4}-\d"), _col(c))
+    return F.try_to_timestamp(dated).cast("timestamp_ntz")
 
 
 def parse_news_date(c: ColumnOrName) -> Column:

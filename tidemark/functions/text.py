@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+import re
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,21 +15,26 @@ DROPPED_ELEMENTS = ("script", "style", "noscript", "nav", "header", "footer", "a
 # Elements that end a line of text.
 LINE_ELEMENTS = "p|br|div|li|h1|h2|h3|h4|h5|h6|tr|section|article"
 
-# Character references and what they stand for; the ampersand comes last.
-ENTITIES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&middot;": "·",
-    "&copy;": "©",
-    "&amp;": "&",
-}
+# Named character references, from the table that Python's standard library has of them.
+ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")} | {"nbsp": " "}
 
 
 def decode_entities(c: Column) -> Column:
-    return reduce(lambda out, item: F.replace(out, F.lit(item[0]), F.lit(item[1])), ENTITIES.items(), c)
+    """Character references, named and numeric, as the characters they stand for; unknown ones stay."""
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        digits = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 8))
+        code = F.when(name.startswith("#"), digits.cast("int"))
+        real = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        character = F.when(code == 160, " ").when(real, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        known = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
+        text = F.coalesce(character, F.when(name != "", F.try_element_at(known, name)))
+        return F.when(text.isNotNull(), F.concat(text, F.substr(part, F.length(name) + 2))).otherwise(F.concat(F.lit("&"), part))
+
+    parts = F.split(c, "&")
+    joined = F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), decoded), ""))
+    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)
 
 
 def squeeze(c: Column) -> Column:
@@ -59,8 +66,25 @@ def article_text(html: Column) -> Column:
     return strip_markup(part)
 
 
+def element_content(html: Column, selector: str) -> Column:
+    """What the first element that matches holds, down to its own end; `selector` is a name, or name.class."""
+    name, _, wanted = selector.partition(".")
+    holds = rf"""(?=[^>]*\bclass\s*=\s*["']?[^"'>]*(?<![\w-]){re.escape(wanted)}(?![\w-]))""" if wanted else ""
+    rest = F.regexp_extract(html, rf"(?is)<{name}\b{holds}[^>]*>(.*)", 1)
+    # Pieces that begin with a start or an end of an element of that name: the content ends where the ends prevail.
+    pieces = F.split(rest, rf"(?i)(?=</?{name}\b)")
+    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
+
+    def advance(acc: Column, piece: Column) -> Column:
+        turn = F.when(piece.rlike(rf"(?i)^</{name}\b"), -1).when(piece.rlike(rf"(?i)^<{name}\b"), 1).otherwise(0)
+        depth = F.when(acc["depth"] > 0, acc["depth"] + turn).otherwise(0)
+        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(acc["text"], piece)).otherwise(acc["text"]).alias("text"))
+
+    return F.aggregate(pieces, start, advance, lambda acc: acc["text"])
+
+
 def anchor_texts(html: Column, container: str) -> Column:
-    """Texts of the links inside the first `container` element, in page order."""
-    block = F.regexp_extract(html, rf"(?is)<{container}\b[^>]*>(.*?)</{container}>", 1)
-    anchors = F.regexp_extract_all(block, F.lit(r"(?is)<li\b[^>]*>[ \t\r\n]*<a\b[^>]*>(.*?)</a>"), 1)
+    """Texts of the links at any depth below list items of the first `container`, in page order."""
+    items = F.regexp_extract_all(element_content(html, container), F.lit(r"(?is)<li\b[^>]*>(.*?)</li>"), 1)
+    anchors = F.flatten(F.transform(items, lambda i: F.regexp_extract_all(i, F.lit(r"(?is)<a\b[^>]*>(.*?)</a>"), F.lit(1))))
     return F.transform(anchors, lambda a: squeeze(decode_entities(F.regexp_replace(a, r"(?s)<[^>]*>", ""))))

@@ -53,8 +53,8 @@ def reconcile(new: DataFrame, stored: DataFrame, keys: Sequence[str] = ("symbol"
     return pairs.withColumn("_changed", changed).withColumns(taken).select(*stored.columns)
 
 
-def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str] = RISK_KEYS, update_cols: Sequence[str] = RISK_VALUES, order: Sequence[str] = ()) -> DataFrame:
-    """Updates `update_cols` of stored keys, adds the other rows; later rows of a batch win.
+def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str] = RISK_KEYS, update_cols: Sequence[str] = RISK_VALUES, *, order: Sequence[str]) -> DataFrame:
+    """Updates `update_cols` of stored keys, adds the other rows; of a batch's rows with one key the last in `order` wins.
 
     A batch without a required column changes nothing.
     """
@@ -63,7 +63,7 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str] = RISK_KEYS, u
     if missing:
         log.error("batch not written, columns missing: %s", sorted(missing))
         return target
-    batch = dedup_keep_last(new, keys, order) if order else new.dropDuplicates(list(keys))
+    batch = dedup_keep_last(new, keys, order)
     others = [c for c in target.columns if c not in keys]
     given = [c for c in others if c in batch.columns]
     batch = batch.select(*keys, F.struct(*given).alias("_new"), F.lit(True).alias("_is_new"))

@@ -63,17 +63,15 @@ def score_articles(
     make_scorer: Callable[[], Callable[[str], str]],
     key: str = "id",
     content: str = "content",
-    parallel: int | None = None,
 ) -> DataFrame:
     """Response text of a user's scorer for every article with content: (key, response, error).
 
     `make_scorer` is called once per task and returns the function from instruction to
-    response. An article that fails keeps its row with the message in `error`.
-    `parallel` bounds the number of tasks that call the scorer at a time.
+    response. An article that fails keeps its row with the message in `error`. A scorer that
+    must not be called too often keeps its own rate. Write the result before it is used
+    twice: each use scores again.
     """
     todo = present_content(df, content).select(key, instruction(content).alias("instruction"))
-    if parallel:
-        todo = todo.repartition(parallel)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.chat import parse_analysis, score_articles
+from tidemark.operators.dedup import dedup_keep_last
+from tidemark.session import scratch_path
 from tidemark.sources.pages import extract_articles
 
 
@@ -20,24 +22,33 @@ class Analysis(NamedTuple):
     failures: DataFrame
 
 
-def article_contents(articles: DataFrame, pages: DataFrame) -> DataFrame:
-    """(id, content, error) of each article from the page at its original link."""
-    texts = extract_articles(pages.select("url", "html"))
+def article_contents(articles: DataFrame, pages: DataFrame, page_order: Sequence[str] = ("html",)) -> DataFrame:
+    """(id, content, error) of each article from the page at its original link, the last in `page_order`."""
+    last = dedup_keep_last(pages.select("url", "html", *[c for c in page_order if c != "html"]), ["url"], page_order)
+    texts = extract_articles(last.select("url", "html"))
     found = articles.select("id", F.col("originallink").alias("url")).join(texts, "url", "left")
     missing = F.when(F.col("content").isNull(), F.lit("page not fetched"))
     return found.select("id", F.coalesce("content", F.lit("")).alias("content"), F.coalesce("error", missing).alias("error"))
 
 
 def analyse_articles(
-    articles: DataFrame, pages: DataFrame, make_scorer: Callable[[], Callable[[str], str]], parallel: int | None = None
+    articles: DataFrame,
+    pages: DataFrame,
+    make_scorer: Callable[[], Callable[[str], str]],
+    page_order: Sequence[str] = ("html",),
+    path: str | None = None,
 ) -> Analysis:
     """Texts and reports of articles, in the shape load_news takes.
 
-    The scorer may be slow or cost money: write its answers to a table before they are
-    used more than once.
+    The scorer may be slow, cost money or answer differently: its answers are written to
+    `path` (a scratch folder without it) once, and reports and failures are split from there.
     """
-    contents = article_contents(articles, pages)
-    scored = score_articles(contents, make_scorer, parallel=parallel)
+    spark = articles.sparkSession
+    contents = article_contents(articles, pages, page_order)
+    answers = score_articles(contents, make_scorer)
+    path = path or scratch_path(spark, "scored")
+    answers.write.mode("overwrite").parquet(path)
+    scored = spark.read.schema(answers.schema).parquet(path)
     answered = parse_analysis(scored.where(F.col("error").isNull()).drop("error"))
     meta = articles.select("id", F.date_format("pub_date", "yyyy-MM-dd HH:mm:ss").alias("pubDate"), "title", "originallink", "link")
     return Analysis(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import drop_nan, round_score
 from tidemark.operators.aggregates import latest, scale_between
-from tidemark.operators.changes import upsert
+from tidemark.operators.changes import RISK_VALUES, upsert
 from tidemark.operators.changepoint import change_points, shortest_series
 from tidemark.operators.cleaning import stamp_risk
 from tidemark.operators.dedup import dedup_keep_last
@@ -132,4 +132,4 @@ def risk_rows(scores: DataFrame, as_of: str, key: str = "symbol", ts: str = "ts"
 
 def load_risk(target: DataFrame, scores: DataFrame, as_of: str, **options) -> DataFrame:
     """The risk table with the scores of one run: rows of the same run date and day are updated."""
-    return upsert(target, risk_rows(scores, as_of, **options))
+    return upsert(target, risk_rows(scores, as_of, **options), order=RISK_VALUES)

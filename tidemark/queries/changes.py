@@ -12,6 +12,8 @@ from tidemark.queries import views as v
 from tidemark.queries.registry import query
 from tidemark.queries.series import _RISK
 from tidemark.schemas import Field, Table
+from tidemark.session import scratch_path
+from tidemark.sources import files
 
 # --- joins -----------------------------------------------------------------------------
 
@@ -172,6 +174,35 @@ def _(spark, sf):
     return ops.upsert(target, batch, order=["event_id"])
 
 
+@query(
+    "k3_upsert_table",
+    f"""WITH target AS (SELECT * FROM {_SCORES} WHERE event_type <> 'view' {_LAST_SCORE}),
+       batch AS (SELECT * REPLACE ('Updated' AS analysis_result) FROM {_SCORES} WHERE event_type IN ('view', 'click')
+         AND predict_date < '2024-01-11' {_LAST_SCORE})
+       SELECT company_code, model_name, coalesce(b.analysis_result, t.analysis_result) AS analysis_result, test_date, predict_date,
+       coalesce(b.risk_score, t.risk_score) AS risk_score
+       FROM target t FULL JOIN batch b USING (company_code, model_name, test_date, predict_date)""",
+)
+def _(spark, sf):
+    """A stored table in folders of its days: the batch's days are written anew, the others stay as they are."""
+    path = scratch_path(spark, "risk-table")
+    scores = _daily_scores(spark, sf)
+    target = ops.dedup_keep_last(scores.where("event_type <> 'view'"), ops.RISK_KEYS, ["event_id"]).drop("event_id", "event_type")
+    target.write.partitionBy("predict_date").parquet(path)
+    batch = scores.where("event_type IN ('view', 'click') AND predict_date < '2024-01-11'").withColumn("analysis_result", F.lit("Updated"))
+    files.upsert_table(batch, path, ops.RISK_KEYS, ops.RISK_VALUES, ["event_id"], ["predict_date"])
+    back = spark.read.parquet(path)
+    return back.withColumn("predict_date", F.date_format("predict_date", "yyyy-MM-dd"))
+
+
+@query("f3_drop_old_days", f"SELECT symbol, ts, close FROM {v.BARS} WHERE CAST(ts AS DATE) >= DATE '1998-06-15'")
+def _(spark, sf):
+    path = scratch_path(spark, "retained")
+    files.append_prices(v.bars(spark, sf).select("symbol", "ts", "close"), path, by=[])
+    files.drop_old_days(spark, path, 10, "1998-06-25")
+    return spark.read.parquet(path).drop("month")
+
+
 @query(
     "k3_load_risk",
     f"""WITH {_RISK}, days AS (SELECT DISTINCT symbol, strftime(ts, '%Y-%m-%d') AS day FROM {v.PRICES}),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import chat, news
-from tidemark.operators.series import last_n
 from tidemark.plans.news import analyse_articles
 from tidemark.queries import views as v
 from tidemark.queries.registry import query, settle
@@ -18,16 +17,17 @@ from tidemark.sources import feeds, files, pages
 
 @query(
     "s7_normalize_news",
-    f"""SELECT id AS seq, title, link AS originallink, pub_date FROM
-       (SELECT * FROM {v.ARTICLES} QUALIFY row_number() OVER (PARTITION BY link ORDER BY id DESC) = 1) WHERE pub_date IS NOT NULL""",
+    f"""SELECT company, id AS seq, title, originallink, pub_date FROM
+       (SELECT * FROM {v.ARTICLES} QUALIFY row_number() OVER (PARTITION BY company, link ORDER BY id DESC) = 1) WHERE pub_date IS NOT NULL""",
 )
 def _(spark, sf):
+    """Articles in Spanish have no original link: the feed's own counts."""
     date = F.coalesce(F.date_format("pub_date", "EEE, dd MMM yyyy HH:mm:ss +0000"), F.lit("yesterday"))
     item = F.struct(
-        "title", F.col("link").alias("originallink"), "link", F.col("content").alias("description"), date.alias("pubDate")
+        "title", "originallink", "link", F.col("content").alias("description"), date.alias("pubDate")
     )
-    answers = v.articles(spark, sf).select(F.col("id").alias("seq"), F.to_json(F.struct(F.array(item).alias("items"))).alias("payload"))
-    return feeds.normalize("news", answers).select("seq", "title", "originallink", "pub_date")
+    answers = v.articles(spark, sf).select("company", F.col("id").alias("seq"), F.to_json(F.struct(F.array(item).alias("items"))).alias("payload"))
+    return feeds.normalize("news", answers).select("company", "seq", "title", "originallink", "pub_date")
 
 
 def _sql_replace_entities(c: str) -> str:
@@ -67,6 +67,31 @@ def _(spark, sf):
     return rows.select("page_id", "url", "title", F.md5("content").alias("content_md5"), "error")
 
 
+# Pages with known text around the real ones: references of every kind, and a list inside other elements.
+_KNOWN_HTML = (
+    '<div class="top"><div>x</div></div><div id="a" class="box hotNewsList"><div><ul><li><div><b>1</b> <a href="#">first &mdash; one</a></div></li>'
+    "<li><p><a href='#'>second</a><a>third</a></p></li></ul></div></div><div><ul><li><a>not this</a></li></ul></div>"
+    "<article>It&#8217;s &#x27;so&#x27; &hellip; &amp;lt; &unknown; &eacute;&copy;</article>"
+)
+_KNOWN_TEXT = "It’s ''so'' … &lt; &unknown; é©"
+
+
+@query("s8_known_text", f"SELECT page_id, '{_KNOWN_TEXT}' AS content FROM pages")
+def _(spark, sf):
+    known = v.table(spark, sf, "pages").select("page_id", F.concat(F.lit("<body>"), F.lit(_KNOWN_HTML), F.lit("</body>")).alias("html"))
+    return pages.extract_articles(known).select("page_id", "content")
+
+
+@query(
+    "s9_known_headlines",
+    """SELECT page_id, CAST(r AS INTEGER) AS rank, h AS headline FROM pages,
+       (SELECT unnest([0, 1, 2]) AS r, unnest(['first — one', 'second', 'third']) AS h)""",
+)
+def _(spark, sf):
+    known = v.table(spark, sf, "pages").select("page_id", F.concat("html", F.lit(_KNOWN_HTML)).alias("html"))
+    return pages.top_headlines(known, 10, "div.hotNewsList")
+
+
 _ANCHOR = _sql_squeeze(_sql_replace_entities("regexp_replace(a, '(?s)<[^>]*>', '', 'g')"))
 HEADLINES = f"""SELECT page_id, url, CAST(r - 1 AS INTEGER) AS rank, {_ANCHOR} AS headline FROM
   (SELECT page_id, url, unnest(t) AS a, generate_subscripts(t, 1) AS r FROM
@@ -98,6 +123,18 @@ def _(spark, sf):
     return back.select("id", "entry.sentiment", positive.alias("positive"), F.col("entry.pubDate").alias("report_date"))
 
 
+@query(
+    "s10_keyed_documents",
+    f"SELECT CAST(id AS VARCHAR) AS id, sentiment, pubDate AS report_date FROM {v.REPORTS}",
+)
+def _(spark, sf):
+    path = scratch_path(spark, "documents")
+    entries = chat.keyed_entries(v.reports(spark, sf), "id", ["sentiment", "positiveKeywords", "negativeKeywords", "pubDate"])
+    files.write_keyed_documents(entries, path, entries_per_document=100)
+    back = files.read_keyed_documents(spark, path, REPORT_ENTRY)
+    return back.select("id", "entry.sentiment", F.col("entry.pubDate").alias("report_date"))
+
+
 # --- news tables -----------------------------------------------------------------------
 
 
@@ -154,6 +191,36 @@ def _(spark, sf):
     return _load(spark, sf)["news_sentiment"]
 
 
+@query(
+    "k6_load_news_tables",
+    f"""WITH {_NUMBERED} SELECT 'news_main' AS name, news_id, link AS value FROM numbered
+       UNION ALL SELECT 'news_company', news_id, company FROM numbered WHERE company <> ''
+       UNION ALL SELECT 'news_sentiment', news_id, CAST(has_report AS VARCHAR) FROM numbered
+       UNION ALL SELECT 'news_main', id + 1, link FROM {v.ARTICLES} WHERE lang = 'fr'""",
+)
+def _(spark, sf):
+    """Loads into the tables that the load reads: the first run stops after its staging and one table, the second
+    completes it, the third adds nothing."""
+    home = scratch_path(spark, "news-tables")
+    articles = v.articles(spark, sf)
+    contents, reports = articles.where("lang <> 'de'").select("id", "content"), v.reports(spark, sf)
+    known = articles.where("lang = 'fr'").select((F.col("id") + 1).alias("news_id"), F.col("link").alias("news_api"))
+    articles = articles.drop("content", "lang")
+    # The tables as they are first: French articles, no companies and no scores.
+    staged = news.stage_news(articles, contents, reports, known, f"{home}/staging")
+    empty = news.news_tables(staged)
+    tables = {name: f"{home}/{name}" for name in empty}
+    empty["news_main"].limit(0).unionByName(known, allowMissingColumns=True).write.parquet(tables["news_main"])
+    for name in ("news_company", "news_sentiment"):
+        empty[name].limit(0).write.parquet(tables[name])
+    empty["news_company"].write.mode("append").parquet(tables["news_company"])
+    for _ in range(2):
+        news.load_news_tables(articles, contents, reports, tables, f"{home}/staging")
+    values = {"news_main": F.col("news_api"), "news_company": F.col("company_code"), "news_sentiment": F.col("has_report").cast("string")}
+    parts = [spark.read.parquet(tables[n]).select(F.lit(n).alias("name"), "news_id", c.alias("value")) for n, c in values.items()]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 @query("k6_rejected", f"SELECT id, company FROM {v.ARTICLES} WHERE pub_date IS NULL")
 def _(spark, sf):
     return _load(spark, sf)["rejected"].select("id", "company")
@@ -201,18 +268,19 @@ def _(spark, sf):
 
 @query(
     "l2_analyse_articles",
-    f"""SELECT page_id AS id, CASE WHEN length(t) <= 5000 THEN CAST(100 / (100 + length(t)) AS FLOAT)::DOUBLE END AS score,
+    f"""SELECT id, CASE WHEN length(t) <= 5000 THEN CAST(100 / (100 + length(t)) AS FLOAT)::DOUBLE END AS score,
        CASE WHEN length(t) > 5000 THEN 'ValueError: article too long' END AS error
-       FROM (SELECT page_id, {_TEXT} AS t FROM pages) WHERE t <> ''""",
+       FROM (SELECT a.page_id AS id, {_TEXT} AS t FROM (SELECT page_id, page_id % 40 AS link FROM pages) a
+         JOIN (SELECT page_id % 40 AS link, arg_max(html, page_id) AS html FROM pages GROUP BY page_id % 40) b ON a.link = b.link) WHERE t <> ''""",
 )
 def _(spark, sf):
-    """Every page is an article of its own: extracted, scored and parsed."""
-    rows = v.table(spark, sf, "pages").withColumn("link", F.concat_ws("#", "url", F.col("page_id").cast("string")))
+    """Many articles share a page that was fetched many times: the last copy is extracted and scored."""
+    rows = v.table(spark, sf, "pages").withColumn("link", (F.col("page_id") % 40).cast("string"))
     date = F.timestamp_add("HOUR", F.col("page_id"), v.ntz("2024-01-01 00:00:00"))
     articles = rows.select(
         F.col("page_id").alias("id"), F.lit("").alias("title"), F.col("link").alias("originallink"), "link", date.alias("pub_date")
     )
-    out = analyse_articles(articles, rows.select(F.col("link").alias("url"), "html"), length_scorer)
+    out = analyse_articles(articles, rows.select(F.col("link").alias("url"), "html", "page_id"), length_scorer, ["page_id"])
     reports = out.reports.select("id", settle(F.col("sentiment").cast("double")).alias("score"), F.lit(None).cast("string").alias("error"))
     return reports.unionByName(out.failures.withColumn("score", F.lit(None).cast("double")))
 
@@ -325,10 +393,10 @@ def _(spark, sf):
 @query(
     "a8_nested_messages",
     """SELECT conv_id, md5(string_agg(role || ':' || text, '|' ORDER BY turn)) AS messages_md5
-       FROM (SELECT * FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) <= 20) GROUP BY conv_id""",
+       FROM conversations GROUP BY conv_id""",
 )
 def _(spark, sf):
-    nested = chat.nested_messages(last_n(v.table(spark, sf, "conversations"), 20))
+    nested = chat.nested_messages(v.table(spark, sf, "conversations"))
     joined = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|")
     return nested.select("conv_id", F.md5(joined).alias("messages_md5"))
 

@@ -24,6 +24,26 @@ def _(spark, sf):
     return files.read_prices(spark, path)
 
 
+@query(
+    "s1_read_prices_by_name",
+    f"""SELECT symbol, ts, open, high, low, close, CAST(volume AS DOUBLE) AS volume FROM {v.BARS} WHERE symbol < 'Brand#2'""",
+)
+def _(spark, sf):
+    """Files with other orders of columns and further columns; files without a date give nothing."""
+    path = scratch_path(spark, "mixed-files")
+    bars = v.bars(spark, sf).withColumn("date", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS+00:00"))
+    bars = bars.withColumn("note", F.lit("x,y"))
+    layouts = [
+        ("symbol < 'Brand#12'", ["date", "close", "open", "high", "low", "volume"]),
+        ("symbol >= 'Brand#12' AND symbol < 'Brand#2'", ["date", "note", "Volume", "high", "open", "low", "close"]),
+        ("symbol >= 'Brand#2'", ["open", "high", "low", "close", "volume"]),
+    ]
+    for where, columns in layouts:
+        rows = bars.where(where).select("symbol", *columns)
+        rows.write.mode("append").option("header", True).partitionBy("symbol").csv(path)
+    return files.read_prices(spark, path)
+
+
 @query(
     "s2_read_prices_range",
     f"""SELECT symbol, ts, close, volume FROM {v.BARS}

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import parse_news_date, parse_time, to_utc
+from tidemark.functions import news_key, parse_news_date, parse_time, to_utc
 from tidemark.operators.cleaning import coerce_numeric, normalize_columns
 from tidemark.operators.dedup import dedup_keep_last
 from tidemark.operators.sets import union_all
@@ -61,11 +61,15 @@ def normalize_json_prices(df: DataFrame, keys: Sequence[str] = ("symbol",), orde
 
 
 @feed("news")
-def normalize_news(df: DataFrame, keys: Sequence[str] = (), order: Sequence[str] = ("seq",), payload: str = "payload") -> DataFrame:
-    """Items of news answers: last copy per link, then only those with a date."""
+def normalize_news(df: DataFrame, keys: Sequence[str] = ("company",), order: Sequence[str] = ("seq",), payload: str = "payload") -> DataFrame:
+    """Items of news answers: last copy per link within `keys` (the company asked for), then only those with a date.
+
+    The link is the original one, or the feed's own where the original is empty.
+    """
     items = F.from_json(payload, NEWS_PAYLOAD)["items"]
     rows = df.select(*keys, *order, F.posexplode(items).alias("_at", "_v")).select(*keys, *order, "_at", "_v.*")
-    last = dedup_keep_last(rows, [*keys, "originallink"], [*order, "_at"]).drop("_at")
+    keyed = rows.withColumn("_key", news_key("originallink", "link"))
+    last = dedup_keep_last(keyed, [*keys, "_key"], [*order, "_at"]).drop("_at", "_key")
     return last.withColumn("pub_date", parse_news_date("pubDate")).drop("pubDate").where(F.col("pub_date").isNotNull())
 
 

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import parse_time
 from tidemark.operators.filters import between_dates
+from tidemark.operators.changes import upsert
 from tidemark.operators.joins import anti_existing
 from tidemark.schemas import PRICE_FILE
 
@@ -26,18 +28,32 @@ def _folder_symbol():
     return F.when(written, _decode(F.regexp_replace(folder, "^symbol=", ""))).otherwise(folder)
 
 
-def read_prices(spark: SparkSession, path: str, schema: str = PRICE_FILE) -> DataFrame:
+def read_prices(spark: SparkSession, path: str, schema: str = PRICE_FILE, width: int = 64) -> DataFrame:
     """All price files below `path`, one folder per symbol; times in UTC.
 
-    Columns are read by place, as text or numbers named in `schema`, so that symbols such
-    as 005930 stay text. Rows whose date cannot be read (also: files without dates) give
-    no rows.
+    Columns are found by the names in each file's first line, whatever their order; columns
+    that `schema` doesn't name are left out, missing ones are null. A file without `date`
+    and rows whose date can't be read give no rows. Lines have at most `width` columns.
+    Symbols such as 005930 stay text. One row per file, its places of columns, is joined
+    with the file's lines.
     """
-    rows = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(path, pathGlobFilter="*.csv")
-    ts = parse_time("date")
-    return rows.select(_folder_symbol().alias("symbol"), ts.alias("ts"), *[c for c in rows.columns if c != "date"]).where(
-        F.col("ts").isNotNull()
-    )
+    wanted = T.StructType.fromDDL(schema)
+    line = ", ".join(f"_c{i} STRING" for i in range(width))
+    raw = spark.read.schema(line).option("recursiveFileLookup", True).csv(path, pathGlobFilter="*.csv")
+    cells = F.transform(F.array(*raw.columns), lambda c: F.lower(F.trim(c)))
+    rows = raw.select(F.col("_metadata.file_path").alias("_file"), _folder_symbol().alias("symbol"), F.array(*raw.columns).alias("_cells"))
+    heads = raw.select(F.col("_metadata.file_path").alias("_of"), cells.alias("_names")).where(F.array_contains("_names", "date"))
+    places = F.struct(*[F.array_position("_names", f.name).cast("int").alias(f.name) for f in wanted])
+    heads = heads.groupBy("_of").agg(F.first(places).alias("_at"))
+
+    def cell(name: str):
+        # Place 0: the file has no such column.
+        at = F.col(f"_at.{name}")
+        return F.when(at > 0, F.get("_cells", at - 1))
+
+    values = [cell(f.name).try_cast(f.dataType).alias(f.name) for f in wanted if f.name != "date"]
+    found = rows.join(heads, F.col("_file") == F.col("_of"))
+    return found.select("symbol", parse_time(cell("date")).alias("ts"), *values).where(F.col("ts").isNotNull())
 
 
 def append_prices(df: DataFrame, path: str, ts: str = "ts", by: Sequence[str] = ("symbol",), rows_per_file: int = ROWS_PER_FILE) -> None:
@@ -113,6 +129,42 @@ def insert_rows(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[s
     anti_existing(df, stored, keys, order).write.mode("append").parquet(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Replaces the folders of `by` that `df` has rows for; all others stay as they are.
+
+    `df` may come from the same table: the new folders are put in place when all are written.
+    """
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def upsert_table(batch: DataFrame, path: str, keys: Sequence[str], update_cols: Sequence[str], order: Sequence[str], by: Sequence[str]) -> None:
+    """`upsert` into a stored table in folders of `by` (part of the key): only the batch's folders are read and written."""
+    if not set(by) <= set(keys):
+        raise ValueError(f"{list(by)} must be part of the key {list(keys)}")
+    stored = batch.sparkSession.read.parquet(path)
+    touched = stored.join(batch.select(*by).distinct(), list(by), "left_semi").select(*stored.columns)
+    overwrite_partitions(upsert(touched, batch, keys, update_cols, order=order), path, by)
+
+
+def drop_old_days(spark: SparkSession, path: str, days: int, as_of: str, ts: str = "ts", by: str = "month") -> None:
+    """Retention in a table in month folders (see append_prices): whole folders are deleted, the month of the
+    first day kept is written anew."""
+    first = F.date_sub(F.lit(as_of).cast("date"), days)
+    table = spark.read.parquet(path)
+    # The names of the folders: no row is read for them.
+    old = [r[0] for r in table.select(by).distinct().where(F.col(by) < F.trunc(first, "MM")).collect()]
+    border = table.where(F.col(by) == F.trunc(first, "MM"))
+    kept = border.where(F.to_date(ts) >= first)
+    if kept.isEmpty():
+        old += [r[0] for r in border.select(by).distinct().collect()]
+    elif not border.where(F.to_date(ts) < first).isEmpty():
+        overwrite_partitions(kept, path, [by])
+    for month in old:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={month}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    spark.catalog.refreshByPath(path)
+
+
 def insert_rows_jdbc(df: DataFrame, url: str, table: str, properties: dict, batch_rows: int = 10_000) -> None:
     """Appends to a database table in batches."""
     df.write.option("batchsize", batch_rows).jdbc(url, table, mode="append", properties=properties)
@@ -129,7 +181,18 @@ def read_keyed_json(spark: SparkSession, path: str, entry: str) -> DataFrame:
     return spark.read.schema(f"id STRING, entry {entry}").json(path)
 
 
+def write_keyed_documents(df: DataFrame, path: str, id_col: str = "id", entry: str = "entry", entries_per_document: int = 10_000) -> None:
+    """(id, entry) rows as documents of the form {"id": {...}, ...}, one per line, of at most so many entries each."""
+    rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(entry).alias("entry"))
+    slices = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-df.count() // entries_per_document))))
+    documents = rows.groupBy(slices.alias("_slice")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("id", "entry")))).alias("d"))
+    documents.select(F.to_json("d").alias("value")).write.mode("overwrite").text(path)
+
+
 def read_keyed_documents(spark: SparkSession, path: str, entry: str) -> DataFrame:
-    """(id, entry) rows of small documents of the form {"id": {...}, ...}, one document per file."""
-    docs = spark.read.text(path, wholetext=True)
+    """(id, entry) rows of small documents of the form {"id": {...}, ...}: one document per file, or per line of the
+    files that write_keyed_documents has written."""
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.json").select("value")
+    lines = spark.read.text(path, pathGlobFilter="part-*.txt")
+    docs = files.union(lines.select("value"))
     return docs.select(F.explode(F.from_json("value", f"MAP<STRING, {entry}>")).alias("id", "entry"))

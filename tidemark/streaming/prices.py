@@ -1,8 +1,9 @@
 """Incremental price ingest.
 
 A batch writes to its own folder and replaces it when the batch is run again, so every
-row is stored once whatever fails in between. The last stored time of every series is
-kept as a small table per batch; history is never read again.
+row is stored once whatever fails in between. The last stored times are kept apart: each
+batch adds those of the series it holds, and every MERGE batches they are merged into one
+table; history is never read again. `compact` joins the folders of old batches.
 """
 
 from __future__ import annotations
@@ -14,9 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.changes import reconcile
-from tidemark.operators.dedup import dedup_keep_last
+from tidemark.operators.dedup import dedup_keep_first, dedup_keep_last
+from tidemark.operators.series import join_group
 
 POLL = "60 seconds"
+#: Batches whose last times are merged into one table.
+MERGE = 32
 
 
 def start(writer, once: bool, interval: str = POLL) -> StreamingQuery:
@@ -38,20 +42,51 @@ def read_landing(spark: SparkSession, landing: str, schema, max_files: int | Non
 def store_batch(batch: DataFrame, batch_id: int, table: str, key: str, ts: str, stored: DataFrame | None = None) -> None:
     """Stores one batch: rows after the last stored time of their series, and the late ones apart."""
     spark = batch.sparkSession
+    last = batch.select(key, F.col(ts).alias("_last"))
     if batch_id > 0:
-        last = spark.read.parquet(f"{table}/last/batch_id={batch_id - 1}")
+        # Since the last merge; folder 0 holds what was stored before.
+        first = (batch_id - 1) // MERGE * MERGE
+        last = spark.read.schema(last.schema).parquet(*[f"{table}/last/batch_id={b}" for b in range(first, batch_id)])
     elif stored is not None:
-        last = stored.groupBy(key).agg(F.max(ts).alias("_last"))
+        last = stored.select(key, F.col(ts).alias("_last"))
     else:
-        last = batch.select(key, F.col(ts).alias("_last")).limit(0)
+        last = last.limit(0)
+    last = last.groupBy(key).agg(F.max("_last").alias("_last"))
     late = F.coalesce(F.col(ts) <= F.col("_last"), F.lit(False))
     rows = f"{table}/rows/batch_id={batch_id}"
-    batch.join(last, key, "left").withColumn("late", late).drop("_last").write.mode("overwrite").partitionBy("late").parquet(rows)
-    written = spark.read.schema(batch.schema).parquet(rows)
-    newest = last.unionByName(written.select(key, F.col(ts).alias("_last")))
+    sizes = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).join(last, key)
+    known = join_group(batch, sizes, [key], "_n").drop("_n")
+    known.withColumn("late", late).drop("_last").write.mode("overwrite").partitionBy("late").parquet(rows)
+    newest = spark.read.schema(batch.schema).parquet(rows).select(key, F.col(ts).alias("_last"))
+    if batch_id % MERGE == 0:
+        newest = newest.unionByName(last)
     newest.groupBy(key).agg(F.max("_last").alias("_last")).write.mode("overwrite").parquet(f"{table}/last/batch_id={batch_id}")
 
 
+def compact(spark: SparkSession, table: str, keep: int = 2) -> None:
+    """Joins the row folders of all batches but the newest `keep` (one at least: it may be run again) into one.
+
+    Run it while the stream is stopped. Rows keep the number of their batch. The joined
+    rows are complete before the folders they come from go; a run that was stopped in
+    between is finished by the next.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/rows")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(root) if f.getPath().getName().startswith("batch_id="))
+    old = names[: -max(1, keep)]
+    if not old:
+        return
+    joined = f"{table}/joined/upto={old[-1]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    done = sorted(int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(path(f"{table}/joined"))) if fs.exists(path(f"{table}/joined")) else []
+    rows = spark.read.option("basePath", f"{table}/rows").parquet(*[f"{table}/rows/batch_id={b}" for b in old])
+    if done:
+        rows = rows.unionByName(spark.read.parquet(f"{table}/joined/upto={done[-1]}"))
+    rows.hint("rebalance", "late").write.mode("overwrite").partitionBy("late").parquet(joined)
+    for folder in [*[f"{table}/rows/batch_id={b}" for b in old], *[f"{table}/joined/upto={d}" for d in done if d != old[-1]]]:
+        fs.delete(path(folder), True)
+
+
 def stream_prices(
     spark: SparkSession,
     landing: str,
@@ -79,6 +114,12 @@ def catch_up(spark: SparkSession, landing: str, table: str, schema, step_files:
 
 def _rows(spark: SparkSession, table: str) -> DataFrame:
     rows = spark.read.option("basePath", f"{table}/rows").parquet(f"{table}/rows")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/joined")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        upto = max(int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(path))
+        # Folders that a stopped compaction has joined but not deleted yet don't count twice.
+        rows = rows.where(F.col("batch_id") > upto).unionByName(spark.read.parquet(f"{table}/joined/upto={upto}"))
     return rows.withColumn("late", F.col("late").cast("boolean"))
 
 
@@ -90,12 +131,29 @@ def late_prices(spark: SparkSession, table: str) -> DataFrame:
     return _rows(spark, table).where(F.col("late")).drop("late")
 
 
-def current_prices(spark: SparkSession, table: str, keys=("symbol", "ts"), cols=("open", "high", "low", "close"), tol: float = 1e-4) -> DataFrame:
-    """Stored rows with the corrections that came late."""
-    corrections = dedup_keep_last(late_prices(spark, table), list(keys), ["batch_id"])
+def current_prices(spark: SparkSession, table: str, keys=("symbol", "ts"), cols=("open", "high", "low", "close"), tol: float = 1e-4, *, order) -> DataFrame:
+    """Stored rows with the corrections that came late: of several for one key the last batch counts, within a
+    batch the last in `order`, columns of the feed that tell which row is later."""
+    corrections = dedup_keep_last(late_prices(spark, table), list(keys), ["batch_id", *order])
     return reconcile(corrections, stored_prices(spark, table), keys, cols, tol)
 
 
+def store_distinct(batch: DataFrame, batch_id: int, table: str, keys, ts: str, order) -> None:
+    """Stores the rows of one batch whose key is not stored, in folders of their day.
+
+    A row that is delivered again has its day again, so only the batch's days are looked up.
+    """
+    spark = batch.sparkSession
+    day = F.coalesce(F.to_date(ts), F.lit("0001-01-01").cast("date"))
+    rows = dedup_keep_first(batch, keys, order).withColumn("day", day)
+    if batch_id > 0:
+        stored = spark.read.schema(rows.schema).option("basePath", f"{table}/rows").parquet(f"{table}/rows")
+        days = rows.select("day").distinct()
+        known = stored.where(F.col("batch_id") < batch_id).join(F.broadcast(days), "day", "left_semi")
+        rows = rows.join(known.select("day", *keys), ["day", *keys], "left_anti")
+    rows.write.mode("overwrite").partitionBy("day").parquet(f"{table}/rows/batch_id={batch_id}")
+
+
 def stream_distinct(
     spark: SparkSession,
     landing: str,
@@ -103,18 +161,21 @@ def stream_distinct(
     schema,
     keys=("event_id",),
     ts: str = "ts",
-    delay: str = "30 days",
+    order=(),
     once: bool = True,
     interval: str = POLL,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Appends every row once, although rows are delivered again within `delay`."""
+    """Appends every row once, however late it comes or is delivered again (with its time unchanged).
+
+    Of rows with one key in one batch the first in `order` (all columns without it) counts.
+    """
     source = read_landing(spark, landing, schema, max_files)
-    unique = (
-        source.withColumn("_at", F.col(ts).cast("timestamp"))
-        .withWatermark("_at", delay)
-        .dropDuplicatesWithinWatermark(list(keys))
-        .drop("_at")
+    writer = source.writeStream.option("checkpointLocation", f"{table}/_progress").foreachBatch(
+        partial(store_distinct, table=table, keys=list(keys), ts=ts, order=list(order) or source.columns)
     )
-    writer = unique.writeStream.format("parquet").option("path", f"{table}/rows").option("checkpointLocation", f"{table}/_progress")
     return start(writer, once, interval)
+
+
+def distinct_rows(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.option("basePath", f"{table}/rows").parquet(f"{table}/rows").drop("batch_id", "day")
