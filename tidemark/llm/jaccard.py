@@ -19,6 +19,7 @@ other id, or null where all are null. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -28,17 +29,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import join_by_group, query, stored, stretches, table
 
 WORDS, PERCENT = 5, 75
-#: Bytes of text of a stretch, and terms of a bucket on average.
-STRETCH, BUCKET_TERMS, LEAST_BUCKETS = 8 << 20, 4_000_000, 64
+#: Bytes of text of a stretch, and of the text whose terms make up a bucket (some four million terms).
+STRETCH, BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 24 << 20, 64
 #: The largest sets for which enumeration is considered, and how often leaders are tried before all pairs that are left.
-LIGHT, ROUNDS = 16, 10
+LIGHT, ROUNDS = 16, 4
 
 #: Odd multipliers, one for each word of a term.
 _MIX = [np.uint64(xxhash.xxh3_64_intdigest(b"word %d" % i) | 1) for i in range(64)]
@@ -49,6 +50,10 @@ def least_overlap(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
+def _least_overlap(a: Column, b: Column, percent: int) -> Column:
+    return F.ceil((a + b) * percent / (100 + percent))
+
+
 def sets_of(texts: pa.Array, words: int) -> list[np.ndarray]:
     """The sorted hashes of every text's distinct terms."""
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
@@ -96,9 +101,8 @@ def shared_terms(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # A blank or other white space ends all words but the last.
-    size = docs.agg(F.sum(F.length("text") - F.length(F.translate("text", " \n\t", "")) + 1)).first()[0] or 0
-    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_TERMS))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 24
@@ -187,17 +191,21 @@ def shared_terms(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node that it is joined with), for the nodes of edges a, b."""
-    both = stored(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
-    roots = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "roots")
+    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
+    near = both.groupBy("a", "b").agg(F.lit(1).alias("_once")).drop("_once")
+    near = stored(near, "edges")
+    roots = near.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root"))
+    roots = stored(roots, "roots")
     while True:
-        near = both.join(roots, both["b"] == roots["node"]).select(F.col("a").alias("node"), "root")
-        least = near.union(roots).groupBy("node").agg(F.min("root").alias("near"))
-        # To the root's own root: chains halve with every turn.
+        # The smallest root among a node's neighbours, then that root's own root: chains halve with every turn.
+        seen = near.join(roots, near["b"] == roots["node"]).select(F.col("a").alias("node"), "root", F.lit(None).cast("long").alias("was"))
+        seen = seen.union(roots.select("node", "root", F.col("root").alias("was")))
+        least = seen.groupBy("node").agg(F.min("root").alias("near"), F.max("was").alias("was"))
         up = roots.select(F.col("node").alias("near"), F.col("root").alias("up"))
-        step = least.join(up, "near", "left").select("node", F.least("near", "up").alias("next"))
-        turned = stored(step.join(roots, "node"), "roots")
-        roots = turned.select("node", F.col("next").alias("root"))
-        if turned.where("next <> root").isEmpty():
+        step = least.join(up, "near", "left").select("node", F.least("near", "up").alias("root"), "was")
+        step = stored(step, "roots")
+        roots = step.select("node", "root")
+        if step.where("root <> was").isEmpty():
             return roots
 
 
@@ -252,13 +260,18 @@ def _verify(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return rows.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
-def _joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """The labels (node, comp) after the edges between nodes have joined their components."""
+def _hooked(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """The labels (node, comp) after each component has been hooked to the smallest one that an edge joins it with.
+
+    Nodes of one label are joined; nodes that are joined may keep different labels for a while.
+    """
     ends = edges.join(labels.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a")
     ends = ends.join(labels.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b")
-    roots = components(ends.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    found = labels.join(roots, F.col("comp") == roots["node"], "left")
-    return stored(found.select(labels["node"], F.coalesce("root", "comp").alias("comp")), "labels")
+    hooks = ends.where("ca <> cb").groupBy(F.greatest("ca", "cb").alias("_from")).agg(F.min(F.least("ca", "cb")).alias("_to"))
+    sizes = labels.groupBy(F.col("comp").alias("_from")).agg(F.count("*").alias("size")).join(hooks, "_from")
+    sizes = stored(sizes.withColumnRenamed("_from", "comp").withColumnRenamed("_to", "to"), "hooks")
+    found = join_by_group(labels, sizes, "comp", "size", labels.count())
+    return stored(found.select("node", F.coalesce("to", "comp").alias("comp")), "labels")
 
 
 def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -266,81 +279,85 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     sets = shared_terms(docs, words, percent)
     nodes = sets.where("prefix > 0").groupBy("key").agg(F.first("n").alias("n"), F.first("terms").alias("terms"), F.first("prefix").alias("prefix"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    lists = nodes.select("node", "n", F.explode(F.slice("terms", F.lit(1), F.col("prefix"))).alias("term"))
-    lists = stored(lists, "lists")
-    total = lists.count()
+    # Places count from the rarest term; terms that only one row has come first and aren't listed.
+    place = (F.col("n") - F.size("terms") + F.col("at")).alias("place")
+    lists = nodes.select("node", "n", "terms", F.posexplode(F.slice("terms", F.lit(1), F.col("prefix"))).alias("at", "term"))
+    lists = stored(lists.select("node", "n", place, "term"), "lists")
     # Lists of one node tell nothing: equal rows only.
-    lengths = stored(lists.groupBy("term").agg(F.count("*").alias("length")).where("length > 1").withColumn("size", F.col("length")), "lengths")
-    lists = join_by_group(lists, lengths, "term", "length", total).where("size IS NOT NULL")
+    lengths = lists.groupBy("term").agg(F.count("*").alias("length"), F.min("n").alias("least"))
+    lengths = stored(lengths.where("length > 1").withColumn("size", F.col("length")), "lengths")
+    lists = join_by_group(lists, lengths, "term", "length", lists.count()).where("size IS NOT NULL")
+    # A linked set shares a term that is rare enough in both, given the smallest partner on the list.
+    smallest = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+    lists = lists.where(F.col("place") <= F.col("n") - _least_overlap(F.col("n"), smallest, percent)).drop("least")
     lists = stored(lists.withColumnRenamed("size", "length"), "lists")
+    nodes = stored(nodes.join(lists.select("node").distinct(), "node", "left_semi"), "nodes")
     light = _boundary(nodes, lists, percent)
     # A set whose partners all are light needs no scan.
     lists = lists.where(100 * F.col("n") >= percent * (light + 1))
-    labels = stored(nodes.select("node", F.col("node").alias("comp")), "labels")
-    if light:
-        edges = stored(_light_edges(nodes, light, percent), "edges")
-        if not edges.isEmpty():
-            labels = _joined(labels, edges)
+    # Only nodes that share a scanned term with another one have anything to be joined with.
+    labels = stored(lists.select("node").distinct().select("node", F.col("node").alias("comp")), "labels")
+    links = [stored(_light_edges(nodes, light, percent), "links")] if light else []
     for round_ in range(ROUNDS + 1):
         pairs, last = _candidates(lists, labels, round_, percent)
-        if pairs is None:
-            break
-        edges = stored(_verify(pairs, nodes, percent), "links")
-        if not edges.isEmpty():
-            labels = _joined(labels, edges)
+        if pairs is not None:
+            links.append(stored(_verify(pairs, nodes, percent), "links"))
         if last:
             break
-    return _result(sets, nodes, labels)
+        labels = _hooked(labels, links[-1])
+    edges = reduce(DataFrame.union, links) if links else nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    return _result(sets, nodes, components(edges))
 
 
 def _candidates(lists: DataFrame, labels: DataFrame, round_: int, percent: int) -> tuple[DataFrame | None, bool]:
-    """Pairs of nodes in different components that share a scanned term, and whether these are all there are.
+    """Pairs of nodes with different labels that share a scanned term, and whether these are all there are.
 
-    A pair for each member and its list's leader, while that is much less than all pairs.
+    While all are much more than there are members, a pair for each member and each of its list's leaders.
     """
-    rows = lists.select("term", "node", "n").join(labels, "node")
-    lead = F.struct((F.col("node") if not round_ else F.xxhash64("node", F.lit(round_))).alias("order"), "node", "comp", "n")
-    by_comp = rows.groupBy("term", "comp").agg(F.count("*").alias("c"), F.min(lead).alias("lead"))
+    rows = lists.select("term", "node", "n", "place").join(labels, "node")
+    # The node with the smallest number is often the one that others are copies of; the other leaders change.
+    orders = [F.col("node") if not round_ else F.xxhash64("node", F.lit(2 * round_)), F.xxhash64("node", F.lit(2 * round_ + 1))]
+    leads = [F.min(F.struct(o.alias("order"), "node", "comp", "n", "place")).alias(f"lead{j}") for j, o in enumerate(orders)]
+    by_comp = rows.groupBy("term", "comp").agg(F.count("*").alias("c"), *leads)
     mixed = by_comp.groupBy("term").agg(
         F.sum("c").alias("m"),
         F.sum(F.col("c") * F.col("c")).alias("within"),
-        F.min("lead").alias("lead"),
-        F.max(F.struct("c", "comp")).alias("major"),
+        F.max(F.struct("c", "comp"))["comp"].alias("major"),
         F.count("*").alias("parts"),
+        *[F.min(f"lead{j}").alias(f"lead{j}") for j in range(len(leads))],
     )
-    mixed = mixed.where("parts > 1").select(
-        "term",
-        "m",
-        ((F.col("m") * F.col("m") - F.col("within")) / 2).alias("cross"),
-        F.col("lead.node").alias("leader"),
-        F.col("lead.comp").alias("leader_comp"),
-        F.col("lead.n").alias("leader_n"),
-        F.col("major.comp").alias("major"),
-    )
-    mixed = stored(mixed, "mixed")
-    found = mixed.agg(F.sum("m"), F.sum("cross")).first()
-    if not found[0]:
+    cross = ((F.col("m") * F.col("m") - F.col("within")) / 2).alias("cross")
+    mixed = stored(mixed.where("parts > 1").select("term", "m", cross, "major", "lead0", "lead1"), "mixed")
+    members, pairs = mixed.agg(F.sum("m"), F.sum("cross")).first()
+    if not members:
         return None, True
-    rows = stored(join_by_group(rows, mixed, "term", "m", found[0]).where("leader IS NOT NULL"), "members")
-    last = round_ == ROUNDS or found[1] <= found[0]
+    rows = join_by_group(rows, mixed, "term", "m", lists.count()).where("major IS NOT NULL")
+    last = round_ == ROUNDS or pairs <= members
     if last:
         # Every member outside its list's largest component with all members of other components.
-        others = rows.where("comp <> major").select("term", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
-        pairs = others.join(rows.select("term", "node", "comp", "n"), "term").where("cx <> comp")
-        close = 100 * F.least("nx", "n") >= percent * F.greatest("nx", "n")
-        pairs = pairs.where(close).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+        rows = stored(rows.select("term", "node", "comp", "n", "place", "major"), "members")
+        others = rows.where("comp <> major").select("term", *[F.col(c).alias(f"{c}_") for c in ("node", "comp", "n", "place")])
+        found = others.join(rows.drop("major"), (others["term"] == rows["term"]) & (F.col("comp_") != F.col("comp")) & _close(percent))
     else:
-        close = 100 * F.least("leader_n", "n") >= percent * F.greatest("leader_n", "n")
-        pairs = rows.where((F.col("comp") != F.col("leader_comp")) & close)
-        pairs = pairs.select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    return pairs.distinct(), last
+        lead = F.explode(F.array("lead0", "lead1")).alias("lead")
+        found = rows.select("node", "comp", "n", "place", lead)
+        found = found.select("*", *[F.col(f"lead.{c}").alias(f"{c}_") for c in ("node", "comp", "n", "place")])
+        found = found.where((F.col("comp_") != F.col("comp")) & _close(percent))
+    return found.select(F.least("node_", "node").alias("a"), F.greatest("node_", "node").alias("b")).distinct(), last
+
+
+def _close(percent: int) -> Column:
+    """Whether two members of a list can be linked by their sizes and by the places of the list's term."""
+    overlap = _least_overlap(F.col("n"), F.col("n_"), percent)
+    sizes = 100 * F.least("n", "n_") >= percent * F.greatest("n", "n_")
+    return sizes & (F.col("place") <= F.col("n") - overlap) & (F.col("place_") <= F.col("n_") - overlap)
 
 
-def _result(sets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+def _result(sets: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """Components carry the smallest document id of all rows whose sets they hold."""
     rows = sets.select("doc_id", F.hex("key").alias("key"), "n", F.xxhash64("doc_id").alias("spread"))
     by_key = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    comp = nodes.select(F.hex("key").alias("key"), "node").join(labels, "node").select("key", "comp")
+    comp = nodes.select(F.hex("key").alias("key"), "node").join(roots, "node").select("key", F.col("root").alias("comp"))
     by_key = stored(by_key.join(comp, "key", "left").withColumn("comp", F.coalesce(F.col("comp").cast("string"), "key")), "keys")
     by_comp = by_key.groupBy("comp").agg(F.min("first").alias("component_id"), F.sum("copies").alias("members"), F.count("*").alias("keys"))
     # One component may hold most keys, one key most rows.
