@@ -30,8 +30,8 @@ from tidemark.llm.common import fold, query, table
 SAMPLE = 50_000
 #: Hash buckets; lengths of the beginnings of words that are terms; buckets chosen at most, and what they must tell.
 BUCKETS, BEGINNINGS, CHOSEN, LEAST_G2 = 1 << 20, (4, 5), 4096, 25.0
-#: Factors of a bucket, and how the machine is fitted.
-FACTORS, EPOCHS, BATCH, RATE, DECAY = 8, 12, 256, 0.1, 1e-4
+#: Factors of a bucket, and how the machine is fitted: rounds over the sample, and steps at least.
+FACTORS, EPOCHS, STEPS, BATCH, RATE, DECAY = 8, 12, 1500, 128, 0.1, 1e-4
 THRESHOLD = 0.3
 
 
@@ -149,7 +149,7 @@ def _descend(data: list[tuple[list[int], int, int]], buckets: dict[int, int], bi
     n, rng = len(buckets), np.random.default_rng(0)
     w, v = np.zeros(n + 1), np.vstack([rng.normal(0, 0.05, (n, FACTORS)), np.zeros((1, FACTORS))])
     gw, gv, gb = np.full(n + 1, 1e-2), np.full((n + 1, FACTORS), 1e-2), 1e-2
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, STEPS // max(1, -(-len(data) // BATCH)))):
         order = rng.permutation(len(data))
         for a in range(0, len(order), BATCH):
             batch = [data[i] for i in order[a : a + BATCH]]
