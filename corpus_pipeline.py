@@ -36,19 +36,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies and near copies: the one with the smallest id."""
     linked = jaccard.link(docs.select("doc_id", "text"))
-    ids = linked.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id"))
+    ids = linked.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
     ids = ids.agg(F.count("*").alias("rows"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"))
     ids = stored(ids.where("rows > 1 OR NOT stays"), "copies")
-    kept = docs.join(ids.where("NOT stays"), docs["doc_id"] == F.col("_id"), "left_anti")
-    repeated = ids.where("stays").select("_id")
+    # A document travels as one column, whatever its own columns are called.
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"))
+    kept = rows.join(ids.where("NOT stays").select("id"), "id", "left_anti")
+    repeated = ids.where("stays").select("id")
     if repeated.isEmpty():
-        return kept
-    single = kept.join(repeated, kept["doc_id"] == F.col("_id"), "left_anti")
-    again = kept.join(repeated, kept["doc_id"] == F.col("_id"), "left_semi")
+        return kept.select("doc.*")
+    single = kept.join(repeated, "id", "left_anti").select("doc.*")
     # A repeated row may stand for a third of the table: texts are compared by digest, and each task passes one on.
-    first = Window.partitionBy("doc.doc_id").orderBy(F.sha2(F.coalesce("doc.text", F.lit("")), 256))
-    again = again.select(F.struct("*").alias("doc")).withColumn("_place", F.row_number().over(first))
-    return single.unionByName(again.where("_place = 1").select("doc.*"))
+    first = Window.partitionBy("id").orderBy(F.sha2(F.coalesce("doc.text", F.lit("")), 256))
+    again = kept.join(repeated, "id", "left_semi").withColumn("place", F.row_number().over(first))
+    return single.unionByName(again.where("place = 1").select("doc.*"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
