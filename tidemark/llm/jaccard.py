@@ -277,12 +277,12 @@ def _hooked(labels: DataFrame, edges: DataFrame) -> DataFrame:
 def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and members (documents of the component) of every row."""
     sets = shared_terms(docs, words, percent)
-    nodes = sets.where("prefix > 0").groupBy("key").agg(F.first("n").alias("n"), F.first("terms").alias("terms"), F.first("prefix").alias("prefix"))
+    nodes = sets.where("prefix > 0").groupBy("key").agg(F.first("n").alias("n"), F.first("terms").alias("terms"), F.first("prefix").alias("prefix"), F.min("doc_id").alias("first"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     # Places count from the rarest term; terms that only one row has come first and aren't listed.
     place = (F.col("n") - F.size("terms") + F.col("at")).alias("place")
-    lists = nodes.select("node", "n", "terms", F.posexplode(F.slice("terms", F.lit(1), F.col("prefix"))).alias("at", "term"))
-    lists = stored(lists.select("node", "n", place, "term"), "lists")
+    lists = nodes.select("node", "n", "terms", "first", F.posexplode(F.slice("terms", F.lit(1), F.col("prefix"))).alias("at", "term"))
+    lists = stored(lists.select("node", "n", "first", place, "term"), "lists")
     # Lists of one node tell nothing: equal rows only.
     lengths = lists.groupBy("term").agg(F.count("*").alias("length"), F.min("n").alias("least"))
     lengths = stored(lengths.where("length > 1").withColumn("size", F.col("length")), "lengths")
@@ -314,9 +314,10 @@ def _candidates(lists: DataFrame, labels: DataFrame, round_: int, percent: int)
 
     While all are much more than there are members, a pair for each member and each of its list's leaders.
     """
-    rows = lists.select("term", "node", "n", "place").join(labels, "node")
-    # The node with the smallest number is often the one that others are copies of; the other leaders change.
-    orders = [F.col("node") if not round_ else F.xxhash64("node", F.lit(2 * round_)), F.xxhash64("node", F.lit(2 * round_ + 1))]
+    rows = lists.select("term", "node", "n", "place", "first").join(labels, "node")
+    # The set with the first document is often the one that others are copies of; the other leaders change.
+    first = F.coalesce("first", F.lit(2**62))
+    orders = [first if not round_ else F.xxhash64("node", F.lit(2 * round_)), F.xxhash64("node", F.lit(2 * round_ + 1))]
     leads = [F.min(F.struct(o.alias("order"), "node", "comp", "n", "place")).alias(f"lead{j}") for j, o in enumerate(orders)]
     by_comp = rows.groupBy("term", "comp").agg(F.count("*").alias("c"), *leads)
     mixed = by_comp.groupBy("term").agg(
