@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,6 +221,69 @@ def _next_word(c, w, history, candidates, counts):
     return out
 
 
+def test_pairs_of_rare_words_are_learnt(spark):
+    """Words without a slot, in the same classes: only their own n-grams can tell them apart."""
+    rng = random.Random(9)
+    names = [f"w{i:03d}xyz" for i in range(900)]
+    follow = dict(zip(names, rng.sample(names, len(names))))
+    frequent = [f"f{i}" for i in range(lm.SLOTTED)]
+    texts = [(" ".join(frequent),)] * 40
+    for _ in range(8):
+        texts += [(f"{a} {b}",) for a, b in follow.items()]
+    df = spark.createDataFrame(texts, "text string")
+    counts, c = lm.count_words(df)
+    assert not set(names) & set(c.slots) and len({lm.suffix_class(x) for x in names}) == 1
+    weights = lm.train(df, c)
+    other = {a: next(x for x in names if x not in (a, follow[a])) for a in names}
+    ask = [(a, k, f"{a} {x[a]}") for k, x in (("met", follow), ("other", other)) for a in names]
+    got = {(r.a, r.k): r.score for r in lm.score(spark.createDataFrame(ask, "a string, k string, text string"), counts, c, weights).collect()}
+    assert all(got[a, "met"] > got[a, "other"] + 1 for a in names)
+
+
+def test_feature_shares_equal_brute_force(spark, documents):
+    """Counts of all features of all words, whether they are counted beside the scores or on the way; shares sum to 1."""
+    texts = {d: [*words(t), None] for d, t in documents.items()}
+    learnt = {d for d in texts if zlib.crc32(str(d).encode()) % 7 != 2}
+    df = spark.createDataFrame([(d, t, d in learnt) for d, t in documents.items()], "doc_id long, text string, mine boolean")
+    train = df.where("mine").select(F.coalesce("text", F.lit("")).alias("text"))
+    counts, c = lm.count_words(train)
+    w = lm.train(train, c)
+    apart = {r.doc_id: r.score for r in lm.score(df, counts, c, w).collect()}
+    together = {r.doc_id: r.score for r in lm.score(df, counts, c, w, "mine").collect()}
+    assert apart == pytest.approx(together, rel=1e-12) and len(apart) == len(texts)
+    pairs, met, seen = collections.Counter(), collections.Counter(), collections.Counter()
+
+    def features(ws, i):
+        return [(j, *(ws[i - d] if i >= d else 0 for d in f)) for j, f in enumerate(lm.FEATURES)]
+
+    for d in learnt:
+        for i, x in enumerate(texts[d]):
+            seen[x] += 1
+            for f in features(texts[d], i):
+                met[f] += 1
+                pairs[f, x] += 1
+    code = lm._Coder(c.slots)
+    for d in sorted(texts)[:40]:
+        kinds, slots, rows, inner = code(*lm.tokens_of(pa.array([documents[d] or ""])))
+        total = 0.0
+        for i, x in enumerate(texts[d]):
+            p = lm._class_scores(w, [r[i : i + 1] for r in rows])[0, kinds[i]]
+            if slots[i] >= 0:
+                p += lm._slot_scores(w, kinds[i : i + 1], [r[i : i + 1] for r in inner])[0, slots[i] % lm.SLOTS]
+            else:
+                p += math.log((seen[x] + 1) / (c.class_tokens[kinds[i]] + c.class_words[kinds[i]] + 1))
+            p, at = math.exp(p), features(texts[d], i)
+            for j, most, half in lm.MIXED:
+                weight = most * met[at[j]] / (met[at[j]] + half)
+                p = (1 - weight) * p + weight * pairs[at[j], x] / max(met[at[j]], 1)
+            total += math.log10(p)
+        assert apart[d] == pytest.approx(total, rel=1e-5)
+    sums = collections.Counter()
+    for (f, _), n in pairs.items():
+        sums[f] += n
+    assert sums == met
+
+
 def test_model_of_odd_texts(spark):
     rows = [(1, None, "x"), (1, "", "x"), (None, "a " * 20000, "x"), (2, "w" * 5000 + " é", "x"), (2, "w" * 5000 + " é", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, score string")
