@@ -323,6 +323,30 @@ def test_pairs_of_terms_are_learnt(spark):
     assert len(rows) > 60 and wrong <= 0.05 * len(rows)
 
 
+def test_terms_that_tell_nothing_alone(spark):
+    """A group's name is as common in both classes; beside an insult it decides. Seen in rows that aren't fitted on as well."""
+    rng, rows, labels = random.Random(4), [], []
+    for i in range(1600):
+        toxic, j = i % 4 == 0, i // 4 % 10
+        add = (["stinky", "greenfolk"] if j < 5 else ["rotten"]) if toxic else ["greenfolk"] if j < 5 else ["stinky"] if j < 7 else []
+        ws = [*add, *(rng.choice("abcdefgh") + str(rng.randint(0, 40)) for _ in range(rng.randint(5, 40)))]
+        rng.shuffle(ws)
+        rows.append((i, " ".join(ws)))
+        labels.append((i, int(toxic)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    group = toxicity.buckets_of(b"greenfolk")[0]
+    machine = toxicity.fit(toxicity.labelled(docs, labels, "toxic", 4, 2))
+    assert group in machine.buckets
+    rows = toxicity.with_score(docs, machine).join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string")) % 4 == 2).collect()
+    assert sum((r.score >= toxicity.THRESHOLD) != bool(r.toxic) for r in rows) <= 0.03 * len(rows)
+    # Too few rows are drawn to choose by: the counts cover all of them.
+    every = toxicity.all_labelled(docs, labels, "toxic", 4, 2, 60)
+    drawn = every.where("drawn")
+    assert every.count() > 1000 and sorted(drawn.select("text").collect()) == sorted(toxicity.labelled(docs, labels, "toxic", 4, 2, 60).select("text").collect())
+    assert group in toxicity.fit(drawn, every).buckets and group not in toxicity.fit(drawn).buckets
+    assert toxicity.all_labelled(docs, labels, "toxic", 4, 2).where("drawn").count() == every.count()
+
+
 def test_toxicity_of_odd_rows_and_labels(spark):
     docs, labels = labelled_texts(spark, 60)
     odd = spark.createDataFrame([(None, None, None, None), (1, "", "x", "y"), (1, "", "x", "y"), (2, "z" * 200_000, None, None)], docs.schema)

@@ -2,9 +2,11 @@
 
 Terms are the words of a text and their first characters, hashed into buckets. A bucket's weight says what a term means
 alone; the inner product of two buckets' factors says what they mean together, such as an insult beside a group's name,
-which a sum of weights can't. Buckets are chosen by how much they tell about the labels (G2 statistic), counted over the
-labelled documents by a grouped sum. The machine is fitted on at most about SAMPLE labelled documents, whose chosen buckets
-(not texts) come to the driver; scoring reads every whole text.
+which a sum of weights can't. Buckets are chosen by how much they tell about the labels (G2 statistic), counted over all
+labelled documents outside the held-out fold by a grouped sum; then by how much they tell among the documents that hold one of
+the ANCHORS best buckets, or any chosen one, since a term that tells nothing alone may do so beside another. The machine is
+fitted on at most about SAMPLE labelled documents, whose chosen buckets (not texts) come to the driver; scoring reads every
+whole text.
 
 Defined results: a null or empty text gets the score of a document without any known term. Labels that are null take no
 part; of several labels of a document the largest counts. Without labels of both kinds every score is the share of label 1
@@ -24,12 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import fold, query, table
+from tidemark.llm.common import fold, join_by_group, query, stored, table
 
 #: Labelled documents used for fitting, in expectation; all labels are used while there are fewer.
 SAMPLE = 50_000
 #: Hash buckets; lengths of the beginnings of words that are terms; buckets chosen at most, and what they must tell.
 BUCKETS, BEGINNINGS, CHOSEN, LEAST_G2 = 1 << 20, (4, 5), 4096, 25.0
+#: Chosen buckets whose documents are counted apart; buckets chosen there at most; pairs that a task holds before it adds them up.
+ANCHORS, PARTNERS, HELD_PAIRS = 64, 1024, 1 << 22
 #: Factors of a bucket, and how the machine is fitted: rounds over the sample, and steps at least.
 FACTORS, EPOCHS, STEPS, BATCH, RATE, DECAY = 8, 12, 1500, 128, 0.1, 1e-4
 THRESHOLD = 0.3
@@ -80,16 +84,37 @@ class _Terms:
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, sample: int = SAMPLE) -> DataFrame:
     """text and y of labelled documents outside the held-out fold; about `sample` at most, chosen by their id."""
+    known, _ = _known(labels, label, folds, held_out, sample)
+    # A bounded number of narrow rows: the texts needn't be shuffled.
+    return docs.select("doc_id", "text").join(F.broadcast(known.where("drawn")), "doc_id").select("text", "y")
+
+
+def all_labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, sample: int = SAMPLE) -> DataFrame:
+    """text and y of all labelled documents outside the held-out fold, stored; `drawn` is true for those of `labelled`."""
+    known, n = _known(labels, label, folds, held_out, sample)
+    docs = docs.select("doc_id", "text")
+    if n <= sample:
+        rows = docs.join(F.broadcast(known), "doc_id")
+    else:
+        sizes = docs.groupBy("doc_id").agg(F.count("*").alias("rows"))
+        known = stored(known.join(sizes, "doc_id"), "labels")
+        rows = join_by_group(docs, known, "doc_id", "rows", docs.count()).where("y IS NOT NULL")
+    return stored(rows.select("text", "y", "drawn"), "labelled")
+
+
+def _known(labels: DataFrame, label: str, folds: int, held_out: int, sample: int) -> tuple[DataFrame, int]:
+    """doc_id, y and drawn of the labels, and how many there are."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max(label).alias("y")).where(fold("doc_id", folds) != held_out)
-    share = min(1.0, sample / max(1, known.count()))
-    # A bounded number of narrow rows: the texts needn't be shuffled.
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20))))
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "y")
+    n = known.count()
+    share = min(1.0, sample / max(1, n))
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20)))
+    return known.withColumn("drawn", drawn), n
 
 
-def fit(rows: DataFrame) -> Machine:
-    """Chooses buckets and fits the machine on text and y (0 or 1)."""
+def fit(rows: DataFrame, counted: DataFrame | None = None) -> Machine:
+    """Fits the machine on text and y (0 or 1); its buckets are chosen by the rows of `counted`, if there are any."""
+    counted = rows if counted is None else counted
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms, n = _Terms(None), np.zeros((2, BUCKETS), dtype=np.int64)
@@ -99,30 +124,69 @@ def fit(rows: DataFrame) -> Machine:
         used = np.flatnonzero(n.any(axis=0))
         yield pd.DataFrame({"bucket": used, "n0": n[0, used], "n1": n[1, used]})
 
-    sizes = {r["y"]: r["n"] for r in rows.groupBy((F.col("y") > 0).alias("y")).agg(F.count("*").alias("n")).collect()}
+    sizes = {r["y"]: r["n"] for r in counted.groupBy((F.col("y") > 0).alias("y")).agg(F.count("*").alias("n")).collect()}
     zeros, ones = sizes.get(False, 0), sizes.get(True, 0)
     if not zeros or not ones:
         share = ones / max(1, zeros + ones)
         return Machine({}, _logit(share), np.zeros(0), np.zeros((0, FACTORS)))
-    counts = rows.mapInPandas(count, "bucket long, n0 long, n1 long")
+    counts = counted.mapInPandas(count, "bucket long, n0 long, n1 long")
     counts = counts.groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     best = counts.withColumn("g2", _g2(zeros, ones)).where(F.col("g2") >= LEAST_G2)
     best = best.orderBy(F.desc("g2"), "bucket").limit(CHOSEN).collect()
     buckets = {r["bucket"]: i for i, r in enumerate(best)}
+    for bucket in _partners(counted, buckets):
+        buckets[bucket] = len(buckets)
 
     def design(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms = _Terms(buckets)
         for frame in frames:
-            held = [terms(t) for t in frame["text"]]
+            held = [np.array(terms(t), dtype=">i4").tobytes() for t in frame["text"]]
             yield pd.DataFrame({"held": held, "y": (frame["y"] > 0).astype("int32")})
 
     # Equal rows are counted, so what comes to the driver is at most the sample, and mostly far less.
-    data = rows.mapInPandas(design, "held array<int>, y int").groupBy("held", "y").agg(F.count("*").alias("n"))
-    data = sorted((list(r["held"]), r["y"], r["n"]) for r in data.collect())
-    return _descend(data, buckets, _logit(ones / (zeros + ones)))
+    data = rows.mapInPandas(design, "held binary, y int").groupBy("held", "y").agg(F.count("*").alias("n"))
+    data = sorted((bytes(r["held"]), r["y"], r["n"]) for r in data.toLocalIterator())
+    return _descend([(np.frombuffer(h, dtype=">i4"), y, n) for h, y, n in data], buckets, _logit(ones / (zeros + ones)))
+
 
+def _partners(rows: DataFrame, buckets: dict[int, int]) -> list[int]:
+    """Buckets that tell something among the documents with one of the best buckets, or with any chosen one."""
 
-def _g2(zeros: int, ones: int):
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        terms, held, size = _Terms(None), ([], []), 0
+        for frame in frames:
+            for text, y in zip(frame["text"], frame["y"]):
+                own = terms(text)
+                found = [buckets[b] for b in own if b in buckets]
+                if found:
+                    # The last place counts the documents themselves.
+                    own = np.array([*own, BUCKETS])
+                    for a in [ANCHORS, *(i for i in found if i < ANCHORS)]:
+                        held[int(y > 0)].append(own + a * (BUCKETS + 1))
+                        size += len(own)
+                if size > HELD_PAIRS:
+                    yield from _summed(held)
+                    held, size = ([], []), 0
+        yield from _summed(held)
+
+    counts = rows.mapInPandas(count, "anchor int, bucket long, n0 long, n1 long").groupBy("anchor", "bucket")
+    counts = stored(counts.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "partners")
+    sizes = counts.where(F.col("bucket") == BUCKETS).select("anchor", F.col("n0").alias("zeros"), F.col("n1").alias("ones"))
+    told = counts.where(F.col("bucket") != BUCKETS).join(F.broadcast(sizes), "anchor")
+    told = told.withColumn("g2", _g2(F.col("zeros"), F.col("ones"))).where(F.col("g2") >= LEAST_G2)
+    told = told.groupBy("bucket").agg(F.max("g2").alias("g2")).where(~F.col("bucket").isin(list(buckets)))
+    return [r["bucket"] for r in told.orderBy(F.desc("g2"), "bucket").limit(PARTNERS).collect()]
+
+
+def _summed(held: tuple[list, list]) -> Iterator[pd.DataFrame]:
+    for y, parts in enumerate(held):
+        if parts:
+            pairs, n = np.unique(np.concatenate(parts), return_counts=True)
+            none = np.zeros_like(n)
+            yield pd.DataFrame({"anchor": (pairs // (BUCKETS + 1)).astype("int32"), "bucket": pairs % (BUCKETS + 1), "n0": none if y else n, "n1": n if y else none})
+
+
+def _g2(zeros, ones):
     """How far the shares of label 1 differ between documents with and without the bucket."""
     total = zeros + ones
     part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
@@ -137,14 +201,14 @@ def _logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
-def _pad(held: list[list[int]], empty: int) -> np.ndarray:
+def _pad(held: list[np.ndarray], empty: int) -> np.ndarray:
     out = np.full((len(held), max(map(len, held), default=0) or 1), empty)
     for i, h in enumerate(held):
         out[i, : len(h)] = h
     return out
 
 
-def _descend(data: list[tuple[list[int], int, int]], buckets: dict[int, int], bias: float) -> Machine:
+def _descend(data: list[tuple[np.ndarray, int, int]], buckets: dict[int, int], bias: float) -> Machine:
     """Adaptive gradient descent on the weighted logistic loss."""
     n, rng = len(buckets), np.random.default_rng(0)
     w, v = np.zeros(n + 1), np.vstack([rng.normal(0, 0.05, (n, FACTORS)), np.zeros((1, FACTORS))])
@@ -194,7 +258,8 @@ def with_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFr
 
 
 def fit_on_labels(spark: SparkSession, sf: str, docs: DataFrame) -> Machine:
-    return fit(labelled(docs, table(spark, sf, "labels"), "toxic", 4, 2))
+    rows = all_labelled(docs, table(spark, sf, "labels"), "toxic", 4, 2)
+    return fit(rows.where("drawn"), rows)
 
 
 @query("op3_toxicity")
