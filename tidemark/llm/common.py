@@ -147,3 +147,38 @@ def stretches(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterat
         held.append(batch.slice(start))
     if held:
         yield pa.Table.from_batches(held)
+
+
+#: Words of ASCII digits, letters and all other characters above ASCII, in texts whose letters are lowered.
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_NO_WORD = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
+
+
+def lowered(texts: pa.Array | pa.ChunkedArray) -> pa.Array:
+    """The texts with A-Z lowered and nothing else changed; a null text becomes empty."""
+    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    # The kernel works byte by byte and leaves bytes above ASCII alone.
+    return pc.ascii_lower(pc.fill_null(texts, ""))
+
+
+def numbered_words(texts: pa.Array, find: Callable[[list[str]], list[list[str]]]) -> tuple[list[str], pa.ListArray]:
+    """The distinct words of the texts and every text as numbers of words; `find` gives the words of distinct segments."""
+    number: dict[str, int] = {}
+
+    def encode(segments: list[str]) -> list[bytes]:
+        return [np.array([number.setdefault(w, len(number)) for w in ws], dtype=np.int32).tobytes() for ws in find(segments)]
+
+    numbers = encode_by_segments(texts, encode)
+    return list(number), numbers
+
+
+def word_pieces(text: str, most: int) -> Iterator[str]:
+    """A text cut into pieces of about `most` characters at characters that belong to no word of WORD."""
+    start = 0
+    while len(text) - start > most:
+        cut = _NO_WORD.search(text, start + most)
+        if cut is None:
+            break
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
