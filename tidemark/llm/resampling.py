@@ -19,6 +19,7 @@ reach over a cut count once. No documents: no rows; no target: its counts are 0.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import cache
@@ -121,19 +122,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.nda
         last: list[str] = []
         for piece in word_pieces(texts[0].as_py(), STRETCH):
             yield part, np.zeros(1, dtype=np.int64), pa.array([" ".join(last) + " " + piece]), len(last)
-            held = split_segments([piece])[0] if len(piece) < 1 << 12 else split_segments([_tail(piece)])[0]
-            last = [*last, *held][-(RUN - 1) :]
-
-
-def _tail(piece: str) -> str:
-    """The end of a piece with at least RUN - 1 whole words, if the piece has them."""
-    size = 1 << 11
-    while size < len(piece):
-        words = split_segments([piece[-size:]])[0]
-        if len(words) >= RUN:
-            return " ".join(words[1:])
-        size *= 4
-    return piece
+            last = [*last, *re.findall(WORD, piece)][-(RUN - 1) :]
 
 
 def _features(texts: pa.Array, known: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
