@@ -5,8 +5,9 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.operators import changepoint
+from tidemark.operators import changepoint, tiles
 from tidemark.plans import risk
 
 
@@ -161,3 +162,57 @@ def test_current_risk_is_the_last_score(spark):
     last = {r["symbol"]: r for r in risk.current_risk(df, chunk_rows=None).collect()}
     scores = by_symbol(risk.risk_scores(df, chunk_rows=None), "a")
     assert last["a"]["ts"] == scores[-1]["ts"] and last["a"]["risk_score"] == pytest.approx(scores[-1]["risk_value"], abs=1e-4)
+
+
+def _points(spark, series):
+    rows = [(name, i, float(a), float(b)) for name, x in series.items() for i, (a, b) in enumerate(x)]
+    return spark.createDataFrame(rows, "symbol string, pos int, close_change double, volume_change double").repartition(5)
+
+
+def test_tiles_equal_the_one_task_kernel(spark):
+    rng = np.random.default_rng(5)
+    series = {n: rng.normal(size=(n, 2)) * (1 + 3 * (np.arange(n) > n // 3))[:, None] for n in (27, 99, 100, 101, 433)}
+    series = {f"s{n}": x for n, x in series.items()} | {None: np.round(rng.normal(size=(150, 2)), 1), "flat": np.zeros((60, 2))}
+    series["short"] = rng.normal(size=(26, 2))
+    found = {r["symbol"]: r["segments"] for r in tiles.change_points(_points(spark, series), ["symbol"], tile=50).collect()}
+    assert set(found) == set(series) - {"short"}
+    medians = tiles.pair_medians(_points(spark, series), ["symbol"], ["close_change", "volume_change"], tile=50).collect()
+    medians = {r["symbol"]: r["pair_median"] for r in medians}
+    for name, x in series.items():
+        assert name is None or medians[name] == changepoint.pair_median(x)
+        if name != "short":
+            expected = changepoint.segment_table(x)
+            assert [(r["start_i"], r["end_i"]) for r in found[name]] == [(r["start_i"], r["end_i"]) for r in expected]
+            assert [r["volatility"] for r in found[name]] == pytest.approx([r["volatility"] for r in expected])
+
+
+def test_no_task_holds_more_than_a_tile(spark):
+    x = np.random.default_rng(1).normal(size=(400, 2))
+    strips = tiles._strips(_points(spark, {"a": x}), ["symbol"], ["close_change", "volume_change"], "pos", 50)
+    spans = strips.groupBy("sid").agg(F.lit(0).alias("begin"), F.lit(400).alias("end"))
+    pairs = tiles._pairs(strips, spans, 50).select(F.size("x0").alias("n"), F.size("y0").alias("m"), "i", "j").collect()
+    assert len(pairs) == 36 and all(r["n"] == 50 and r["m"] == 50 and r["i"] <= r["j"] for r in pairs)
+
+
+def test_unusable_numbers_have_no_median(spark):
+    x = np.random.default_rng(0).normal(size=(40, 2))
+    y = x.copy()
+    y[3, 0] = np.nan
+    medians = tiles.pair_medians(_points(spark, {"x": x, "y": y, "one": x[:1]}), ["symbol"], ["close_change", "volume_change"], tile=15)
+    medians = {r["symbol"]: r["pair_median"] for r in medians.collect()}
+    assert medians["x"] == changepoint.pair_median(x) and np.isnan(medians["y"]) and medians["one"] == 0.0
+
+
+def test_whole_series_are_scored_alike_in_one_task_and_as_tiles(spark):
+    rng = np.random.default_rng(8)
+    start = datetime(2024, 1, 1)
+    rows = [
+        (s, start + timedelta(minutes=i), float(rng.uniform(1, 9)), int(rng.integers(1, 99))) for s, n in (("a", 140), ("b", 35)) for i in range(n)
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    one = sorted(map(tuple, risk.risk_scores(df, chunk_rows=None).collect()))
+    spread = sorted(map(tuple, risk.risk_scores(df, chunk_rows=None, one_task=50).collect()))
+    assert [r[:-1] for r in one] == [r[:-1] for r in spread] and len(one) == 173
+    assert [r[-1] for r in spread] == pytest.approx([r[-1] for r in one])
+    chunked = sorted(map(tuple, risk.risk_scores(df).collect()))
+    assert [r[-1] for r in chunked] == pytest.approx([r[-1] for r in one])

@@ -4,19 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import drop_nan, round_score
+from tidemark.operators import tiles
 from tidemark.operators.aggregates import latest, scale_between
 from tidemark.operators.changes import RISK_VALUES, upsert
 from tidemark.operators.changepoint import change_points, shortest_series
 from tidemark.operators.cleaning import stamp_risk
 from tidemark.operators.dedup import dedup_keep_last
-from tidemark.operators.series import ROWS_PER_TASK, change_of, ema_levels, with_chunk
-from tidemark.session import shuffle_tasks
+from tidemark.operators.series import ROWS_PER_TASK, change_of, ema_levels, join_group, relative_change, with_chunk, with_position
+from tidemark.session import shuffle_tasks, stored
 
 CHUNK_ROWS = 10_000
+#: Points of a whole series up to which its kernel is left to one task.
+WHOLE_POINTS = 10_000
+
+
+def _known(prices: DataFrame) -> DataFrame:
+    """The points with a close and a volume."""
+    return prices.withColumns({"close": drop_nan("close"), "volume": drop_nan("volume")}).dropna(subset=["close", "volume"])
 
 
 def chunk_changes(
@@ -26,16 +34,16 @@ def chunk_changes(
     tie: Sequence[str] = (),
     n_bkps: int = 5,
     *,
-    chunk_rows: int | None,
+    chunk_rows: int,
     max_rows: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Relative changes of close and volume inside every chunk; the first row of a chunk has none.
 
     Points without a close or volume are left out first. A series is cut into chunks of
-    `chunk_rows` points (None: one chunk); what is too short at its end for `n_bkps` splits
+    `chunk_rows` points; what is too short at its end for `n_bkps` splits
     belongs to the chunk before it.
     """
-    known = prices.withColumns({"close": drop_nan("close"), "volume": drop_nan("volume")}).dropna(subset=["close", "volume"])
+    known = _known(prices)
     least = shortest_series(n_bkps) + 1
     chunked = with_chunk(known.select(*keys, ts, *tie, "close", "volume"), keys, ts, [ts, *tie], chunk_rows, least, max_rows, prices)
     by = [*keys, "chunk"]
@@ -54,12 +62,64 @@ def chunk_changes(
     )
 
 
-def segments(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, *, chunk_rows: int | None, max_rows: int = ROWS_PER_TASK) -> DataFrame:
+def whole_changes(
+    prices: DataFrame,
+    keys: Sequence[str] = ("symbol",),
+    ts: str = "ts",
+    tie: Sequence[str] = (),
+    max_rows: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Relative changes of close and volume along whole series of any length, numbered by `pos`."""
+    known = _known(prices).select(*keys, ts, *tie, "close", "volume")
+    changes = relative_change(known, ["close", "volume"], keys, ts, [ts, *tie], max_rows)
+    return with_position(changes.drop("close", "volume"), keys, ts, [ts, *tie], max_rows=max_rows)
+
+
+def segments(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, *, chunk_rows: int, max_rows: int = ROWS_PER_TASK) -> DataFrame:
     """One row per chunk with its changes in order and its segments."""
     changes = chunk_changes(prices, keys, ts, tie, n_bkps, chunk_rows=chunk_rows, max_rows=max_rows)
     return change_points(changes, [*keys, "chunk"], [ts, *tie], n_bkps=n_bkps)
 
 
+def whole_segments(
+    changes: DataFrame,
+    keys: Sequence[str] = ("symbol",),
+    n_bkps: int = 5,
+    *,
+    one_task: int = WHOLE_POINTS,
+    max_rows: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """One row per series with its segments, whatever its length (see whole_changes).
+
+    Series up to `one_task` points are taken whole by a task; the kernel of longer ones is spread as tiles.
+    """
+    sizes = stored(changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "sizes")
+    long_series = F.coalesce(F.col("_n") > one_task, F.lit(False))
+    rows = join_group(changes, sizes, keys, "_n", max_rows)
+    features = ["close_change", "volume_change"]
+    found = change_points(rows.where(~long_series), keys, ["pos"], features, n_bkps).select(*keys, "segments")
+    if sizes.where(long_series).isEmpty():
+        return found
+    return found.unionByName(tiles.change_points(rows.where(long_series), keys, features, n_bkps=n_bkps, max_rows=max_rows))
+
+
+def _with_levels(cuts: DataFrame, alpha: float) -> DataFrame:
+    """`segments` scaled between the lowest and the highest volatility and smoothed up to their begin, as `levels`."""
+    volatility = F.col("segments")["volatility"]
+    lo, hi = F.array_min(volatility), F.array_max(volatility)
+    levels = F.transform(
+        "segments",
+        lambda s: F.struct(s["start_i"].alias("start_i"), s["end_i"].alias("end_i"), scale_between(s["volatility"], lo, hi).alias("level")),
+    )
+    return cuts.withColumn("levels", ema_levels(levels, alpha))
+
+
+def _smoothed(s: Column, k: Column, alpha: float) -> Column:
+    """The score of the point `k` of a segment, 0 to 100."""
+    smooth = s["level"] + (s["before"] - s["level"]) * F.pow(F.lit(1.0 - alpha), k + 1)
+    return F.when(smooth < 1e-5, F.lit(0.0)).otherwise(smooth) * 100.0
+
+
 def risk_scores(
     prices: DataFrame,
     keys: Sequence[str] = ("symbol",),
@@ -68,33 +128,35 @@ def risk_scores(
     n_bkps: int = 5,
     alpha: float = 0.3,
     *,
-    chunk_rows: int | None,
+    chunk_rows: int | None = CHUNK_ROWS,
     max_rows: int = ROWS_PER_TASK,
+    one_task: int = WHOLE_POINTS,
 ) -> DataFrame:
     """Risk 0..100 per price point: (keys, chunk, ts, tie, seg, risk_value).
 
-    A series is scored in chunks of `chunk_rows` points, as many as its files have
-    (CHUNK_ROWS), or whole (None). The work grows with the square of a chunk, so a chunk
-    bounds it for a series of any length; scores depend on the choice. Rows are shuffled once to number them
+    A series is scored in chunks of `chunk_rows` points, as many as its files have (CHUNK_ROWS), or whole (None, chunk 0);
+    scores depend on the choice. The work grows with the square of what is scored at once: a chunk is one task, a whole
+    series above `one_task` points is spread over tasks as tiles. Rows are shuffled once to number them
     and once by (series, chunk). Volatility is constant on a segment, so scaling and
     smoothing work on a handful of segments per chunk and the rows are unfolded last.
     Chunks too short for the splits give no rows (see unscored_chunks).
     """
+    if chunk_rows is None:
+        changes = stored(whole_changes(prices, keys, ts, tie, max_rows), "changes")
+        cuts = _with_levels(whole_segments(changes, keys, n_bkps, one_task=one_task, max_rows=max_rows), alpha)
+        cuts = stored(cuts.withColumn("_n", F.element_at("levels", -1)["end_i"].cast("bigint")).drop("segments"), "levels")
+        rows = join_group(changes, cuts, keys, "_n", max_rows, "inner")
+        seg = F.size(F.filter("levels", lambda s: s["end_i"] <= F.col("pos")))
+        rows = rows.withColumn("seg", seg).withColumn("_s", F.get("levels", F.col("seg")))
+        value = _smoothed(F.col("_s"), F.col("pos") - F.col("_s.start_i"), alpha)
+        return rows.select(*keys, F.lit(0).cast("bigint").alias("chunk"), ts, *tie, "seg", value.alias("risk_value"))
     by = [*keys, "chunk"]
-    cuts = segments(prices, keys, ts, tie, n_bkps, chunk_rows=chunk_rows, max_rows=max_rows)
-    volatility = F.col("segments")["volatility"]
-    lo, hi = F.array_min(volatility), F.array_max(volatility)
-    levels = F.transform(
-        "segments",
-        lambda s: F.struct(s["start_i"].alias("start_i"), s["end_i"].alias("end_i"), scale_between(s["volatility"], lo, hi).alias("level")),
-    )
-    per_segment = cuts.select(*by, "points", F.posexplode(ema_levels(levels, alpha)).alias("seg", "_s"))
+    cuts = _with_levels(segments(prices, keys, ts, tie, n_bkps, chunk_rows=chunk_rows, max_rows=max_rows), alpha)
+    per_segment = cuts.select(*by, "points", F.posexplode("levels").alias("seg", "_s"))
     inside = F.slice("points", F.col("_s.start_i") + 1, F.col("_s.end_i") - F.col("_s.start_i"))
     rows = per_segment.select(*by, "seg", "_s", F.posexplode(inside).alias("_k", "_p"))
-    level, before = F.col("_s.level"), F.col("_s.before")
-    smooth = level + (before - level) * F.pow(F.lit(1.0 - alpha), F.col("_k") + 1)
-    clipped = F.when(smooth < 1e-5, F.lit(0.0)).otherwise(smooth)
-    return rows.select(*by, *[F.col(f"_p.{c}").alias(c) for c in (ts, *tie)], "seg", (clipped * 100.0).alias("risk_value"))
+    value = _smoothed(F.col("_s"), F.col("_k"), alpha)
+    return rows.select(*by, *[F.col(f"_p.{c}").alias(c) for c in (ts, *tie)], "seg", value.alias("risk_value"))
 
 
 def unscored_chunks(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, *, chunk_rows: int | None, max_rows: int = ROWS_PER_TASK) -> DataFrame:
@@ -115,7 +177,7 @@ def unscored_chunks(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: st
     return short.withColumn("reason", F.lit("too few points")).unionByName(unknown)
 
 
-def current_risk(prices: DataFrame, key: str = "symbol", ts: str = "ts", tie: Sequence[str] = (), *, chunk_rows: int | None, **options) -> DataFrame:
+def current_risk(prices: DataFrame, key: str = "symbol", ts: str = "ts", tie: Sequence[str] = (), *, chunk_rows: int | None = CHUNK_ROWS, **options) -> DataFrame:
     """The latest rounded score of every series: that of its last point."""
     scores = risk_scores(prices, [key], ts, tie, chunk_rows=chunk_rows, **options)
     last = latest(scores, key, ts, [ts, *tie])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import aggregates, changepoint, joins, matrix, sets
+from tidemark.operators import aggregates, changepoint, joins, matrix, sets, tiles
 from tidemark.operators import series as ops
 from tidemark.plans import risk
 from tidemark.queries import views as v
@@ -118,6 +118,18 @@ def _(spark, sf):
     return out.withColumn("pair_median", settle("pair_median"))
 
 
+@query(
+    "a7_whole_series",
+    f"""WITH changes AS {_CHANGES}, pairs AS {_PAIRS}
+       SELECT symbol, CAST(median(d) AS FLOAT)::DOUBLE AS pair_median FROM pairs WHERE i < j GROUP BY symbol""",
+)
+def _(spark, sf):
+    """Whole series as tiles of 40 points."""
+    changes = risk.whole_changes(v.prices(spark, sf), tie=["event_id"])
+    out = tiles.pair_medians(changes, ["symbol"], ["close_change", "volume_change"], tile=40)
+    return out.withColumn("pair_median", settle("pair_median"))
+
+
 # --- windows ---------------------------------------------------------------------------
 
 
@@ -270,6 +282,17 @@ def _(spark, sf):
     return cuts.select("symbol", "chunk", F.posexplode(F.col("segments")["end_i"]).alias("seg", "end_i"))
 
 
+@query(
+    "w8_whole_series",
+    f"WITH {_SEGMENTS} SELECT symbol, CAST(seg AS INTEGER) AS seg, CAST(end_i AS INTEGER) AS end_i FROM segments",
+)
+def _(spark, sf):
+    """Whole series as tiles of 40 points."""
+    changes = risk.whole_changes(v.prices(spark, sf), tie=["event_id"])
+    cuts = tiles.change_points(changes, ["symbol"], tile=40)
+    return cuts.select("symbol", F.posexplode(F.col("segments")["end_i"]).alias("seg", "end_i"))
+
+
 _RISK_STEPS = """,
   marked AS (SELECT c.*, seg FROM changes c JOIN segments g ON c.symbol = g.symbol AND c.i >= start_i AND c.i < end_i),
   raw AS (SELECT symbol, i, ts, event_id, seg,
@@ -297,6 +320,16 @@ def _(spark, sf):
     return scores.select("symbol", "ts", "seg", settle("risk_value").alias("risk_value"))
 
 
+@query(
+    "w9_whole_series",
+    f"WITH {_RISK} SELECT symbol, ts, CAST(seg AS INTEGER) AS seg, CAST(risk_value AS FLOAT)::DOUBLE AS risk_value FROM risk",
+)
+def _(spark, sf):
+    """Whole series; those above 100 points are spread as tiles."""
+    scores = risk.risk_scores(v.prices(spark, sf), tie=["event_id"], chunk_rows=None, one_task=100)
+    return scores.select("symbol", "ts", "seg", settle("risk_value").alias("risk_value"))
+
+
 @query(
     "w9_chunked",
     f"""WITH {_CHUNKED_RISK} SELECT split_part(symbol, '#', 1) AS symbol, CAST(split_part(symbol, '#', 2) AS BIGINT) AS chunk, ts, event_id,
