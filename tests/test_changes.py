@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import changes, filters, joins, perseries, quality
 from tidemark.schemas import TABLES, Field, Table
-from tidemark.sources import files
+from tidemark.sources import tables
 
 BAR = "symbol string, ts timestamp_ntz, open double, high double, low double, close double, volume bigint"
 
@@ -99,10 +99,10 @@ def test_insert_rows(spark, tmp_path, incoming, stored):
     path = str(tmp_path / "t")
     stored.write.parquet(path)
     with pytest.raises(ValueError):
-        files.insert_rows(incoming, path, ["symbol", "ts"], ["close"], strict=True)
+        tables.insert_rows(incoming, path, ["symbol", "ts"], ["close"], strict=True)
     assert spark.read.parquet(path).count() == 3
-    files.insert_rows(incoming, path, ["symbol", "ts"], ["close"])
-    files.insert_rows(incoming, path, ["symbol", "ts"], ["close"])
+    tables.insert_rows(incoming, path, ["symbol", "ts"], ["close"])
+    tables.insert_rows(incoming, path, ["symbol", "ts"], ["close"])
     assert spark.read.parquet(path).count() == 7
 
 

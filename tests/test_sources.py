@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 
 from tidemark.schemas import CONTENT_ENTRY
-from tidemark.sources import feeds, files, pages, universe
+from tidemark.sources import feeds, files, pages, tables, universe
 
 
 def test_read_price_folders(spark, tmp_path):
@@ -32,10 +32,10 @@ def test_month_table(spark, tmp_path):
     df = spark.createDataFrame(
         [("a", datetime(2024, m, d), float(m)) for m in (1, 2, 3) for d in range(1, 21)], "symbol string, ts timestamp_ntz, close double"
     )
-    files.append_prices(df, path, rows_per_file=7)
+    tables.append_prices(df, path, rows_per_file=7)
     names = [f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
     assert len(names) == 9
-    part = files.read_prices_range(spark, path, "2024-01-15", "2024-02-03")
+    part = tables.read_prices_range(spark, path, "2024-01-15", "2024-02-03")
     assert part.count() == 9
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan and "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
@@ -107,12 +107,12 @@ def test_columns_are_found_by_name(spark, tmp_path):
 def test_old_days_go_with_their_folders(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("a", datetime(2024, m, d), float(m)) for m in (1, 2, 3) for d in (5, 25)], "symbol string, ts timestamp_ntz, close double")
-    files.append_prices(df, path, by=[])
-    files.drop_old_days(spark, path, 10, "2024-02-20")
+    tables.append_prices(df, path, by=[])
+    tables.drop_old_days(spark, path, 10, "2024-02-20")
     kept = sorted((r.ts.month, r.ts.day) for r in spark.read.parquet(path).collect())
     assert kept == [(2, 25), (3, 5), (3, 25)]
     assert sorted(x for x in os.listdir(path) if "=" in x) == ["month=2024-02-01", "month=2024-03-01"]
-    files.drop_old_days(spark, path, 0, "2024-02-28")
+    tables.drop_old_days(spark, path, 0, "2024-02-28")
     assert sorted(x for x in os.listdir(path) if "=" in x) == ["month=2024-03-01"]
 
 

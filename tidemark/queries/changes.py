@@ -13,7 +13,7 @@ from tidemark.queries.registry import query
 from tidemark.queries.series import _RISK
 from tidemark.schemas import Field, Table
 from tidemark.session import scratch_path
-from tidemark.sources import files
+from tidemark.sources import tables
 
 # --- joins -----------------------------------------------------------------------------
 
@@ -190,17 +190,86 @@ def _(spark, sf):
     target = ops.dedup_keep_last(scores.where("event_type <> 'view'"), ops.RISK_KEYS, ["event_id"]).drop("event_id", "event_type")
     target.write.partitionBy("predict_date").parquet(path)
     batch = scores.where("event_type IN ('view', 'click') AND predict_date < '2024-01-11'").withColumn("analysis_result", F.lit("Updated"))
-    files.upsert_table(batch, path, ops.RISK_KEYS, ops.RISK_VALUES, ["event_id"], ["predict_date"])
+    tables.upsert_table(batch, path, ops.RISK_KEYS, ops.RISK_VALUES, ["event_id"], ["predict_date"])
     back = spark.read.parquet(path)
     return back.withColumn("predict_date", F.date_format("predict_date", "yyyy-MM-dd"))
 
 
-@query("f3_drop_old_days", f"SELECT symbol, ts, close FROM {v.BARS} WHERE CAST(ts AS DATE) >= DATE '1998-06-15'")
+_CODES = "CASE WHEN company_code LIKE '%7' THEN NULL ELSE lpad(company_code, 6, '0') END AS company_code"
+
+
+@query(
+    "k3_upsert_odd_folders",
+    f"""WITH scores AS (SELECT * REPLACE ({_CODES}) FROM {_SCORES}),
+       target AS (SELECT * FROM scores WHERE event_type <> 'view' {_LAST_SCORE}),
+       batch AS (SELECT * REPLACE ('Updated' AS analysis_result) FROM scores WHERE event_type IN ('view', 'click') {_LAST_SCORE})
+       SELECT company_code, model_name, coalesce(b.analysis_result, t.analysis_result) AS analysis_result, test_date, predict_date,
+       coalesce(b.risk_score, t.risk_score) AS risk_score
+       FROM target t FULL JOIN batch b USING (company_code, model_name, test_date, predict_date)""",
+)
+def _(spark, sf):
+    """Folders of codes such as 000042, which stay text, and one of no code, whose rows stay beside the new ones."""
+    path = scratch_path(spark, "codes")
+    scores = _daily_scores(spark, sf).withColumn("company_code", F.expr(_CODES))
+    target = ops.dedup_keep_last(scores.where("event_type <> 'view'"), ops.RISK_KEYS, ["event_id"]).drop("event_id", "event_type")
+    target.write.partitionBy("company_code").parquet(path)
+    batch = scores.where("event_type IN ('view', 'click')").withColumn("analysis_result", F.lit("Updated"))
+    tables.upsert_table(batch, path, ops.RISK_KEYS, ops.RISK_VALUES, ["event_id"], ["company_code"])
+    return tables.read_stored(spark, path)
+
+
+_GROUPS = "'00590' || substr(symbol, 7, 1) AS symbol"
+
+
+@query("f3_drop_old_days", f"SELECT {_GROUPS}, ts, close FROM {v.BARS} WHERE CAST(ts AS DATE) >= DATE '1998-06-15'")
 def _(spark, sf):
+    """In folders of symbol and month."""
     path = scratch_path(spark, "retained")
-    files.append_prices(v.bars(spark, sf).select("symbol", "ts", "close"), path, by=[])
-    files.drop_old_days(spark, path, 10, "1998-06-25")
-    return spark.read.parquet(path).drop("month")
+    tables.append_prices(v.bars(spark, sf).select(F.expr(_GROUPS), "ts", "close"), path)
+    tables.drop_old_days(spark, path, 10, "1998-06-25")
+    return tables.read_stored(spark, path).drop("month")
+
+
+def _bar_table(spark, sf):
+    path = scratch_path(spark, "bar-table")
+    tables.append_prices(v.stored_bars(spark, sf), path, by=[])
+    return path
+
+
+@query(
+    "k2_reconcile_table",
+    f"""SELECT symbol, ts, coalesce(i.open, s.open) AS open, coalesce(i.high, s.high) AS high, coalesce(i.low, s.low) AS low,
+       coalesce(i.close, s.close) AS close, s.volume FROM {v.STORED_BARS} s LEFT JOIN {v.INCOMING_BARS} i USING (symbol, ts)""",
+)
+def _(spark, sf):
+    """Only the months with a corrected bar are written anew; the batch's new bars aren't added."""
+    path = _bar_table(spark, sf)
+    tables.reconcile_table(v.incoming_bars(spark, sf).withColumn("month", F.trunc("ts", "MM")), path)
+    return tables.read_stored(spark, path).drop("month")
+
+
+@query(
+    "k4_update_table",
+    f"""SELECT symbol, ts, CASE WHEN close > 1500 AND ts >= TIMESTAMP '1996-01-01' THEN close * 2 ELSE close END AS close, volume
+       FROM {v.STORED_BARS}""",
+)
+def _(spark, sf):
+    path = _bar_table(spark, sf)
+    tables.update_table(spark, path, {"close": F.col("close") * 2}, "close > 1500 AND ts >= TIMESTAMP_NTZ '1996-01-01 00:00:00'")
+    return tables.read_stored(spark, path).select("symbol", "ts", "close", "volume")
+
+
+@query(
+    "k5_delete_rows",
+    f"""SELECT symbol, ts, close FROM {v.STORED_BARS}
+       WHERE NOT (ts < TIMESTAMP '1993-01-01' OR (symbol = 'Brand#11' AND ts < TIMESTAMP '1996-07-10'))""",
+)
+def _(spark, sf):
+    """Folders that lose all their rows go, folders without a hit stay as they are."""
+    path = _bar_table(spark, sf)
+    where = "ts < TIMESTAMP_NTZ '1993-01-01 00:00:00' OR (symbol = 'Brand#11' AND ts < TIMESTAMP_NTZ '1996-07-10 00:00:00')"
+    tables.delete_rows(spark, path, where)
+    return tables.read_stored(spark, path).select("symbol", "ts", "close")
 
 
 @query(

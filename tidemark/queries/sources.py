@@ -12,7 +12,7 @@ from tidemark.queries import views as v
 from tidemark.queries.registry import query
 from tidemark.queries.series import _RISK
 from tidemark.session import scratch_path
-from tidemark.sources import feeds, files, universe
+from tidemark.sources import feeds, files, tables, universe
 
 _ALL_BARS = f"SELECT symbol, ts, open, high, low, close, CAST(volume AS DOUBLE) AS volume FROM {v.BARS}"
 
@@ -44,23 +44,46 @@ def _(spark, sf):
     return files.read_prices(spark, path)
 
 
+@query(
+    "s1_read_wide_prices",
+    f"""SELECT symbol, ts, open, high, low, close, CAST(volume AS DOUBLE) AS volume FROM {v.BARS} WHERE symbol >= 'Brand#2'""",
+)
+def _(spark, sf):
+    """Files of 75 columns whose date is the last; in the others the header isn't the first line."""
+    path = scratch_path(spark, "wide-files")
+    bars = v.bars(spark, sf).withColumn("date", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS+00:00"))
+    names = ["open", "high", "low", "close", "volume"]
+    notes = {f"note{i}": F.lit(f"{i}, x") for i in range(69)}
+    wide = bars.where("symbol >= 'Brand#2'").withColumns(notes).select("symbol", *names, *notes, "date")
+    wide.write.option("header", True).partitionBy("symbol").csv(path)
+    lines = bars.where("symbol < 'Brand#2'").select("symbol", F.concat_ws(",", "date", *names).alias("line"))
+    head = F.lit("exported by hand\n" + ",".join(["date", *names]) + "\n")
+    texts = lines.groupBy("symbol").agg(F.concat(head, F.array_join(F.collect_list("line"), "\n")).alias("value"))
+    texts.write.partitionBy("symbol").text(f"{path}/late")
+    return files.read_prices(spark, path)
+
+
+_DIGITS = "'00590' || substr(symbol, 7, 1) AS symbol"
+
+
 @query(
     "s2_read_prices_range",
-    f"""SELECT symbol, ts, close, volume FROM {v.BARS}
+    f"""SELECT {_DIGITS}, ts, close, volume FROM {v.BARS}
        WHERE ts >= TIMESTAMP '1998-03-15 00:00:00' AND ts <= TIMESTAMP '1999-07-10 00:00:00'""",
 )
 def _(spark, sf):
+    """In folders of symbols such as 005901, which stay text."""
     path = scratch_path(spark, "price-months")
-    files.append_prices(v.bars(spark, sf), path, by=[])
-    return files.read_prices_range(spark, path, "1998-03-15", "1999-07-10").select("symbol", "ts", "close", "volume")
+    tables.append_prices(v.bars(spark, sf).withColumn("symbol", F.expr(_DIGITS)), path)
+    return tables.read_prices_range(spark, path, "1998-03-15", "1999-07-10").select("symbol", "ts", "close", "volume")
 
 
 @query("s3_append_prices", f"SELECT symbol, ts, open, high, low, close, volume FROM {v.BARS}")
 def _(spark, sf):
     path = scratch_path(spark, "price-table")
     stored = v.stored_bars(spark, sf)
-    files.append_prices(stored, path, by=[])
-    files.append_prices(v.bars(spark, sf).where(F.col("ts") >= v.ntz(v.BARS_CUTOFF)), path, by=[])
+    tables.append_prices(stored, path, by=[])
+    tables.append_prices(v.bars(spark, sf).where(F.col("ts") >= v.ntz(v.BARS_CUTOFF)), path, by=[])
     return spark.read.parquet(path).drop("month")
 
 
@@ -134,7 +157,7 @@ def _(spark, sf):
 
 @query("s12_read_table", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000")
 def _(spark, sf):
-    rows = files.read_table(spark, f"{sf}/orders.parquet", "o_orderstatus = 'F' AND o_totalprice > 100000")
+    rows = tables.read_table(spark, f"{sf}/orders.parquet", "o_orderstatus = 'F' AND o_totalprice > 100000")
     return rows.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
@@ -147,10 +170,27 @@ def _(spark, sf):
     path = scratch_path(spark, "stored-bars")
     columns = ["symbol", "ts", "close", "volume"]
     v.stored_bars(spark, sf).select(*columns).write.parquet(path)
-    files.insert_rows(v.incoming_bars(spark, sf).select(*columns), path, ["symbol", "ts"], ["close"])
+    tables.insert_rows(v.incoming_bars(spark, sf).select(*columns), path, ["symbol", "ts"], ["close"])
     return spark.read.parquet(path)
 
 
+@query(
+    "s13_insert_groups",
+    f"""WITH batch AS (SELECT symbol, ts, close, volume FROM {v.INCOMING_BARS} WHERE ts >= TIMESTAMP '{v.BARS_CUTOFF}' OR symbol < 'Brand#2')
+       SELECT symbol, ts, close, volume FROM {v.STORED_BARS}
+       UNION ALL SELECT symbol, ts, close, volume FROM batch WHERE symbol >= 'Brand#2' AND symbol <> 'Brand#55'""",
+)
+def _(spark, sf):
+    """Series that bring a stored day, or one of their days twice, add nothing; the others add all they have."""
+    path = scratch_path(spark, "stored-groups")
+    columns = ["symbol", "ts", "close", "volume"]
+    tables.append_prices(v.stored_bars(spark, sf).select(*columns), path, by=[])
+    batch = v.incoming_bars(spark, sf).where(f"ts >= TIMESTAMP_NTZ '{v.BARS_CUTOFF}' OR symbol < 'Brand#2'").select(*columns)
+    batch = batch.unionByName(batch.where("symbol = 'Brand#55'")).withColumn("month", F.trunc("ts", "MM"))
+    tables.insert_groups(batch, path, ["symbol", "ts"])
+    return tables.read_stored(spark, path).drop("month")
+
+
 @query(
     "s14_write_risk",
     f"""WITH {_RISK} SELECT symbol, strftime(ts, '%Y-%m-%d') AS predict_date, count(*) AS n_rows,

@@ -9,12 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import parse_time
-from tidemark.operators.filters import between_dates
-from tidemark.operators.changes import upsert
-from tidemark.operators.joins import anti_existing
+from tidemark.operators.dedup import dedup_keep_last
 from tidemark.schemas import PRICE_FILE
-
-ROWS_PER_FILE = 10_000
+from tidemark.session import stored
+from tidemark.sources.tables import ROWS_PER_FILE
 
 
 def _decode(c):
@@ -28,23 +26,31 @@ def _folder_symbol():
     return F.when(written, _decode(F.regexp_replace(folder, "^symbol=", ""))).otherwise(folder)
 
 
-def read_prices(spark: SparkSession, path: str, schema: str = PRICE_FILE, width: int = 64) -> DataFrame:
+def read_prices(spark: SparkSession, path: str, schema: str = PRICE_FILE) -> DataFrame:
     """All price files below `path`, one folder per symbol; times in UTC.
 
-    Columns are found by the names in each file's first line, whatever their order; columns
-    that `schema` doesn't name are left out, missing ones are null. A file without `date`
-    and rows whose date can't be read give no rows. Lines have at most `width` columns.
-    Symbols such as 005930 stay text. One row per file, its places of columns, is joined
-    with the file's lines.
+    Columns are found by the names in each file's first line, whatever their order and number; columns
+    that `schema` doesn't name are left out, missing ones are null. A file whose first line has no `date`,
+    and rows whose date can't be read, give no rows. Symbols such as 005930 stay text. The first lines are
+    stored, one row per file, and joined with the files' lines.
     """
     wanted = T.StructType.fromDDL(schema)
+    files = spark.read.option("recursiveFileLookup", True)
+    lines = files.text(path, pathGlobFilter="*.csv")
+    # Ids grow along a task's part of a file, so the least one of the part at offset 0 is the first line's.
+    at_start = lines.select("value", F.col("_metadata.file_path").alias("_of"), F.col("_metadata.file_block_start").alias("at"))
+    at_start = at_start.withColumn("id", F.monotonically_increasing_id()).where("at = 0")
+    firsts = stored(at_start.groupBy("_of").agg(F.min_by("value", "id").alias("line")), "first-lines")
+    # Commas inside quotes make this too large, never too small.
+    width = firsts.agg(F.max(F.length(F.regexp_replace("line", "[^,]", "")) + 1)).first()[0] or 1
     line = ", ".join(f"_c{i} STRING" for i in range(width))
-    raw = spark.read.schema(line).option("recursiveFileLookup", True).csv(path, pathGlobFilter="*.csv")
-    cells = F.transform(F.array(*raw.columns), lambda c: F.lower(F.trim(c)))
-    rows = raw.select(F.col("_metadata.file_path").alias("_file"), _folder_symbol().alias("symbol"), F.array(*raw.columns).alias("_cells"))
-    heads = raw.select(F.col("_metadata.file_path").alias("_of"), cells.alias("_names")).where(F.array_contains("_names", "date"))
+    names = F.from_csv(F.ltrim("line", F.lit("\ufeff")), line)
+    names = F.transform(F.array(*[names[f"_c{i}"] for i in range(width)]), lambda c: F.lower(F.trim(c)))
+    heads = firsts.select("_of", names.alias("_names")).where(F.array_contains("_names", "date"))
     places = F.struct(*[F.array_position("_names", f.name).cast("int").alias(f.name) for f in wanted])
-    heads = heads.groupBy("_of").agg(F.first(places).alias("_at"))
+    heads = heads.select("_of", places.alias("_at"))
+    raw = files.schema(line).csv(path, pathGlobFilter="*.csv")
+    rows = raw.select(F.col("_metadata.file_path").alias("_file"), _folder_symbol().alias("symbol"), F.array(*raw.columns).alias("_cells"))
 
     def cell(name: str):
         # Place 0: the file has no such column.
@@ -56,26 +62,6 @@ def read_prices(spark: SparkSession, path: str, schema: str = PRICE_FILE, width:
     return found.select("symbol", parse_time(cell("date")).alias("ts"), *values).where(F.col("ts").isNotNull())
 
 
-def append_prices(df: DataFrame, path: str, ts: str = "ts", by: Sequence[str] = ("symbol",), rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Appends to a table in folders of `by` and month, at most `rows_per_file` rows per file.
-
-    The rebalance hint gives every folder to few tasks and splits a folder that is too
-    large for one.
-    """
-    month = F.trunc(F.to_date(ts), "MM")
-    out = df.withColumn("month", month).hint("rebalance", *by, "month")
-    out.write.mode("append").option("maxRecordsPerFile", rows_per_file).partitionBy(*by, "month").parquet(path)
-
-
-def read_prices_range(spark: SparkSession, path: str, start: str, end: str, ts: str = "ts", schema: str | None = None) -> DataFrame:
-    """Rows between two times; only the month folders of the range are read."""
-    reader = spark.read.option("basePath", path)
-    table = (reader.schema(schema) if schema else reader).parquet(path)
-    first = F.trunc(F.lit(start).cast("date"), "MM")
-    last = F.trunc(F.lit(end).cast("date"), "MM")
-    return between_dates(table.where(F.col("month").between(first, last)), start, end, ts)
-
-
 def write_price_files(df: DataFrame, path: str, ts: str = "ts", rows_per_file: int = ROWS_PER_FILE) -> None:
     """Price files in text form, one folder per symbol."""
     text = df.select("symbol", F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS+00:00").alias("date"), "open", "high", "low", "close", "volume")
@@ -103,12 +89,6 @@ def read_risk(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, where: str | None = None) -> DataFrame:
-    """A stored table, or the rows that match a condition (pushed to the scan)."""
-    table = spark.read.parquet(path)
-    return table.where(F.expr(where)) if where else table
-
-
 def read_table_jdbc(
     spark: SparkSession, url: str, table: str, properties: dict, where: str | None = None, split: tuple[str, str, str, int] | None = None
 ) -> DataFrame:
@@ -120,51 +100,6 @@ def read_table_jdbc(
     return rows.where(F.expr(where)) if where else rows
 
 
-def insert_rows(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], strict: bool = False) -> None:
-    """Appends the rows whose key is not stored, as one job; `strict` refuses a batch with a stored key."""
-    spark = df.sparkSession
-    stored = spark.read.parquet(path)
-    if strict and not df.join(stored.select(*keys), list(keys), "left_semi").isEmpty():
-        raise ValueError(f"rows with these keys exist already: {list(keys)}")
-    anti_existing(df, stored, keys, order).write.mode("append").parquet(path)
-
-
-def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    """Replaces the folders of `by` that `df` has rows for; all others stay as they are.
-
-    `df` may come from the same table: the new folders are put in place when all are written.
-    """
-    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-
-
-def upsert_table(batch: DataFrame, path: str, keys: Sequence[str], update_cols: Sequence[str], order: Sequence[str], by: Sequence[str]) -> None:
-    """`upsert` into a stored table in folders of `by` (part of the key): only the batch's folders are read and written."""
-    if not set(by) <= set(keys):
-        raise ValueError(f"{list(by)} must be part of the key {list(keys)}")
-    stored = batch.sparkSession.read.parquet(path)
-    touched = stored.join(batch.select(*by).distinct(), list(by), "left_semi").select(*stored.columns)
-    overwrite_partitions(upsert(touched, batch, keys, update_cols, order=order), path, by)
-
-
-def drop_old_days(spark: SparkSession, path: str, days: int, as_of: str, ts: str = "ts", by: str = "month") -> None:
-    """Retention in a table in month folders (see append_prices): whole folders are deleted, the month of the
-    first day kept is written anew."""
-    first = F.date_sub(F.lit(as_of).cast("date"), days)
-    table = spark.read.parquet(path)
-    # The names of the folders: no row is read for them.
-    old = [r[0] for r in table.select(by).distinct().where(F.col(by) < F.trunc(first, "MM")).collect()]
-    border = table.where(F.col(by) == F.trunc(first, "MM"))
-    kept = border.where(F.to_date(ts) >= first)
-    if kept.isEmpty():
-        old += [r[0] for r in border.select(by).distinct().collect()]
-    elif not border.where(F.to_date(ts) < first).isEmpty():
-        overwrite_partitions(kept, path, [by])
-    for month in old:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={month}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    spark.catalog.refreshByPath(path)
-
-
 def insert_rows_jdbc(df: DataFrame, url: str, table: str, properties: dict, batch_rows: int = 10_000) -> None:
     """Appends to a database table in batches."""
     df.write.option("batchsize", batch_rows).jdbc(url, table, mode="append", properties=properties)
@@ -181,9 +116,15 @@ def read_keyed_json(spark: SparkSession, path: str, entry: str) -> DataFrame:
     return spark.read.schema(f"id STRING, entry {entry}").json(path)
 
 
-def write_keyed_documents(df: DataFrame, path: str, id_col: str = "id", entry: str = "entry", entries_per_document: int = 10_000) -> None:
-    """(id, entry) rows as documents of the form {"id": {...}, ...}, one per line, of at most so many entries each."""
-    rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(entry).alias("entry"))
+def write_keyed_documents(
+    df: DataFrame, path: str, id_col: str = "id", entry: str = "entry", entries_per_document: int = 10_000, order: Sequence[str] = ()
+) -> None:
+    """(id, entry) rows as documents of the form {"id": {...}, ...}, one per line, of about so many entries each.
+
+    Of rows with one id the last by `order` (the entry itself without it) stays; rows without id are left out.
+    """
+    rows = dedup_keep_last(df.where(F.col(id_col).isNotNull()), [id_col], list(order) or [entry])
+    rows = rows.select(F.col(id_col).cast("string").alias("id"), F.col(entry).alias("entry"))
     slices = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-df.count() // entries_per_document))))
     documents = rows.groupBy(slices.alias("_slice")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("id", "entry")))).alias("d"))
     documents.select(F.to_json("d").alias("value")).write.mode("overwrite").text(path)
