@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import round_score
@@ -13,7 +15,7 @@ from tidemark.queries.registry import query
 from tidemark.queries.series import _RISK
 from tidemark.schemas import Field, Table
 from tidemark.session import scratch_path
-from tidemark.sources import tables
+from tidemark.sources import history, tables
 
 # --- joins -----------------------------------------------------------------------------
 
@@ -248,6 +250,46 @@ def _(spark, sf):
     return tables.read_stored(spark, path).drop("month")
 
 
+def _bar_history(spark, sf):
+    name = f"bars_{uuid.uuid4().hex}"
+    return history.create_history(v.stored_bars(spark, sf), name, scratch_path(spark, "history"), buckets=8)
+
+
+@query(
+    "k1_history",
+    f"""SELECT symbol, ts, close, volume FROM {v.STORED_BARS}
+       UNION ALL SELECT symbol, ts, close, volume FROM {v.INCOMING_BARS} WHERE ts >= TIMESTAMP '{v.BARS_CUTOFF}'""",
+)
+def _(spark, sf):
+    """All bars arrive again in two batches; the history holds each once, in its buckets."""
+    bars = _bar_history(spark, sf)
+    for where in (f"ts < TIMESTAMP_NTZ '{v.BARS_CUTOFF}'", f"ts >= TIMESTAMP_NTZ '{v.BARS_CUTOFF}'"):
+        history.append_new(bars, v.incoming_bars(spark, sf).where(where), ["close"])
+    return bars.rows.select("symbol", "ts", "close", "volume")
+
+
+@query(
+    "k2_history",
+    f"""SELECT symbol, ts, coalesce(i.close, s.close) AS close, s.volume
+       FROM {v.STORED_BARS} s LEFT JOIN {v.INCOMING_BARS} i USING (symbol, ts)""",
+)
+def _(spark, sf):
+    """A session that hasn't made the history opens it and takes corrected bars over."""
+    made = _bar_history(spark, sf)
+    bars = history.open_history(spark, f"{made.name}_again", made.path)
+    history.reconcile_history(bars, v.incoming_bars(spark, sf))
+    return bars.rows.select("symbol", "ts", "close", "volume")
+
+
+@query(
+    "f6_history",
+    f"SELECT symbol, ts, close, volume FROM {v.INCOMING_BARS} WHERE ts >= TIMESTAMP '{v.BARS_CUTOFF}'",
+)
+def _(spark, sf):
+    """New rows are told by the last times beside the history; no row of it is read."""
+    return history.newer_rows(_bar_history(spark, sf), v.incoming_bars(spark, sf)).select("symbol", "ts", "close", "volume")
+
+
 @query(
     "k4_update_table",
     f"""SELECT symbol, ts, CASE WHEN close > 1500 AND ts >= TIMESTAMP '1996-01-01' THEN close * 2 ELSE close END AS close, volume

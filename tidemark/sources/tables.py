@@ -31,14 +31,30 @@ def _folder(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def read_layout(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]] | None:
-    """Column types and folder columns of a table, if its writer has kept them."""
-    at, fs = _folder(spark, f"{path}/{LAYOUT}")
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file beside a table; None where there is none."""
+    at, fs = _folder(spark, path)
     if not fs.exists(at):
         return None
     file = fs.open(at)
-    kept = json.loads(bytes(file.readAllBytes()))
+    text = bytes(file.readAllBytes()).decode()
     file.close()
+    return text
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    at, fs = _folder(spark, path)
+    out = fs.create(at, True)
+    out.write(text.encode())
+    out.close()
+
+
+def read_layout(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]] | None:
+    """Column types and folder columns of a table, if its writer has kept them."""
+    text = read_text(spark, f"{path}/{LAYOUT}")
+    if text is None:
+        return None
+    kept = json.loads(text)
     return T.StructType.fromJson(kept["schema"]), kept["by"]
 
 
@@ -54,10 +70,7 @@ def write_layout(df: DataFrame, path: str, by: Sequence[str]) -> None:
         if set(schema.names) <= set(types):
             return
         schema = T.StructType([*known[0], *[f for f in schema if f.name not in types]])
-    at, fs = _folder(spark, f"{path}/{LAYOUT}")
-    out = fs.create(at, True)
-    out.write(json.dumps({"schema": json.loads(schema.json()), "by": list(by)}).encode())
-    out.close()
+    write_text(spark, f"{path}/{LAYOUT}", json.dumps({"schema": json.loads(schema.json()), "by": list(by)}))
 
 
 def read_stored(spark: SparkSession, path: str, folders: Mapping[str, str] | None = None) -> DataFrame:
