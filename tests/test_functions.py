@@ -93,3 +93,20 @@ def test_page_text(spark):
     )
     assert one(spark, html, "string", fn.page_title) == "A & B"
     assert one(spark, html, "string", fn.article_text) == "Head\nOne two three\nfour"
+
+
+def test_main_text_leaves_out_what_is_around(spark):
+    words = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    menu = "".join(f"<li><a href='/{i}'>menu item {i}</a></li>" for i in range(5))
+    html = (
+        f"<html><head><title>t</title></head><body><ul>{menu}</ul><div>Advertisement</div><h1>A headline</h1><p>{words}.</p><p>Short line.</p>"
+        f"<p>{words} &amp; <a href='#'>a link</a> more</p><div><a href='/x'><span>Read</span> <div>also this</div> and that</a></div>"
+        f"<ul>{menu}</ul><footer>All rights</footer></body></html>"
+    )
+    found = one(spark, html, "string", fn.main_text).split("\n")
+    assert found == ["A headline", f"{words}.", "Short line.", f"{words} & a link more"]
+    for odd in ("", "<body></body>", "<a>", "no markup", "<ul>" + menu + "</ul>", "&#1;&#x2;<p>\x01\x02\x03</p>"):
+        assert one(spark, odd, "string", fn.main_text) == ""
+    assert one(spark, f"<p>{words}<a name=here>{words}<p>{words}", "string", fn.main_text) == f"{words}"
+    assert one(spark, "<p>" + "日本語の文章" * 40 + "</p>", "string", fn.main_text) == "日本語の文章" * 40
+    assert one(spark, None, "string", fn.main_text) is None

@@ -14,13 +14,14 @@ from tidemark.functions.cleaning import (
     sentiment_date,
     to_utc,
 )
-from tidemark.functions.text import anchor_texts, article_text, page_title, strip_markup
+from tidemark.functions.text import anchor_texts, article_text, main_text, page_title, strip_markup
 
 __all__ = [
     "anchor_texts",
     "article_text",
     "drop_nan",
     "join_keywords",
+    "main_text",
     "map_role",
     "news_key",
     "page_title",

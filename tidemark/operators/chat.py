@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -63,13 +64,16 @@ def score_articles(
     make_scorer: Callable[[], Callable[[str], str]],
     key: str = "id",
     content: str = "content",
+    tries: int = 1,
+    pause: float = 0.0,
 ) -> DataFrame:
     """Response text of a user's scorer for every article with content: (key, response, error).
 
     `make_scorer` is called once per task and returns the function from instruction to
-    response. An article that fails keeps its row with the message in `error`. A scorer that
-    must not be called too often keeps its own rate. Write the result before it is used
-    twice: each use scores again.
+    response. An article that fails `tries` times, with `pause` seconds after the first failure and twice as many after
+    each further one, keeps its row with the message in `error`. A scorer that
+    must not be called too often keeps its own rate. Each use of the result scores again; plans.scoring
+    keeps the answers.
     """
     todo = present_content(df, content).select(key, instruction(content).alias("instruction"))
 
@@ -77,10 +81,14 @@ def score_articles(
         scorer = make_scorer()
 
         def one(text):
-            try:
-                return scorer(text), None
-            except Exception as e:
-                return None, f"{type(e).__name__}: {e}"
+            for turn in range(tries):
+                try:
+                    return scorer(text), None
+                except Exception as e:
+                    error = f"{type(e).__name__}: {e}"
+                if turn + 1 < tries:
+                    time.sleep(pause * 2**turn)
+            return None, error
 
         for pdf in batches:
             results = [one(text) for text in pdf["instruction"]]

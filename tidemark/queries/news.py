@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions import text
 from tidemark.operators import chat, news
 from tidemark.plans.news import analyse_articles
+from tidemark.plans.scoring import score_once
 from tidemark.queries import views as v
 from tidemark.queries.registry import query, settle
 from tidemark.schemas import REPORT_ENTRY
@@ -63,10 +65,52 @@ _TITLE = _sql_squeeze(_sql_replace_entities("regexp_extract(html, '(?is)<title[^
        FROM (SELECT page_id, url, {_TITLE} AS title, {_TEXT} AS t FROM pages)""",
 )
 def _(spark, sf):
-    rows = pages.extract_articles(v.table(spark, sf, "pages"))
+    rows = pages.extract_articles(v.table(spark, sf, "pages"), whole=True)
     return rows.select("page_id", "url", "title", F.md5("content").alias("content_md5"), "error")
 
 
+# The same blocks and the same tree in SQL, over pages with a list of links on either side of the article and a
+# link that holds blocks.
+_MENU = '<ul><li><a href="/a">More about this</a></li><li><a href="/b"><div>All about <b>that</b></div><div>and more</div></a></li></ul>'
+_RELATED = '<section><h4>Read also</h4><p><a href="/c">What others have written about the same thing</a> (3)</p><p><a name="x">One more</section>'
+_AROUND = f"replace(replace(html, '<article>', '{_MENU}<article>'), '</article>', '</article>{_RELATED}')"
+
+
+def _sql_blocks(html: str) -> str:
+    c = f"regexp_replace({html}, '(?s)<!--.*?-->', ' ', 'g')"
+    for name in text.HIDDEN_ELEMENTS:
+        c = f"regexp_replace({c}, '(?is)<{name}\\b[^>]*>.*?</{name}>', ' ', 'g')"
+    for pattern, mark in (
+        ("[\\x01-\\x03]", "' '"), ("(?i)&#(0*[1-3]|x0*[1-3]);", "' '"), ("(?i)<br\\b[^>]*>", "chr(10)"), ("(?i)<a\\b[^>]*>", "chr(1)"),
+        ("(?i)</a\\b[^>]*>", "chr(2)"), (f"(?i)</?({text.BLOCK_ELEMENTS})\\b[^>]*>", "chr(3)"), ("(?s)<[^>]*>", "''"),
+    ):
+        c = f"regexp_replace({c}, '{pattern}', {mark}, 'g')"
+    linked = """chr(1) || replace(split_part(p, m, 1), chr(3), chr(2) || chr(3) || chr(1)) || chr(2)
+        || replace(substr(p, len(split_part(p, m, 1)) + 1), chr(2), '')""".replace("m,", "CASE WHEN contains(p, chr(2)) THEN chr(2) ELSE chr(3) END,")
+    words = "CASE WHEN {0} = '' THEN 0 ELSE greatest(len(regexp_split_to_array({0}, '[ \n]+')), len({0}) // 10) END"
+    links = "array_to_string(regexp_extract_all(b, chr(1) || '([^' || chr(2) || ']*)' || chr(2), 1), ' ')"
+    plain = _sql_squeeze("replace(replace(b, chr(1), ''), chr(2), '')")
+    return f"""(SELECT page_id, list_transform(list_filter(list_transform(string_split(t, chr(3)), lambda b:
+        {{'text': {plain}, 'links': {_sql_squeeze(links)}}}), lambda b: b.text <> ''), lambda b:
+        {{'text': b.text, 'words': {words.format("b.text")}, 'links': ({words.format("b.links")}) / CAST({words.format("b.text")} AS DOUBLE)}}) AS blocks
+      FROM (SELECT page_id, replace(parts[1], chr(2), '') || array_to_string(list_transform(parts[2:], lambda p: {linked}), '') AS t
+        FROM (SELECT page_id, string_split({_sql_replace_entities(c)}, chr(1)) AS parts FROM pages)))"""
+
+
+@query(
+    "s8_article_blocks",
+    f"""SELECT page_id, md5(array_to_string(list_transform(list_filter(blocks, lambda b, i: b.links <= 0.333333 AND CASE
+         WHEN coalesce(blocks[i - 1].links, 0) <= 0.555556
+         THEN b.words > 16 OR coalesce(blocks[i + 1].words, 0) > 15 OR coalesce(blocks[i - 1].words, 0) > 4
+         ELSE b.words > 40 OR coalesce(blocks[i + 1].words, 0) > 17 END), lambda b: b.text), chr(10))) AS content_md5, false AS has_links
+       FROM {_sql_blocks(_AROUND)}""",
+)
+def _(spark, sf):
+    rows = pages.extract_articles(v.table(spark, sf, "pages").select("page_id", F.expr(_AROUND).alias("html")))
+    has_links = F.coalesce(F.col("content").rlike("More about this|All about that|same thing|One more"), F.lit(False))
+    return rows.select("page_id", F.md5(F.coalesce("content", F.lit(""))).alias("content_md5"), has_links.alias("has_links"))
+
+
 # Pages with known text around the real ones: references of every kind, and a list inside other elements.
 _KNOWN_HTML = (
     '<div class="top"><div>x</div></div><div id="a" class="box hotNewsList"><div><ul><li><div><b>1</b> <a href="#">first &mdash; one</a></div></li>'
@@ -76,10 +120,14 @@ _KNOWN_HTML = (
 _KNOWN_TEXT = "It’s ''so'' … &lt; &unknown; é©"
 
 
-@query("s8_known_text", f"SELECT page_id, '{_KNOWN_TEXT}' AS content FROM pages")
+@query("s8_known_text", f"SELECT page_id, '{_KNOWN_TEXT}' AS first_line, md5({_TEXT}) AS rest_md5 FROM pages WHERE html LIKE '%<article>%'")
 def _(spark, sf):
-    known = v.table(spark, sf, "pages").select("page_id", F.concat(F.lit("<body>"), F.lit(_KNOWN_HTML), F.lit("</body>")).alias("html"))
-    return pages.extract_articles(known).select("page_id", "content")
+    """A known article before the text of each page's own."""
+    article = F.regexp_extract(F.lit(_KNOWN_HTML), "(?s)(<article>.*)</article>", 1)
+    known = v.table(spark, sf, "pages").where(F.contains("html", F.lit("<article>")))
+    known = known.select("page_id", F.replace("html", F.lit("<article>"), F.concat(article, F.lit("<p>"))).alias("html"))
+    content = pages.extract_articles(known, whole=True).select("page_id", F.split("content", "\n", 2).alias("c"))
+    return content.select("page_id", F.get("c", 0).alias("first_line"), F.md5(F.coalesce(F.get("c", 1), F.lit(""))).alias("rest_md5"))
 
 
 @query(
@@ -266,6 +314,21 @@ def _(spark, sf):
     return scored.select("doc_id", score.alias("score"), "error")
 
 
+@query(
+    "l2_score_once",
+    """SELECT doc_id, CASE WHEN length(text) <= 5000 THEN CAST(100 / (100 + length(text)) AS FLOAT)::DOUBLE END AS score,
+       CASE WHEN length(text) > 5000 THEN 'ValueError: article too long' END AS error FROM documents WHERE text <> ''""",
+)
+def _(spark, sf):
+    """English documents are scored first; the run of all documents finds their answers, and asks for equal texts once."""
+    path = scratch_path(spark, "answers")
+    docs = v.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    for some in (docs.where("lang = 'en'"), docs):
+        scored = score_once(some, length_scorer, path, "doc_id", "text", files_per_step=8, tries=2, pause=0.0)
+    score = settle(F.get_json_object("response", "$.Sentiment").cast("double"))
+    return scored.select("doc_id", score.alias("score"), "error")
+
+
 @query(
     "l2_analyse_articles",
     f"""SELECT id, CASE WHEN length(t) <= 5000 THEN CAST(100 / (100 + length(t)) AS FLOAT)::DOUBLE END AS score,
@@ -280,7 +343,7 @@ def _(spark, sf):
     articles = rows.select(
         F.col("page_id").alias("id"), F.lit("").alias("title"), F.col("link").alias("originallink"), "link", date.alias("pub_date")
     )
-    out = analyse_articles(articles, rows.select(F.col("link").alias("url"), "html", "page_id"), length_scorer, ["page_id"])
+    out = analyse_articles(articles, rows.select(F.col("link").alias("url"), "html", "page_id"), length_scorer, ["page_id"], whole=True, pause=0.0)
     reports = out.reports.select("id", settle(F.col("sentiment").cast("double")).alias("score"), F.lit(None).cast("string").alias("error"))
     return reports.unionByName(out.failures.withColumn("score", F.lit(None).cast("double")))
 

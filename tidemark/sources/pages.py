@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import anchor_texts, article_text, page_title
+from tidemark.functions import anchor_texts, article_text, main_text, page_title
 
 
-def extract_articles(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(url, title, content, error) per page; a page without text has an error instead of content."""
+def extract_articles(pages: DataFrame, html: str = "html", whole: bool = False) -> DataFrame:
+    """The other columns, title, content and error per page; a page without text has an error instead of content.
+
+    The content is the body of the article (see main_text), or, with `whole` and where there is no running text, all
+    text of its article element.
+    """
     page = F.coalesce(F.col(html), F.lit(""))
-    rows = pages.select(*[c for c in pages.columns if c != html], page_title(page).alias("title"), article_text(page).alias("content"))
+    others = [c for c in pages.columns if c != html]
+    rows = pages.select(*others, page_title(page).alias("title"), page.alias("_page"))
+    if whole:
+        rows = rows.withColumn("content", article_text(F.col("_page"))).drop("_page")
+    else:
+        rows = rows.withColumn("content", main_text(F.col("_page")))
+        short = (F.col("content") == "") & F.col("_page").rlike(r"(?i)<article\b")
+        rows = rows.withColumn("content", F.when(short, article_text(F.col("_page"))).otherwise(F.col("content"))).drop("_page")
     error = F.when(F.col("content") == "", F.lit("no article text"))
     return rows.withColumn("error", error).withColumn("content", F.when(F.col("content") != "", F.col("content")))
 
