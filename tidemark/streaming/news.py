@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.dedup import dedup_keep_first, dedup_keep_last
+from tidemark.operators.dedup import dedup_keep_last
 from tidemark.sources.pages import top_headlines
-from tidemark.streaming.prices import read_landing, start
+from tidemark.streaming.prices import distinct_rows, read_landing, start, store_new, stream_distinct
+from tidemark.streaming.tiers import WIDTH
 
 HEADLINE_POLL = "100 seconds"
 
@@ -26,31 +26,6 @@ def stream_headlines(spark: SparkSession, landing: str, table: str, schema, n: i
     return start(_append(top_headlines(pages, n, container), table), once, interval)
 
 
-def store_unseen(batch: DataFrame, batch_id: int, table: str, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Stores the first copy of each article of a batch whose key no batch before has held.
-
-    Keys are kept as digests in SLICES folders by their first digits; only the folders of the
-    batch's own keys are read. No state stays in memory.
-    """
-    spark = batch.sparkSession
-    digest = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")) for k in keys]))
-    rows = dedup_keep_first(batch.withColumn("_key", digest), ["_key"], order)
-    rows = rows.withColumn("slice", F.left("_key", F.lit(SLICE_DIGITS)))
-    if batch_id > 0:
-        seen = spark.read.schema("_key STRING, batch_id INT, slice STRING").option("basePath", f"{table}/seen").parquet(f"{table}/seen")
-        slices = rows.select("slice").distinct()
-        seen = seen.where(F.col("batch_id") < batch_id).join(F.broadcast(slices), "slice", "left_semi")
-        rows = rows.join(seen.select("slice", "_key"), ["slice", "_key"], "left_anti")
-    path = f"{table}/rows/batch_id={batch_id}"
-    rows.drop("slice").write.mode("overwrite").parquet(path)
-    keys_written = spark.read.parquet(path).select("_key", F.left("_key", F.lit(SLICE_DIGITS)).alias("slice"))
-    keys_written.write.mode("overwrite").partitionBy("slice").parquet(f"{table}/seen/batch_id={batch_id}")
-
-
-#: Hexadecimal digits that name a folder of keys: 256 folders, which bounds the broadcast of a batch's folders.
-SLICE_DIGITS = 2
-
-
 def stream_articles(
     spark: SparkSession,
     landing: str,
@@ -61,21 +36,23 @@ def stream_articles(
     once: bool = True,
     interval: str = "60 seconds",
     max_files: int | None = None,
+    width: int = WIDTH,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Appends every delivered article to a log, and the first copy of each to `unseen`.
 
     Only unseen articles go on to text extraction and scoring.
     """
-    log = start(_append(read_landing(spark, landing, schema, max_files), f"{table}/log"), once, interval)
-    writer = read_landing(spark, landing, schema, max_files).writeStream.option("checkpointLocation", f"{table}/unseen/_progress")
-    first = writer.foreachBatch(partial(store_unseen, table=f"{table}/unseen", keys=list(keys), order=list(order)))
-    return log, start(first, once, interval)
+    source = read_landing(spark, landing, schema, max_files)
+    log = source.writeStream.option("checkpointLocation", f"{table}/log/_progress")
+    log = start(log.foreachBatch(partial(store_new, table=f"{table}/log", width=width)), once, interval)
+    first = stream_distinct(spark, landing, f"{table}/unseen", schema, keys, order, once, interval, max_files, width)
+    return log, first
 
 
 def accumulated_articles(spark: SparkSession, table: str, keys: Sequence[str] = ("company", "link"), order: Sequence[str] = ("seq",)) -> DataFrame:
     """All articles, the last delivered copy of each."""
-    return dedup_keep_last(spark.read.parquet(f"{table}/log/rows"), keys, order)
+    return dedup_keep_last(distinct_rows(spark, f"{table}/log"), keys, order)
 
 
 def unseen_articles(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(f"{table}/unseen/rows").drop("_key", "batch_id")
+    return distinct_rows(spark, f"{table}/unseen")

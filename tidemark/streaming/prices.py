@@ -1,9 +1,8 @@
 """Incremental price ingest.
 
-A batch writes to its own folder and replaces it when the batch is run again, so every
-row is stored once whatever fails in between. The last stored times are kept apart: each
-batch adds those of the series it holds, and every MERGE batches they are merged into one
-table; history is never read again. `compact` joins the folders of old batches.
+A batch writes its own folder, and folders are merged in tiers (see tiers). The last stored times are kept apart in the
+same way: each batch adds those of the series it holds, merging takes the latest of each series; history is never
+read again.
 """
 
 from __future__ import annotations
@@ -12,15 +11,17 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.changes import reconcile
-from tidemark.operators.dedup import dedup_keep_first, dedup_keep_last
+from tidemark.operators.dedup import dedup_keep_last
 from tidemark.operators.series import join_group
+from tidemark.sources.tables import read_layout, write_layout
+from tidemark.streaming.distinct import first_rows, new_rows, state_settings
+from tidemark.streaming.tiers import WIDTH, Tiers
 
 POLL = "60 seconds"
-#: Batches whose last times are merged into one table.
-MERGE = 32
 
 
 def start(writer, once: bool, interval: str = POLL) -> StreamingQuery:
@@ -39,52 +40,48 @@ def read_landing(spark: SparkSession, landing: str, schema, max_files: int | Non
     return reader.parquet(landing)
 
 
-def store_batch(batch: DataFrame, batch_id: int, table: str, key: str, ts: str, stored: DataFrame | None = None) -> None:
-    """Stores one batch: rows after the last stored time of their series, and the late ones apart."""
+def _latest(key: str):
+    return lambda rows: rows.groupBy(key).agg(F.max("_last").alias("_last"))
+
+
+def store_batch(batch: DataFrame, batch_id: int, table: str, key: str, ts: str, stored: DataFrame | None = None, width: int = WIDTH) -> None:
+    """Stores one batch: rows after the last stored time of their series, and the late ones marked as such."""
     spark = batch.sparkSession
-    last = batch.select(key, F.col(ts).alias("_last"))
-    if batch_id > 0:
-        # Since the last merge; folder 0 holds what was stored before.
-        first = (batch_id - 1) // MERGE * MERGE
-        last = spark.read.schema(last.schema).parquet(*[f"{table}/last/batch_id={b}" for b in range(first, batch_id)])
-    elif stored is not None:
+    rows, times = Tiers(spark, f"{table}/rows", width=width), Tiers(spark, f"{table}/last", _latest(key), width)
+    held = T.StructType([*batch.schema, T.StructField("late", T.BooleanType()), T.StructField("batch_id", T.LongType())])
+    known = T.StructType([batch.schema[key], T.StructField("_last", batch.schema[ts].dataType)])
+    if batch_id == 0:
+        write_layout(spark.createDataFrame([], held), table, [])
+    rows.settle(held, batch_id)
+    times.settle(known, batch_id)
+    last = times.read(known, before=batch_id)
+    if batch_id == 0 and stored is not None:
         last = stored.select(key, F.col(ts).alias("_last"))
-    else:
-        last = last.limit(0)
-    last = last.groupBy(key).agg(F.max("_last").alias("_last"))
+    last = _latest(key)(last)
     late = F.coalesce(F.col(ts) <= F.col("_last"), F.lit(False))
-    rows = f"{table}/rows/batch_id={batch_id}"
     sizes = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).join(last, key)
-    known = join_group(batch, sizes, [key], "_n").drop("_n")
-    known.withColumn("late", late).drop("_last").write.mode("overwrite").partitionBy("late").parquet(rows)
-    newest = spark.read.schema(batch.schema).parquet(rows).select(key, F.col(ts).alias("_last"))
-    if batch_id % MERGE == 0:
+    marked = join_group(batch, sizes, [key], "_n").withColumn("late", late)
+    written = rows.write(marked.select(*batch.columns, "late", F.lit(batch_id).cast("bigint").alias("batch_id")), batch_id)
+    newest = written.select(key, F.col(ts).alias("_last"))
+    if batch_id == 0:
         newest = newest.unionByName(last)
-    newest.groupBy(key).agg(F.max("_last").alias("_last")).write.mode("overwrite").parquet(f"{table}/last/batch_id={batch_id}")
+    times.write(_latest(key)(newest), batch_id)
 
 
 def compact(spark: SparkSession, table: str, keep: int = 2) -> None:
-    """Joins the row folders of all batches but the newest `keep` (one at least: it may be run again) into one.
+    """Joins the folders of all batches but the newest `keep` (one at least: it may be run again) into one.
 
-    Run it while the stream is stopped. Rows keep the number of their batch. The joined
-    rows are complete before the folders they come from go; a run that was stopped in
-    between is finished by the next.
+    Run it while the stream is stopped; merging in tiers goes on from there.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/rows")
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(root) if f.getPath().getName().startswith("batch_id="))
-    old = names[: -max(1, keep)]
-    if not old:
-        return
-    joined = f"{table}/joined/upto={old[-1]}"
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    done = sorted(int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(path(f"{table}/joined"))) if fs.exists(path(f"{table}/joined")) else []
-    rows = spark.read.option("basePath", f"{table}/rows").parquet(*[f"{table}/rows/batch_id={b}" for b in old])
-    if done:
-        rows = rows.unionByName(spark.read.parquet(f"{table}/joined/upto={done[-1]}"))
-    rows.hint("rebalance", "late").write.mode("overwrite").partitionBy("late").parquet(joined)
-    for folder in [*[f"{table}/rows/batch_id={b}" for b in old], *[f"{table}/joined/upto={d}" for d in done if d != old[-1]]]:
-        fs.delete(path(folder), True)
+    rows = Tiers(spark, f"{table}/rows")
+    old = [f for f in rows.finished() if f[1] < max(f[1] for f in rows.finished()) - max(1, keep) + 1]
+    if old:
+        rows.merge(_held(spark, table), 0, max(f[1] for f in old))
+        rows.clean()
+
+
+def _held(spark: SparkSession, table: str) -> T.StructType:
+    return read_layout(spark, table)[0]
 
 
 def stream_prices(
@@ -113,14 +110,7 @@ def catch_up(spark: SparkSession, landing: str, table: str, schema, step_files:
 
 
 def _rows(spark: SparkSession, table: str) -> DataFrame:
-    rows = spark.read.option("basePath", f"{table}/rows").parquet(f"{table}/rows")
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/joined")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        upto = max(int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(path))
-        # Folders that a stopped compaction has joined but not deleted yet don't count twice.
-        rows = rows.where(F.col("batch_id") > upto).unionByName(spark.read.parquet(f"{table}/joined/upto={upto}"))
-    return rows.withColumn("late", F.col("late").cast("boolean"))
+    return Tiers(spark, f"{table}/rows").read(_held(spark, table))
 
 
 def stored_prices(spark: SparkSession, table: str) -> DataFrame:
@@ -138,20 +128,13 @@ def current_prices(spark: SparkSession, table: str, keys=("symbol", "ts"), cols=
     return reconcile(corrections, stored_prices(spark, table), keys, cols, tol)
 
 
-def store_distinct(batch: DataFrame, batch_id: int, table: str, keys, ts: str, order) -> None:
-    """Stores the rows of one batch whose key is not stored, in folders of their day.
-
-    A row that is delivered again has its day again, so only the batch's days are looked up.
-    """
-    spark = batch.sparkSession
-    day = F.coalesce(F.to_date(ts), F.lit("0001-01-01").cast("date"))
-    rows = dedup_keep_first(batch, keys, order).withColumn("day", day)
-    if batch_id > 0:
-        stored = spark.read.schema(rows.schema).option("basePath", f"{table}/rows").parquet(f"{table}/rows")
-        days = rows.select("day").distinct()
-        known = stored.where(F.col("batch_id") < batch_id).join(F.broadcast(days), "day", "left_semi")
-        rows = rows.join(known.select("day", *keys), ["day", *keys], "left_anti")
-    rows.write.mode("overwrite").partitionBy("day").parquet(f"{table}/rows/batch_id={batch_id}")
+def store_new(batch: DataFrame, batch_id: int, table: str, width: int = WIDTH) -> None:
+    """Stores the new rows of a batch of `first_rows`."""
+    rows, tiers = new_rows(batch), Tiers(batch.sparkSession, f"{table}/rows", width=width)
+    if batch_id == 0:
+        write_layout(rows, table, [])
+    tiers.settle(rows.schema, batch_id)
+    tiers.write(rows, batch_id)
 
 
 def stream_distinct(
@@ -160,22 +143,21 @@ def stream_distinct(
     table: str,
     schema,
     keys=("event_id",),
-    ts: str = "ts",
     order=(),
     once: bool = True,
     interval: str = POLL,
     max_files: int | None = None,
+    width: int = WIDTH,
 ) -> StreamingQuery:
-    """Appends every row once, however late it comes or is delivered again (with its time unchanged).
+    """Appends every row once, however late it comes or is delivered again.
 
-    Of rows with one key in one batch the first in `order` (all columns without it) counts.
+    Of rows with one key in one batch the first in `order` counts, any of them without it.
     """
-    source = read_landing(spark, landing, schema, max_files)
-    writer = source.writeStream.option("checkpointLocation", f"{table}/_progress").foreachBatch(
-        partial(store_distinct, table=table, keys=list(keys), ts=ts, order=list(order) or source.columns)
-    )
-    return start(writer, once, interval)
+    rows, mode = first_rows(read_landing(spark, landing, schema, max_files), list(keys), list(order))
+    writer = rows.writeStream.outputMode(mode).option("checkpointLocation", f"{table}/_progress")
+    with state_settings(spark):
+        return start(writer.foreachBatch(partial(store_new, table=table, width=width)), once, interval)
 
 
 def distinct_rows(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.option("basePath", f"{table}/rows").parquet(f"{table}/rows").drop("batch_id", "day")
+    return Tiers(spark, f"{table}/rows").read(_held(spark, table))
