@@ -13,6 +13,7 @@ from tidemark.queries.registry import query, settle
 from tidemark.schemas import REPORT_ENTRY
 from tidemark.session import scratch_path
 from tidemark.sources import feeds, files, pages
+from tidemark.sources.jsonparts import array_lines, keyed_entries
 
 # --- feed and pages --------------------------------------------------------------------
 
@@ -414,6 +415,35 @@ def _(spark, sf):
     return lines.select("conv_id", "turn", "role", F.md5("text").alias("text_md5"))
 
 
+@query(
+    "l5_array_lines",
+    "SELECT conv_id, turn, role, md5(text) AS text_md5 FROM conversations",
+)
+def _(spark, sf):
+    """One document for each role, whose array `games` holds all its turns; many tasks read it."""
+    path = scratch_path(spark, "games")
+    turns = v.table(spark, sf, "conversations")
+    docs = turns.groupBy("role").agg(F.to_json(F.struct(F.lit(1).alias("v"), F.collect_list(F.struct("*")).alias("games"))).alias("value"))
+    docs.select("role", "value").write.partitionBy("role").text(path)
+    lines = array_lines(spark, path, "games", "*.txt").select(F.from_json("line", turns.schema).alias("t")).select("t.*")
+    return lines.select("conv_id", "turn", "role", F.md5("text").alias("text_md5"))
+
+
+@query(
+    "s10_large_document",
+    f"SELECT CAST(id AS VARCHAR) AS id, sentiment, pubDate AS report_date FROM {v.REPORTS}",
+)
+def _(spark, sf):
+    """All reports in one document of the form {"id": {...}, ...}."""
+    path = scratch_path(spark, "report-document")
+    entries = chat.keyed_entries(v.reports(spark, sf), "id", ["sentiment", "positiveKeywords", "negativeKeywords", "pubDate"])
+    members = entries.select(F.concat(F.lit('"'), "id", F.lit('": '), F.to_json("entry")).alias("m"))
+    whole = members.agg(F.concat(F.lit("{\n"), F.array_join(F.collect_list("m"), ",\n"), F.lit("\n}")).alias("value"))
+    whole.write.text(path)
+    back = keyed_entries(spark, path, REPORT_ENTRY, "*.txt")
+    return back.select("id", "entry.sentiment", F.col("entry.pubDate").alias("report_date"))
+
+
 @query(
     "l6_reassemble_blocks",
     """SELECT source AS file, doc_id * 8 + CASE WHEN lang = 'fr' THEN 2 ELSE 1 END AS start, doc_id, md5(text) AS text_md5

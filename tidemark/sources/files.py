@@ -12,6 +12,7 @@ from tidemark.functions import parse_time
 from tidemark.operators.dedup import dedup_keep_last
 from tidemark.schemas import PRICE_FILE
 from tidemark.session import stored
+from tidemark.sources.jsonparts import keyed_entries
 from tidemark.sources.tables import ROWS_PER_FILE
 
 
@@ -131,9 +132,8 @@ def write_keyed_documents(
 
 
 def read_keyed_documents(spark: SparkSession, path: str, entry: str) -> DataFrame:
-    """(id, entry) rows of small documents of the form {"id": {...}, ...}: one document per file, or per line of the
-    files that write_keyed_documents has written."""
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.json").select("value")
-    lines = spark.read.text(path, pathGlobFilter="part-*.txt")
-    docs = files.union(lines.select("value"))
-    return docs.select(F.explode(F.from_json("value", f"MAP<STRING, {entry}>")).alias("id", "entry"))
+    """(id, entry) rows of documents of the form {"id": {...}, ...}: one document of any size per .json file, or small
+    ones, one per line, of the files that write_keyed_documents has written."""
+    lines = spark.read.text(path, pathGlobFilter="part-*.txt").select("value")
+    small = lines.select(F.explode(F.from_json("value", f"MAP<STRING, {entry}>")).alias("id", "entry"))
+    return keyed_entries(spark, path, entry).unionByName(small)
