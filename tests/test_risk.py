@@ -216,3 +216,28 @@ def test_whole_series_are_scored_alike_in_one_task_and_as_tiles(spark):
     assert [r[-1] for r in spread] == pytest.approx([r[-1] for r in one])
     chunked = sorted(map(tuple, risk.risk_scores(df).collect()))
     assert [r[-1] for r in chunked] == pytest.approx([r[-1] for r in one])
+
+
+def test_only_changed_chunks_are_scored_again(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    start = datetime(2024, 1, 1)
+    rows = [(s, start + timedelta(minutes=i), float(rng.uniform(1, 9)), int(rng.integers(1, 99))) for s in ("a", "b", None) for i in range(130)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plain = lambda frame: sorted((tuple(r) for r in frame.collect()), key=repr)
+    path = str(tmp_path / "r")
+    scored = lambda run: spark.read.parquet(f"{path}/scores/run={run}").groupBy("symbol", "chunk").count().count()
+    for run, (now, chunks) in enumerate(
+        [
+            (df.where(F.col("ts") < start + timedelta(minutes=100)), 6),
+            (df, 4),
+            (df, 0),
+            (df.withColumn("close", F.when((F.col("symbol") == "a") & (F.col("ts") == start), 99.0).otherwise(F.col("close"))), 1),
+            (df.where("symbol = 'b'"), 0),
+        ]
+    ):
+        found = plain(risk.score_changed(now, path, chunk_rows=50).drop("risk_value"))
+        full = risk.risk_scores(now, chunk_rows=50)
+        assert found == plain(full.drop("risk_value"))
+        assert [r[-1] for r in plain(risk.changed_scores(spark, path))] == pytest.approx([r[-1] for r in plain(full)])
+        assert run == 0 or scored(run) <= chunks + 2
+    assert scored(3) == 1 and scored(2) == 0 and scored(4) == 0

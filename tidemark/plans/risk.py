@@ -43,13 +43,21 @@ def chunk_changes(
     `chunk_rows` points; what is too short at its end for `n_bkps` splits
     belongs to the chunk before it.
     """
-    known = _known(prices)
+    chunked = _chunked(prices, keys, ts, tie, n_bkps, chunk_rows, max_rows)
+    return _changes_inside(chunked, keys, ts, tie)
+
+
+def _chunked(prices: DataFrame, keys, ts: str, tie, n_bkps: int, chunk_rows: int, max_rows: int) -> DataFrame:
+    """The known points with the number of their chunk."""
     least = shortest_series(n_bkps) + 1
-    chunked = with_chunk(known.select(*keys, ts, *tie, "close", "volume"), keys, ts, [ts, *tie], chunk_rows, least, max_rows, prices)
+    return with_chunk(_known(prices).select(*keys, ts, *tie, "close", "volume"), keys, ts, [ts, *tie], chunk_rows, least, max_rows, prices)
+
+
+def _changes_inside(chunked: DataFrame, keys, ts: str, tie) -> DataFrame:
     by = [*keys, "chunk"]
     previous = Window.partitionBy(*by).orderBy(ts, *tie)
     return (
-        chunked.repartition(shuffle_tasks(prices.sparkSession), *by)
+        chunked.repartition(shuffle_tasks(chunked.sparkSession), *by)
         .withColumn("_prev", F.lag(F.struct("close", "volume")).over(previous))
         .where(F.col("_prev").isNotNull())
         .select(
@@ -150,8 +158,13 @@ def risk_scores(
         rows = rows.withColumn("seg", seg).withColumn("_s", F.get("levels", F.col("seg")))
         value = _smoothed(F.col("_s"), F.col("pos") - F.col("_s.start_i"), alpha)
         return rows.select(*keys, F.lit(0).cast("bigint").alias("chunk"), ts, *tie, "seg", value.alias("risk_value"))
+    changes = chunk_changes(prices, keys, ts, tie, n_bkps, chunk_rows=chunk_rows, max_rows=max_rows)
+    return _chunk_scores(changes, keys, ts, tie, n_bkps, alpha)
+
+
+def _chunk_scores(changes: DataFrame, keys, ts: str, tie, n_bkps: int, alpha: float) -> DataFrame:
     by = [*keys, "chunk"]
-    cuts = _with_levels(segments(prices, keys, ts, tie, n_bkps, chunk_rows=chunk_rows, max_rows=max_rows), alpha)
+    cuts = _with_levels(change_points(changes, by, [ts, *tie], n_bkps=n_bkps), alpha)
     per_segment = cuts.select(*by, "points", F.posexplode("levels").alias("seg", "_s"))
     inside = F.slice("points", F.col("_s.start_i") + 1, F.col("_s.end_i") - F.col("_s.start_i"))
     rows = per_segment.select(*by, "seg", "_s", F.posexplode(inside).alias("_k", "_p"))
@@ -159,6 +172,74 @@ def risk_scores(
     return rows.select(*by, *[F.col(f"_p.{c}").alias(c) for c in (ts, *tie)], "seg", value.alias("risk_value"))
 
 
+#: Runs of score_changed are numbered; what a run found is below these folders.
+SNAPSHOTS, SCORES = "chunks", "scores"
+
+
+def _runs(spark, path: str) -> list[int]:
+    """The finished runs below `path`."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{SNAPSHOTS}/run=*/_SUCCESS")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+
+def score_changed(
+    prices: DataFrame,
+    path: str,
+    keys: Sequence[str] = ("symbol",),
+    ts: str = "ts",
+    tie: Sequence[str] = (),
+    n_bkps: int = 5,
+    alpha: float = 0.3,
+    *,
+    chunk_rows: int = CHUNK_ROWS,
+    max_rows: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """`risk_scores` in chunks, of which only those whose points changed since the last run are scored; returns all scores.
+
+    A run keeps below `path` a digest of every chunk with the number of the run that scored it, and the scores of the chunks
+    that it scored itself. A run that was stopped leaves no digests and is done again by the next one. Use a path for one
+    choice of options only.
+    """
+    spark = prices.sparkSession
+    by, runs = [*keys, "chunk"], _runs(spark, path)
+    chunked = _chunked(prices, keys, ts, tie, n_bkps, chunk_rows, max_rows)
+    point = F.xxhash64(ts, *tie, "close", "volume")
+    digests = chunked.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("points"), F.bit_xor(point).alias("digest"), F.min(ts).alias("first"), F.max(ts).alias("last")
+    )
+    name = F.md5(F.to_json(F.struct(*by)))
+    seen = digests.withColumns({"_name": name, "run": F.lit(None).cast("int")}).limit(0)
+    if runs:
+        seen = spark.read.schema(seen.schema).parquet(f"{path}/{SNAPSHOTS}/run={runs[-1]}")
+    mark = ["points", "digest", "first", "last"]
+    before = seen.select("_name", F.struct(*mark).alias("_before"), "run")
+    run = runs[-1] + 1 if runs else 0
+    same = F.coalesce(F.struct(*mark) == F.col("_before"), F.lit(False))
+    now = digests.withColumn("_name", name).join(before, "_name", "left")
+    now = now.select(*digests.columns, "_name", F.when(same, F.col("run")).otherwise(run).cast("int").alias("run"))
+    now = stored(now, "chunks")
+    fresh = now.where(F.col("run") == run).select("_name")
+    todo = chunked.withColumn("_name", name).join(fresh, "_name", "left_semi").drop("_name")
+    scores = _chunk_scores(_changes_inside(todo, keys, ts, tie), keys, ts, tie, n_bkps, alpha)
+    scores.write.mode("overwrite").parquet(f"{path}/{SCORES}/run={run}")
+    # The digests come last: with them the run is done.
+    now.write.mode("overwrite").parquet(f"{path}/{SNAPSHOTS}/run={run}")
+    return changed_scores(spark, path)
+
+
+def changed_scores(spark, path: str) -> DataFrame:
+    """The scores of the last finished run of score_changed, each from the run that scored its chunk."""
+    last = spark.read.parquet(f"{path}/{SNAPSHOTS}/run={_runs(spark, path)[-1]}")
+    used = [r["run"] for r in last.select("run").distinct().collect()]
+    if not used:
+        return spark.read.parquet(f"{path}/{SCORES}/run={_runs(spark, path)[-1]}").limit(0)
+    parts = spark.read.option("basePath", f"{path}/{SCORES}").parquet(*[f"{path}/{SCORES}/run={r}" for r in used])
+    by = last.columns[: last.columns.index("points")]
+    names = last.select("_name", "run")
+    return parts.withColumn("_name", F.md5(F.to_json(F.struct(*by)))).join(names, ["_name", "run"], "left_semi").drop("_name", "run")
+
+
 def unscored_chunks(prices: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = (), n_bkps: int = 5, *, chunk_rows: int | None, max_rows: int = ROWS_PER_TASK) -> DataFrame:
     """Chunks without scores: how many points they have, how many were left out as unknown."""
     known = drop_nan("close").isNotNull() & drop_nan("volume").isNotNull()

@@ -9,6 +9,7 @@ from tidemark.operators import series as ops
 from tidemark.plans import risk
 from tidemark.queries import views as v
 from tidemark.queries.registry import query, settle
+from tidemark.session import scratch_path
 
 # --- aggregates ------------------------------------------------------------------------
 
@@ -341,6 +342,20 @@ def _(spark, sf):
     return scores.withColumn("risk_value", settle("risk_value"))
 
 
+@query(
+    "w9_score_changed",
+    f"""WITH {_CHUNKED_RISK} SELECT split_part(symbol, '#', 1) AS symbol, CAST(split_part(symbol, '#', 2) AS BIGINT) AS chunk, ts, event_id,
+       CAST(seg AS INTEGER) AS seg, CAST(risk_value AS FLOAT)::DOUBLE AS risk_value FROM risk""",
+)
+def _(spark, sf):
+    """Prices of the first weeks are scored, then all: the second run scores the chunks that have changed."""
+    path = scratch_path(spark, "changed")
+    prices = v.prices(spark, sf)
+    for some in (prices.where(F.col("ts") < v.ntz(v.CUTOFF)), prices):
+        scores = risk.score_changed(some, path, tie=["event_id"], chunk_rows=40)
+    return scores.withColumn("risk_value", settle("risk_value"))
+
+
 @query(
     "w9_current_risk",
     f"""WITH {_RISK} SELECT symbol, ts, round_even(risk_value, 4) AS risk_score FROM risk
