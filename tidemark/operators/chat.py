@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from tidemark.operators.cleaning import map_roles
 from tidemark.operators.filters import present_content
 from tidemark.operators.series import last_n
 from tidemark.schemas import ANALYSIS, ANALYSIS_FIELDS
+from tidemark.session import shuffle_tasks
 
 SYSTEM_PROMPT = (
     "Rate the tone of a company news article. Reply with one JSON object and nothing else, with the fields "
@@ -153,6 +155,53 @@ def nested_messages(df: DataFrame, keys: Sequence[str] = ("conv_id",), order: st
     return df.groupBy(*keys).agg(messages.alias("messages"))
 
 
+#: Bytes of text of a piece of a conversation.
+PIECE_BYTES = 1 << 20
+
+
+def message_pieces(
+    df: DataFrame, keys: Sequence[str] = ("conv_id",), order: str = "turn", role: str = "role", content: str = "text", max_bytes: int = PIECE_BYTES
+) -> DataFrame:
+    """Conversations of any length as pieces: the keys, `first` (order of the piece's first message) and its messages.
+
+    Rows are sorted over all tasks, so a conversation that holds most rows lies in many of them; a task walks its rows once and
+    ends a piece where the conversation ends, or where it would pass `max_bytes`. Pieces in the order of
+    `first` are the conversation, as nested_messages gives it. A longer message is a piece of its own.
+    """
+    rows = df.select(*keys, F.col(order).alias("_at"), F.col(role).alias("_role"), F.col(content).alias("_content"))
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keys]
+    schema = ", ".join([*kinds, f"first {rows.schema['_at'].dataType.simpleString()}", "messages array<struct<role: string, content: string>>"])
+    sorted_rows = rows.repartitionByRange(shuffle_tasks(df.sparkSession), *rows.columns).sortWithinPartitions(*rows.columns)
+    names = [*keys, "first", "messages"]
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = pa.schema([])
+        key, first, messages, size = None, None, [], 0
+        for batch in batches:
+            kept, done = batch.schema, []
+            for row in batch.to_pylist():
+                mine = tuple(row[k] for k in keys)
+                more = len((row["_content"] or "").encode()) + len((row["_role"] or "").encode())
+                if messages and (mine != key or size + more > max_bytes):
+                    done.append((*key, first, messages))
+                    messages, size = [], 0
+                if not messages:
+                    key, first = mine, row["_at"]
+                messages.append({"role": row["_role"], "content": row["_content"]})
+                size += more
+            yield _batch(done, kept)
+        if messages:
+            yield _batch([(*key, first, messages)], kept)
+
+    def _batch(done: list[tuple], kept: pa.Schema) -> pa.RecordBatch:
+        message = pa.list_(pa.struct([("role", pa.string()), ("content", pa.string())]))
+        types = [*[kept.field(k).type for k in keys], kept.field("_at").type, message]
+        columns = list(zip(*done)) or [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names)
+
+    return sorted_rows.mapInArrow(walk, schema)
+
+
 def recent_context(df: DataFrame, n: int = 5, key: str = "conv_id", order: str = "turn", speaker: str = "speaker", message: str = "message") -> DataFrame:
     """The last n entries of every conversation as chat messages; unknown speakers are left out afterwards."""
     return nested_messages(map_roles(last_n(df, n, [key], [order]), speaker), [key], order, "role", message)

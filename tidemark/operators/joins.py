@@ -7,7 +7,7 @@ row per series go through `join_group`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import dedup_keep_first, dedup_keep_last
 from tidemark.operators.series import ROWS_PER_TASK, join_group
+from tidemark.schemas import Table
 
 
 def pair_on_key(new: DataFrame, old: DataFrame, keys: Sequence[str], suffixes: tuple[str, str] = ("_new", "_old")) -> DataFrame:
@@ -104,3 +105,48 @@ def cascade_delete(parent: DataFrame, children: Sequence[DataFrame], key: str, w
     gone = parent.where(F.expr(where))
     kept = parent.where(~F.coalesce(F.expr(where), F.lit(False)))
     return [kept, *[c.join(gone.select(key), key, "left_anti") for c in children]]
+
+
+def deletion_order(tables: Mapping[str, Table], table: str) -> list[str]:
+    """`table` and all tables that refer to it, over any number of steps, each behind its parents; cycles are refused."""
+    reached, waiting = {table}, [table]
+    while waiting:
+        parent = waiting.pop()
+        for name, t in tables.items():
+            if parent in t.parents.values() and name not in reached:
+                reached.add(name)
+                waiting.append(name)
+    order: list[str] = []
+    while len(order) < len(reached):
+        free = [n for n in tables if n in reached and n not in order and all(p in order for p in tables[n].parents.values() if p in reached)]
+        # Without a table whose parents are all done the keys go round.
+        if not free:
+            raise ValueError(f"foreign keys in a cycle: {sorted(reached - set(order))}")
+        order += free
+    return order
+
+
+def delete_graph(frames: Mapping[str, DataFrame], tables: Mapping[str, Table], table: str, where: str) -> dict[str, DataFrame]:
+    """All frames without the rows of `table` that match, and without every row that refers to a deleted row, over any
+    number of steps and by any of its foreign keys. A null foreign key refers to nothing.
+
+    Parents have one key column. Frames of tables that nothing leads to come back as they are.
+    """
+    kept, gone = dict(frames), {}
+    for name in deletion_order(tables, table):
+        if name not in frames:
+            raise ValueError(f"table {name} refers to deleted rows and is not given")
+        rows, about = frames[name], tables[name]
+        links = {column: parent for column, parent in about.parents.items() if parent in gone}
+        deleted = [gone[parent].select(F.col(tables[parent].key[0]).alias(column)) for column, parent in links.items()]
+        if name == table:
+            hit = F.coalesce(F.expr(where), F.lit(False))
+            left, keys = rows.where(~hit), [rows.where(hit).select(*about.key)]
+        else:
+            left, keys = rows, []
+        for keyed in deleted:
+            keys.append(rows.join(keyed, keyed.columns, "left_semi").select(*about.key))
+            left = left.join(keyed, keyed.columns, "left_anti")
+        kept[name] = left.select(*rows.columns)
+        gone[name] = reduce(DataFrame.unionByName, keys).distinct()
+    return kept

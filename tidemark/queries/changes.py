@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import round_score
@@ -96,6 +98,38 @@ def _(spark, sf):
     return kept_labels
 
 
+_STAR = {
+    "region": Table((), ("r_regionkey",), {}),
+    "nation": Table((), ("n_nationkey",), {"n_regionkey": "region"}),
+    "supplier": Table((), ("s_suppkey",), {"s_nationkey": "nation"}),
+    "customer": Table((), ("c_custkey",), {"c_nationkey": "nation"}),
+    "part": Table((), ("p_partkey",), {}),
+    "orders": Table((), ("o_orderkey",), {"o_custkey": "customer"}),
+    "lineitem": Table((), ("l_orderkey", "l_linenumber"), {"l_orderkey": "orders", "l_suppkey": "supplier", "l_partkey": "part"}),
+}
+
+
+@query(
+    "j7_delete_graph",
+    """WITH RECURSIVE links(child, parent) AS (
+         SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier
+         UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer UNION ALL SELECT 'o' || o_orderkey, 'c' || o_custkey FROM orders),
+       gone(k) AS (SELECT 'r' || r_regionkey FROM region WHERE r_name = 'ASIA' UNION SELECT child FROM links JOIN gone ON parent = k)
+       SELECT 'lineitem' AS kept, l_orderkey AS key, CAST(l_linenumber AS BIGINT) AS number FROM lineitem
+       WHERE 'o' || l_orderkey NOT IN (SELECT k FROM gone) AND 's' || l_suppkey NOT IN (SELECT k FROM gone)
+       UNION ALL SELECT 'orders', o_orderkey, 0 FROM orders WHERE 'o' || o_orderkey NOT IN (SELECT k FROM gone)
+       UNION ALL SELECT 'part', p_partkey, 0 FROM part""",
+)
+def _(spark, sf):
+    """A region goes, and with it nations, suppliers, customers, their orders and all lines of either."""
+    kept = joins.delete_graph({n: v.table(spark, sf, n) for n in _STAR}, _STAR, "region", "r_name = 'ASIA'")
+    rows = [("lineitem", "l_orderkey", F.col("l_linenumber")), ("orders", "o_orderkey", F.lit(0)), ("part", "p_partkey", F.lit(0))]
+    return reduce(
+        DataFrame.unionByName,
+        [kept[n].select(F.lit(n).alias("kept"), F.col(k).alias("key"), c.cast("bigint").alias("number")) for n, k, c in rows],
+    )
+
+
 # --- table changes ---------------------------------------------------------------------
 
 

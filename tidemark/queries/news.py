@@ -494,6 +494,24 @@ def _(spark, sf):
     return nested.select("conv_id", F.md5(joined).alias("messages_md5"))
 
 
+@query(
+    "a8_message_pieces",
+    """SELECT role AS speaker, md5(string_agg(coalesce(text, ''), '|' ORDER BY conv_id, turn, text)) AS messages_md5, true AS bounded
+       FROM conversations GROUP BY role""",
+)
+def _(spark, sf):
+    """A few speakers hold all messages: each in pieces of at most 20,000 bytes, which joined are the whole."""
+    turns = v.table(spark, sf, "conversations").select(
+        F.col("role").alias("speaker"), F.struct("conv_id", "turn").alias("at"), F.lit("").alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    pieces = chat.message_pieces(turns, ["speaker"], "at", max_bytes=20_000)
+    texts = F.transform("messages", lambda m: m["content"])
+    size = F.aggregate(F.transform(texts, F.octet_length), F.lit(0), lambda a, n: a + n)
+    bounded = F.every((size <= 20_000) | (F.size("messages") == 1))
+    joined = F.array_join(F.flatten(F.sort_array(F.collect_list(F.struct("first", texts.alias("t"))))["t"]), "|")
+    return pieces.groupBy("speaker").agg(F.md5(joined).alias("messages_md5"), bounded.alias("bounded"))
+
+
 @query(
     "a8_keyed_entries",
     f"SELECT CAST(id AS VARCHAR) AS id, title, originallink, md5(content) AS content_md5 FROM {v.ARTICLES}",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,7 @@ from tidemark.queries.registry import query
 from tidemark.queries.series import _RISK
 from tidemark.session import scratch_path
 from tidemark.sources import feeds, files, tables, universe
+from tidemark.sources.feedsource import FileFeed, register_feed
 
 _ALL_BARS = f"SELECT symbol, ts, open, high, low, close, CAST(volume AS DOUBLE) AS volume FROM {v.BARS}"
 
@@ -246,6 +249,53 @@ def _(spark, sf):
     return perseries.apply_per_series(rows, both_ends, _RANGE)
 
 
+@query(
+    "x3_fold_series",
+    f"""SELECT event_type AS symbol, count(*) AS n, arg_min(close, (ts, event_id)) AS first, arg_max(close, (ts, event_id)) AS last,
+       min(close) AS lowest, max(close) AS highest, CAST(NULL AS VARCHAR) AS error FROM {v.PRICES} GROUP BY event_type""",
+)
+def _(spark, sf):
+    """A few series that hold all rows, in parts of some hundred rows."""
+
+    def step(state, pdf):
+        close = pdf["close"]
+        return merge(state, [len(close), close.iloc[0], close.iloc[-1], close.min(), close.max()])
+
+    def merge(a, b):
+        if a is None or b is None:
+            return a or b
+        return [a[0] + b[0], a[1], b[2], min(a[3], b[3]), max(a[4], b[4])]
+
+    def finish(state):
+        return pd.DataFrame([state], columns=["n", "first", "last", "lowest", "highest"])
+
+    schema = T.StructType.fromDDL("n BIGINT, first DOUBLE, last DOUBLE, lowest DOUBLE, highest DOUBLE")
+    rows = v.prices(spark, sf).select(F.col("event_type").alias("symbol"), "ts", "event_id", "close")
+    return perseries.fold_per_series(rows, lambda: None, step, merge, finish, schema, order=["ts", "event_id"], max_rows=500)
+
+
+@query(
+    "x1_feed_source",
+    f"""SELECT symbol, ts, close, volume FROM {v.BARS} WHERE symbol < 'Brand#2'
+       UNION ALL SELECT symbol, ts, close, volume FROM {v.BARS} WHERE symbol < 'Brand#2'""",
+)
+def _(spark, sf):
+    """Answers of a feed, one per series and year, read as a batch and as a stream and normalised."""
+    home = scratch_path(spark, "feed")
+    bars = v.bars(spark, sf).where("symbol < 'Brand#2'")
+    value = F.struct(F.date_format("ts", "yyyy-MM-dd").alias("datetime"), *[F.col(c).cast("string").alias(c) for c in ("close", "volume")])
+    answers = bars.groupBy("symbol", F.year("ts").alias("year")).agg(F.to_json(F.struct(F.collect_list(value).alias("values"))).alias("payload"))
+    answers.write.partitionBy("symbol", "year").text(f"{home}/answers")
+    name = f"bars_{uuid.uuid4().hex}"
+    register_feed(spark, name, FileFeed(f"{home}/answers"))
+    source = spark.readStream.format(name).load()
+    query_ = source.writeStream.format("parquet").option("path", f"{home}/rows").option("checkpointLocation", f"{home}/progress")
+    query_.trigger(availableNow=True).start().awaitTermination()
+    rows = [spark.read.format(name).load(), spark.read.schema(source.schema).parquet(f"{home}/rows")]
+    normal = [feeds.normalize("json_prices", r.drop("error")).select("symbol", "ts", "close", F.col("volume").cast("bigint").alias("volume")) for r in rows]
+    return normal[0].unionByName(normal[1])
+
+
 @query(
     "x4_load_series",
     f"""SELECT symbol, ts, close FROM {v.PRICES} WHERE ts >= TIMESTAMP '{v.AS_OF}' - INTERVAL 3 DAY AND ts <= TIMESTAMP '{v.AS_OF}'""",
