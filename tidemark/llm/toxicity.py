@@ -63,7 +63,7 @@ def _words(text: str | None) -> list[bytes]:
 class _Terms:
     """The chosen buckets of texts; the answer for a word is kept until there are too many."""
 
-    def __init__(self, chosen: dict[int, int] | None, most: int = 1 << 19):
+    def __init__(self, chosen: dict[int, int] | None, most: int = 1 << 17):
         self.chosen, self.most, self.known = chosen, most, {}
 
     def __call__(self, text: str | None) -> list[int]:
@@ -76,6 +76,8 @@ class _Terms:
                 own = buckets_of(word)
                 if self.chosen is not None:
                     own = [self.chosen[b] for b in own if b in self.chosen]
+                # Most words have no chosen bucket: they share one empty tuple.
+                own = tuple(own)
                 known[word] = own
             if own:
                 found.update(own)
@@ -174,7 +176,8 @@ def _partners(rows: DataFrame, buckets: dict[int, int]) -> list[int]:
     sizes = counts.where(F.col("bucket") == BUCKETS).select("anchor", F.col("n0").alias("zeros"), F.col("n1").alias("ones"))
     told = counts.where(F.col("bucket") != BUCKETS).join(F.broadcast(sizes), "anchor")
     told = told.withColumn("g2", _g2(F.col("zeros"), F.col("ones"))).where(F.col("g2") >= LEAST_G2)
-    told = told.groupBy("bucket").agg(F.max("g2").alias("g2")).where(~F.col("bucket").isin(list(buckets)))
+    chosen = F.broadcast(rows.sparkSession.createDataFrame([(b,) for b in buckets], "bucket long"))
+    told = told.groupBy("bucket").agg(F.max("g2").alias("g2")).join(chosen, "bucket", "left_anti")
     return [r["bucket"] for r in told.orderBy(F.desc("g2"), "bucket").limit(PARTNERS).collect()]
 
 
@@ -239,8 +242,8 @@ def _descend(data: list[tuple[np.ndarray, int, int]], buckets: dict[int, int], b
     return Machine(buckets, float(bias), w[:n], v[:n])
 
 
-def with_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
-    """The documents with a score from 0 to 1 of their text in column `name`."""
+def with_score(docs: DataFrame, machine: Machine, name: str = "score", text: str = "text") -> DataFrame:
+    """The documents with a score from 0 to 1 of their text in column `name`; `text` may be a field of a column."""
 
     @F.pandas_udf(T.DoubleType())
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -254,7 +257,7 @@ def with_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFr
                 out[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
             yield pd.Series(out)
 
-    return docs.withColumn(name, score("text"))
+    return docs.withColumn(name, score(F.col(text)))
 
 
 def fit_on_labels(spark: SparkSession, sf: str, docs: DataFrame) -> Machine:
