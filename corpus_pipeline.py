@@ -5,13 +5,14 @@ columns of the documents. `run` writes each stage's rows to the shared folder an
 
 Defined results: null and empty texts go through every stage (no word of theirs is toxic, their quality is judged by their
 length, they have no duplicates, their sequence holds the end only). Null sources and languages form groups of their own.
-Rows with equal ids count as one document for duplicates: one of them stays. Rows without id can't be told apart and stay.
+Rows with equal ids are documents of their own: those with different texts stay, of copies one. Rows without id have no smallest
+one and stay.
 Extra columns are kept up to the last stage, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, packing, quality, toxicity
@@ -21,7 +22,8 @@ from tidemark.llm.common import stored, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose toxicity reaches the threshold."""
     machine = toxicity.fit_on_labels(spark, sf_dir, docs)
-    rows = toxicity.with_score(docs.select(F.struct("*").alias("doc"), "text"), machine)
+    # A document travels as one column, whatever its own columns are called, and its text only once.
+    rows = toxicity.with_score(docs.select(F.struct("*").alias("doc")), machine, text="doc.text")
     return rows.where(F.col("score") < toxicity.THRESHOLD).select("doc.*")
 
 
@@ -34,22 +36,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies: the one with the smallest id."""
-    linked = jaccard.link(docs.select("doc_id", "text"))
-    ids = linked.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
-    ids = ids.agg(F.count("*").alias("rows"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"))
-    ids = stored(ids.where("rows > 1 OR NOT stays"), "copies")
+    """One row of each group of copies and near copies: the one with the smallest id.
+
+    Rows are known by their place in `docs`, which are read from storage and so have the same places each time.
+    """
     # A document travels as one column, whatever its own columns are called.
-    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"))
-    kept = rows.join(ids.where("NOT stays").select("id"), "id", "left_anti")
-    repeated = ids.where("stays").select("id")
-    if repeated.isEmpty():
-        return kept.select("doc.*")
-    single = kept.join(repeated, "id", "left_anti").select("doc.*")
-    # A repeated row may stand for a third of the table: texts are compared by digest, and each task passes one on.
-    first = Window.partitionBy("id").orderBy(F.sha2(F.coalesce("doc.text", F.lit("")), 256))
-    again = kept.join(repeated, "id", "left_semi").withColumn("place", F.row_number().over(first))
-    return single.unionByName(again.where("place = 1").select("doc.*"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
+    linked = jaccard.link(rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")))
+    linked = linked.where("members > 1").select(F.col("doc_id").alias("row"), "component_id")
+    members = stored(linked.join(rows.select("row", F.col("doc.doc_id").alias("id")), "row"), "copies")
+    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("row")))["row"]
+    stays = members.groupBy("component_id").agg(first.alias("row")).select("row")
+    gone = members.where("id IS NOT NULL").join(stays, "row", "left_anti").select("row")
+    return rows.join(gone, "row", "left_anti").select("doc.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
