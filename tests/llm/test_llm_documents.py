@@ -556,3 +556,14 @@ def test_stages_take_odd_rows(spark):
                 assert sorted((r.doc_id for r in found), key=repr) == sorted((r[0] for r in rows), key=repr)
         if docs is not odd:
             assert not found
+
+
+def test_repeated_ids_with_different_texts_stay(spark):
+    copied = "one text that stands in several rows and has words enough to make up shingles of five words " * 3
+    other = "another text under an id that is taken already, with quite different words from first to last " * 3
+    rows = [(5, copied), (5, other), (5, other), (2, copied + "end"), (7, copied), (None, other), (None, "short"), (9, None), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = corpus_pipeline.drop_copies(spark, docs, SF).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(
+        [(2, copied + "end"), (5, other), (None, other), (None, "short"), (9, None), (9, None)], key=repr
+    )
