@@ -567,3 +567,28 @@ def test_repeated_ids_with_different_texts_stay(spark):
     assert sorted(map(tuple, found), key=repr) == sorted(
         [(2, copied + "end"), (5, other), (None, other), (None, "short"), (9, None), (9, None)], key=repr
     )
+
+
+def test_search_among_large_components(spark):
+    rng = np.random.default_rng(7)
+    vectors = [rng.normal(0, 0.3, 20).tolist() for _ in range(60)]
+    vectors += [(rng.normal(0, 1, 20) * 2.0 ** rng.integers(20, 70)).tolist() for _ in range(25)]
+    vectors += [[4e7, 0.0], [0.5, 0.0], [2.0**26] * 20, [-(2.0**26)] * 20, [1e300] + [0.0] * 19, [1.0, -1e308], [2.0**40, 3.0] * 10]
+    rows = [(i, v) for i, v in enumerate(vectors)] + [(20, [1.0, 0.0]), (83, [4e7, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    good = topk.integer_vectors(df, "vec_id", "embedding", 64)
+    out = collections.defaultdict(list)
+    for r in topk.top_k(good.where("id % 5 = 0"), good, 9).collect():
+        out[r.query_id].append((r.rank, r.vec_id, r.score))
+    whole = lambda x: int(max(min(64.0 * x, topk.LARGEST), -topk.LARGEST)) if abs(64 * x) >= 2**53 else math.floor(64 * x)
+    kept = [(i, [whole(x) for x in v]) for i, v in rows]
+    fits = lambda n: max(-(1 << 63), min((1 << 63) - 1, n))
+    want = collections.defaultdict(list)
+    for i, q in kept:
+        if i % 5 == 0:
+            best = sorted((-fits(sum(x * y for x, y in zip(q, v))), j) for j, v in kept if j != i)[:9]
+            want[i] += [(n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    assert {i: sorted(x) for i, x in out.items()} == {i: sorted(x) for i, x in want.items()}
+    small = spark.createDataFrame([(20, [1.0, 0.0]), (1, [4e7, 0.0]), (2, [0.5, 0.0])], "vec_id long, embedding array<double>")
+    small = topk.integer_vectors(small, "vec_id", "embedding", 64)
+    assert [(r.vec_id, r.score) for r in topk.top_k(small.where("id = 20"), small, 5).orderBy("rank").collect()] == [(1, 163840000000), (2, 2048)]

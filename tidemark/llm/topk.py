@@ -6,8 +6,11 @@ another, and after each block the pairs are compacted whose product can't reach
 remaining dimensions can add is bounded by the product of the two remaining norms (Cauchy-Schwarz). A block of queries
 starts with the k-th best of a bounded sample of rows, which is a lower bound and so never costs a result.
 
-Defined results: vectors that are null, or hold a null or a value that isn't finite, take no part, nor do rows without id
-or with a scaled component of 2^31 or more. Shorter vectors count as padded with zeros, an empty one as zeros. Every other
+Vectors too long for products in int64 (norm of 2^31 and more) are searched without bounds, by exact products of limbs (see
+codes); a frame without any pays nothing.
+
+Defined results: vectors that are null, or hold a null or a value that isn't finite, take no part, nor do rows without id.
+A product that no long holds counts as the nearest long. Shorter vectors count as padded with zeros, an empty one as zeros. Every other
 row with the query's id is no candidate; a query that is repeated with the same vector is answered once, a candidate that
 is repeated counts each time. Ties go to the smaller id. Fewer candidates than k: all of them. No rows: no results.
 """
@@ -18,26 +21,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.codes import dot_products
 from tidemark.llm.common import query, table
 
 #: Queries of a block on average, rows of the sample that the first bounds come from, dimensions of a block.
 QUERY_BLOCK, SEED_ROWS, DIMENSION_BLOCK = 4096, 2048, 16
 #: Pairs of a query and a candidate that are looked at together.
 PAIRS = 1 << 21
-LIMIT = 2.0**31
+#: Vectors of a smaller norm have products below 2^62. Pairs of other vectors are looked at in blocks of so many rows a side.
+LIMIT, WIDE_BLOCK = 2.0**31, 256
+LARGEST = float(np.finfo(float).max)
 
 
 def integer_vectors(rows: DataFrame, id_column: str, vector: str, scale: int) -> DataFrame:
     """id and v = floor(scale * component) of the rows that take part."""
-    v = F.transform(F.col(vector), lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("double"))
+    v = F.transform(F.col(vector), lambda x: _floored(F.lit(float(scale)) * x.cast("double")))
     found = rows.select(F.col(id_column).cast("long").alias("id"), v.alias("v"), F.col(vector).alias("x"))
-    fine = F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < LIMIT / scale))
+    fine = F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) <= LARGEST))
     return found.where(F.col("id").isNotNull() & F.coalesce(fine, F.lit(False))).select("id", "v")
 
 
+def _floored(y: Column) -> Column:
+    """The floor as a double; doubles of 2^53 and more are whole, and the type of floor doesn't hold them all."""
+    held = F.least(F.greatest(y, F.lit(-LARGEST)), F.lit(LARGEST))
+    return F.when(F.abs(y) >= 2.0**53, held).otherwise(F.floor(y).cast("double"))
+
+
 def top_k(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id, score: for every query the k rows with the largest inner product.
 
@@ -92,13 +104,60 @@ def _products(q: np.ndarray, c: np.ndarray, exact: bool) -> np.ndarray:
     return (q.T.astype(np.int64) @ c.astype(np.int64)).astype(np.int64)
 
 
+def _norms(matrix: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.sqrt((matrix**2).sum(axis=0))
+
+
 def _search(qid, q, floor, cid, c, k):
     """Pairs (query, candidate, score) that can be among the best k, floor being a known k-th best.
 
-    Candidates come in ascending order of ids. Returns indexes of queries, indexes of candidates and scores.
+    Returns indexes of queries, indexes of candidates and scores.
     """
     width = max(len(q), len(c), 1)
     q, c = _widen(q, width), _widen(c, width)
+    wide_q, wide_c = _norms(q) >= LIMIT, _norms(c) >= LIMIT
+    if not wide_q.any() and not wide_c.any():
+        return _bounded_search(qid, q, floor, cid, c, k)
+    every, narrow = np.arange(len(qid)), np.flatnonzero(~wide_q)
+    parts = [(narrow, np.flatnonzero(~wide_c), None), (every, np.flatnonzero(wide_c), _wide_search)]
+    parts.append((np.flatnonzero(wide_q), np.flatnonzero(~wide_c), _wide_search))
+    found = []
+    for at_q, at_c, search in parts:
+        if search is None:
+            qi, ci, s = _bounded_search(qid[at_q], q[:, at_q], floor[at_q], cid[at_c], c[:, at_c], k)
+        else:
+            qi, ci, s = search(qid[at_q], q[:, at_q], cid[at_c], c[:, at_c], k)
+        found.append((at_q[qi], at_c[ci], s))
+    return _best(*[np.concatenate(x) for x in zip(*found)], cid, k)
+
+
+def _best(qi, ci, s, cid, k):
+    """Per query the best k: ties go to the smaller id."""
+    order = np.lexsort((cid[ci], ~s, qi))
+    qi, ci, s = qi[order], ci[order], s[order]
+    keep = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
+    return qi[keep], ci[keep], s[keep]
+
+
+def _wide_search(qid, q, cid, c, k):
+    """All pairs in small blocks, their products exact and at most what a long holds; of each block the best k stay."""
+    held = tuple(np.zeros(0, dtype=np.int64) for _ in range(3))
+    whole = lambda m: np.array([[int(x) for x in row] for row in m.T], dtype=object).reshape(m.shape[1], m.shape[0])
+    for a in range(0, len(qid), WIDE_BLOCK):
+        left = whole(q[:, a : a + WIDE_BLOCK])
+        for b in range(0, len(cid), WIDE_BLOCK):
+            right = whole(c[:, b : b + WIDE_BLOCK])
+            s = np.clip(dot_products(left, right, True), -(1 << 63), (1 << 63) - 1).astype(np.int64)
+            qi, ci = np.nonzero(qid[a : a + WIDE_BLOCK, None] != cid[None, b : b + WIDE_BLOCK])
+            new = (qi + a, ci + b, s[qi, ci])
+            held = _best(*[np.concatenate(x) for x in zip(held, new)], cid, k)
+    return held
+
+
+def _bounded_search(qid, q, floor, cid, c, k):
+    """`_search` by bounds, block of dimensions by block."""
+    width = len(q)
     starts = list(range(0, width, DIMENSION_BLOCK))
     ends = [min(s + DIMENSION_BLOCK, width) for s in starts]
     tq, tc = _tail_norms(q, ends), _tail_norms(c, ends)
