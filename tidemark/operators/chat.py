@@ -215,7 +215,7 @@ def keyed_entries(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
 # --- fine-tuning examples --------------------------------------------------------------
 
 
-def _example_errors(raw: str) -> dict[str, Column]:
+def _example_errors() -> dict[str, Column]:
     """Error counts of one example, per counter; `_x` is the parsed example, `_m` its messages."""
     is_dict = F.coalesce(F.schema_of_variant("_x").startswith("OBJECT"), F.lit(False))
     has_messages = F.coalesce(F.size("_m") > 0, F.lit(False))
@@ -259,7 +259,7 @@ def validate_chat(df: DataFrame, raw: str = "raw") -> DataFrame:
     parsed = df.select(F.try_parse_json(raw).alias("_x")).withColumn(
         "_m", F.try_variant_get("_x", "$.messages", "array<variant>")
     )
-    counts = _example_errors(raw)
+    counts = _example_errors()
     totals = parsed.select(*[c.alias(name) for name, c in counts.items()]).agg(
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in CHAT_ERRORS]
     )
