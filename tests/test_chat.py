@@ -128,3 +128,5 @@ def test_blocks(spark, monkeypatch, part):
     df = spark.createDataFrame(rows, "file string, line_no bigint, line string").repartition(4)
     mine = sorted((r.file, r.start, json.loads(r.json)) for r in chat.reassemble_blocks(df).collect())
     assert mine == sorted((f, no, doc) for f, lines in files.items() for no, doc in direct_blocks(lines))
+    short = sorted((r.file, r.start) for r in chat.reassemble_blocks(df, max_lines=10).collect())
+    assert short == sorted((f, no) for f, lines in files.items() for no, _ in direct_blocks(lines) if f != "d")

@@ -272,14 +272,16 @@ def to_jsonl(df: DataFrame, field: str = "games", doc: str = "doc") -> DataFrame
     return df.select(F.explode(elements).alias("line"))
 
 
-LINES_PER_PART = 65_536
+#: Lines of a part that one task walks; lines of a block above which it is none.
+LINES_PER_PART, LINES_PER_BLOCK = 65_536, 1_000_000
 
 
-def reassemble_blocks(lines: DataFrame, file: str = "file", line_no: str = "line_no", line: str = "line") -> DataFrame:
+def reassemble_blocks(lines: DataFrame, file: str = "file", line_no: str = "line_no", line: str = "line", max_lines: int = LINES_PER_BLOCK) -> DataFrame:
     """JSON documents written over several lines: one row (file, start line, JSON text) per block.
 
     A line "{" opens a block (again, if one is open), the next line "}" closes it; lines
-    outside and blocks that are no JSON are skipped. Files are cut every 65,536 line
+    outside and blocks that are no JSON are skipped. So are blocks of more than `max_lines` lines before any of them is
+    collected: a stray "{" may stand far before the next "}". Files are cut every 65,536 line
     numbers; only the first and last marker of each part is passed on to other parts.
     """
     kind = F.when(F.trim(line) == "{", 1).when(F.trim(line) == "}", 2)
@@ -304,6 +306,7 @@ def reassemble_blocks(lines: DataFrame, file: str = "file", line_no: str = "line
         .join(carried, [file, "_part"], "left")
         .withColumns({"_open": F.coalesce("_open", "_before"), "_close": F.coalesce("_close", "_after")})
         .where("_open.kind = 1 AND _close.kind = 2")
+        .where(F.col("_close.at") - F.col("_open.at") <= max_lines)
         .withColumn("start", F.col("_open.at"))
     )
     text = F.array_join(F.sort_array(F.collect_list(F.struct(F.col(line_no).alias("at"), F.col(line).alias("text"))))["text"], "\n")
