@@ -100,13 +100,16 @@ def _sql_blocks(html: str) -> str:
 
 @query(
     "s8_article_blocks",
-    f"""SELECT page_id, md5(array_to_string(list_transform(list_filter(blocks, lambda b, i: b.links <= 0.333333 AND CASE
+    f"""SELECT page_id, md5(CASE WHEN main <> '' THEN main ELSE t END) AS content_md5, false AS has_links
+       FROM (SELECT page_id, array_to_string(list_transform(list_filter(blocks, lambda b, i: b.links <= 0.333333 AND CASE
          WHEN coalesce(blocks[i - 1].links, 0) <= 0.555556
          THEN b.words > 16 OR coalesce(blocks[i + 1].words, 0) > 15 OR coalesce(blocks[i - 1].words, 0) > 4
-         ELSE b.words > 40 OR coalesce(blocks[i + 1].words, 0) > 17 END), lambda b: b.text), chr(10))) AS content_md5, false AS has_links
-       FROM {_sql_blocks(_AROUND)}""",
+         ELSE b.words > 40 OR coalesce(blocks[i + 1].words, 0) > 17 END), lambda b: b.text), chr(10)) AS main
+         FROM {_sql_blocks(_AROUND)})
+       JOIN (SELECT page_id, {_TEXT} AS t FROM (SELECT page_id, {_AROUND} AS html FROM pages)) USING (page_id)""",
 )
 def _(spark, sf):
+    # A page without running text gives what its article element holds.
     rows = pages.extract_articles(v.table(spark, sf, "pages").select("page_id", F.expr(_AROUND).alias("html")))
     has_links = F.coalesce(F.col("content").rlike("More about this|All about that|same thing|One more"), F.lit(False))
     return rows.select("page_id", F.md5(F.coalesce("content", F.lit(""))).alias("content_md5"), has_links.alias("has_links"))
