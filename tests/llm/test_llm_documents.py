@@ -592,3 +592,19 @@ def test_search_among_large_components(spark):
     small = spark.createDataFrame([(20, [1.0, 0.0]), (1, [4e7, 0.0]), (2, [0.5, 0.0])], "vec_id long, embedding array<double>")
     small = topk.integer_vectors(small, "vec_id", "embedding", 64)
     assert [(r.vec_id, r.score) for r in topk.top_k(small.where("id = 20"), small, 5).orderBy("rank").collect()] == [(1, 163840000000), (2, 2048)]
+
+
+def test_leaves_of_texts_without_blanks(spark):
+    """Half of each text is replaced; the other half still tells."""
+    japanese = "".join(f"これは{i}番目の文です。" for i in range(200))
+    texts = {"letters": "a" * 5000, "japanese": japanese, "hex": hashlib.sha256(b"x").hexdigest() * 40, "marks": "。！？" * 300, "words": "some words, more words. " * 50}
+    rows = [(n, t, t[: len(t) // 2] + "Z9" * (len(t) // 4)) for n, t in texts.items()] + [("empty", "", ""), ("none", None, None), ("ends", "a " + "b" * 64, " ")]
+    df = spark.createDataFrame(rows, "name string, a string, b string")
+    found = F.regexp_extract_all(F.coalesce("a", F.lit("")), F.lit(merkle.LEAF), F.lit(0))
+    tree = lambda c: merkle.root(merkle.sections(F.col(c)), F.col(c))
+    near = merkle.likeness(tree("a"), merkle.leaves(F.col("a")), tree("b"), merkle.leaves(F.col("b")))
+    for r in df.select("name", "a", found.alias("found"), near.alias("near")).collect():
+        assert "".join(r["found"]) == (r["a"] or "") and all(r["found"])
+        assert max(map(len, r["found"]), default=0) <= 8 * 33 or r["name"] == "marks"
+        if r["name"] in texts:
+            assert r["near"] > 0.3 or r["name"] == "marks"

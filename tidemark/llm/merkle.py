@@ -22,8 +22,9 @@ from tidemark.llm.common import query, table
 
 #: Paragraphs of a section where the text has no empty lines.
 SECTION = 8
-#: A leaf: up to eight words, of which only the last may end a phrase, and what follows it. The leaves make up the text.
-LEAF = r"(?!\z)(?:[^ \n]*+(?<![.!?;:,|。！？]) ){0,7}+[^ \n]*+(?: |\n++|\z)"
+#: A leaf: up to eight words, of which only the last may end a phrase, and what follows it. Marks that end a sentence without a
+#: blank end a leaf, and so does the 32nd character of a word. The leaves make up the text.
+LEAF = r"(?!\z)(?:[^ \n。！？]{0,32}+(?<![.!?;:,|]) ){0,7}+[^ \n。！？]{0,32}+(?:[。！？]++ ?|\n++| |\z|(?=[^ \n。！？]))"
 #: Bits of a leaf's hash.
 LEAF_BITS = 48
 
