@@ -266,7 +266,9 @@ def test_checksums_of_windows(words):
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.text(alphabet="aB é.\n日\x7f1", max_size=30), max_size=40))
 def test_split_segments_equals_the_pattern(segments):
-    assert resampling.split_segments(segments) == [re.findall(WORD, s) for s in segments]
+    words, counts = resampling.split_segments(segments)
+    found = [re.findall(WORD, s) for s in segments]
+    assert words == [w for ws in found for w in ws] and counts.tolist() == [len(ws) for ws in found]
 
 
 @pytest.mark.parametrize("stretch", [20, 100, 1 << 20])

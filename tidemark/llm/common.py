@@ -161,12 +161,18 @@ def lowered(texts: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.ascii_lower(pc.fill_null(texts, ""))
 
 
-def numbered_words(texts: pa.Array, find: Callable[[list[str]], list[list[str]]]) -> tuple[list[str], pa.ListArray]:
-    """The distinct words of the texts and every text as numbers of words; `find` gives the words of distinct segments."""
+def numbered_words(texts: pa.Array, find: Callable[[list[str]], tuple[list[str], np.ndarray]]) -> tuple[list[str], pa.ListArray]:
+    """The distinct words of the texts and every text as numbers of words.
+
+    `find` gives the words of distinct segments one after another, and how many each segment has.
+    """
     number: dict[str, int] = {}
 
     def encode(segments: list[str]) -> list[bytes]:
-        return [np.array([number.setdefault(w, len(number)) for w in ws], dtype=np.int32).tobytes() for ws in find(segments)]
+        words, counts = find(segments)
+        held = np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int32).tobytes()
+        ends = (4 * np.cumsum(counts)).tolist()
+        return [held[a:b] for a, b in zip([0, *ends], ends)]
 
     numbers = encode_by_segments(texts, encode)
     return list(number), numbers

@@ -155,9 +155,11 @@ def template_runs(spark: SparkSession, templates: Sequence[Template]) -> DataFra
     return F.broadcast(runs) if len(rows) <= GRAMS_BROADCAST else runs
 
 
-def _find(segments: list[str]) -> list[list[str]]:
+def _find(segments: list[str]) -> tuple[list[str], np.ndarray]:
+    """The words of all segments and how many each has."""
     find = re.compile(WORD).findall
-    return [find(s) for s in segments]
+    found = [find(s) for s in segments]
+    return [w for ws in found for w in ws], np.array([len(ws) for ws in found], dtype=np.int64)
 
 
 def _pieces(part: pa.Table, texts: pa.Array, first: int) -> tuple[pa.RecordBatch, np.ndarray]:

@@ -45,19 +45,20 @@ def _splitter() -> pre_tokenizers.PreTokenizer:
     return pre_tokenizers.Split(Regex(WORD), "removed", invert=True)
 
 
-def split_segments(segments: list[str]) -> list[list[str]]:
-    """The words of every segment. Many segments are split by one call, and offsets tell whose a word is."""
-    out: list[list[str]] = []
+def split_segments(segments: list[str]) -> tuple[list[str], np.ndarray]:
+    """The words of all segments and how many each has. Many segments are split by one call, and offsets tell whose a word is."""
+    words: list[str] = []
+    counts = np.zeros(len(segments), dtype=np.int64)
     for i in range(0, len(segments), SPLIT_TOGETHER):
         some = segments[i : i + SPLIT_TOGETHER]
         ends = np.cumsum([len(s) + 1 for s in some])
-        words = _splitter().pre_tokenize_str("\n".join(some))
-        whose = np.searchsorted(ends, [at for _, (at, _) in words], side="right").tolist()
-        found: list[list[str]] = [[] for _ in some]
-        for (word, _), k in zip(words, whose):
-            found[k].append(word)
-        out += found
-    return out
+        found = _splitter().pre_tokenize_str("\n".join(some))
+        if found:
+            texts, spans = zip(*found)
+            words += texts
+            whose = np.searchsorted(ends, [at for at, _ in spans], side="right")
+            counts[i : i + len(some)] = np.bincount(whose, minlength=len(some))
+    return words, counts
 
 
 @cache
