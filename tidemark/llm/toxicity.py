@@ -204,42 +204,44 @@ def _logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
-def _pad(held: list[np.ndarray], empty: int) -> np.ndarray:
-    out = np.full((len(held), max(map(len, held), default=0) or 1), empty)
-    for i, h in enumerate(held):
-        out[i, : len(h)] = h
-    return out
-
-
 def _descend(data: list[tuple[np.ndarray, int, int]], buckets: dict[int, int], bias: float) -> Machine:
     """Adaptive gradient descent on the weighted logistic loss."""
     n, rng = len(buckets), np.random.default_rng(0)
-    w, v = np.zeros(n + 1), np.vstack([rng.normal(0, 0.05, (n, FACTORS)), np.zeros((1, FACTORS))])
-    gw, gv, gb = np.full(n + 1, 1e-2), np.full((n + 1, FACTORS), 1e-2), 1e-2
+    w, v = np.zeros(n), rng.normal(0, 0.05, (n, FACTORS))
+    gw, gv, gb = np.full(n, 1e-2), np.full((n, FACTORS), 1e-2), 1e-2
+    # All rows' buckets one after another: a batch costs as much as its rows hold, however long one of them is.
+    held = np.concatenate([d[0] for d in data]).astype(np.int64) if data else np.zeros(0, dtype=np.int64)
+    sizes = np.array([len(d[0]) for d in data])
+    ends = np.cumsum(sizes)
+    ys, counts = np.array([d[1] for d in data]), np.array([d[2] for d in data], dtype=float)
     for _ in range(max(EPOCHS, STEPS // max(1, -(-len(data) // BATCH)))):
         order = rng.permutation(len(data))
         for a in range(0, len(order), BATCH):
-            batch = [data[i] for i in order[a : a + BATCH]]
-            held = _pad([b[0] for b in batch], n)
-            y, weight = np.array([b[1] for b in batch]), np.array([b[2] for b in batch], dtype=float)
-            vs = v[held]
-            sums = vs.sum(axis=1)
-            z = bias + w[held].sum(axis=1) + 0.5 * ((sums**2).sum(axis=1) - (vs**2).sum(axis=(1, 2)))
-            slope = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / weight.sum()
-            flat = held.ravel()
-            dw, dv = np.zeros_like(w), np.zeros_like(v)
-            np.add.at(dw, flat, np.repeat(slope, held.shape[1]))
-            np.add.at(dv, flat, (slope[:, None, None] * (sums[:, None, :] - vs)).reshape(-1, FACTORS))
-            touched = np.unique(flat[flat < n])
-            dw[touched] += DECAY * w[touched]
-            dv[touched] += DECAY * v[touched]
-            gw[touched] += dw[touched] ** 2
-            gv[touched] += dv[touched] ** 2
+            rows = order[a : a + BATCH]
+            size = sizes[rows]
+            until = np.cumsum(size)
+            flat = held[np.arange(until[-1]) + np.repeat((ends - sizes)[rows] - until + size, size)]
+            row = np.repeat(np.arange(len(rows)), size)
+            vs = v[flat]
+            total = lambda x: np.bincount(row, weights=x, minlength=len(rows))  # noqa: B023, E731
+            sums = np.column_stack([total(vs[:, f]) for f in range(FACTORS)])
+            z = bias + total(w[flat]) + 0.5 * ((sums**2).sum(axis=1) - total((vs**2).sum(axis=1)))
+            weight = counts[rows]
+            slope = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - ys[rows]) / weight.sum()
+            touched, at = np.unique(flat, return_inverse=True)
+            steep = slope[row]
+            dw = np.bincount(at, weights=steep, minlength=len(touched)) + DECAY * w[touched]
+            pull = steep[:, None] * (sums[row] - vs)
+            dv = np.column_stack([np.bincount(at, weights=pull[:, f], minlength=len(touched)) for f in range(FACTORS)])
+            # Counts of nothing are integers.
+            dv = dv + DECAY * v[touched]
+            gw[touched] += dw**2
+            gv[touched] += dv**2
             gb += slope.sum() ** 2
-            w[touched] -= RATE * dw[touched] / np.sqrt(gw[touched])
-            v[touched] -= RATE * dv[touched] / np.sqrt(gv[touched])
+            w[touched] -= RATE * dw / np.sqrt(gw[touched])
+            v[touched] -= RATE * dv / np.sqrt(gv[touched])
             bias -= RATE * slope.sum() / math.sqrt(gb)
-    return Machine(buckets, float(bias), w[:n], v[:n])
+    return Machine(buckets, float(bias), w, v)
 
 
 def with_score(docs: DataFrame, machine: Machine, name: str = "score", text: str = "text") -> DataFrame:
