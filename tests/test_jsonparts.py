@@ -69,3 +69,22 @@ def test_arrays_of_fields_and_keyed_documents(spark, tmp_path, small_parts):
     (tmp_path / "k" / "c.json").write_text(json.dumps({str(m["id"]): {"title": m["text"]} for m in made(60, 5)}, ensure_ascii=False))
     back = jsonparts.keyed_entries(spark, str(tmp_path / "k"), "STRUCT<title: STRING>").collect()
     assert sorted((r["id"], r["entry"]["title"]) for r in back) == sorted((str(m["id"]), m["text"]) for m in made(60, 5))
+
+
+def test_scans_hold_a_bounded_text(spark, tmp_path, monkeypatch):
+    """Many rows of one batch, and one row that is longer than a stretch."""
+    items = [*made(60, 6), {"id": 60, "text": "é\\\"{[" * 500}, *made(20, 7)]
+    rows = [v for v in json.dumps(items, ensure_ascii=False).split("}")]
+    monkeypatch.setattr(jsonparts, "STRETCH", 100)
+    n = len(rows)
+    batch = jsonparts.pa.RecordBatch.from_pydict({"value": rows, "file": ["f"] * n, "at": [0] * n, "inside": [False] * n, "escaped": [False] * n, "depth": [0] * n})
+    texts = [t for _, t in jsonparts._stretches(iter([batch]))]
+    assert max(len(t.decode()) for t in texts) <= 100 and b"".join(texts).decode() == "}".join(rows) + "}"
+    segments = {}
+    for part in jsonparts._cutter(1)(iter([batch])):
+        for r in part.to_pylist():
+            own = segments.setdefault(r["segment"], [r["element"], {}])
+            own[0] |= r["element"]
+            own[1][r["piece"]] = r["text"]
+    found = ["".join(t for _, t in sorted(pieces.items())) for element, pieces in segments.values() if element]
+    assert [json.loads(t) for t in found if t.strip(" }")] == items

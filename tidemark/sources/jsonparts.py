@@ -24,6 +24,8 @@ QUOTE, ESCAPE, COMMA = 34, 92, 44
 OPENING, CLOSING = (123, 91), (125, 93)
 #: Objects end with it, so that rows of text are small and Spark finds many places to split a file.
 ROW_END = "}"
+#: Characters of text that are scanned at once: a scan holds some ten numbers for each.
+STRETCH = 1 << 18
 #: The name at the end of the text before a value.
 NAME = r'("(?:[^"\\]|\\.)*"\s*:)\s*$'
 
@@ -51,15 +53,26 @@ def scan(text: np.ndarray, inside: bool, escaped: bool) -> tuple[np.ndarray, np.
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, bytes]]:
-    """The text of consecutive rows of one part, with the row's other columns."""
+    """The text of consecutive rows of one part, about STRETCH characters at a time, with the row's other columns."""
     for batch in batches:
         names = [n for n in batch.schema.names if n != "value"]
         keys = batch.select(["file", "at"]).to_pandas()
         new = (keys != keys.shift()).any(axis=1).to_numpy()
         starts = [*np.flatnonzero(new).tolist(), batch.num_rows]
         for a, b in zip(starts, starts[1:]):
-            values = batch.column("value").slice(a, b - a).to_pylist()
-            yield {n: batch.column(n)[a].as_py() for n in names}, (ROW_END.join(values) + ROW_END).encode()
+            row, held, size = {n: batch.column(n)[a].as_py() for n in names}, [], 0
+            for value in batch.column("value").slice(a, b - a):
+                value = value.as_py() + ROW_END
+                if held and size + len(value) > STRETCH:
+                    yield row, "".join(held).encode()
+                    held, size = [], 0
+                # The reader's state is known at every place, so a long row may be cut anywhere.
+                while len(value) > STRETCH:
+                    yield row, value[:STRETCH].encode()
+                    value = value[STRETCH:]
+                held.append(value)
+                size += len(value)
+            yield row, "".join(held).encode()
 
 
 def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
