@@ -5,6 +5,7 @@ import uuid
 
 import pytest
 
+from tidemark.plans import scoring
 from tidemark.plans.scoring import score_once
 
 
@@ -53,3 +54,15 @@ def test_a_stopped_run_goes_on_where_it_stopped(spark, tmp_path):
     assert asked(third) == ["new"]
     assert score_once(more, counting(str(third)), str(tmp_path / "a"), again=True, **options).count() == 42
     assert asked(third) == ["bad", "bad", "new"]
+
+
+def test_large_runs_have_larger_files_not_more_steps(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scoring, "STEPS", 5)
+    (tmp_path / "calls").mkdir()
+    df = spark.createDataFrame([(i, f"#t{i}#") for i in range(120)], "id int, content string").coalesce(1)
+    options = {"rows_per_file": 1, "files_per_step": 2, "pause": 0.0}
+    scored = score_once(df, counting(str(tmp_path / "calls")), str(tmp_path / "a"), **options)
+    assert {r["id"]: r["response"] for r in scored.collect()} == {i: f"T{i}" for i in range(120)}
+    steps = [n for n in os.listdir(tmp_path / "a" / "progress" / "commits") if n.isdigit()]
+    # One more for each task that writes the queue.
+    assert len(steps) <= 5 + 4 and len(asked(str(tmp_path / "calls"))) == 120

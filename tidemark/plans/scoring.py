@@ -17,6 +17,8 @@ from tidemark.operators.chat import score_articles
 from tidemark.operators.filters import present_content
 
 QUEUE = "digest STRING, content STRING, attempt INT"
+#: Steps that a run is made for at most: every step costs seconds of its own, and looks at the names of all files.
+STEPS = 64
 
 
 def _ready(spark: SparkSession, path: str) -> None:
@@ -35,8 +37,13 @@ def _answers(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
 
 
-def enqueue(articles: DataFrame, path: str, content: str = "content", rows_per_file: int = 64, again: bool = False) -> None:
-    """Puts the distinct texts that were never queued into the queue; `again` also those whose last answer is an error."""
+def enqueue(
+    articles: DataFrame, path: str, content: str = "content", rows_per_file: int = 64, again: bool = False, files_per_step: int = 64
+) -> None:
+    """Puts the distinct texts that were never queued into the queue; `again` also those whose last answer is an error.
+
+    Files hold `rows_per_file` texts, or more where STEPS steps of `files_per_step` files wouldn't hold all that is new.
+    """
     spark = articles.sparkSession
     _ready(spark, path)
     texts = present_content(articles, content).select(F.sha2(content, 256).alias("digest"), F.col(content).alias("content"))
@@ -48,7 +55,8 @@ def enqueue(articles: DataFrame, path: str, content: str = "content", rows_per_f
         failed = failed.join(waiting, "digest").where(F.col("attempt") > F.col("_last")).drop("_last")
         first = queued.where("attempt = 0").select("digest", "content")
         fresh = fresh.unionByName(first.join(failed, "digest"))
-    fresh.write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/queue")
+    most = max(rows_per_file, -(-fresh.select("digest").count() // (STEPS * files_per_step)))
+    fresh.write.mode("append").option("maxRecordsPerFile", most).parquet(f"{path}/queue")
 
 
 def work_off(spark: SparkSession, make_scorer: Callable[[], Callable[[str], str]], path: str, files_per_step: int = 64, tries: int = 3, pause: float = 1.0) -> None:
@@ -74,11 +82,12 @@ def score_once(
 ) -> DataFrame:
     """(key, response, error) of every article with content, as `score_articles` gives them; answers are kept below `path`.
 
-    Equal texts are asked for once. A text that fails is tried `tries` times with growing pauses; its error is kept, and
+    Equal texts are asked for once, in steps of `files_per_step` files of `rows_per_file` texts; large runs have larger files
+    instead of more than about STEPS steps. A text that fails is tried `tries` times with growing pauses; its error is kept, and
     `again` asks for it anew.
     """
     spark = articles.sparkSession
-    enqueue(articles, path, content, rows_per_file, again)
+    enqueue(articles, path, content, rows_per_file, again, files_per_step)
     work_off(spark, make_scorer, path, files_per_step, tries, pause)
     rows = present_content(articles, content).select(key, F.sha2(content, 256).alias("digest"))
     return rows.join(_answers(spark, path), "digest").select(key, "response", "error")
