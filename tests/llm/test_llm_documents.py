@@ -347,6 +347,40 @@ def test_terms_that_tell_nothing_alone(spark):
     assert toxicity.all_labelled(docs, labels, "toxic", 4, 2).where("drawn").count() == every.count()
 
 
+def test_toxicity_moves_labelled_texts_only(spark):
+    """Most texts without a label stay where they are; no text with one is lost, whatever its id's type and how often it occurs."""
+    docs = spark.range(4000).select(F.col("id").cast("int").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    docs = docs.union(docs.where("doc_id < 40")).union(spark.sql("SELECT CAST(NULL AS INT), 'none'"))
+    labels = spark.range(0, 4000, 20).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("toxic"))
+    known, n = toxicity._known(labels, "toxic", 4, 2, toxicity.SAMPLE)
+    left = toxicity._maybe_known(docs, known, n)
+    assert left.columns == docs.columns and left.count() < 600
+    wanted = docs.join(known, "doc_id").select("text", "y")
+    assert sorted(toxicity.all_labelled(docs, labels, "toxic", 4, 2).select("text", "y").collect()) == sorted(wanted.collect())
+
+
+def test_toxicity_counts_of_pairs_travel_packed():
+    """Some two bytes a pair; sums are right for any differences and counts, in frames of bounded length."""
+    rng = np.random.default_rng(1)
+    last = toxicity.BUCKETS * toxicity.PLACES + toxicity.ANCHORS
+    wanted, packed = collections.Counter(), []
+    for _ in range(3):
+        held = ([rng.integers(0, last + 1, 50_000).astype(np.int32), np.full(300, 7, np.int32)], [np.arange(150_000, dtype=np.int32), np.array([last], np.int32)])
+        for y in (0, 1):
+            for part in held[y]:
+                wanted.update((int(p) % toxicity.PLACES, int(p) // toxicity.PLACES, y) for p in part)
+        packed.append(toxicity._packed(held))
+    rows = pd.concat(packed).sort_values("slice", kind="stable")
+    assert rows["pairs"].map(len).sum() + rows["counts"].map(len).sum() < 4 * 3 * 200_000
+    frames = list(toxicity._added(iter([rows[:100], rows[100:]])))
+    assert max(map(len, frames)) <= toxicity.ROWS_OUT
+    found = {}
+    for a, b, n0, n1 in pd.concat(frames).itertuples(index=False):
+        found |= {(a, b, y): n for y, n in ((0, n0), (1, n1)) if n}
+    assert found == wanted
+    assert list(toxicity._added(iter([toxicity._packed(([], []))]))) == []
+
+
 def test_toxicity_of_odd_rows_and_labels(spark):
     docs, labels = labelled_texts(spark, 60)
     odd = spark.createDataFrame([(None, None, None, None), (1, "", "x", "y"), (1, "", "x", "y"), (2, "z" * 200_000, None, None)], docs.schema)

@@ -32,11 +32,17 @@ from tidemark.llm.common import fold, join_by_group, query, stored, table
 SAMPLE = 50_000
 #: Hash buckets; lengths of the beginnings of words that are terms; buckets chosen at most, and what they must tell.
 BUCKETS, BEGINNINGS, CHOSEN, LEAST_G2 = 1 << 20, (4, 5), 4096, 25.0
-#: Chosen buckets whose documents are counted apart; buckets chosen there at most; pairs that a task holds before it adds them up.
-ANCHORS, PARTNERS, HELD_PAIRS = 64, 1024, 1 << 22
+#: Chosen buckets whose documents are counted apart; buckets chosen there at most; pairs that a task holds before it adds them
+#: up; rows of sums that leave it at once.
+ANCHORS, PARTNERS, HELD_PAIRS, ROWS_OUT = 64, 1024, 1 << 21, 1 << 16
+#: Places of a bucket's pairs, slices of all pairs, and pairs of a slice.
+PLACES, SLICES = ANCHORS + 1, 64
+SLICE = -(-(BUCKETS + 1) * PLACES // SLICES)
 #: Factors of a bucket, and how the machine is fitted: rounds over the sample, and steps at least.
 FACTORS, EPOCHS, STEPS, BATCH, RATE, DECAY = 8, 12, 1500, 128, 0.1, 1e-4
 THRESHOLD = 0.3
+#: Bits of one of Spark's bitmaps, bits for each labelled id, and bitmaps at most.
+BITMAP, BITS_PER_ID, MOST_BITMAPS = 32768, 8, 4096
 
 
 @dataclass(frozen=True)
@@ -94,16 +100,29 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_ou
 def all_labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, sample: int = SAMPLE) -> DataFrame:
     """text and y of all labelled documents outside the held-out fold, stored; `drawn` is true for those of `labelled`."""
     known, n = _known(labels, label, folds, held_out, sample)
-    docs = docs.select("doc_id", "text")
-    if n <= sample:
-        rows = docs.join(F.broadcast(known), "doc_id")
-    else:
-        sizes = docs.groupBy("doc_id").agg(F.count("*").alias("rows"))
-        known = stored(known.join(sizes, "doc_id"), "labels")
-        rows = join_by_group(docs, known, "doc_id", "rows", docs.count()).where("y IS NOT NULL")
+    # The texts of documents without a label mostly stay where they are.
+    docs = _maybe_known(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()), known, n)
+    sizes = docs.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    known = stored(known.join(sizes, "doc_id"), "labels")
+    rows = join_by_group(docs, known, "doc_id", "rows", docs.count()).where("y IS NOT NULL")
     return stored(rows.select("text", "y", "drawn"), "labelled")
 
 
+def _maybe_known(docs: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    """The documents whose id has a bit in common with one of the `n` known ids: all of these, and a few others.
+
+    The bits travel as bitmaps of Spark's own size, MOST_BITMAPS at most.
+    """
+    bits = min(MOST_BITMAPS, max(1, n * BITS_PER_ID // BITMAP)) * BITMAP
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(bits))
+    maps = known.select(place.alias("_bit")).groupBy(F.floor(F.col("_bit") / BITMAP).alias("_map"))
+    maps = stored(maps.agg(F.bitmap_construct_agg((F.col("_bit") % BITMAP).cast("int")).alias("_bits")), "bitmaps")
+    rows = docs.withColumn("_bit", place).withColumn("_of", F.floor(F.col("_bit") / BITMAP))
+    rows = rows.join(F.broadcast(maps), F.col("_of") == F.col("_map"))
+    byte = F.conv(F.hex(F.expr(f"substring(_bits, cast((_bit % {BITMAP}) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return rows.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(_bit % 8 as int))")) != 0).select(*docs.columns)
+
+
 def _known(labels: DataFrame, label: str, folds: int, held_out: int, sample: int) -> tuple[DataFrame, int]:
     """doc_id, y and drawn of the labels, and how many there are."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -161,18 +180,19 @@ def _partners(rows: DataFrame, buckets: dict[int, int]) -> list[int]:
                 own = terms(text)
                 found = [buckets[b] for b in own if b in buckets]
                 if found:
-                    # The last place counts the documents themselves.
-                    own = np.array([*own, BUCKETS])
+                    # Chosen buckets need no partner's place; the last place counts the documents themselves.
+                    own = np.array([*(b for b in own if b not in buckets), BUCKETS], dtype=np.int32)
                     for a in [ANCHORS, *(i for i in found if i < ANCHORS)]:
-                        held[int(y > 0)].append(own + a * (BUCKETS + 1))
+                        held[int(y > 0)].append(own * PLACES + a)
                         size += len(own)
                 if size > HELD_PAIRS:
-                    yield from _summed(held)
+                    yield _packed(held)
                     held, size = ([], []), 0
-        yield from _summed(held)
+        yield _packed(held)
 
-    counts = rows.mapInPandas(count, "anchor int, bucket long, n0 long, n1 long").groupBy("anchor", "bucket")
-    counts = stored(counts.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "partners")
+    # Sums leave a task packed by slices of buckets, and are added up slice by slice.
+    sums = rows.mapInPandas(count, "slice int, y int, pairs binary, counts binary").repartition(SLICES, "slice").sortWithinPartitions("slice")
+    counts = stored(sums.mapInPandas(_added, "anchor int, bucket long, n0 long, n1 long"), "partners")
     sizes = counts.where(F.col("bucket") == BUCKETS).select("anchor", F.col("n0").alias("zeros"), F.col("n1").alias("ones"))
     told = counts.where(F.col("bucket") != BUCKETS).join(F.broadcast(sizes), "anchor")
     told = told.withColumn("g2", _g2(F.col("zeros"), F.col("ones"))).where(F.col("g2") >= LEAST_G2)
@@ -181,12 +201,50 @@ def _partners(rows: DataFrame, buckets: dict[int, int]) -> list[int]:
     return [r["bucket"] for r in told.orderBy(F.desc("g2"), "bucket").limit(PARTNERS).collect()]
 
 
-def _summed(held: tuple[list, list]) -> Iterator[pd.DataFrame]:
+def _packed(held: tuple[list, list]) -> pd.DataFrame:
+    """Counts of distinct pairs (bucket * PLACES + anchor) of each label by slices of pairs: the ascending pairs as differences."""
+    rows = []
     for y, parts in enumerate(held):
         if parts:
             pairs, n = np.unique(np.concatenate(parts), return_counts=True)
-            none = np.zeros_like(n)
-            yield pd.DataFrame({"anchor": (pairs // (BUCKETS + 1)).astype("int32"), "bucket": pairs % (BUCKETS + 1), "n0": none if y else n, "n1": n if y else none})
+            cuts = np.searchsorted(pairs, np.arange(SLICES + 1) * SLICE)
+            for i in np.flatnonzero(np.diff(cuts)).tolist():
+                own = slice(cuts[i], cuts[i + 1])
+                rows.append((i, y, _small(np.diff(pairs[own], prepend=i * SLICE)), _small(n[own])))
+    return pd.DataFrame(rows, columns=["slice", "y", "pairs", "counts"])
+
+
+def _small(x: np.ndarray) -> bytes:
+    """Numbers from 0 to 2^31 in one byte each; those from 255 on have their four bytes behind all of them."""
+    large = x >= 255
+    return len(x).to_bytes(4, "little") + np.where(large, 255, x).astype(np.uint8).tobytes() + x[large].astype("<i4").tobytes()
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:4], "little")
+    out = np.frombuffer(raw, dtype=np.uint8, count=n, offset=4).astype(np.int64)
+    out[out == 255] = np.frombuffer(raw, dtype="<i4", offset=4 + n)
+    return out
+
+
+def _added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The counts of all pairs, for packed rows in the order of slices; a slice has a place for each of its pairs."""
+    slice_, total = None, None
+    for frame in frames:
+        for i, y, pairs, counts in zip(frame["slice"], frame["y"], frame["pairs"], frame["counts"]):
+            if i != slice_:
+                yield from _rows_of(slice_, total)
+                slice_, total = i, np.zeros((2, SLICE), dtype=np.int64)
+            total[y, np.cumsum(_numbers(pairs))] += _numbers(counts)
+    yield from _rows_of(slice_, total)
+
+
+def _rows_of(slice_: int | None, total: np.ndarray | None) -> Iterator[pd.DataFrame]:
+    met = np.flatnonzero(total.any(axis=0)) if total is not None else ()
+    for a in range(0, len(met), ROWS_OUT):
+        at = met[a : a + ROWS_OUT]
+        pairs = slice_ * SLICE + at
+        yield pd.DataFrame({"anchor": (pairs % PLACES).astype("int32"), "bucket": pairs // PLACES, "n0": total[0, at], "n1": total[1, at]})
 
 
 def _g2(zeros, ones):
