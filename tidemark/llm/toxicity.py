@@ -104,7 +104,8 @@ def all_labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, hel
     docs = _maybe_known(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()), known, n)
     sizes = docs.groupBy("doc_id").agg(F.count("*").alias("rows"))
     known = stored(known.join(sizes, "doc_id"), "labels")
-    rows = join_by_group(docs, known, "doc_id", "rows", docs.count()).where("y IS NOT NULL")
+    # The number of labels has no bound: they are never broadcast, however few there are in a run.
+    rows = join_by_group(docs, known.hint("merge"), "doc_id", "rows", docs.count()).where("y IS NOT NULL")
     return stored(rows.select("text", "y", "drawn"), "labelled")
 
 
