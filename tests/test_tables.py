@@ -125,3 +125,13 @@ def test_readme_example(spark, tmp_path):
     text = (Path(__file__).resolve().parents[1] / "README.md").read_text()
     code = re.search(r"```python\n(.*?)```", text, re.S).group(1)
     exec(code.replace("spark = build_session()", "").replace("data/stocks/KOR", str(tmp_path / "KOR")), {"spark": spark})
+
+
+def test_few_tasks_write_to_a_folder(spark, tmp_path):
+    """Rows of every folder lie in all tasks; one folder has no name."""
+    rows = spark.range(400, numPartitions=8).select("id", F.when(F.col("id") % 20 < 19, F.format_string("%06d", F.col("id") % 20)).alias("code"))
+    tables.write_folders(rows, str(tmp_path / "t"), ["code"])
+    folders = [d for d in (tmp_path / "t").iterdir() if d.is_dir()]
+    assert len(folders) == 20 and all(len(list(d.glob("*.parquet"))) == 1 for d in folders)
+    back = tables.read_stored(spark, str(tmp_path / "t"))
+    assert sorted(map(tuple, back.select("id", "code").collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
