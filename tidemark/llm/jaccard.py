@@ -7,8 +7,8 @@ more than scanning, both counted on the data.
 
 Components don't need all links of a group: a list's members are first held against one of them, the leader, and lists whose
 members are already joined drop out; after some rounds with other leaders, all pairs that are left in different components
-are verified. So no link between different sets is lost, and groups of copies cost as much as they have members. Documents
-with equal sets are one node.
+are verified, or, where they are many, those whose differences from a leader can be near enough. So no link between different
+sets is lost, and groups of copies cost as much as they have members. Documents with equal sets are one node.
 
 Terms and sets are known by hashes (64 and 128 bits). Defined results: a document without words has an empty set and is
 linked with nothing; with fewer than n words, its whole sequence is its one term. A null text is empty. Rows with equal ids
@@ -299,7 +299,7 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     labels = stored(lists.select("node").distinct().select("node", F.col("node").alias("comp")), "labels")
     links = [stored(_light_edges(nodes, light, percent), "links")] if light else []
     for round_ in range(ROUNDS + 1):
-        pairs, last = _candidates(lists, labels, round_, percent)
+        pairs, last = _candidates(lists, labels, nodes, round_, percent)
         if pairs is not None:
             links.append(stored(_verify(pairs, nodes, percent), "links"))
         if last:
@@ -309,10 +309,11 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     return _result(sets, nodes, components(edges))
 
 
-def _candidates(lists: DataFrame, labels: DataFrame, round_: int, percent: int) -> tuple[DataFrame | None, bool]:
-    """Pairs of nodes with different labels that share a scanned term, and whether these are all there are.
+def _candidates(lists: DataFrame, labels: DataFrame, nodes: DataFrame, round_: int, percent: int) -> tuple[DataFrame | None, bool]:
+    """Pairs of nodes with different labels that share a scanned term, and whether these are all that can be linked.
 
-    While all are much more than there are members, a pair for each member and each of its list's leaders.
+    While all are much more than there are members, a pair for each member and each of its list's leaders; at last those that
+    `_apart` leaves.
     """
     rows = lists.select("term", "node", "n", "place", "first").join(labels, "node")
     # The set with the first document is often the one that others are copies of; the other leaders change.
@@ -334,6 +335,8 @@ def _candidates(lists: DataFrame, labels: DataFrame, round_: int, percent: int)
         return None, True
     rows = join_by_group(rows, mixed, "term", "m", lists.count()).where("major IS NOT NULL")
     last = round_ == ROUNDS or pairs <= members
+    if pairs > members and last:
+        return _apart(rows, nodes, percent), True
     if last:
         # Every member outside its list's largest component with all members of other components.
         rows = stored(rows.select("term", "node", "comp", "n", "place", "major"), "members")
@@ -347,6 +350,62 @@ def _candidates(lists: DataFrame, labels: DataFrame, round_: int, percent: int)
     return found.select(F.least("node_", "node").alias("a"), F.greatest("node_", "node").alias("b")).distinct(), last
 
 
+def _apart(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes on a common list that have different labels and can be linked, found by what sets them apart from a leader.
+
+    Lists with the same leader are one group. Two sets differ in as many terms as their differences from the leader do: what
+    most of a group has in common cancels out. So differences of d and e terms must share more terms the larger they are, and a
+    link must meet in the first of them, the rarest first. Where they needn't share any, both sets are linked with the
+    group's closest to the leader as well, and these links join as much.
+    """
+    # Linked: whole * (terms that differ) <= rest * (sum of the sizes). A set's excess is whole * difference - rest * size.
+    whole, rest = 100 + percent, 100 - percent
+    rows = stored(rows.select("term", "node", "comp", "n", "first"), "members")
+    first = F.min(F.struct(F.coalesce("first", F.lit(2**62)).alias("first"), "node"))
+    leads = stored(rows.groupBy("term").agg(first["node"].alias("lead"), F.count("*").alias("m")), "leads")
+    rows = join_by_group(rows, leads, "term", "m", rows.count())
+    rows = stored(rows.groupBy("lead", "node").agg(F.first("comp").alias("comp"), F.first("n").cast("long").alias("n")), "members")
+    total = rows.count()
+    known = rows.groupBy("lead").agg(F.count("*").alias("m")).join(nodes.select(F.col("node").alias("lead"), F.col("terms").alias("known")), "lead")
+    rows = join_by_group(rows.join(nodes.select("node", "terms"), "node"), stored(known, "leads"), "lead", "m", total)
+    # Terms that only one row has come first, then those that the leader hasn't, then its own: the same order in all sets.
+    tokens = F.concat(F.array_except("terms", "known"), F.array_except("known", "terms"))
+    rows = rows.select("lead", "node", "comp", "n", (F.col("n") - F.size("terms")).alias("alone"), tokens.alias("tokens"))
+    rows = rows.withColumn("d", F.col("alone") + F.size("tokens"))
+    rows = stored(rows.withColumn("excess", whole * F.col("d") - rest * F.col("n")), "differences")
+    center = F.struct("excess", "node", "comp")
+    parts = rows.groupBy("lead", "comp").agg(F.count("*").alias("c"), F.min(center).alias("center"), F.max("n").alias("most"))
+    parts = stored(parts, "parts")
+    groups = parts.groupBy("lead").agg(
+        F.sum("c").alias("m"), F.max(F.struct("c", "comp"))["comp"].alias("major"), F.min("center").alias("center"), F.max("most").alias("most")
+    )
+    groups = stored(groups, "groups")
+    others = join_by_group(parts, groups.select("lead", "m", "major"), "lead", "m", total).where("comp <> major")
+    groups = groups.join(others.groupBy("lead").agg(F.min("center.excess").alias("others")), "lead")
+    rows = join_by_group(rows, stored(groups, "groups"), "lead", "m", total).where("major IS NOT NULL")
+    to_center = rows.where((F.col("comp") != F.col("center.comp")) & (F.col("excess") + F.col("center.excess") <= 0))
+    # The fewest terms that differences of linked sets share, whatever the partner.
+    partner = F.when(F.col("comp") == F.col("major"), F.col("others")).otherwise(F.col("center.excess"))
+    least = F.greatest(
+        F.lit(1), F.ceil((F.col("excess") + partner) / (2 * whole)), F.ceil((F.col("excess") - rest * F.col("most")) / whole)
+    )
+    rows = rows.withColumn("least", least.cast("long"))
+    scanned = F.greatest(F.lit(0), F.col("d") - F.col("least") - F.col("alone") + 1).cast("int")
+    found = rows.select(
+        "lead", "node", "comp", "major", "excess", "least", F.size("tokens").alias("size"), F.posexplode(F.slice("tokens", F.lit(1), scanned)).alias("at", "token")
+    )
+    # How many terms there are from this one on.
+    found = stored(found.withColumn("left", F.col("size") - F.col("at")).drop("size", "at"), "prefixes")
+    names = ("lead", "token", "node", "comp", "excess", "least", "left")
+    one = found.where("comp <> major").select(*[F.col(c).alias(f"{c}_") for c in names])
+    shared = F.greatest("least", "least_", F.ceil((F.col("excess") + F.col("excess_")) / (2 * whole)))
+    once = (F.col("comp") == F.col("major")) | (F.col("node_") < F.col("node"))
+    same = (F.col("lead") == F.col("lead_")) & (F.col("token") == F.col("token_"))
+    met = one.join(found, same & (F.col("comp_") != F.col("comp")) & once & (shared <= F.least("left", "left_")))
+    pairs = met.select("node", "node_").union(to_center.select("node", "center.node"))
+    return pairs.select(F.least("node_", "node").alias("a"), F.greatest("node_", "node").alias("b")).distinct()
+
+
 def _close(percent: int) -> Column:
     """Whether two members of a list can be linked by their sizes and by the places of the list's term."""
     overlap = _least_overlap(F.col("n"), F.col("n_"), percent)
