@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -122,6 +123,23 @@ def test_leaders_then_all_pairs(spark, monkeypatch):
         assert [out[i] for i in range(60)] == want
 
 
+def test_large_family_without_links_makes_few_pairs(spark, monkeypatch):
+    """Texts near a common one, but most of them not near enough to each other: not all pairs are held against each other."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(family(rng, base, rng.choice([1, 3, 5, 6, 7, 9]))) for _ in range(150)]
+    copy = texts[30].split()
+    texts += [" ".join([*copy[:50], "other", *copy[51:]]), " ".join(base[20:] + [f"v{i}" for i in range(40)]), "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held, verify = [], jaccard._verify
+    monkeypatch.setattr(jaccard, "_verify", lambda pairs, *a: held.append(pairs.count()) or verify(pairs, *a))
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+    monkeypatch.setattr(jaccard, "_boundary", lambda *a: 0)
+    out = {r.doc_id: r.component_id for r in jaccard.link(df).collect()}
+    assert [out[i] for i in range(len(texts))] == linked(texts)
+    assert len(set(out.values())) > 20 and len(held) == 2 and held[1] < 1000
+
+
 # --- fingerprints
 
 
@@ -520,6 +538,17 @@ def test_search_equals_brute_force(spark, monkeypatch, block):
     assert topk.top_k(good.limit(0), good, 7).count() == topk.top_k(good.where("id = 10"), good.limit(0), 7).count() == 0
 
 
+def test_search_without_bounds_takes_little_memory():
+    rng = np.random.default_rng(4)
+    q, c = rng.integers(-64, 64, (64, 1024)).astype(float), rng.integers(-64, 64, (64, 2048)).astype(float)
+    tracemalloc.start()
+    qi, ci, s = topk._search(np.arange(1024), q, np.full(1024, -np.inf), np.arange(5000, 7048), c, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    best = np.sort(q.T @ c, axis=1)[:, ::-1][:, :5]
+    assert (s.reshape(1024, 5) == best).all() and peak < 300e6
+
+
 def test_op2_equals_sql(spark):
     assert compare(QUERIES["op2_topk"](spark, SF), connect(SF), SQL["op2_topk"]) == ""
 

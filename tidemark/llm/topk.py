@@ -29,8 +29,8 @@ from tidemark.llm.common import query, table
 
 #: Queries of a block on average, rows of the sample that the first bounds come from, dimensions of a block.
 QUERY_BLOCK, SEED_ROWS, DIMENSION_BLOCK = 4096, 2048, 16
-#: Pairs of a query and a candidate that are looked at together.
-PAIRS = 1 << 21
+#: Pairs of a query and a candidate that are looked at together; above one survivor in DENSE, all of them are multiplied on.
+PAIRS, DENSE = 1 << 21, 16
 #: Vectors of a smaller norm have products below 2^62. Pairs of other vectors are looked at in blocks of so many rows a side.
 LIMIT, WIDE_BLOCK = 2.0**31, 256
 LARGEST = float(np.finfo(float).max)
@@ -57,11 +57,21 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """
     queries = queries.dropDuplicates(["id", "v"])
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    sample = _matrix(rows.limit(SEED_ROWS).collect())
+    sample = queries.sparkSession.sparkContext.broadcast(_matrix(rows.limit(SEED_ROWS).collect()))
+
+    def seed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            qid, q = frame["id"].to_numpy(), _columns(frame["v"].tolist())
+            floor = np.full(len(qid), -np.inf)
+            if len(qid):
+                qi, _, s = _search(qid, q, floor, *sample.value, k)
+                floor = _raise_floor(floor, qi, s, k)
+            yield frame.assign(floor=floor)
+
     found = None
     for b in range(blocks):
-        block = _matrix(queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect())
-        part = _block_top_k(block, sample, rows, k)
+        block = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
+        part = _block_top_k(block.mapInPandas(seed, "id long, v array<double>, floor double").collect(), rows, k)
         found = part if found is None else found.union(part)
     best = Window.partitionBy("query", "query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -175,8 +185,12 @@ def _bounded_search(qid, q, floor, cid, c, k):
         s = partial[qi, ci]
         for n in range(1, len(starts)):
             d = slice(starts[n], ends[n])
-            # The survivors' columns of this block of dimensions.
-            s = s + np.einsum("dp,dp->p", block[d][:, qi], c[d][:, ci])
+            # The survivors' products of this block of dimensions: of all pairs while many survive, since columns of their own
+            # would take as many numbers a pair as the block has dimensions.
+            if len(qi) * DENSE > partial.size:
+                s = s + _products(block[d], c[d], exact)[qi, ci]
+            else:
+                s = s + np.einsum("dp,dp->p", block[d][:, qi], c[d][:, ci])
             keep = s + tq[n, a + qi] * tc[n, ci] + slack >= floor[a + qi]
             if not keep.all():
                 qi, ci, s = qi[keep], ci[keep], s[keep]
@@ -202,13 +216,10 @@ def _raise_floor(floor: np.ndarray, qi: np.ndarray, s: np.ndarray, k: int) -> np
     return out
 
 
-def _block_top_k(block, sample, rows: DataFrame, k: int) -> DataFrame:
-    qid, q = block
-    floor = np.full(len(qid), -np.inf)
-    if len(qid):
-        qi, _, s = _search(qid, q, floor, *sample, k)
-        floor = _raise_floor(floor, qi, s, k)
-    sent = rows.sparkSession.sparkContext.broadcast((qid, q, floor))
+def _block_top_k(block: list, rows: DataFrame, k: int) -> DataFrame:
+    """The best k of a block of queries, with their first bounds, in every task."""
+    floor = np.array([r["floor"] for r in block], dtype=float)
+    sent = rows.sparkSession.sparkContext.broadcast((*_matrix(block), floor))
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qid, q, floor = sent.value
