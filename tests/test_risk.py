@@ -241,3 +241,16 @@ def test_only_changed_chunks_are_scored_again(spark, tmp_path):
         assert [r[-1] for r in plain(risk.changed_scores(spark, path))] == pytest.approx([r[-1] for r in plain(full)])
         assert run == 0 or scored(run) <= chunks + 2
     assert scored(3) == 1 and scored(2) == 0 and scored(4) == 0
+
+
+def test_short_series_need_two_passes_for_the_median(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=(90, 2)), np.repeat(rng.normal(size=(10, 2)), 7, axis=0)
+    passes, pairs = [], tiles._pairs
+    monkeypatch.setattr(tiles, "_pairs", lambda *a: passes.append(1) or pairs(*a))
+    medians = tiles.pair_medians(_points(spark, {"x": x, "y": y}), ["symbol"], ["close_change", "volume_change"], tile=15)
+    found = {r["symbol"]: r["pair_median"] for r in medians.collect()}
+    for name, points in (("x", x), ("y", y)):
+        d = ((points[:, None, :] - points[None, :, :]) ** 2).sum(-1)
+        assert found[name] == pytest.approx(float(np.median(d[np.triu_indices(len(points), 1)])), rel=1e-12)
+    assert len(passes) == 2

@@ -5,7 +5,8 @@ a row of its own, a tile of the kernel matrix, that any task can take. Nothing l
 
 - The median of all pair distances is found by counting. A pass over the tiles counts distances by 16 bits of their
   binary form (distances aren't negative, so their bits sort as they do), the counts say in which bucket the median lies,
-  and the next pass counts the next 16 bits of the distances in that bucket. Four passes give the value to the last bit.
+  and the next pass counts the next 16 bits of the distances in that bucket, or all bits if the bucket has few distances. Four
+  passes at most give the value to the last bit, two that of a short series.
 - A pass over the tiles of some spans gives, for each block of `jump` points, its kernel sums with the blocks before it and
   with all blocks of the span. Running sums of those, one row per block, are the costs of all splits of the span.
 - Each round splits the best span of every series; only the two new spans are looked at again.
@@ -16,6 +17,7 @@ The work is quadratic in the length of a series, as the method demands, but spre
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -79,43 +81,63 @@ def median_distances(strips: DataFrame, spans: DataFrame, tile: int) -> DataFram
     pairs = F.shiftright(n * (n - 1), 1)
     ranks = F.array(F.shiftright(pairs - 1, 1), F.shiftright(pairs, 1))
     state = spans.select("sid", "begin", "end", F.array(F.lit(0), F.lit(0)).cast("array<bigint>").alias("found"), ranks.alias("ranks"))
-    state = state.withColumn("unknown", F.lit(False))
-    for step in range(64 // DIGIT):
-        low = 64 - DIGIT * (step + 1)
-
-        def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                out = []
-                for row in frame.itertuples():
-                    d = _distances(row, width)
-                    d = (d[np.triu_indices(len(d), 1)] if row.i == row.j else d.ravel()).view(np.int64)
-                    for which in range(1 if row.found[0] == row.found[1] else 2):
-                        here = d[(d >> (low + DIGIT)) == row.found[which]] if low + DIGIT < 64 else d
-                        n = np.bincount((here >> low) & ((1 << DIGIT) - 1))
-                        at = np.flatnonzero(n)
-                        out.append(pd.DataFrame({"sid": row.sid, "which": which, "digit": at, "n": n[at]}))
-                yield pd.concat(out) if out else pd.DataFrame({"sid": [], "which": [], "digit": [], "n": []})
+    # Bits that are not known yet, and how many of them the next pass looks at.
+    state = state.withColumns({"unknown": F.lit(False), "open": F.lit(64), "bits": F.lit(DIGIT)})
 
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sid, which, digits, counts = [], [], [], []
+            for row in frame.itertuples():
+                d = _distances(row, width)
+                d = (d[np.triu_indices(len(d), 1)] if row.i == row.j else d.ravel()).view(np.int64)
+                for k in range(1 if row.found[0] == row.found[1] else 2):
+                    here = d[(d >> row.open) == row.found[k]] if row.open < 64 else d
+                    here = (here >> (row.open - row.bits)) & ((1 << row.bits) - 1)
+                    if row.bits <= DIGIT < here.size.bit_length():
+                        n = np.bincount(here)
+                        at = np.flatnonzero(n)
+                        n = n[at]
+                    else:
+                        at, n = np.unique(here, return_counts=True)
+                    sid.append(row.sid)
+                    which.append(k)
+                    digits.append(at)
+                    counts.append(n)
+            sizes = [len(x) for x in digits]
+            whole = {"digit": np.concatenate(digits) if digits else [], "n": np.concatenate(counts) if counts else []}
+            yield pd.DataFrame({"sid": np.repeat(np.array(sid, dtype=object), sizes), "which": np.repeat(which, sizes), **whole})
+
+    done = []
+    while True:
         tiles = _pairs(strips, state, tile).drop("ranks", "unknown", "end")
-        counts = tiles.mapInPandas(count, "sid string, which int, digit int, n long")
+        counts = tiles.mapInPandas(count, "sid string, which int, digit long, n long")
         counts = counts.groupBy("sid", "which", "digit").agg(F.sum("n").alias("n"))
         upto = Window.partitionBy("sid", "which").orderBy("digit")
         counts = counts.withColumn("upto", F.sum("n").over(upto))
-        counts = counts.join(state.select("sid", "ranks", "found"), "sid")
+        counts = counts.join(state.select("sid", "ranks", "found", "open"), "sid")
         picked = []
         for k in (0, 1):
             mine = F.col("which") == F.when(F.col("found")[0] == F.col("found")[1], 0).otherwise(k)
             rank = F.col("ranks")[k]
             hit = mine & (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-            picked.append(F.max(F.when(hit, F.struct(F.col("digit"), (rank - F.col("upto") + F.col("n")).alias("rank")))).alias(f"hit{k}"))
-        odd = F.max(F.col("digit") > INFINITE) if step == 0 else F.lit(False)
+            found = F.struct(F.col("digit"), (rank - F.col("upto") + F.col("n")).alias("rank"), "n")
+            picked.append(F.max(F.when(hit, found)).alias(f"hit{k}"))
+        odd = F.max((F.col("open") == 64) & (F.col("digit") > INFINITE))
         hits = counts.groupBy("sid").agg(*picked, odd.alias("odd"))
-        moved = F.array(*[F.shiftleft(F.col("found")[k], DIGIT) + F.col(f"hit{k}.digit") for k in (0, 1)])
+        moved = F.array(*[F.call_function("shiftleft", F.col("found")[k], F.col("bits")) + F.col(f"hit{k}.digit") for k in (0, 1)])
+        # Few distances in the bucket are counted by all their bits: they have no more values than a digit.
+        few = F.greatest("hit0.n", "hit1.n") <= 1 << DIGIT
+        left = F.col("open") - F.col("bits")
         state = state.join(hits, "sid").select(
             "sid", "begin", "end", moved.alias("found"), F.array("hit0.rank", "hit1.rank").alias("ranks"),
-            (F.col("unknown") | F.col("odd")).alias("unknown"),
+            (F.col("unknown") | F.col("odd")).alias("unknown"), left.alias("open"), F.when(few, left).otherwise(DIGIT).alias("bits"),
         )
         state = stored(state, "median")
+        done.append(state.where("open = 0"))
+        state = state.where("open > 0")
+        if state.isEmpty():
+            break
+    state = reduce(DataFrame.union, done)
     value = F.pandas_udf(_number, "double")
     middle = (value(F.col("found")[0]) + value(F.col("found")[1])) / 2
     scale = F.when(F.col("unknown"), F.lit(float("nan"))).otherwise(middle)
@@ -127,9 +149,9 @@ def _sums(strips: DataFrame, spans: DataFrame, jump: int, tile: int) -> DataFram
     width = _width(strips)
     per = tile // jump
 
-    def reduce(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def block_sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
+            heads, sums = [], []
             for row in frame.itertuples():
                 k = _distances(row, width)
                 k *= 1.0 / row.scale if row.scale != 0 else 1.0
@@ -141,15 +163,18 @@ def _sums(strips: DataFrame, spans: DataFrame, jump: int, tile: int) -> DataFram
                 rows, cols = row.i * per + np.arange(k.shape[0]), row.j * per + np.arange(k.shape[1])
                 r, c = ((at >= row.begin // jump) & (at * jump < row.end) for at in (rows, cols))
                 k, rows, cols = k[r][:, c], rows[r], cols[c]
-                head = {"sid": row.sid, "begin": row.begin, "end": row.end}
+                head = (row.sid, row.begin, row.end)
                 if row.i == row.j:
-                    out.append(pd.DataFrame({**head, "block": rows, "before": np.tril(k, -1).sum(1), "own": np.diag(k), "total": k.sum(1)}))
+                    heads.append(head)
+                    sums.append((rows, np.tril(k, -1).sum(1), np.diag(k), k.sum(1)))
                 else:
-                    out.append(pd.DataFrame({**head, "block": rows, "before": 0.0, "own": 0.0, "total": k.sum(1)}))
-                    out.append(pd.DataFrame({**head, "block": cols, "before": k.sum(0), "own": 0.0, "total": k.sum(0)}))
-            yield pd.concat(out) if out else pd.DataFrame({c: [] for c in ("sid", "begin", "end", "block", "before", "own", "total")})
+                    heads += [head, head]
+                    sums += [(rows, np.zeros(len(rows)), np.zeros(len(rows)), k.sum(1)), (cols, k.sum(0), np.zeros(len(cols)), k.sum(0))]
+            sizes = [len(s[0]) for s in sums]
+            out = {c: np.repeat(np.array([h[i] for h in heads], dtype=object if i == 0 else np.int64), sizes) for i, c in enumerate(("sid", "begin", "end"))}
+            yield pd.DataFrame(out | {c: np.concatenate([s[i] for s in sums]) if sums else [] for i, c in enumerate(("block", "before", "own", "total"))})
 
-    sums = _pairs(strips, spans, tile).mapInPandas(reduce, "sid string, begin int, end int, block int, before double, own double, total double")
+    sums = _pairs(strips, spans, tile).mapInPandas(block_sums, "sid string, begin int, end int, block int, before double, own double, total double")
     return sums.groupBy("sid", "begin", "end", "block").agg(*[F.sum(c).alias(c) for c in ("before", "own", "total")])
 
 
