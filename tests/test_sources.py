@@ -164,3 +164,17 @@ def test_risk_files(spark, tmp_path):
     )
     files.write_risk(df, str(tmp_path / "r"))
     assert files.read_risk(spark, str(tmp_path / "r")).collect() == df.collect()
+
+
+def test_risk_folders_are_dealt_to_tasks(spark, tmp_path, monkeypatch, rows):
+    """Small folders aren't all written by one task, and a large one isn't either; none is written by more than it needs."""
+    monkeypatch.setattr(files, "ROWS_PER_FILE", 50)
+    data = [(f"d{i}", float(i), "m", "Completed", "t", "p", 1.5, "USA", f"s{i % 40}") for i in range(80)]
+    data += [(f"d{i}", float(i), "m", "Completed", "t", "p", 1.5, "KOR", None) for i in range(400)]
+    names = "date string, risk_value double, model_name string, analysis_result string, test_date string, predict_date string, risk_score double, country string, symbol string"
+    df = spark.createDataFrame(data, names)
+    files.write_risk(df, str(tmp_path / "r"))
+    assert rows(files.read_risk(spark, str(tmp_path / "r"))) == rows(df)
+    small = list((tmp_path / "r" / "country=USA").glob("symbol=*/part-*"))
+    assert len(small) == 40 and len({f.name.split("-")[1] for f in small}) > 2
+    assert len(list((tmp_path / "r" / "country=KOR").glob("symbol=*/part-*"))) > 2

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions import parse_time
 from tidemark.operators.dedup import dedup_keep_last
 from tidemark.schemas import PRICE_FILE
-from tidemark.session import stored
+from tidemark.session import shuffle_tasks, stored
 from tidemark.sources.jsonparts import keyed_entries
 from tidemark.sources.tables import ROWS_PER_FILE
 
@@ -77,8 +77,21 @@ def write_price_files(df: DataFrame, path: str, ts: str = "ts", rows_per_file: i
 
 
 def write_risk(df: DataFrame, path: str) -> None:
-    """Risk files in folders of country and symbol, written by one job."""
-    df.hint("rebalance", "country", "symbol").write.mode("overwrite").option("header", True).partitionBy("country", "symbol").csv(path)
+    """Risk files in folders of country and symbol, written by one job.
+
+    A folder costs more time than its rows, so folders are dealt to all tasks, not to as few as their bytes would need; a large
+    folder is split over several. Tasks put their files in place themselves, since one process would do so for one folder after
+    another; a write that was stopped leaves a folder without _SUCCESS.
+    """
+    rows, by = stored(df, "risk"), ["country", "symbol"]
+    large = rows.groupBy(F.col("country").alias("_country"), F.col("symbol").alias("_symbol")).agg(F.count("*").alias("_n")).where(F.col("_n") > ROWS_PER_FILE)
+    here = F.col("country").eqNullSafe(F.col("_country")) & F.col("symbol").eqNullSafe(F.col("_symbol"))
+    pieces = F.coalesce(F.ceil(F.col("_n") / ROWS_PER_FILE), F.lit(1))
+    dealt = rows.join(F.broadcast(large), here, "left").withColumn("_piece", F.pmod(F.xxhash64(*df.columns), pieces))
+    tasks = max(shuffle_tasks(df.sparkSession), -(-rows.count() // ROWS_PER_FILE))
+    dealt = dealt.repartition(tasks, *by, "_piece").select(*df.columns)
+    write = dealt.write.mode("overwrite").option("header", True).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    write.partitionBy(*by).csv(path)
 
 
 def read_risk(spark: SparkSession, path: str) -> DataFrame:
@@ -87,7 +100,8 @@ def read_risk(spark: SparkSession, path: str) -> DataFrame:
         "date STRING, risk_value DOUBLE, model_name STRING, analysis_result STRING, test_date STRING, "
         "predict_date STRING, risk_score DOUBLE, country STRING, symbol STRING"
     )
-    return spark.read.schema(schema).option("header", True).csv(path)
+    # Files are many and small; the parser's buffer is made anew for each, by default of a million characters.
+    return spark.read.schema(schema).option("header", True).option("inputBufferSize", 1 << 16).csv(path)
 
 
 def read_table_jdbc(
