@@ -140,6 +140,32 @@ def test_large_family_without_links_makes_few_pairs(spark, monkeypatch):
     assert len(set(out.values())) > 20 and len(held) == 2 and held[1] < 1000
 
 
+def test_lists_of_one_label_are_done_with(spark, monkeypatch):
+    """A round joins the lists that the round before has left, and carries no row along that has no list."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    near = [" ".join([*base[:i], f"x{i}", *base[i + 1 :]]) for i in range(40)]
+    loose = [" ".join(family(rng, base, rng.choice([5, 6, 7, 9]))) for _ in range(60)]
+    other = [" ".join([f"y{i}" for i in range(80)] + [f"z{j}"]) for j in range(30)]
+    texts = near + loose + other + [f"alone {i} a b c d" for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    joined, join = [], jaccard.join_by_group
+
+    def spy(rows, groups, key, *rest):
+        found = join(rows, groups, key, *rest)
+        if key == "term" and "major" in found.columns:
+            joined.append((rows.count(), found.count(), found.where("major IS NULL").count()))
+        return found
+
+    monkeypatch.setattr(jaccard, "join_by_group", spy)
+    monkeypatch.setattr(jaccard, "_boundary", lambda *a: 0)
+    monkeypatch.setattr(jaccard, "ROUNDS", 6)
+    out = {r.doc_id: r.component_id for r in jaccard.link(df).collect()}
+    assert [out[i] for i in range(len(texts))] == linked(texts)
+    assert len(joined) > 1 and not any(missing for *_, missing in joined)
+    assert all(rows == found for (_, found, _), (rows, *_) in zip(joined, joined[1:])) and joined[-1][1] < joined[0][0], joined
+
+
 # --- fingerprints
 
 
@@ -565,6 +591,19 @@ def test_join_by_group(spark):
     assert out.where("key = 'k4' AND fact = 'v4'").count() == 5 and out.where("key IS NULL AND fact IS NULL").count() == 1
 
 
+@pytest.mark.parametrize("sized", [False, True])
+def test_inner_join_by_group(spark, sized):
+    """Heavy, light, missing and null keys; rows may hold the size of their group."""
+    sizes = {1: 3000, 2: 2, 3: 1, 4: 5}
+    rows = [(k, i) for k, n in sizes.items() for i in range(n)] + [(None, 0), (None, 1)]
+    df = spark.createDataFrame([(k, i, sizes.get(k)) for k, i in rows], "key int, i int, n long")
+    groups = spark.createDataFrame([(1, 3000, "a"), (2, 2, "b"), (4, 5, "d"), (7, 1, "g")], "key int, n long, fact string")
+    out = join_by_group(df if sized else df.drop("n"), groups, "key", "n", len(rows), "inner")
+    assert out.columns == ["key", "i", *(["n"] if sized else []), "fact"]
+    want = sorted((k, i, {1: "a", 2: "b", 4: "d"}[k]) for k, i in rows if k in (1, 2, 4))
+    assert sorted((r.key, r.i, r.fact) for r in out.collect()) == want
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plans(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()

@@ -286,7 +286,8 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     # Lists of one node tell nothing: equal rows only.
     lengths = lists.groupBy("term").agg(F.count("*").alias("length"), F.min("n").alias("least"))
     lengths = stored(lengths.where("length > 1").withColumn("size", F.col("length")), "lengths")
-    lists = join_by_group(lists, lengths, "term", "length", lists.count()).where("size IS NOT NULL")
+    listed = lists.count()
+    lists = join_by_group(lists, lengths, "term", "length", listed, "inner")
     # A linked set shares a term that is rare enough in both, given the smallest partner on the list.
     smallest = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
     lists = lists.where(F.col("place") <= F.col("n") - _least_overlap(F.col("n"), smallest, percent)).drop("least")
@@ -299,7 +300,7 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     labels = stored(lists.select("node").distinct().select("node", F.col("node").alias("comp")), "labels")
     links = [stored(_light_edges(nodes, light, percent), "links")] if light else []
     for round_ in range(ROUNDS + 1):
-        pairs, last = _candidates(lists, labels, nodes, round_, percent)
+        pairs, last, lists = _candidates(lists, listed, labels, nodes, round_, percent)
         if pairs is not None:
             links.append(stored(_verify(pairs, nodes, percent), "links"))
         if last:
@@ -309,45 +310,49 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     return _result(sets, nodes, components(edges))
 
 
-def _candidates(lists: DataFrame, labels: DataFrame, nodes: DataFrame, round_: int, percent: int) -> tuple[DataFrame | None, bool]:
-    """Pairs of nodes with different labels that share a scanned term, and whether these are all that can be linked.
+def _candidates(
+    lists: DataFrame, listed: int, labels: DataFrame, nodes: DataFrame, round_: int, percent: int
+) -> tuple[DataFrame | None, bool, DataFrame]:
+    """Pairs of nodes with different labels that share a scanned term, whether these are all that can be linked, and the lists
+    that still hold different labels: nodes of one label keep a common one, so the other lists are done with. The lengths of
+    all lists add up to at most `listed`.
 
     While all are much more than there are members, a pair for each member and each of its list's leaders; at last those that
     `_apart` leaves.
     """
-    rows = lists.select("term", "node", "n", "place", "first").join(labels, "node")
+    rows = stored(lists.select("term", "node", "n", "place", "first", "length").join(labels, "node"), "labelled")
     # The set with the first document is often the one that others are copies of; the other leaders change.
     first = F.coalesce("first", F.lit(2**62))
     orders = [first if not round_ else F.xxhash64("node", F.lit(2 * round_)), F.xxhash64("node", F.lit(2 * round_ + 1))]
     leads = [F.min(F.struct(o.alias("order"), "node", "comp", "n", "place")).alias(f"lead{j}") for j, o in enumerate(orders)]
-    by_comp = rows.groupBy("term", "comp").agg(F.count("*").alias("c"), *leads)
+    by_comp = rows.groupBy("term", "comp").agg(F.count("*").alias("c"), F.max("length").alias("length"), *leads)
     mixed = by_comp.groupBy("term").agg(
         F.sum("c").alias("m"),
         F.sum(F.col("c") * F.col("c")).alias("within"),
         F.max(F.struct("c", "comp"))["comp"].alias("major"),
         F.count("*").alias("parts"),
+        F.max("length").alias("length"),
         *[F.min(f"lead{j}").alias(f"lead{j}") for j in range(len(leads))],
     )
     cross = ((F.col("m") * F.col("m") - F.col("within")) / 2).alias("cross")
-    mixed = stored(mixed.where("parts > 1").select("term", "m", cross, "major", "lead0", "lead1"), "mixed")
+    mixed = stored(mixed.where("parts > 1").select("term", "length", "m", cross, "major", "lead0", "lead1"), "mixed")
     members, pairs = mixed.agg(F.sum("m"), F.sum("cross")).first()
     if not members:
-        return None, True
-    rows = join_by_group(rows, mixed, "term", "m", lists.count()).where("major IS NOT NULL")
+        return None, True, lists
+    rows = stored(join_by_group(rows, mixed.drop("m", "cross"), "term", "length", listed, "inner"), "members")
     last = round_ == ROUNDS or pairs <= members
     if pairs > members and last:
-        return _apart(rows, nodes, percent), True
+        return _apart(rows, nodes, percent), True, rows
     if last:
         # Every member outside its list's largest component with all members of other components.
-        rows = stored(rows.select("term", "node", "comp", "n", "place", "major"), "members")
         others = rows.where("comp <> major").select("term", *[F.col(c).alias(f"{c}_") for c in ("node", "comp", "n", "place")])
-        found = others.join(rows.drop("major"), (others["term"] == rows["term"]) & (F.col("comp_") != F.col("comp")) & _close(percent))
+        found = others.join(rows.select("term", "node", "comp", "n", "place"), (others["term"] == rows["term"]) & (F.col("comp_") != F.col("comp")) & _close(percent))
     else:
         lead = F.explode(F.array("lead0", "lead1")).alias("lead")
         found = rows.select("node", "comp", "n", "place", lead)
         found = found.select("*", *[F.col(f"lead.{c}").alias(f"{c}_") for c in ("node", "comp", "n", "place")])
         found = found.where((F.col("comp_") != F.col("comp")) & _close(percent))
-    return found.select(F.least("node_", "node").alias("a"), F.greatest("node_", "node").alias("b")).distinct(), last
+    return found.select(F.least("node_", "node").alias("a"), F.greatest("node_", "node").alias("b")).distinct(), last, rows
 
 
 def _apart(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -360,7 +365,7 @@ def _apart(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """
     # Linked: whole * (terms that differ) <= rest * (sum of the sizes). A set's excess is whole * difference - rest * size.
     whole, rest = 100 + percent, 100 - percent
-    rows = stored(rows.select("term", "node", "comp", "n", "first"), "members")
+    rows = rows.select("term", "node", "comp", "n", "first")
     first = F.min(F.struct(F.coalesce("first", F.lit(2**62)).alias("first"), "node"))
     leads = stored(rows.groupBy("term").agg(first["node"].alias("lead"), F.count("*").alias("m")), "leads")
     rows = join_by_group(rows, leads, "term", "m", rows.count())
