@@ -117,6 +117,27 @@ def test_pieces_and_places(spark, edge):
     assert packing.pack_documents(edge.limit(0)).count() == 0
 
 
+def test_few_encodings_are_held_at_once(monkeypatch):
+    """An encoding takes some hundred bytes a token: those of a stretch are not all held beside each other."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t, held = packing._tokenizer(path), []
+
+    class Spy:
+        def __getattr__(self, name):
+            return getattr(t, name)
+
+        def encode_batch_fast(self, texts, **options):
+            held.append(len(texts))
+            return t.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(packing, "_tokenizer", lambda path: Spy())
+    parts = [f" word{i}" for i in range(30_000)] + [f"two words {i}\n" for i in range(300)] + ["", "\n", " "]
+    found = packing._Segments(path)(parts)
+    assert max(held) <= 64 and sum(held) >= 450
+    for i in (0, 199, 200, 29_999, 30_000, 30_299, 30_300, 30_301, 30_302):
+        assert np.frombuffer(found[i], dtype=np.int32).tolist() == t.encode(parts[i], add_special_tokens=False).ids
+
+
 def test_crossover_keeps_every_piece():
     from random import Random
 

@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import os
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 from random import Random
 from zlib import crc32
 
@@ -36,6 +37,8 @@ VOCABULARY = "byte_bpe_50k.json"
 CAPACITY = 2048
 #: Bytes of text that are encoded together.
 STRETCH = 8 << 20
+#: Texts whose encodings are held at once.
+ENCODINGS = 64
 #: Pieces of a block on average; islands of a block; rounds with migration between them; chromosomes of an island;
 #: children per round.
 BLOCK, ISLANDS, ROUNDS, CHROMOSOMES, CHILDREN = 2048, 3, 2, 4, 12
@@ -78,17 +81,23 @@ class _Segments:
             word = len(core) == 1 and (s == core[0] or s == " " + core[0]) and len(self.line_end) == 1
             (words if word else others).append(s)
         groups = [words[a : a + 200] for a in range(0, len(words), 200)]
-        for group, e in zip(groups, self.t.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(e.ids, dtype=np.int32)
+        for group, ids in zip(groups, self._ids("\n".join(g) for g in groups)):
             ends = np.append(np.flatnonzero(ids == self.line_end[0]), len(ids)).tolist()
             content, start = ids.tobytes(), 0
             for s, end in zip(group, ends, strict=True):
                 found[s] = content[4 * start : 4 * end]
                 start = end + 1
-        for s, e in zip(others, self.t.encode_batch_fast(others, add_special_tokens=False)):
-            found[s] = np.array(e.ids, dtype=np.int32).tobytes()
+        for s, ids in zip(others, self._ids(others)):
+            found[s] = ids.tobytes()
         return found
 
+    def _ids(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each text. An encoding holds some hundred bytes a token, so only some are held at once."""
+        texts = iter(texts)
+        while some := list(islice(texts, ENCODINGS)):
+            for e in self.t.encode_batch_fast(some, add_special_tokens=False):
+                yield np.array(e.ids, dtype=np.int32)
+
 
 @lru_cache(maxsize=4)
 def _segments(path: str) -> _Segments:
@@ -106,10 +115,10 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, end: int = 0, vocabular
         segments, last = _segments(path), np.array([end], dtype="<u4").tobytes()
         for stretch in stretches(batches, "_text", STRETCH):
             found = encode_by_segments(stretch["_text"], segments)
-            offsets, ids = found.offsets.to_numpy(), found.values.to_numpy().astype("<u4").tobytes()
+            offsets, ids = found.offsets.to_numpy(), found.values.to_numpy()
             rows, places = [], []
             for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-                content, n = ids[4 * a : 4 * b] + last, b - a + 1
+                content, n = ids[a:b].astype("<u4").tobytes() + last, b - a + 1
                 start, piece = 0, 0
                 while start < n:
                     size = (n - start) % capacity or capacity
