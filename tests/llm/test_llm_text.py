@@ -195,3 +195,16 @@ def test_conversations(spark):
     assert (out[1].loss_chars, out[1].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert (out[None].loss_chars, out[2].loss_chars) == (3, 0)
     assert chat_format.format_conversations(df.limit(0)).count() == 0
+
+
+def test_known_segments_take_little_room():
+    path = public_tokenizers.path(packing.VOCABULARY)
+    known, t = packing._Segments(path, most=3000), packing._tokenizer(path)
+    parts = [f" word{i:x}" for i in range(2500)] + ["long" * 100, "", "a b"]
+    ids = [np.array(t.encode(s, add_special_tokens=False).ids, dtype=np.int32).tobytes() for s in parts]
+    # The second time all but the long one are looked up; the third time there is room for some of the new ones only.
+    assert known(parts) == ids and known(parts[::-1] + parts) == ids[::-1] + ids
+    fresh = [f" more{i:x}" for i in range(2500)]
+    assert known(fresh + parts) == [np.array(e.ids, dtype=np.int32).tobytes() for e in t.encode_batch_fast(fresh, add_special_tokens=False)] + ids
+    assert len(known.known) == 3000
+    assert known.known.nbytes + len(known.ids) + known.ends.nbytes < 48 * 3000

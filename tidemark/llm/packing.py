@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +37,9 @@ from tidemark.session import shuffle_tasks
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY = 2048
 #: Bytes of text that are encoded together.
-STRETCH = 8 << 20
-#: Texts whose encodings are held at once.
-ENCODINGS = 64
+STRETCH = 6 << 20
+#: Texts whose encodings are held at once; characters of a segment that is kept, at most.
+ENCODINGS, KEPT = 64, 256
 #: Pieces of a block on average; islands of a block; rounds with migration between them; chromosomes of an island;
 #: children per round.
 BLOCK, ISLANDS, ROUNDS, CHROMOSOMES, CHILDREN = 2048, 3, 2, 4, 12
@@ -57,22 +58,33 @@ def _tokenizer(path: str) -> Tokenizer:
 
 
 class _Segments:
-    """Ids of segments; those met before are looked up, as long as there is room for them."""
+    """Ids of segments; those met before are looked up, as long as there is room for them.
 
-    def __init__(self, path: str, most: int = 1 << 19):
-        self.t, self.most, self.known = _tokenizer(path), most, {}
+    They lie in one array and their ids in one string: a worker keeps them between tasks, and an object for each would take
+    several times as much.
+    """
+
+    def __init__(self, path: str, most: int = 3 << 18):
+        self.t, self.most = _tokenizer(path), most
+        self.known, self.ids, self.ends = pa.array([], pa.string()), b"", np.zeros(1, dtype=np.int64)
         self.line_end = self.t.encode("\n", add_special_tokens=False).ids
 
     def __call__(self, parts: list[str]) -> list[bytes]:
-        known = self.known
-        found = self._encode(list({s for s in parts if s not in known}))
-        out = [known[s] if s in known else found[s] for s in parts]
-        for s in found:
-            if len(known) >= self.most:
-                break
-            known[s] = found[s]
+        at = pc.fill_null(pc.index_in(pa.array(parts, pa.string()), value_set=self.known), -1).to_numpy()
+        found = self._encode(list(dict.fromkeys(parts[i] for i in np.flatnonzero(at < 0).tolist())))
+        ids, starts, ends = self.ids, self.ends[at].tolist(), self.ends[np.minimum(at + 1, len(self.known))].tolist()
+        out = [ids[a:b] if i >= 0 else found[s] for s, i, a, b in zip(parts, at.tolist(), starts, ends)]
+        self._keep(found)
         return out
 
+    def _keep(self, found: dict[str, bytes]) -> None:
+        fresh = list(islice((s for s in found if len(s) <= KEPT), self.most - len(self.known)))
+        if fresh:
+            sizes = [len(found[s]) for s in fresh]
+            self.known = pa.concat_arrays([self.known, pa.array(fresh, pa.string())])
+            self.ids = b"".join([self.ids, *(found[s] for s in fresh)])
+            self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(sizes))
+
     def _encode(self, fresh: list[str]) -> dict[str, bytes]:
         """Words are encoded many at a time: a line end between them is a token of its own."""
         found, words, others = {}, [], []
@@ -128,6 +140,8 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, end: int = 0, vocabular
             columns = [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
             keys = stretch["doc_id"].combine_chunks().take(pa.array(places))
             yield pa.RecordBatch.from_arrays([keys, *columns], schema=pa.schema([("doc_id", keys.type), *((n, c.type) for (n, _), c in zip(kinds, columns))]))
+        # The worker goes on to other tasks: it gives back what these texts took.
+        pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")).mapInArrow(cut, schema)
 

@@ -143,8 +143,7 @@ def fit(rows: DataFrame, counted: DataFrame | None = None) -> Machine:
         for frame in frames:
             for text, y in zip(frame["text"], frame["y"]):
                 n[int(y > 0), terms(text)] += 1
-        used = np.flatnonzero(n.any(axis=0))
-        yield pd.DataFrame({"bucket": used, "n0": n[0, used], "n1": n[1, used]})
+        yield from _used(n)
 
     sizes = {r["y"]: r["n"] for r in counted.groupBy((F.col("y") > 0).alias("y")).agg(F.count("*").alias("n")).collect()}
     zeros, ones = sizes.get(False, 0), sizes.get(True, 0)
@@ -171,6 +170,14 @@ def fit(rows: DataFrame, counted: DataFrame | None = None) -> Machine:
     return _descend([(np.frombuffer(h, dtype=">i4"), y, n) for h, y, n in data], buckets, _logit(ones / (zeros + ones)))
 
 
+def _used(n: np.ndarray) -> Iterator[pd.DataFrame]:
+    """The counts of the buckets that were met, some at a time."""
+    used = np.flatnonzero(n.any(axis=0))
+    for a in range(0, len(used), ROWS_OUT):
+        at = used[a : a + ROWS_OUT]
+        yield pd.DataFrame({"bucket": at, "n0": n[0, at], "n1": n[1, at]})
+
+
 def _partners(rows: DataFrame, buckets: dict[int, int]) -> list[int]:
     """Buckets that tell something among the documents with one of the best buckets, or with any chosen one."""
 
