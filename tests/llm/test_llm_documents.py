@@ -297,6 +297,29 @@ def test_distinct_keys_by_sorting():
     assert len(lm._distinct(keys[:0])) == 0 and lm._distinct(keys[:1]).tolist() == keys[:1].tolist()
 
 
+def test_keys_and_counts_travel_packed():
+    """5 bytes a key and one for its count, and keys of their own for words 1, 2 and 3 places ahead, took more disk than the check allows."""
+    rng = np.random.default_rng(6)
+    keys = lm._distinct(rng.integers(0, 1 << 49, 300_000).astype(np.uint64))
+    counts = rng.geometric(0.9, (1, len(keys))).astype(np.uint64)
+    rows = lm._key_rows(keys, counts, 7, 5, 49)
+    assert rows["n"].to_pylist() == np.diff(np.searchsorted(keys, [-(-(r << 49) // 5) for r in range(5)] + [1 << 49])).tolist()
+    got = [lm._of_gaps(k, n) + np.uint64(-(-(r << 49) // 5)) for r, n, k in zip(*(rows[x].to_pylist() for x in ("range", "n", "keys")))]
+    assert (np.concatenate(got) == keys).all()
+    assert (np.concatenate([lm._numbers(k, n) for n, k in zip(rows["n"].to_pylist(), rows["counts"].to_pylist())]) == counts[0]).all()
+    assert sum(map(len, rows["keys"].to_pylist())) < 4.1 * len(keys) and sum(map(len, rows["counts"].to_pylist())) < 0.25 * len(keys)
+    for few in ([0], [1 << 55], [0, 1, (1 << 56) - 1], [5, 6]):
+        few = np.array(few, dtype=np.uint64)
+        assert (lm._of_gaps(lm._gaps(np.diff(few, prepend=np.uint64(0))), len(few)) == few).all()
+    # Sums of two stretches go back to both, those of counts that nobody waits for to none.
+    asked = pa.concat_tables([lm._key_rows(keys, counts, s, 1, 49) for s in (1, 2, lm.NOBODY)])
+    back = lm._add_keys(asked)
+    assert back["stretch"].to_pylist() == [1, 2] and (lm._sums_of(back.slice(1, 1), 1) == 3 * counts).all()
+    words, index, starts = lm.tokens_of(pa.array(["a b a", ""]))
+    assert len(lm.gram_keys(words, index, starts)) == len(lm.FEATURES)
+    assert [[[*words, None][i] for i in p] for p in lm._past_words(words, index, starts)][2] == [None, None, None, "a", None]
+
+
 def test_feature_shares_equal_brute_force(spark, documents):
     """Counts of all features of all words, whether they are counted beside the scores or on the way; shares sum to 1."""
     texts = {d: [*words(t), None] for d, t in documents.items()}
