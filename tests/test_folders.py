@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources import folders, tables
+from tidemark.sources import files, folders, tables
 
 ODD = "code STRING, n INT, day DATE, t TIMESTAMP, u TIMESTAMP_NTZ, x DOUBLE, d DECIMAL(12,3), a ARRAY<STRING>, m MAP<STRING, INT>, s STRUCT<p: BINARY>"
 _T = datetime(2024, 1, 2, 3, 4, 5, 6)
@@ -93,7 +93,7 @@ def test_folders_start_no_process(spark, tmp_path):
     """Hadoop starts six for each folder with a file."""
     df = spark.range(800).selectExpr("id AS n", "'c' || id AS symbol", "'USA' AS country").coalesce(1)
     tables.write_folders(df, str(tmp_path / "warm"), ["symbol"])
-    for write in (lambda p: tables.write_folders(df, p, ["symbol"]),):
+    for write in (lambda p: tables.write_folders(df, p, ["symbol"]), lambda p: files.write_risk(df, p)):
         path, before = str(tmp_path / f"t{id(write)}"), started()
         write(path)
         assert started() - before < 1600

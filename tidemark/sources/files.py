@@ -12,6 +12,7 @@ from tidemark.functions import parse_time
 from tidemark.operators.dedup import dedup_keep_last
 from tidemark.schemas import PRICE_FILE
 from tidemark.session import shuffle_tasks, stored
+from tidemark.sources.folders import write_csv
 from tidemark.sources.jsonparts import keyed_entries
 from tidemark.sources.tables import ROWS_PER_FILE
 
@@ -80,8 +81,8 @@ def write_risk(df: DataFrame, path: str) -> None:
     """Risk files in folders of country and symbol, written by one job.
 
     A folder costs more time than its rows, so folders are dealt to all tasks, not to as few as their bytes would need; a large
-    folder is split over several. Tasks put their files in place themselves, since one process would do so for one folder after
-    another; a write that was stopped leaves a folder without _SUCCESS.
+    folder is split over several. Tasks write their files and put them in place themselves, since one process would do so for one
+    folder after another; a write that was stopped leaves a folder without _SUCCESS.
     """
     rows, by = stored(df, "risk"), ["country", "symbol"]
     large = rows.groupBy(F.col("country").alias("_country"), F.col("symbol").alias("_symbol")).agg(F.count("*").alias("_n")).where(F.col("_n") > ROWS_PER_FILE)
@@ -90,6 +91,8 @@ def write_risk(df: DataFrame, path: str) -> None:
     dealt = rows.join(F.broadcast(large), here, "left").withColumn("_piece", F.pmod(F.xxhash64(*df.columns), pieces))
     tasks = max(shuffle_tasks(df.sparkSession), -(-rows.count() // ROWS_PER_FILE))
     dealt = dealt.repartition(tasks, *by, "_piece").select(*df.columns)
+    if write_csv(dealt, path, by):
+        return
     write = dealt.write.mode("overwrite").option("header", True).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     write.partitionBy(*by).csv(path)
 
