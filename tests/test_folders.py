@@ -113,3 +113,16 @@ def test_a_table_is_looked_through_once(spark, tmp_path):
     jobs = [spark.sparkContext.statusTracker().getJobInfo(j) for j in spark.sparkContext.statusTracker().getJobIdsForGroup("reads")]
     tasks = [sum(spark.sparkContext.statusTracker().getStageInfo(s).numTasks for s in j.stageIds) for j in jobs]
     assert len([n for n in tasks if n >= 100]) == 1
+
+
+def test_values_of_folders(spark, tmp_path, rows):
+    """As Spark finds them, and without its look at all folders, which took time that grows with the square of their number."""
+    some = [("a/b=c%d", "x+y z"), ("USA", None), (None, "005930"), ("é%41", "symbol=1"), ("{x}", "a:b#?")]
+    df = spark.createDataFrame([(f"d{i}", *x) for i, x in enumerate(some)], "date STRING, country STRING, symbol STRING")
+    files.write_risk(df, str(tmp_path / "r"))
+    back = files.read_risk(spark, str(tmp_path / "r"))
+    plain = spark.read.schema(back.schema).option("header", True).csv(str(tmp_path / "r"))
+    assert back.columns[-2:] == ["country", "symbol"] and rows(back) == rows(plain)
+    assert back.where("symbol = '005930'").select("date", "country").collect() == [("d2", None)]
+    plan = back._jdf.queryExecution().analyzed().toString()
+    assert "_metadata" in plan and len(back._jdf.queryExecution().optimizedPlan().collectLeaves().head().relation().partitionSchema().fieldNames()) == 0

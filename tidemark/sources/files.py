@@ -12,7 +12,7 @@ from tidemark.functions import parse_time
 from tidemark.operators.dedup import dedup_keep_last
 from tidemark.schemas import PRICE_FILE
 from tidemark.session import shuffle_tasks, stored
-from tidemark.sources.folders import write_csv
+from tidemark.sources.folders import folder_values, write_csv
 from tidemark.sources.jsonparts import keyed_entries
 from tidemark.sources.tables import ROWS_PER_FILE
 
@@ -99,12 +99,10 @@ def write_risk(df: DataFrame, path: str) -> None:
 
 def read_risk(spark: SparkSession, path: str) -> DataFrame:
     """Risk files with the country and symbol of their folders."""
-    schema = (
-        "date STRING, risk_value DOUBLE, model_name STRING, analysis_result STRING, test_date STRING, "
-        "predict_date STRING, risk_score DOUBLE, country STRING, symbol STRING"
-    )
+    schema = "date STRING, risk_value DOUBLE, model_name STRING, analysis_result STRING, test_date STRING, predict_date STRING, risk_score DOUBLE"
     # Files are many and small; the parser's buffer is made anew for each, by default of a million characters.
-    return spark.read.schema(schema).option("header", True).option("inputBufferSize", 1 << 16).csv(path)
+    files = spark.read.schema(schema).option("header", True).option("inputBufferSize", 1 << 16).option("recursiveFileLookup", True)
+    return files.csv(path).select("*", *folder_values(["country", "symbol"]))
 
 
 def read_table_jdbc(
