@@ -126,3 +126,27 @@ def test_values_of_folders(spark, tmp_path, rows):
     assert back.where("symbol = '005930'").select("date", "country").collect() == [("d2", None)]
     plan = back._jdf.queryExecution().analyzed().toString()
     assert "_metadata" in plan and len(back._jdf.queryExecution().optimizedPlan().collectLeaves().head().relation().partitionSchema().fieldNames()) == 0
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_tables_of_many_folders(spark, tmp_path, rows, monkeypatch, few):
+    """Changed and read without Spark's search for the values of folders, with the same rows."""
+    df = spark.createDataFrame([(i, None if i % 7 == 0 else f"{i % 5:03d}/=%", date(2024, 1 + i % 3, 1), i) for i in range(60)], "id INT, code STRING, day DATE, v INT")
+    batch = df.where("id % 2 = 0").withColumn("v", -F.col("v")).unionByName(df.where("id = 1").withColumn("id", F.lit(99)))
+    found = []
+    for many in (10_000, 0):
+        monkeypatch.setattr(folders, "MANY", many)
+        monkeypatch.setattr(tables, "FEW_NAMES", few)
+        path = str(tmp_path / f"t{many}")
+        tables.write_folders(df, path, ["code", "day"])
+        tables.upsert_table(batch, path, ["id", "code", "day"], ["v"], ["v"], ["code", "day"])
+        one = tables.read_stored(spark, path, {"day": "date"})
+        laid = str(tmp_path / f"l{many}")
+        tables.append_rows(df, laid, ["code", "day"])
+        tables.update_table(spark, laid, {"v": -1}, "id IN (3, 7)")
+        tables.delete_rows(spark, laid, "code = '002/=%' OR (code IS NULL AND id < 30)")
+        other = tables.read_stored(spark, laid)
+        found.append((one.dtypes, rows(one), other.dtypes, rows(other), rows(other.where("day = '2024-02-01'"))))
+        searched = one._jdf.queryExecution().optimizedPlan().collectLeaves().head().relation().partitionSchema().fieldNames()
+        assert len(searched) == (0 if many == 0 else 2)
+    assert found[0] == found[1] and len(found[0][1]) == 66  # keys with a null are never equal
